@@ -294,24 +294,22 @@ def tax_lot_inventory_current(tx: DataFrame, cryptos: DataFrame, slice_unit: str
     lots = _lots(tx.filter(is_type("BUY")), None).select(
         "crypto_id",
         F.col("tx_id").alias("buy_tx_id"),
-        F.struct("tx_timestamp", "quantity", F.col("price_per_unit_usd").alias("price")).alias("lot"),
+        F.col("tx_timestamp").alias("buy_timestamp"),
+        F.col("quantity").alias("original_buy_quantity"),
+        F.col("price_per_unit_usd").alias("purchase_price_per_unit_usd"),
         F.lit(0).cast(QUANTITY).alias("taken"),
     )
-    taken = fifo_matched_lots(tx, None, slice_unit).select(
-        "crypto_id", "buy_tx_id", F.lit(None).alias("lot"), _taken().alias("taken")
-    )
-    remaining = (F.col("lot.quantity") - F.col("taken")).cast(_RUNNING)
+    taken = fifo_matched_lots(tx, None, slice_unit).select("crypto_id", "buy_tx_id", _taken().alias("taken"))
+    facts = ("buy_timestamp", "original_buy_quantity", "purchase_price_per_unit_usd")
+    remaining = (F.col("original_buy_quantity") - F.col("taken")).cast(_RUNNING)
     return (
-        lots.unionByName(taken)
+        lots.unionByName(taken, allowMissingColumns=True)
         .groupBy("crypto_id", "buy_tx_id")
-        .agg(F.max("lot").alias("lot"), F.sum("taken").alias("taken"))
+        .agg(*[F.max(c).alias(c) for c in facts], F.sum("taken").alias("taken"))
         .filter(above_dust(remaining))
         .join(cryptos, "crypto_id")
         .select(
-            "buy_tx_id", "symbol",
-            F.col("lot.tx_timestamp").alias("buy_timestamp"),
-            F.col("lot.quantity").alias("original_buy_quantity"),
-            F.col("lot.price").alias("purchase_price_per_unit_usd"),
+            "buy_tx_id", "symbol", *facts,
             F.col("taken").alias("quantity_sold_from_this_lot"),
             remaining.alias("remaining_quantity_in_lot"),
         )

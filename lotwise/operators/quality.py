@@ -84,7 +84,8 @@ def dq_price_gaps(prices: DataFrame, cryptos: DataFrame, crypto_id: int | None =
 
 
 def dq_unmapped_dates(tx: DataFrame, dim_date: DataFrame) -> DataFrame:
-    days = dim_date.select(F.col("full_date").alias("tx_date"))
+    # One row per calendar day: the broadcast is bounded, the ledger stays where it is.
+    days = F.broadcast(dim_date.select(F.col("full_date").alias("tx_date")))
     return (
         tx.select("tx_id", "tx_timestamp", F.to_date("tx_timestamp").alias("tx_date"))
         .join(days, "tx_date", "left_anti")
@@ -110,17 +111,22 @@ def dq_constraint_violations(tables: dict[str, DataFrame]) -> DataFrame:
         _unique(categories, "transaction_categories", "name"),
         _unique(tx, "transactions", "tx_id"),
         _unique(prices, "historical_prices", "crypto_id", "price_date"),
-        _allowed(exchanges, "exchanges", "exchange_type", EXCHANGE_TYPES),
-        _allowed(tx, "transactions", "tx_type", STORED_TX_TYPES),
-        _not_null(cryptos, "cryptocurrencies", "symbol", "name"),
-        _not_null(exchanges, "exchanges", "name", "exchange_type"),
-        _not_null(categories, "transaction_categories", "name"),
-        _not_null(tx, "transactions", "crypto_id", "tx_type", "quantity", "tx_timestamp"),
-        _not_null(prices, "historical_prices", "crypto_id", "price_date", "close_price_usd"),
-        _known(tx, "transactions", cryptos, "crypto_id"),
-        _known(tx, "transactions", exchanges, "exchange_id"),
-        _known(tx, "transactions", categories, "category_id"),
-        _known(prices, "historical_prices", cryptos, "crypto_id"),
+        _row_rules(cryptos, "cryptocurrencies", not_null=("symbol", "name")),
+        _row_rules(
+            exchanges, "exchanges", not_null=("name", "exchange_type"), allowed={"exchange_type": EXCHANGE_TYPES}
+        ),
+        _row_rules(categories, "transaction_categories", not_null=("name",)),
+        _row_rules(
+            tx, "transactions",
+            not_null=("crypto_id", "tx_type", "quantity", "tx_timestamp"),
+            allowed={"tx_type": STORED_TX_TYPES},
+            references={"crypto_id": cryptos, "exchange_id": exchanges, "category_id": categories},
+        ),
+        _row_rules(
+            prices, "historical_prices",
+            not_null=("crypto_id", "price_date", "close_price_usd"),
+            references={"crypto_id": cryptos},
+        ),
     ]
     out = parts[0]
     for part in parts[1:]:
@@ -128,40 +134,46 @@ def dq_constraint_violations(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def _finding(rule: str, key: Column, n: Column) -> list[Column]:
-    return [F.lit(rule).alias("rule"), key.cast("string").alias("key"), n.cast("bigint").alias("n")]
-
-
 def _unique(df: DataFrame, table: str, *keys: str) -> DataFrame:
     known = df
     for k in keys:
         known = known.filter(F.col(k).isNotNull())
     return (
         known.groupBy(*keys).count().filter(F.col("count") > 1)
-        .select(*_finding(f"unique {table}({','.join(keys)})", F.concat_ws("|", *keys), F.col("count")))
-    )
-
-
-def _allowed(df: DataFrame, table: str, column: str, values: tuple[str, ...]) -> DataFrame:
-    return (
-        df.filter(~F.col(column).isin(*values)).groupBy(column).count()
-        .select(*_finding(f"check {table}({column})", F.col(column), F.col("count")))
-    )
-
-
-def _not_null(df: DataFrame, table: str, *columns: str) -> DataFrame:
-    """One pass for all columns of a table."""
-    counts = df.agg(*[F.sum(F.col(c).isNull().cast("bigint")).alias(c) for c in columns])
-    listed = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("n")) for c in columns]))
-    rule = F.concat(F.lit(f"not null {table}("), F.col("at.column"), F.lit(")"))
-    return counts.select(listed.alias("at")).filter(F.col("at.n") > 0).select(
-        rule.alias("rule"), F.lit(None).cast("string").alias("key"), F.col("at.n").cast("bigint").alias("n")
+        .select(
+            F.lit(f"unique {table}({','.join(keys)})").alias("rule"),
+            F.concat_ws("|", *keys).alias("key"),
+            F.col("count").alias("n"),
+        )
     )
 
 
-def _known(df: DataFrame, table: str, dimension: DataFrame, key: str) -> DataFrame:
-    return (
-        df.filter(F.col(key).isNotNull()).groupBy(key).count()
-        .join(dimension, key, "left_anti")
-        .select(*_finding(f"reference {table}({key})", F.col(key), F.col("count")))
+def _row_rules(
+    df: DataFrame, table: str, not_null: tuple[str, ...] = (), allowed: dict[str, tuple[str, ...]] | None = None,
+    references: dict[str, DataFrame] | None = None,
+) -> DataFrame:
+    """All rules that look at one row, in one pass: each row names what it breaks or refers to, these are
+    counted before the shuffle, and references that exist are taken out of the few counted rows."""
+
+    def entry(rule: str, column: str, key: Column, when: Column) -> Column:
+        named = F.lit(f"{rule} {table}({column})").alias("rule")
+        return F.when(when, F.struct(named, key.cast("string").alias("key")))
+
+    entries = [entry("not null", c, F.lit(None), F.col(c).isNull()) for c in not_null]
+    entries += [entry("check", c, F.col(c), ~F.col(c).isin(*values)) for c, values in (allowed or {}).items()]
+    entries += [entry("reference", c, F.col(c), F.col(c).isNotNull()) for c in (references or {})]
+    found = (
+        df.select(F.explode(F.array_compact(F.array(*entries))).alias("at"))
+        .groupBy("at.rule", "at.key")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
+    existing = [
+        dim.select(F.lit(f"reference {table}({c})").alias("rule"), F.col(c).cast("string").alias("key"))
+        for c, dim in (references or {}).items()
+    ]
+    if not existing:
+        return found
+    fulfilled = existing[0]
+    for more in existing[1:]:
+        fulfilled = fulfilled.unionByName(more)
+    return found.join(fulfilled, ["rule", "key"], "left_anti")

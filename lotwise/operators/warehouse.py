@@ -83,12 +83,20 @@ def empty_table(spark: SparkSession, schema) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def _day_keys(dim_date: DataFrame) -> DataFrame:
+    return F.broadcast(dim_date.select(F.col("full_date").alias("tx_date"), "date_key"))
+
+
 def _with_dimension_keys(
     tx: DataFrame, dim_date: DataFrame, dim_crypto: DataFrame, dim_exchange: DataFrame, dim_category: DataFrame
 ) -> DataFrame:
-    """Left lookups on unique ids, so no row is lost or doubled. Spark broadcasts a dimension when its size
-    is below its limit and otherwise splits skewed join partitions (a hot asset, the rows without a venue)."""
-    day = dim_date.select(F.col("full_date").alias("tx_date"), "date_key")
+    """Left lookups on unique ids, so no row is lost or doubled.
+
+    The calendar has one row per day, so its broadcast is bounded. Spark broadcasts the other dimensions only
+    if their stored size is below its limit, and otherwise splits skewed join partitions (a hot asset, the
+    rows without a venue).
+    """
+    day = _day_keys(dim_date)
     asset = dim_crypto.select(F.col("crypto_id_original").alias("crypto_id"), "crypto_key")
     venue = dim_exchange.select(F.col("exchange_id_original").alias("exchange_id"), "exchange_key")
     kind = dim_category.select(F.col("category_id_original").alias("category_id"), "category_key")
@@ -120,7 +128,7 @@ def fact_rows(
 
 def fact_rejects(tx: DataFrame, dim_date: DataFrame, dim_crypto: DataFrame) -> DataFrame:
     """tx_id, reason for ledger rows without a calendar day or an asset row."""
-    day = dim_date.select(F.col("full_date").alias("tx_date"), "date_key")
+    day = _day_keys(dim_date)
     asset = dim_crypto.select(F.col("crypto_id_original").alias("crypto_id"), "crypto_key")
     reason = F.when(F.col("date_key").isNull(), "date outside calendar").when(
         F.col("crypto_key").isNull(), "unknown asset"
@@ -157,7 +165,7 @@ def view_monthly_crypto_transaction_summary(fact: DataFrame, dim_date: DataFrame
         return F.coalesce(F.sum(name).cast(dtype), F.lit(0).cast(dtype))
 
     monthly = (
-        daily.join(dim_date.select("date_key", "full_date"), "date_key")
+        daily.join(F.broadcast(dim_date.select("date_key", "full_date")), "date_key")
         .join(dim_crypto.select("crypto_key", "symbol", "name"), "crypto_key")
         .groupBy(
             F.date_format("full_date", "yyyy-MM").alias("year_month"),
@@ -215,7 +223,7 @@ def value_by_symbol_year(fact: DataFrame, dim_date: DataFrame, dim_crypto: DataF
         .agg(F.sum("transaction_value_usd").alias("value"))
     )
     return (
-        daily.join(dim_date.select("date_key", "year_actual"), "date_key")
+        daily.join(F.broadcast(dim_date.select("date_key", "year_actual")), "date_key")
         .join(dim_crypto.select("crypto_key", "symbol"), "crypto_key")
         .groupBy(F.col("symbol").alias("crypto_symbol"), F.col("year_actual").alias("transaction_year"))
         .agg(F.sum("value").cast("decimal(38,8)").alias("total_value_transacted_usd"))

@@ -40,26 +40,36 @@ LOGGED_AT = dt.datetime(2001, 8, 1, 12, 0, 0)
 
 
 class _Run(LedgerTables):
-    """The tables of one run, with what several queries derive from them."""
+    """The tables of one run, with what several queries derive from them.
+
+    Dimensions are stored before the fact is built, as in any load: Spark then knows their size when it plans
+    the lookups, and broadcasts the small ones instead of shuffling the ledger once per dimension.
+    """
+
+    def _stored(self, name: str, df: DataFrame) -> DataFrame:
+        path = shared_dir(self.spark, name)
+        snapshots.save_table(df, path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return warehouse.calendar_covering(self.trades)
+        return self._stored("dim_date", warehouse.calendar_covering(self.trades))
 
     @cached_property
     def dim_crypto(self) -> DataFrame:
-        return warehouse.upsert_dim_cryptocurrency(
-            self.cryptocurrencies, warehouse.empty_table(self.spark, DIM_CRYPTOCURRENCY)
-        )
+        empty = warehouse.empty_table(self.spark, DIM_CRYPTOCURRENCY)
+        return self._stored("dim_cryptocurrency", warehouse.upsert_dim_cryptocurrency(self.cryptocurrencies, empty))
 
     @cached_property
     def dim_exchange(self) -> DataFrame:
-        return warehouse.upsert_dim_exchange(self.exchanges, warehouse.empty_table(self.spark, DIM_EXCHANGE))
+        empty = warehouse.empty_table(self.spark, DIM_EXCHANGE)
+        return self._stored("dim_exchange", warehouse.upsert_dim_exchange(self.exchanges, empty))
 
     @cached_property
     def dim_category(self) -> DataFrame:
-        return warehouse.upsert_dim_transaction_category(
-            self.transaction_categories, warehouse.empty_table(self.spark, DIM_TRANSACTION_CATEGORY)
+        empty = warehouse.empty_table(self.spark, DIM_TRANSACTION_CATEGORY)
+        return self._stored(
+            "dim_transaction_category", warehouse.upsert_dim_transaction_category(self.transaction_categories, empty)
         )
 
     def fact_rows(self, tx: DataFrame | None = None, dim_date: DataFrame | None = None) -> DataFrame:
@@ -368,7 +378,7 @@ def _warehouse() -> dict[str, Query]:
     return {
         "mv_current_holdings": _on(_materialized_holdings),
         "read_mv_current_holdings": _on(_materialized_holdings),
-        "build_dim_date": _on(lambda t: t.dim_date),
+        "build_dim_date": _on(lambda t: warehouse.calendar_covering(t.trades)),
         "insert_only_load": _on(_insert_only_load),
         "upsert_dim_cryptocurrency": _on(_second_load_cryptos),
         "upsert_dim_exchange": _on(_second_load_exchanges),
