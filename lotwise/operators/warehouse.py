@@ -197,23 +197,24 @@ def view_monthly_crypto_transaction_summary(fact: DataFrame, dim_date: DataFrame
 
 
 def verify_star_null_keys(fact: DataFrame, tx: DataFrame) -> DataFrame:
-    """check_name, row_count: keys that are missing; for the optional ones, only where the ledger had an id."""
-
-    def missing(key: str, source_id: str | None = None) -> DataFrame:
-        rows = fact.filter(F.col(key).isNull()).select("tx_id_original")
-        if source_id is not None:
-            known = tx.filter(F.col(source_id).isNotNull()).select(F.col("tx_id").cast("bigint").alias("tx_id_original"))
-            rows = rows.join(known, "tx_id_original", "left_semi")
-        return rows.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(f"null_{key}").alias("check_name"), "row_count"
-        )
+    """check_name, row_count: keys that are missing; for the optional ones, only where the ledger had an id.
 
-    return (
-        missing("date_key")
-        .unionByName(missing("crypto_key"))
-        .unionByName(missing("exchange_key", "exchange_id"))
-        .unionByName(missing("category_key", "category_id"))
+    One pass over the fact: only its rows with a missing key are looked up in the ledger.
+    """
+    keys = ("date_key", "crypto_key", "exchange_key", "category_key")
+    missing = {k: F.col(k).isNull() for k in keys}
+    suspects = fact.filter(
+        missing["date_key"] | missing["crypto_key"] | missing["exchange_key"] | missing["category_key"]
+    ).select("tx_id_original", *keys)
+    source = tx.select(F.col("tx_id").cast("bigint").alias("tx_id_original"), "exchange_id", "category_id")
+    found = suspects.join(source, "tx_id_original", "left").agg(
+        count_if(missing["date_key"]).alias("date_key"),
+        count_if(missing["crypto_key"]).alias("crypto_key"),
+        count_if(missing["exchange_key"] & F.col("exchange_id").isNotNull()).alias("exchange_key"),
+        count_if(missing["category_key"] & F.col("category_id").isNotNull()).alias("category_key"),
     )
+    listed = F.array(*[F.struct(F.lit(f"null_{k}").alias("check_name"), F.col(k).alias("row_count")) for k in keys])
+    return found.select(F.inline(listed))
 
 
 def value_by_symbol_year(fact: DataFrame, dim_date: DataFrame, dim_crypto: DataFrame) -> DataFrame:

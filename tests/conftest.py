@@ -1,0 +1,74 @@
+from __future__ import annotations
+
+import contextlib
+import datetime as dt
+import io
+import os
+import sys
+from decimal import Decimal
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
+
+from lotwise import schemas  # noqa: E402
+from lotwise.session import local_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = local_session("lotwise-tests", cpus=4, shuffle_partitions=4)
+    yield session
+    session.stop()
+
+
+def ts(text: str) -> dt.datetime:
+    return dt.datetime.fromisoformat(text).replace(tzinfo=dt.timezone.utc)
+
+
+def dec(value) -> Decimal | None:
+    return None if value is None else Decimal(str(value))
+
+
+@pytest.fixture(scope="session")
+def make(spark):
+    """Small frames in the declared schemas."""
+
+    class Make:
+        @staticmethod
+        def tx(*rows):
+            """(tx_id, crypto_id, tx_type, quantity, price, timestamp[, exchange_id, category_id, fee, notes])"""
+            full = [tuple(r) + (None,) * (10 - len(r)) for r in rows]
+            data = [
+                (i, c, e, k, t, dec(q), dec(p), ts(when), dec(fee), note)
+                for i, c, t, q, p, when, e, k, fee, note in full
+            ]
+            return spark.createDataFrame(data, schemas.TRANSACTIONS)
+
+        @staticmethod
+        def prices(*rows):
+            data = [(i, c, dt.date.fromisoformat(d), dec(p), None, None, None, None) for i, (c, d, p) in enumerate(rows)]
+            return spark.createDataFrame(data, schemas.HISTORICAL_PRICES)
+
+        @staticmethod
+        def cryptos(*rows):
+            return spark.createDataFrame(list(rows) or [(1, "BTC", "Bitcoin"), (2, "ETH", "Ether")], schemas.CRYPTOCURRENCIES)
+
+        @staticmethod
+        def exchanges(*rows):
+            return spark.createDataFrame(list(rows), schemas.EXCHANGES)
+
+        @staticmethod
+        def categories(*rows):
+            return spark.createDataFrame(list(rows), schemas.TRANSACTION_CATEGORIES)
+
+    return Make
+
+
+def plan(df) -> str:
+    """The physical plan as ``explain("formatted")`` prints it."""
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("formatted")
+    return out.getvalue()
