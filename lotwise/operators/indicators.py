@@ -136,7 +136,9 @@ def price_correlation_with_btc(
         prices.join(cryptos.filter(F.col("symbol") == benchmark).select("crypto_id"), "crypto_id", "left_semi")
         .select("price_date", _close().cast("double").alias("benchmark_close"))
     )
-    corr = F.corr(_close().cast("double"), F.col("benchmark_close"))
+    x, y = _close().cast("double"), F.col("benchmark_close")
+    # A constant series has no correlation; the built-in corr would divide by zero in ANSI mode.
+    corr = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
     return (
         prices.join(F.broadcast(reference), "price_date")
         .groupBy("crypto_id")

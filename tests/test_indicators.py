@@ -1,0 +1,94 @@
+from __future__ import annotations
+
+import datetime as dt
+import statistics as st
+from decimal import Decimal as D
+
+import pytest
+from conftest import plan
+
+from lotwise.operators import indicators as I
+
+
+def series(crypto_id, closes, start="2022-01-01", step=1):
+    first = dt.date.fromisoformat(start)
+    return [(crypto_id, str(first + dt.timedelta(days=i * step)), c) for i, c in enumerate(closes)]
+
+
+def by_day(df):
+    return sorted(df.collect(), key=lambda r: r.price_date)
+
+
+def test_averages_wait_for_full_frames_and_count_rows(make):
+    closes = list(range(1, 36))
+    rows = by_day(I.moving_averages(make.prices(*series(1, closes, step=3)), make.cryptos()))
+    assert [r.sma_7_day is None for r in rows] == [True] * 6 + [False] * 29
+    assert [r.sma_30_day is None for r in rows] == [True] * 29 + [False] * 6
+    assert rows[6].sma_7_day == 4 and rows[34].sma_30_day == D("20.5")
+
+
+def test_averages_share_one_shuffle(make):
+    text = plan(I.moving_averages(make.prices(*series(1, [1, 2])), make.cryptos()))
+    assert text.count("hashpartitioning") - text.count("hashpartitioning(crypto_id") == 0
+    assert "Cartesian" not in text and "BroadcastNestedLoop" not in text
+
+
+def test_first_change_is_zero(make):
+    rows = by_day(I.price_changes(make.prices(*series(1, [5, 7, 4])), make.cryptos()))
+    assert [(r.price_diff, r.gain, r.loss) for r in rows] == [(0, 0, 0), (2, 2, 0), (-3, 0, 3)]
+
+
+def test_rsi(make):
+    closes = [10, 11, 10, 12, 11, 13, 12, 14, 13, 15, 14, 16, 15, 17, 16]
+    rows = by_day(I.rsi_14(make.prices(*series(1, closes)), make.cryptos()))
+    assert len(rows) == 2  # the first row counts towards the 14
+    diffs = [0] + [b - a for a, b in zip(closes, closes[1:])]
+    for offset, row in enumerate(rows):
+        frame = diffs[offset : offset + 14]
+        up, down = sum(max(d, 0) for d in frame) / 14, sum(max(-d, 0) for d in frame) / 14
+        assert float(row.avg_gain_14) == pytest.approx(up) and float(row.avg_loss_14) == pytest.approx(down)
+        assert row.rs_14 == pytest.approx(up / down)
+        assert float(row.rsi_14) == pytest.approx(100 - 100 / (1 + up / down), abs=0.005)
+
+
+@pytest.mark.parametrize("closes", [list(range(1, 15)), [5] * 14])
+def test_rsi_without_losses_is_100(make, closes):
+    row = I.rsi_14(make.prices(*series(1, closes)), make.cryptos()).collect()[0]
+    assert row.rs_14 is None and row.rsi_14 == 100
+
+
+def test_rsi_of_only_losses_is_0(make):
+    row = I.rsi_14(make.prices(*series(1, list(range(14, 0, -1)))), make.cryptos()).collect()[0]
+    assert row.rs_14 == 0 and row.rsi_14 == 0
+
+
+def test_returns_are_null_after_zero(make):
+    rows = by_day(I.daily_returns(make.prices(*series(1, [4, 0, 5, 6])), make.cryptos()))
+    assert [r.daily_pct_return for r in rows] == [None, -1.0, None, pytest.approx(0.2)]
+
+
+def test_volatility_frames_hold_valid_returns_only(make):
+    closes = [100 + (i * 7) % 11 for i in range(20)] + [0] + [100 + (i * 5) % 13 for i in range(20)]
+    rows = by_day(I.price_volatility_30day(make.prices(*series(1, closes)), make.cryptos()))
+    returns = [(b - a) / a for a, b in zip(closes, closes[1:]) if a != 0]
+    assert len(rows) == len(returns) == 39
+    assert [r.volatility_30day_stddev_returns is None for r in rows] == [True] * 29 + [False] * 10
+    for i in range(29, 39):
+        expected = st.stdev(returns[i - 29 : i + 1])
+        assert float(rows[i].volatility_30day_stddev_returns) == pytest.approx(expected, abs=1e-6)
+
+
+def test_correlation_needs_more_than_30_common_days(make):
+    btc = [10 + i % 7 for i in range(40)]
+    prices = make.prices(
+        *series(1, btc),
+        *series(2, [2 * c for c in btc[:31]]),
+        *series(3, [100 - c for c in btc[:30]]),
+        *series(4, [5] * 40),
+    )
+    assets = make.cryptos((1, "BTC", "Bitcoin"), (2, "ETH", "e"), (3, "SOL", "s"), (4, "USD", "u"))
+    df = I.price_correlation_with_btc(prices, assets)
+    rows = {r.asset_symbol: (r.common_data_points_with_btc, r.correlation_with_btc) for r in df.collect()}
+    assert rows == {"ETH": (31, D("1.0000")), "USD": (40, None)}
+    # the price table stays where it is: it joins a broadcast and is combined before its only shuffle
+    assert "SortMergeJoin" not in plan(df)
