@@ -24,7 +24,7 @@ def assign_surrogate_keys(
     unique.
     """
     missing = F.col(key).isNull().cast("bigint")
-    bucketed = df.withColumn("bucket", F.floor(F.col(natural_id) / F.lit(width)))
+    bucketed = df.withColumn("bucket", F.col(natural_id) - F.pmod(F.col(natural_id), F.lit(width)))
     counts = bucketed.groupBy("bucket").agg(F.sum(missing).alias("fresh"), F.max(key).alias("top"))
     # One task sees one row per bucket, that is a millionth of the id range.
     everything = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

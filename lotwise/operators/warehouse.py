@@ -80,7 +80,8 @@ def upsert_dim_transaction_category(categories: DataFrame, dim: DataFrame) -> Da
 
 
 def empty_table(spark: SparkSession, schema) -> DataFrame:
-    return spark.createDataFrame([], schema)
+    """Known to be empty when planning, so that a first load needs no join with it."""
+    return conform(spark.range(1).select(*[F.lit(None).alias(f.name) for f in schema.fields]).limit(0), schema)
 
 
 def _day_keys(dim_date: DataFrame) -> DataFrame:

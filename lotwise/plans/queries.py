@@ -46,29 +46,29 @@ class _Run(LedgerTables):
     the lookups, and broadcasts the small ones instead of shuffling the ledger once per dimension.
     """
 
-    def _stored(self, name: str, df: DataFrame) -> DataFrame:
+    def stored(self, name: str, df: DataFrame) -> DataFrame:
         path = shared_dir(self.spark, name)
         snapshots.save_table(df, path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return self._stored("dim_date", warehouse.calendar_covering(self.trades))
+        return self.stored("dim_date", warehouse.calendar_covering(self.trades))
 
     @cached_property
     def dim_crypto(self) -> DataFrame:
         empty = warehouse.empty_table(self.spark, DIM_CRYPTOCURRENCY)
-        return self._stored("dim_cryptocurrency", warehouse.upsert_dim_cryptocurrency(self.cryptocurrencies, empty))
+        return self.stored("dim_cryptocurrency", warehouse.upsert_dim_cryptocurrency(self.cryptocurrencies, empty))
 
     @cached_property
     def dim_exchange(self) -> DataFrame:
         empty = warehouse.empty_table(self.spark, DIM_EXCHANGE)
-        return self._stored("dim_exchange", warehouse.upsert_dim_exchange(self.exchanges, empty))
+        return self.stored("dim_exchange", warehouse.upsert_dim_exchange(self.exchanges, empty))
 
     @cached_property
     def dim_category(self) -> DataFrame:
         empty = warehouse.empty_table(self.spark, DIM_TRANSACTION_CATEGORY)
-        return self._stored(
+        return self.stored(
             "dim_transaction_category", warehouse.upsert_dim_transaction_category(self.transaction_categories, empty)
         )
 
@@ -80,19 +80,20 @@ class _Run(LedgerTables):
 
     @cached_property
     def before(self) -> DataFrame:
-        """The ledger before its late rows arrived."""
-        return self.transactions.filter(F.col("tx_timestamp") < F.lit(LATE_FROM).cast("timestamp"))
+        """A stored snapshot of the ledger before its late rows arrived."""
+        rows = self.transactions.filter(F.col("tx_timestamp") < F.lit(LATE_FROM).cast("timestamp"))
+        return self.stored("ledger", rows)
 
     @cached_property
     def after(self) -> DataFrame:
-        """The same ledger after inserts, updates and deletes."""
+        """The next snapshot, after inserts, updates and deletes."""
         late = self.transactions.filter(F.col("tx_timestamp") >= F.lit(LATE_FROM).cast("timestamp"))
         closed = F.lit(STAKING_CLOSED).cast("timestamp")
         step = ledger_edits.update_rows(
             self.before, F.col("exchange_id").isNull(), {"notes": F.lit("venue unknown"), "fee_usd": F.lit(0.75)}
         )
         step = ledger_edits.delete_rows(step, (F.col("tx_type") == "STAKING_REWARD") & (F.col("tx_timestamp") < closed))
-        return ledger_edits.insert_rows(step, late)
+        return self.stored("ledger", ledger_edits.insert_rows(step, late))
 
 
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -304,21 +305,22 @@ def _insert_only_load(t: _Run) -> DataFrame:
 def _second_load_cryptos(t: _Run) -> DataFrame:
     empty = warehouse.empty_table(t.spark, DIM_CRYPTOCURRENCY)
     earlier = t.cryptocurrencies.filter(F.col("symbol") < "S5").withColumn("name", F.upper("name"))
-    return warehouse.upsert_dim_cryptocurrency(t.cryptocurrencies, warehouse.upsert_dim_cryptocurrency(earlier, empty))
+    first = t.stored("dim_cryptocurrency", warehouse.upsert_dim_cryptocurrency(earlier, empty))
+    return warehouse.upsert_dim_cryptocurrency(t.cryptocurrencies, first)
 
 
 def _second_load_exchanges(t: _Run) -> DataFrame:
     empty = warehouse.empty_table(t.spark, DIM_EXCHANGE)
     earlier = t.exchanges.filter(F.col("exchange_type") == "WALLET").withColumn("exchange_type", F.lit("OTHER"))
-    return warehouse.upsert_dim_exchange(t.exchanges, warehouse.upsert_dim_exchange(earlier, empty))
+    first = t.stored("dim_exchange", warehouse.upsert_dim_exchange(earlier, empty))
+    return warehouse.upsert_dim_exchange(t.exchanges, first)
 
 
 def _second_load_categories(t: _Run) -> DataFrame:
     empty = warehouse.empty_table(t.spark, DIM_TRANSACTION_CATEGORY)
     earlier = t.transaction_categories.filter(F.col("name") > "B").withColumn("description", F.lit("to be removed"))
-    return warehouse.upsert_dim_transaction_category(
-        t.transaction_categories, warehouse.upsert_dim_transaction_category(earlier, empty)
-    )
+    first = t.stored("dim_transaction_category", warehouse.upsert_dim_transaction_category(earlier, empty))
+    return warehouse.upsert_dim_transaction_category(t.transaction_categories, first)
 
 
 def _load_fact(t: _Run, tx: DataFrame, fact: DataFrame, dim_date: DataFrame) -> DataFrame:
@@ -367,8 +369,9 @@ def _star_counts(t: _Run) -> DataFrame:
 
 def _null_keys(t: _Run) -> DataFrame:
     """Venues are looked up in a dimension that lacks some of them."""
-    known = warehouse.upsert_dim_exchange(
-        t.exchanges.filter(F.col("exchange_type") != "WALLET"), warehouse.empty_table(t.spark, DIM_EXCHANGE)
+    some = t.exchanges.filter(F.col("exchange_type") != "WALLET")
+    known = t.stored(
+        "dim_exchange", warehouse.upsert_dim_exchange(some, warehouse.empty_table(t.spark, DIM_EXCHANGE))
     )
     fact = warehouse.fact_rows(t.transactions, t.dim_date, t.dim_crypto, known, t.dim_category)
     return warehouse.verify_star_null_keys(fact, t.transactions)

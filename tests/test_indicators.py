@@ -29,7 +29,7 @@ def test_averages_wait_for_full_frames_and_count_rows(make):
 
 def test_averages_share_one_shuffle(make):
     text = plan(I.moving_averages(make.prices(*series(1, [1, 2])), make.cryptos()))
-    assert text.count("hashpartitioning") - text.count("hashpartitioning(crypto_id") == 0
+    assert text.count("hashpartitioning") == text.count("hashpartitioning(crypto_id") <= 2
     assert "Cartesian" not in text and "BroadcastNestedLoop" not in text
 
 
@@ -90,5 +90,5 @@ def test_correlation_needs_more_than_30_common_days(make):
     df = I.price_correlation_with_btc(prices, assets)
     rows = {r.asset_symbol: (r.common_data_points_with_btc, r.correlation_with_btc) for r in df.collect()}
     assert rows == {"ETH": (31, D("1.0000")), "USD": (40, None)}
-    # the price table stays where it is: it joins a broadcast and is combined before its only shuffle
-    assert "SortMergeJoin" not in plan(df)
+    # the price table joins a broadcast where it is, and is combined before its only shuffle
+    assert "hashpartitioning(price_date" not in plan(df)
