@@ -153,10 +153,16 @@ def build_fact_transactions(
 
 
 def view_monthly_crypto_transaction_summary(fact: DataFrame, dim_date: DataFrame, dim_crypto: DataFrame) -> DataFrame:
-    """Per month and asset. The fact is summed by day and asset key first, so the joins carry sums, not rows."""
+    """Per month and asset.
+
+    The calendar joins by a broadcast, bounded by its days. The fact is then summed by month and asset key, before
+    any shuffle, so the join with the asset dimension carries sums and not rows.
+    """
     amounts = {"quantity": F.col("quantity"), "value": F.col("transaction_value_usd")}
     kinds = {"buy": "BUY", "sell": "SELL"}
-    daily = fact.groupBy("date_key", "crypto_key").agg(
+    month = F.date_format("full_date", "yyyy-MM").alias("year_month")
+    dated = fact.join(F.broadcast(dim_date.select("date_key", month)), "date_key")
+    sums = dated.groupBy("year_month", "crypto_key").agg(
         *[F.sum(F.when(is_type(t), c)).alias(f"{k}_{a}") for k, t in kinds.items() for a, c in amounts.items()],
         *[count_if(is_type(t) & F.col("tx_id_original").isNotNull()).alias(f"{k}_count") for k, t in kinds.items()],
         F.sum("fee_usd").alias("fees"),
@@ -166,13 +172,8 @@ def view_monthly_crypto_transaction_summary(fact: DataFrame, dim_date: DataFrame
         return F.coalesce(F.sum(name).cast(dtype), F.lit(0).cast(dtype))
 
     monthly = (
-        daily.join(F.broadcast(dim_date.select("date_key", "full_date")), "date_key")
-        .join(dim_crypto.select("crypto_key", "symbol", "name"), "crypto_key")
-        .groupBy(
-            F.date_format("full_date", "yyyy-MM").alias("year_month"),
-            F.col("symbol").alias("crypto_symbol"),
-            F.col("name").alias("crypto_name"),
-        )
+        sums.join(dim_crypto.select("crypto_key", "symbol", "name"), "crypto_key")
+        .groupBy("year_month", F.col("symbol").alias("crypto_symbol"), F.col("name").alias("crypto_name"))
         .agg(
             *[total(f"{k}_quantity", "decimal(38,18)").alias(f"{k}_quantity") for k in kinds],
             *[total(f"{k}_value", "decimal(38,8)").alias(f"{k}_value") for k in kinds],
@@ -219,14 +220,14 @@ def verify_star_null_keys(fact: DataFrame, tx: DataFrame) -> DataFrame:
 
 
 def value_by_symbol_year(fact: DataFrame, dim_date: DataFrame, dim_crypto: DataFrame) -> DataFrame:
-    daily = (
+    yearly = (
         fact.filter(F.col("tx_type").isin("BUY", "SELL"))
-        .groupBy("date_key", "crypto_key")
+        .join(F.broadcast(dim_date.select("date_key", "year_actual")), "date_key")
+        .groupBy("year_actual", "crypto_key")
         .agg(F.sum("transaction_value_usd").alias("value"))
     )
     return (
-        daily.join(F.broadcast(dim_date.select("date_key", "year_actual")), "date_key")
-        .join(dim_crypto.select("crypto_key", "symbol"), "crypto_key")
+        yearly.join(dim_crypto.select("crypto_key", "symbol"), "crypto_key")
         .groupBy(F.col("symbol").alias("crypto_symbol"), F.col("year_actual").alias("transaction_year"))
         .agg(F.sum("value").cast("decimal(38,8)").alias("total_value_transacted_usd"))
     )
