@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,25 +53,37 @@ class _Run(LedgerTables):
         return self.spark.read.schema(df.schema).parquet(path)
 
     @cached_property
+    def dimensions(self) -> dict[str, DataFrame]:
+        """The four dimensions of a first load. The loads do not depend on each other and run side by side."""
+        empty = warehouse.empty_table
+        loads = {
+            "dim_date": warehouse.calendar_covering(self.trades),
+            "dim_cryptocurrency": warehouse.upsert_dim_cryptocurrency(
+                self.cryptocurrencies, empty(self.spark, DIM_CRYPTOCURRENCY)
+            ),
+            "dim_exchange": warehouse.upsert_dim_exchange(self.exchanges, empty(self.spark, DIM_EXCHANGE)),
+            "dim_transaction_category": warehouse.upsert_dim_transaction_category(
+                self.transaction_categories, empty(self.spark, DIM_TRANSACTION_CATEGORY)
+            ),
+        }
+        with ThreadPoolExecutor(len(loads)) as pool:
+            return dict(zip(loads, pool.map(self.stored, loads, loads.values())))
+
+    @property
     def dim_date(self) -> DataFrame:
-        return self.stored("dim_date", warehouse.calendar_covering(self.trades))
+        return self.dimensions["dim_date"]
 
-    @cached_property
+    @property
     def dim_crypto(self) -> DataFrame:
-        empty = warehouse.empty_table(self.spark, DIM_CRYPTOCURRENCY)
-        return self.stored("dim_cryptocurrency", warehouse.upsert_dim_cryptocurrency(self.cryptocurrencies, empty))
+        return self.dimensions["dim_cryptocurrency"]
 
-    @cached_property
+    @property
     def dim_exchange(self) -> DataFrame:
-        empty = warehouse.empty_table(self.spark, DIM_EXCHANGE)
-        return self.stored("dim_exchange", warehouse.upsert_dim_exchange(self.exchanges, empty))
+        return self.dimensions["dim_exchange"]
 
-    @cached_property
+    @property
     def dim_category(self) -> DataFrame:
-        empty = warehouse.empty_table(self.spark, DIM_TRANSACTION_CATEGORY)
-        return self.stored(
-            "dim_transaction_category", warehouse.upsert_dim_transaction_category(self.transaction_categories, empty)
-        )
+        return self.dimensions["dim_transaction_category"]
 
     def fact_rows(self, tx: DataFrame | None = None, dim_date: DataFrame | None = None) -> DataFrame:
         return warehouse.fact_rows(
@@ -296,10 +309,11 @@ def _quality() -> dict[str, Query]:
 
 def _insert_only_load(t: _Run) -> DataFrame:
     """Days of an earlier load carry other names and must keep them."""
-    earlier = t.dim_date.filter(F.col("full_date") < F.lit(EARLIER_LOAD_UNTIL).cast("date")).withColumn(
+    days = t.stored("dim_date", warehouse.calendar_covering(t.trades))
+    earlier = days.filter(F.col("full_date") < F.lit(EARLIER_LOAD_UNTIL).cast("date")).withColumn(
         "day_name", F.upper("day_name")
     )
-    return warehouse.extend_dim_date(earlier, t.dim_date)
+    return warehouse.extend_dim_date(earlier, days)
 
 
 def _second_load_cryptos(t: _Run) -> DataFrame:
