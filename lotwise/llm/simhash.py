@@ -111,21 +111,17 @@ def links(prints: DataFrame, bits: str) -> DataFrame:
     right = placed.select(F.col("grid").alias("grid_b"), F.col("cell").alias("cell_b"), F.col("bits").alias("b"))
     a, b = embedding(F.col("a")), embedding(F.col("b"))
     differ = a.bitwiseXOR(b)
-    # The number of the first grid that both share, from which groups agree.
-    agree = [differ.bitwiseAND(F.lit(m)) == 0 for m in masks]
-    first = F.coalesce(*[F.when(_all([agree[g] for g in grid]), F.lit(n)) for n, grid in enumerate(grids)])
+    # Which groups agree, as a bitmap, tells the number of the first grid that both share.
+    agree = F.lit(0)
+    for g, mask in enumerate(masks):
+        agree = agree + F.when(differ.bitwiseAND(F.lit(mask)) == 0, 1 << g).otherwise(0)
+    shared = [next((n for n, grid in enumerate(grids) if all(m >> g & 1 for g in grid)), -1) for m in range(1 << GROUPS)]
+    first = F.get(F.array(*[F.lit(n) for n in shared]), agree)
     near = (manhattan(a, b) <= MAX_BITS) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_BITS)
     met = left.join(right, (F.col("grid") == F.col("grid_b")) & (F.col("cell") == F.col("cell_b")) & (F.col("a") < F.col("b")) & near)
     return met.where(F.col("grid") == first).select("a", "b")
 
 
-def _all(conditions: list[Column]) -> Column:
-    out = conditions[0]
-    for condition in conditions[1:]:
-        out = out & condition
-    return out
-
-
 def _unsigned(value: int) -> int:
     return value & ((1 << 64) - 1)
 
