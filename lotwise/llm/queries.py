@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import decontaminate, packing, quality, secret_scan, simhash
+from lotwise.llm import decontaminate, html_extract, packing, quality, secret_scan, simhash, url_rules
 from lotwise.llm.common import read
 
 
@@ -59,11 +59,21 @@ def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_texts(read(spark, sf_dir, "documents"))
 
 
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_texts(read(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    rules = url_rules.mine(url_rules.labelled_urls(pages, read(spark, sf_dir, "labels")), "url", "bad")
+    return url_rules.judge(pages, rules)
+
+
 OP1_SQL = r"""
 WITH item AS (
   SELECT CAST(item_id AS VARCHAR) AS item_id,
