@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import decontaminate, html_extract, packing, quality, secret_scan, simhash, url_rules
+from lotwise.llm import decontaminate, embedding_dedup, html_extract, packing, quality, secret_scan, simhash, url_rules
 from lotwise.llm.common import read
 
 
@@ -74,6 +74,11 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(pages, rules)
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
+    return found.withColumn("component_id", F.col("component_id").cast("long"))
+
+
 OP1_SQL = r"""
 WITH item AS (
   SELECT CAST(item_id AS VARCHAR) AS item_id,
@@ -103,9 +108,28 @@ FROM doc LEFT JOIN places USING (r) LEFT JOIN items USING (r)
 """
 
 
+OP10_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e,
+         sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x))) AS norm
+  FROM embeddings),
+ok AS (SELECT * FROM v WHERE label IS NOT NULL AND norm > 0 AND isfinite(norm) AND len(list_filter(e, lambda x: x IS NULL)) = 0),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+   AND list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.98),
+reach AS (SELECT a AS id, a AS other FROM link UNION SELECT r.id, l.b FROM reach r JOIN link l ON l.a = r.other),
+lowest AS (SELECT id, min(other) AS component FROM reach GROUP BY id),
+counts AS (SELECT a AS id, count(*) AS n FROM link GROUP BY a)
+SELECT v.vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(component, v.vec_id) AS component_id,
+       v.vec_id = coalesce(component, v.vec_id) AS kept
+FROM v LEFT JOIN lowest ON lowest.id = v.vec_id LEFT JOIN counts ON counts.id = v.vec_id
+"""
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit() and callable(f)}
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op1_decontaminate": OP1_SQL}
+    return {"op1_decontaminate": OP1_SQL, "op10_embedding_dedup": OP10_SQL}
