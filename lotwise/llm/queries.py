@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import decontaminate, embedding_dedup, html_extract, packing, quality, secret_scan, simhash, url_rules
+from lotwise.llm import decontaminate, embedding_dedup, html_extract, license_scan, packing, quality, secret_scan, simhash, url_rules
 from lotwise.llm.common import read
 
 
@@ -23,6 +23,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read(spark, sf_dir, "documents")).drop("digest")
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     weights = quality.fit(docs, read(spark, sf_dir, "labels").where(~quality.is_held_out()))
@@ -127,9 +131,37 @@ FROM v LEFT JOIN lowest ON lowest.id = v.vec_id LEFT JOIN counts ON counts.id =
 """
 
 
+def _op2_sql() -> str:
+    """Every window of every template's length, counted from the shingles it shares with the template."""
+    values = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in license_scan.TEMPLATES.items())
+    words = r"regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return f"""
+WITH template AS (SELECT license, {words} AS w FROM (VALUES {values}) AS t(license, text)),
+known AS (SELECT DISTINCT license, len(w) AS length, array_to_string(w[i:i + 4], ' ') AS shingle
+          FROM (SELECT license, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM template)),
+total AS (SELECT license, length, count(*) AS shingles FROM known GROUP BY ALL),
+doc AS (SELECT row_number() OVER () AS r, doc_id, {words} AS w FROM (SELECT DISTINCT doc_id, text FROM documents)),
+placed AS (SELECT r, len(w) AS n, i, array_to_string(w[i:i + 4], ' ') AS shingle
+           FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM doc WHERE len(w) > 0)),
+hit AS (SELECT r, n, i - 1 AS place, license, length, greatest(length // 8, 1) AS step, shingle
+        FROM placed JOIN known USING (shingle)),
+seen AS (
+  SELECT DISTINCT r, n, license, length, start, shingle
+  FROM (SELECT *, unnest(list_distinct(list_concat(
+            list_filter(list_transform(range(0, length // step + 1), lambda b: (place // step - b) * step),
+                        lambda s: s >= 0 AND s <= n - length),
+            [greatest(n - length, 0)]))) AS start FROM hit)
+  WHERE start <= place AND place + least(5, n) <= start + greatest(length, 5)),
+best AS (SELECT r, license, start, count(*) / max(shingles) AS containment
+         FROM seen JOIN total USING (license, length) GROUP BY r, license, start)
+SELECT doc_id, license, max(containment) AS containment, arg_min(start, (-containment, start)) AS first_word
+FROM best JOIN doc USING (r) WHERE containment >= 0.8 GROUP BY r, doc_id, license
+"""
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit() and callable(f)}
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op1_decontaminate": OP1_SQL, "op10_embedding_dedup": OP10_SQL}
+    return {"op1_decontaminate": OP1_SQL, "op2_license_scan": _op2_sql(), "op10_embedding_dedup": OP10_SQL}
