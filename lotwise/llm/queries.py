@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import decontaminate, embedding_dedup, html_extract, license_scan, packing, quality, secret_scan, simhash, url_rules
+from lotwise.llm import backoff_lm, decontaminate, embedding_dedup, html_extract, license_scan, packing, quality, secret_scan, simhash, url_rules
 from lotwise.llm.common import read
 
 
@@ -72,6 +72,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op8_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff_lm.scores(read(spark, sf_dir, "documents")).withColumn("log10_score", F.round("log10_score", 6))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
     rules = url_rules.mine(url_rules.labelled_urls(pages, read(spark, sf_dir, "labels")), "url", "bad")
@@ -112,6 +116,24 @@ FROM doc LEFT JOIN places USING (r) LEFT JOIN items USING (r)
 """
 
 
+OP8_SQL = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+word AS (SELECT r, w[i] AS w, w[i - 1] AS v, i, len(w) AS size FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM doc)),
+one AS (SELECT *, count(*) OVER (PARTITION BY w) - count(*) OVER (PARTITION BY r, w) AS c1,
+               (SELECT count(*) FROM word) - size AS others FROM word),
+two AS (SELECT *, CASE WHEN i > 1 THEN count(*) OVER (PARTITION BY v, w) - count(*) OVER (PARTITION BY r, v, w) END AS c2,
+               lag(c1) OVER (PARTITION BY r ORDER BY i) AS c0 FROM one),
+scored AS (SELECT r, log10(CASE WHEN c2 > 0 THEN c2 / c0
+                               ELSE CASE WHEN i > 1 THEN 0.4::DOUBLE ELSE 1::DOUBLE END
+                                    * CASE WHEN c1 > 0 THEN c1 / others ELSE 0.4::DOUBLE / (others + 1) END END) AS score FROM two),
+summed AS (SELECT r, count(*) AS n, sum(score) AS score FROM scored GROUP BY r)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_words, round(coalesce(score, 0.0), 6) AS log10_score FROM doc LEFT JOIN summed USING (r)
+"""
+
 OP10_SQL = """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS e,
@@ -164,4 +186,4 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op1_decontaminate": OP1_SQL, "op2_license_scan": _op2_sql(), "op10_embedding_dedup": OP10_SQL}
+    return {"op1_decontaminate": OP1_SQL, "op2_license_scan": _op2_sql(), "op8_backoff_lm": OP8_SQL, "op10_embedding_dedup": OP10_SQL}
