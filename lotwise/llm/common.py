@@ -51,6 +51,11 @@ def free_name(frame: DataFrame, name: str) -> str:
     return name
 
 
+def renamed_free(narrow: DataFrame, frame: DataFrame) -> DataFrame:
+    """`narrow` with every column renamed to a name that `frame` doesn't have, in the same order."""
+    return narrow.toDF(*[free_name(frame, f"_{c}") for c in narrow.columns])
+
+
 def small_batches(frames: Iterator[pd.DataFrame], rows: int = TEXT_BATCH) -> Iterator[pd.DataFrame]:
     """Arrow batches cut into pieces of a bounded number of rows."""
     for frame in frames:

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import checkpointed, free_name, small_batches
+from lotwise.llm.common import checkpointed, free_name, renamed_free, small_batches
 
 WINDOW_WORDS = 13
 BLOCK_WORDS = 2
@@ -205,9 +205,10 @@ BROADCAST_ROWS = 500_000
 def clean(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `docs`, columns unchanged, that are not contaminated."""
     found = contamination(docs, benchmark, id, text).where(is_contaminated())
-    bad = checkpointed(found.select(F.col(id).alias("bad_id"), F.col("digest").alias("bad_digest")).distinct())
-    bad = F.broadcast(bad) if bad.count() <= BROADCAST_ROWS else bad
     digest = free_name(docs, "digest")
     marked = docs.withColumn(digest, F.xxhash64(text))
-    same = marked[id].eqNullSafe(bad["bad_id"]) & (marked[digest] == bad["bad_digest"])
+    bad = renamed_free(checkpointed(found.select(id, "digest").distinct()), marked)
+    bad_id, bad_digest = bad.columns
+    bad = F.broadcast(bad) if bad.count() <= BROADCAST_ROWS else bad
+    same = marked[id].eqNullSafe(bad[bad_id]) & (marked[digest] == bad[bad_digest])
     return marked.join(bad, same, "left_anti").drop(digest)

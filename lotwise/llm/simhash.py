@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import checkpointed, components, free_name, small_batches
+from lotwise.llm.common import checkpointed, components, free_name, renamed_free, small_batches
 
 SHINGLE_WORDS = 4
 SEED = 42
@@ -171,10 +171,11 @@ def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
         .agg(F.min(F.struct("digest", "rows")).alias("least"))
         .select("first_id", F.col("least.digest").alias("first_digest"), F.col("least.rows").alias("rows"))
     )
-    rows = free_name(docs, "rows")
-    first = first.withColumnRenamed("rows", rows)
-    met = marked.join(first, marked[id].eqNullSafe(first["first_id"]) & (marked[digest] == first["first_digest"]))
+    first = renamed_free(first, marked)
+    first_id, first_digest, rows = first.columns
+    met = marked.join(first, marked[id].eqNullSafe(first[first_id]) & (marked[digest] == first[first_digest]))
     alone = met.where(F.col(rows) == 1).select(*docs.columns)
     # Rows with one id and text are combined to the smallest before the shuffle.
-    repeated = met.where(F.col(rows) > 1).groupBy(id, digest).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    least = F.min(F.struct(*docs.columns)).alias("row")
+    repeated = met.where(F.col(rows) > 1).groupBy(first_id, digest).agg(least).select("row.*")
     return alone.unionByName(repeated)

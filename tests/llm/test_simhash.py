@@ -1,0 +1,97 @@
+import random
+
+import xxhash
+from pyspark.sql import functions as F
+
+from lotwise.llm import queries, simhash
+
+
+def _brute_print(text):
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").replace("\t", " ").split(" ")
+    words = [w for chunk in words for w in chunk.replace("\n", " ").replace("\r", " ").replace("\x0b", " ").replace("\x0c", " ").split(" ") if w]
+    if not words:
+        return 0
+    runs = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))]
+    hashes = [xxhash.xxh64_intdigest(r.encode(), 42) for r in runs]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def _signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def _groups(prints):
+    """Smallest id reachable, for (id, print) rows."""
+    root = list(range(len(prints)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, (_, a) in enumerate(prints):
+        for j in range(i):
+            if ((a ^ prints[j][1]) & (2**64 - 1)).bit_count() <= 4:
+                root[find(i)] = find(j)
+    low = {}
+    for i, (d, _) in enumerate(prints):
+        low[find(i)] = min(low.get(find(i), d), d)
+    return sorted((d, low[find(i)]) for i, (d, _) in enumerate(prints))
+
+
+def test_fingerprints_match_brute_force():
+    for text in (None, "", " \n", "A b", "a b c d", "É a b c\x0bd e f g", "x y " * 50, "one two three four five six"):
+        assert simhash.fingerprint(text) == _signed(_brute_print(text)), text
+
+
+def test_links_match_all_pairs(spark):
+    rng = random.Random(9)
+    prints = {0, 2**64 - 1, 1, 1 << 63}
+    for _ in range(60):
+        seed = rng.getrandbits(64)
+        prints.add(seed)
+        for _ in range(rng.randrange(5)):
+            near = seed
+            for bit in rng.sample(range(64), rng.randrange(1, 7)):
+                near ^= 1 << bit
+            prints.add(near)
+    rows = [(_signed(p),) for p in prints]
+    got = simhash.links(spark.createDataFrame([*rows, *rows, (None,)], "p long"), "p").collect()
+    signed = sorted(r[0] for r in rows)
+    want = {(a, b) for i, a in enumerate(signed) for b in signed[i + 1 :] if ((a ^ b) & (2**64 - 1)).bit_count() <= 4}
+    assert sorted((r.a, r.b) for r in got) == sorted(want)
+
+
+def test_distance_of_embeddings_is_a_lower_bound(spark):
+    rng = random.Random(1)
+    rows = [(_signed(rng.getrandbits(64)), _signed(rng.getrandbits(64))) for _ in range(200)]
+    got = spark.createDataFrame(rows, "a long, b long").select(
+        simhash.manhattan(simhash.embedding(F.col("a")), simhash.embedding(F.col("b"))).alias("d"), "a", "b"
+    )
+    for r in got.collect():
+        count = lambda x, s: (x >> 2 * s & 3).bit_count()
+        assert r.d == sum(abs(count(r.a & (2**64 - 1), s) - count(r.b & (2**64 - 1), s)) for s in range(32))
+        assert r.d <= ((r.a ^ r.b) & (2**64 - 1)).bit_count()
+
+
+def test_query_matches_brute_force(spark, small):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
+    prints = [(i, _brute_print(t)) for i, t in rows]
+    got = queries.op7_simhash(spark, small).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == _groups(prints)
+    assert sorted((r.doc_id, r.fingerprint) for r in got) == sorted((i, f"{p:016x}") for i, p in prints)
+
+
+def test_one_of_each(spark, documents):
+    text = " ".join(f"w{i}" for i in range(300))
+    docs = documents(
+        (5, text), (3, text), (3, text), (9, None), (8, ""), (None, "lonely words of a text without any id at all"),
+        (1, "other words " * 20), (2, text.replace("w150", "changed")), (2, "yet another text altogether, with the same id"),
+    )
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns
+    near = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs.where("doc_id in (2, 3) and text like 'w0 %'")).collect()}
+    first = {2: 1} if near[3] == 2 else {2: 1, 3: 1}
+    got = [r.doc_id for r in kept.collect()]
+    assert sorted(x or 0 for x in got) == sorted([0, 1, 8, 2, *first])
+    assert simhash.one_of_each(documents()).count() == 0
