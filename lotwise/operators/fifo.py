@@ -6,10 +6,11 @@ a join this compares every buy with every sale of an asset; here the interval en
 together instead, and between two neighbouring ends lies at most one (buy, sale) pair.
 
 An asset may hold a large part of the ledger, so nothing runs on one asset's lots as a whole. A queue is
-cut into time slices (``slice_unit``), which are a plain function of the row:
+cut into slices of whole years; a year with more than ``slice_rows`` lots into months, such a month into days, and
+such a day into its instants and, within one instant, ranges of ids:
 
 1. Slice totals, added up before the shuffle, give each slice the running quantity it starts from. Only
-   these totals, at most one per asset, side and slice of the calendar, are ever put in order per asset.
+   these totals, at most one per asset, side and slice, are ever put in order per asset.
 2. The start value enters its slice as a header row, so the running sum within the slice is already the
    running sum of the whole queue, without a join.
 3. Slice ends of both sides cut the running quantity into segments. Every segment sends a marker to the one
@@ -27,7 +28,9 @@ from pyspark.sql import functions as F
 from lotwise.functions.expressions import above_dust, is_type
 from lotwise.schemas import QUANTITY
 
-SLICE_UNITS = ("month", "day", "hour", "minute")
+# Lots that one slice should hold at most, and ids per range where a single instant holds more.
+SLICE_ROWS = 1_000_000
+IDS_PER_RANGE = 1_000_000
 _HEADER, _MARKER, _LOT = 0, 1, 2
 _RUNNING = "decimal(28,8)"
 
@@ -44,20 +47,33 @@ def _lots(tx: DataFrame, crypto_id: int | None) -> DataFrame:
     )
 
 
-def _with_slice(lots: DataFrame, unit: str) -> DataFrame:
-    if unit not in SLICE_UNITS:
-        raise ValueError(f"slice_unit must be one of {SLICE_UNITS}")
-    return lots.withColumn("slice", F.date_trunc(unit, "tx_timestamp"))
+def _with_slice(lots: DataFrame, slice_rows: int) -> DataFrame:
+    """Lots with their slice, which orders like (tx_timestamp, tx_id).
 
-
-def measure_slice_unit(tx: DataFrame, target_rows: int = 2_000_000) -> str:
-    """The coarsest unit whose largest slice stays within the target. Runs one small job per unit tried."""
-    lots = _lots(tx, None)
-    for unit in SLICE_UNITS[:-1]:
-        sizes = _with_slice(lots, unit).groupBy("crypto_id", "side", "slice").count()
-        if (sizes.agg(F.max("count")).first()[0] or 0) <= target_rows:
-            return unit
-    return SLICE_UNITS[-1]
+    Lots are counted by day, before the shuffle. A list of years (months, days) with more than ``slice_rows`` lots has
+    at most one entry per that many lots, which bounds its broadcast; mostly it is empty.
+    """
+    queue = ["crypto_id", "side"]
+    days = lots.groupBy(*queue, F.date_trunc("day", "tx_timestamp").alias("day")).agg(F.count(F.lit(1)).alias("lots"))
+    sliced = lots
+    for unit in ("year", "month", "day"):
+        large = (
+            days.groupBy(*queue, F.date_trunc(unit, "day").alias(unit))
+            .agg(F.sum("lots").alias("lots"))
+            .filter(F.col("lots") > slice_rows)
+            .select(*queue, unit, F.lit(True).alias(f"large_{unit}"))
+        )
+        sliced = sliced.withColumn(unit, F.date_trunc(unit, "tx_timestamp")).join(
+            F.broadcast(large), [*queue, unit], "left"
+        )
+    part = F.struct(
+        "year",
+        F.when(F.col("large_year"), F.col("month")).alias("month"),
+        F.when(F.col("large_month"), F.col("day")).alias("day"),
+        F.when(F.col("large_day"), F.col("tx_timestamp")).alias("instant"),
+        F.when(F.col("large_day"), F.expr(f"tx_id div {IDS_PER_RANGE}")).alias("ids"),
+    )
+    return sliced.select(*lots.columns, part.alias("slice"))
 
 
 def _slice_bounds(lots: DataFrame) -> DataFrame:
@@ -91,13 +107,13 @@ def _running(lots: DataFrame, extra: DataFrame) -> DataFrame:
     )
 
 
-def _queue(tx: DataFrame, side: str, crypto_id: int | None, slice_unit: str) -> DataFrame:
-    lots = _with_slice(_lots(tx.filter(is_type(side)), crypto_id), slice_unit)
+def _queue(tx: DataFrame, side: str, crypto_id: int | None, slice_rows: int) -> DataFrame:
+    lots = _with_slice(_lots(tx.filter(is_type(side)), crypto_id), slice_rows)
     return _running(lots, _headers(_slice_bounds(lots))).filter(F.col("kind") == _LOT)
 
 
-def fifo_buys(tx: DataFrame, crypto_id: int | None = None, slice_unit: str = "hour") -> DataFrame:
-    return _queue(tx, "BUY", crypto_id, slice_unit).select(
+def fifo_buys(tx: DataFrame, crypto_id: int | None = None, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    return _queue(tx, "BUY", crypto_id, slice_rows).select(
         "crypto_id",
         F.col("tx_id").alias("buy_tx_id"),
         F.col("tx_timestamp").alias("buy_timestamp"),
@@ -107,8 +123,8 @@ def fifo_buys(tx: DataFrame, crypto_id: int | None = None, slice_unit: str = "ho
     )
 
 
-def fifo_sells(tx: DataFrame, crypto_id: int | None = None, slice_unit: str = "hour") -> DataFrame:
-    return _queue(tx, "SELL", crypto_id, slice_unit).select(
+def fifo_sells(tx: DataFrame, crypto_id: int | None = None, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    return _queue(tx, "SELL", crypto_id, slice_rows).select(
         "crypto_id",
         F.col("tx_id").alias("sell_tx_id"),
         F.col("tx_timestamp").alias("sell_timestamp"),
@@ -146,13 +162,13 @@ def _markers(segments: DataFrame) -> DataFrame:
     )
 
 
-def fifo_matched_lots(tx: DataFrame, crypto_id: int | None = None, slice_unit: str = "hour") -> DataFrame:
+def fifo_matched_lots(tx: DataFrame, crypto_id: int | None = None, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """One row per pair of a sale and a buy lot it takes from.
 
     A buy later than the sale is no match, but keeps its place in the queue: what a sale takes from it is
     dropped and not carried to another lot.
     """
-    lots = _with_slice(_lots(tx, crypto_id), slice_unit)
+    lots = _with_slice(_lots(tx, crypto_id), slice_rows)
     bounds = _slice_bounds(lots)
     rows = _running(lots, _headers(bounds).unionByName(_markers(_segments(bounds)), allowMissingColumns=True))
 
@@ -219,9 +235,9 @@ def _cost() -> Column:
 
 
 def fifo_realized_single_asset(
-    tx: DataFrame, cryptos: DataFrame, crypto_id: int, slice_unit: str = "hour"
+    tx: DataFrame, cryptos: DataFrame, crypto_id: int, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
-    matched = fifo_matched_lots(tx, crypto_id, slice_unit)
+    matched = fifo_matched_lots(tx, crypto_id, slice_rows)
     return matched.join(cryptos, "crypto_id", "left").select(
         "sell_tx_id", "symbol", "sell_timestamp",
         _taken().alias("quantity_sold"),
@@ -264,32 +280,32 @@ def _annual_report(matched: DataFrame, cryptos: DataFrame, how: str) -> DataFram
 
 
 def fifo_summary_per_sale_single_asset(
-    tx: DataFrame, cryptos: DataFrame, crypto_id: int, slice_unit: str = "hour"
+    tx: DataFrame, cryptos: DataFrame, crypto_id: int, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
-    return _sale_report(fifo_matched_lots(tx, crypto_id, slice_unit), cryptos, "left")
+    return _sale_report(fifo_matched_lots(tx, crypto_id, slice_rows), cryptos, "left")
 
 
-def fifo_annual_single_asset(tx: DataFrame, cryptos: DataFrame, crypto_id: int, slice_unit: str = "hour") -> DataFrame:
-    return _annual_report(fifo_matched_lots(tx, crypto_id, slice_unit), cryptos, "left")
+def fifo_annual_single_asset(tx: DataFrame, cryptos: DataFrame, crypto_id: int, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    return _annual_report(fifo_matched_lots(tx, crypto_id, slice_rows), cryptos, "left")
 
 
-def fifo_summary_per_sale_all_assets(tx: DataFrame, cryptos: DataFrame, slice_unit: str = "hour") -> DataFrame:
-    return _sale_report(fifo_matched_lots(tx, None, slice_unit), cryptos, "inner")
+def fifo_summary_per_sale_all_assets(tx: DataFrame, cryptos: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    return _sale_report(fifo_matched_lots(tx, None, slice_rows), cryptos, "inner")
 
 
-def fifo_annual_all_assets(tx: DataFrame, cryptos: DataFrame, slice_unit: str = "hour") -> DataFrame:
-    return _annual_report(fifo_matched_lots(tx, None, slice_unit), cryptos, "inner")
+def fifo_annual_all_assets(tx: DataFrame, cryptos: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    return _annual_report(fifo_matched_lots(tx, None, slice_rows), cryptos, "inner")
 
 
-def buy_lot_consumption(tx: DataFrame, slice_unit: str = "hour") -> DataFrame:
+def buy_lot_consumption(tx: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     return (
-        fifo_matched_lots(tx, None, slice_unit)
+        fifo_matched_lots(tx, None, slice_rows)
         .groupBy("crypto_id", "buy_tx_id")
         .agg(F.sum(_taken()).alias("total_quantity_consumed"))
     )
 
 
-def tax_lot_inventory_current(tx: DataFrame, cryptos: DataFrame, slice_unit: str = "hour") -> DataFrame:
+def tax_lot_inventory_current(tx: DataFrame, cryptos: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Buy lots with a quantity left. Lots and what was taken from them meet in one aggregate by lot."""
     lots = _lots(tx.filter(is_type("BUY")), None).select(
         "crypto_id",
@@ -299,7 +315,7 @@ def tax_lot_inventory_current(tx: DataFrame, cryptos: DataFrame, slice_unit: str
         F.col("price_per_unit_usd").alias("purchase_price_per_unit_usd"),
         F.lit(0).cast(QUANTITY).alias("taken"),
     )
-    taken = fifo_matched_lots(tx, None, slice_unit).select("crypto_id", "buy_tx_id", _taken().alias("taken"))
+    taken = fifo_matched_lots(tx, None, slice_rows).select("crypto_id", "buy_tx_id", _taken().alias("taken"))
     facts = ("buy_timestamp", "original_buy_quantity", "purchase_price_per_unit_usd")
     remaining = (F.col("original_buy_quantity") - F.col("taken")).cast(_RUNNING)
     return (

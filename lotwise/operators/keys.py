@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # Rows per numbering task: natural ids are unique integers, so a bucket cannot hold more than its width.
 BUCKET_WIDTH = 1_000_000
+# Buckets in a bucket of the next level.
+FANOUT = 1 << 15
 
 
 def next_key(table: DataFrame, key: str) -> DataFrame:
@@ -15,24 +17,37 @@ def next_key(table: DataFrame, key: str) -> DataFrame:
 
 
 def assign_surrogate_keys(
-    df: DataFrame, key: str, natural_id: str, width: int = BUCKET_WIDTH, start_after: int = 0
+    df: DataFrame, key: str, natural_id: str, width: int = BUCKET_WIDTH, start_after: int = 0,
+    keyed: DataFrame | None = None,
 ) -> DataFrame:
     """Fill NULL keys with the numbers after the largest existing one, in order of the natural id.
 
-    Rows that have a key keep it. The id range is cut into buckets of fixed width; only the per-bucket
-    counts are put in one order, rows are numbered inside their bucket. ``natural_id`` must be an integer and
-    unique.
+    Rows that have a key keep it. The id range is cut into buckets of fixed width, and buckets into larger ones, up to
+    the whole range of 64 bits. Rows are numbered inside their bucket, and a bucket starts after the smaller ones of
+    its parent and where its parent starts, so every ordering is within one bucket of bounded size, however sparse the
+    ids are. ``natural_id`` must be an integer and unique. ``keyed`` is a table that holds all keys given so far, if
+    that is cheaper to read than ``df``.
     """
     missing = F.col(key).isNull().cast("bigint")
-    bucketed = df.withColumn("bucket", F.col(natural_id) - F.pmod(F.col(natural_id), F.lit(width)))
-    counts = bucketed.groupBy("bucket").agg(F.sum(missing).alias("fresh"), F.max(key).alias("top"))
-    # One task sees one row per bucket, that is a millionth of the id range.
-    everything = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    base = F.greatest(F.coalesce(F.max("top").over(everything), F.lit(0)), F.lit(start_after))
-    offsets = counts.select(
-        "bucket", (base + F.coalesce(F.sum("fresh").over(before), F.lit(0))).alias("offset")
-    )
-    in_bucket = Window.partitionBy("bucket").orderBy(natural_id).rowsBetween(Window.unboundedPreceding, 0)
+    bucketed = df.withColumn("bucket0", F.expr(f"`{natural_id}` div {width}"))
+    levels = [bucketed.groupBy("bucket0").agg(F.sum(missing).alias("fresh"))]
+    span = width
+    while span < 1 << 63:
+        span *= FANOUT
+        inner, outer = f"bucket{len(levels) - 1}", f"bucket{len(levels)}"
+        # Beyond 64 bits there is one bucket, which holds all.
+        parent = F.expr(f"`{inner}` div {FANOUT}") if span < 1 << 63 else F.lit(0).cast("bigint")
+        levels[-1] = levels[-1].withColumn(outer, parent)
+        levels.append(levels[-1].groupBy(outer).agg(F.sum("fresh").alias("fresh")))
+    top = F.greatest(F.coalesce(F.max(key).cast("bigint"), F.lit(0)), F.lit(start_after))
+    start = (df if keyed is None else keyed).agg(top.alias("offset")).withColumn(f"bucket{len(levels) - 1}", F.lit(0).cast("bigint"))
+    for n in range(len(levels) - 2, -1, -1):
+        inner, outer = f"bucket{n}", f"bucket{n + 1}"
+        before = Window.partitionBy(outer).orderBy(inner).rowsBetween(Window.unboundedPreceding, -1)
+        smaller = F.coalesce(F.sum("fresh").over(before), F.lit(0))
+        start = levels[n].withColumn("smaller", smaller).join(start, outer).select(
+            inner, (F.col("offset") + F.col("smaller")).alias("offset")
+        )
+    in_bucket = Window.partitionBy("bucket0").orderBy(natural_id).rowsBetween(Window.unboundedPreceding, 0)
     numbered = F.coalesce(F.col(key).cast("bigint"), F.col("offset") + F.sum(missing).over(in_bucket))
-    return bucketed.join(offsets, "bucket").withColumn(key, numbered).select(df.columns)
+    return bucketed.join(start, "bucket0").withColumn(key, numbered).select(df.columns)

@@ -13,11 +13,11 @@ def insert_rows(ledger: DataFrame, rows: DataFrame) -> DataFrame:
     return ledger.unionByName(rows)
 
 
-def insert_with_new_ids(ledger: DataFrame, rows: DataFrame, order_by: str, last_id: int) -> DataFrame:
-    """Rows without a tx_id get the ids after ``last_id``, in order of a unique integer column of theirs,
-    which the ledger does not keep."""
+def insert_with_new_ids(ledger: DataFrame, rows: DataFrame, order_by: str, last_id: int = 0) -> DataFrame:
+    """Rows without a tx_id get the ids after the ledger's last one (and after ``last_id``), in order of a unique
+    integer column of theirs, which the ledger does not keep."""
     keyed = assign_surrogate_keys(
-        rows.withColumn("tx_id", F.lit(None).cast("bigint")), "tx_id", order_by, start_after=last_id
+        rows.withColumn("tx_id", F.lit(None).cast("bigint")), "tx_id", order_by, start_after=last_id, keyed=ledger
     )
     wanted = {f.name: f.dataType for f in ledger.schema.fields}
     return ledger.unionByName(keyed.select(*[F.col(c).cast(t).alias(c) for c, t in wanted.items()]))

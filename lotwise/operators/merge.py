@@ -26,4 +26,4 @@ def upsert(target: DataFrame, rows: DataFrame, natural_id: str, surrogate: str)
         surrogate, natural_id,
         *[F.when(F.col("loaded"), F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c) for c in values],
     )
-    return assign_surrogate_keys(merged, surrogate, natural_id).select(target.columns)
+    return assign_surrogate_keys(merged, surrogate, natural_id, keyed=target).select(target.columns)

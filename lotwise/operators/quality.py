@@ -110,21 +110,26 @@ def dq_constraint_violations(tables: dict[str, DataFrame]) -> DataFrame:
         _unique(categories, "transaction_categories", "category_id"),
         _unique(categories, "transaction_categories", "name"),
         _unique(tx, "transactions", "tx_id"),
+        _unique(prices, "historical_prices", "price_id"),
         _unique(prices, "historical_prices", "crypto_id", "price_date"),
-        _row_rules(cryptos, "cryptocurrencies", not_null=("symbol", "name")),
         _row_rules(
-            exchanges, "exchanges", not_null=("name", "exchange_type"), allowed={"exchange_type": EXCHANGE_TYPES}
+            cryptos, "cryptocurrencies", not_null=("crypto_id", "symbol", "name"), longest={"symbol": 10, "name": 100}
         ),
-        _row_rules(categories, "transaction_categories", not_null=("name",)),
+        _row_rules(
+            exchanges, "exchanges", not_null=("exchange_id", "name", "exchange_type"),
+            allowed={"exchange_type": EXCHANGE_TYPES}, longest={"name": 100, "exchange_type": 20},
+        ),
+        _row_rules(categories, "transaction_categories", not_null=("category_id", "name"), longest={"name": 50}),
         _row_rules(
             tx, "transactions",
-            not_null=("crypto_id", "tx_type", "quantity", "tx_timestamp"),
+            not_null=("tx_id", "crypto_id", "tx_type", "quantity", "tx_timestamp"),
             allowed={"tx_type": STORED_TX_TYPES},
+            longest={"tx_type": 20},
             references={"crypto_id": cryptos, "exchange_id": exchanges, "category_id": categories},
         ),
         _row_rules(
             prices, "historical_prices",
-            not_null=("crypto_id", "price_date", "close_price_usd"),
+            not_null=("price_id", "crypto_id", "price_date", "close_price_usd"),
             references={"crypto_id": cryptos},
         ),
     ]
@@ -150,7 +155,7 @@ def _unique(df: DataFrame, table: str, *keys: str) -> DataFrame:
 
 def _row_rules(
     df: DataFrame, table: str, not_null: tuple[str, ...] = (), allowed: dict[str, tuple[str, ...]] | None = None,
-    references: dict[str, DataFrame] | None = None,
+    references: dict[str, DataFrame] | None = None, longest: dict[str, int] | None = None,
 ) -> DataFrame:
     """All rules that look at one row, in one pass: each row names what it breaks or refers to, these are
     counted before the shuffle, and references that exist are taken out of the few counted rows."""
@@ -161,6 +166,7 @@ def _row_rules(
 
     entries = [entry("not null", c, F.lit(None), F.col(c).isNull()) for c in not_null]
     entries += [entry("check", c, F.col(c), ~F.col(c).isin(*values)) for c, values in (allowed or {}).items()]
+    entries += [entry("length", c, F.col(c), F.char_length(c) > n) for c, n in (longest or {}).items()]
     entries += [entry("reference", c, F.col(c), F.col(c).isNotNull()) for c in (references or {})]
     found = (
         df.select(F.explode(F.array_compact(F.array(*entries))).alias("at"))

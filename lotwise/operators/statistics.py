@@ -20,7 +20,7 @@ def transaction_frequency_by_month(tx: DataFrame) -> DataFrame:
     return (
         tx.groupBy(_month().alias("month"))
         .agg(
-            F.count("tx_id").alias("total_transactions_in_month"),
+            F.count(F.lit(1)).alias("total_transactions_in_month"),
             count_if(is_type("BUY")).alias("buy_transactions"),
             count_if(is_type("SELL")).alias("sell_transactions"),
             count_if(_is_other()).alias("other_transactions"),
@@ -35,7 +35,7 @@ def transaction_frequency_by_month(tx: DataFrame) -> DataFrame:
 def transactions_per_month(tx: DataFrame) -> DataFrame:
     return (
         tx.groupBy(_month().alias("month"))
-        .agg(F.count("tx_id").alias("total_transactions"))
+        .agg(F.count(F.lit(1)).alias("total_transactions"))
         .select(F.date_format("month", "yyyy-MM").alias("transaction_year_month"), "total_transactions")
     )
 
@@ -69,7 +69,7 @@ def transaction_analysis_by_exchange(tx: DataFrame, exchanges: DataFrame) -> Dat
         tx.filter(F.col("exchange_id").isNotNull())
         .groupBy("exchange_id")
         .agg(
-            F.count("tx_id").alias("total_transactions"),
+            F.count(F.lit(1)).alias("total_transactions"),
             count_if(is_type("BUY")).alias("count_buy_transactions"),
             count_if(is_type("SELL")).alias("count_sell_transactions"),
             count_if(_is_other()).alias("count_other_transactions"),
@@ -104,7 +104,7 @@ def _fees_by(tx: DataFrame, key: str, count_name: str, sum_name: str) -> DataFra
     return (
         tx.filter((F.col("fee_usd") > 0) & F.col(key).isNotNull())
         .groupBy(key)
-        .agg(F.count("tx_id").alias(count_name), F.sum("fee_usd").alias(sum_name))
+        .agg(F.count(F.lit(1)).alias(count_name), F.sum("fee_usd").alias(sum_name))
     )
 
 
@@ -129,7 +129,7 @@ def fee_by_asset(tx: DataFrame, cryptos: DataFrame) -> DataFrame:
 
 
 def most_active_cryptos(tx: DataFrame, cryptos: DataFrame) -> DataFrame:
-    counts = tx.groupBy("crypto_id").agg(F.count("tx_id").alias("total_transaction_count"))
+    counts = tx.groupBy("crypto_id").agg(F.count(F.lit(1)).alias("total_transaction_count"))
     return counts.join(cryptos, "crypto_id").select("symbol", "name", "total_transaction_count")
 
 

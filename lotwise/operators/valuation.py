@@ -103,7 +103,8 @@ def portfolio_value_change_between_dates(
     """Value at the end of two days, each at that day's exact prices (0 where there is none)."""
     start, end = as_date(start), as_date(end)
     net = _net_at_two_dates(tx, start, end)
-    quotes = prices.filter(F.col("price_date").isin(start, end)).groupBy("crypto_id").agg(
+    day = F.col("price_date")
+    quotes = prices.filter((day == F.lit(start)) | (day == F.lit(end))).groupBy("crypto_id").agg(
         F.max(F.when(F.col("price_date") == F.lit(start), F.col("close_price_usd"))).alias("price_start"),
         F.max(F.when(F.col("price_date") == F.lit(end), F.col("close_price_usd"))).alias("price_end"),
     )

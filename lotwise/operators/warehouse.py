@@ -127,6 +127,23 @@ def fact_rows(
     )
 
 
+def fact_measures(tx: DataFrame, dim_date: DataFrame, dim_crypto: DataFrame) -> DataFrame:
+    """date_key, crypto_key, tx_type, quantity, value and fee of the fact rows, for reports by day and asset.
+
+    No other dimension is looked up, and no id is needed. Rows are the same as in the fact.
+    """
+    asset = dim_crypto.select(F.col("crypto_id_original").alias("crypto_id"), "crypto_key")
+    types = {f.name: f.dataType for f in FACT_TRANSACTIONS.fields}
+    value = F.col("quantity") * F.col("price_per_unit_usd")
+    dated = tx.withColumn("tx_date", F.to_date("tx_timestamp")).join(_day_keys(dim_date), "tx_date")
+    return dated.join(asset, "crypto_id").select(
+        "date_key", "crypto_key", "tx_type",
+        F.col("quantity").cast(types["quantity"]).alias("quantity"),
+        value.cast(types["transaction_value_usd"]).alias("transaction_value_usd"),
+        F.col("fee_usd").cast(types["fee_usd"]).alias("fee_usd"),
+    )
+
+
 def fact_rejects(tx: DataFrame, dim_date: DataFrame, dim_crypto: DataFrame) -> DataFrame:
     """tx_id, reason for ledger rows without a calendar day or an asset row."""
     day = _day_keys(dim_date)
@@ -164,7 +181,7 @@ def view_monthly_crypto_transaction_summary(fact: DataFrame, dim_date: DataFrame
     dated = fact.join(F.broadcast(dim_date.select("date_key", month)), "date_key")
     sums = dated.groupBy("year_month", "crypto_key").agg(
         *[F.sum(F.when(is_type(t), c)).alias(f"{k}_{a}") for k, t in kinds.items() for a, c in amounts.items()],
-        *[count_if(is_type(t) & F.col("tx_id_original").isNotNull()).alias(f"{k}_count") for k, t in kinds.items()],
+        *[count_if(is_type(t)).alias(f"{k}_count") for k, t in kinds.items()],
         F.sum("fee_usd").alias("fees"),
     )
 

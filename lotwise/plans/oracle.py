@@ -6,7 +6,7 @@ Tax lots are matched by comparing the intervals of every buy and every sale of a
 from __future__ import annotations
 
 from lotwise.plans.queries import (
-    AS_OF, CALENDAR, EARLIER_LOAD_UNTIL, END, LATE_FROM, LOGGED_AT, STAKING_CLOSED, START, TARGET_ASSET,
+    AS_OF, EARLIER_LOAD_UNTIL, END, LATE_FROM, LOGGED_AT, ONE_MONTH, STAKING_CLOSED, START, TARGET_ASSET,
 )
 from lotwise.vocabulary import INFLOW_TYPES, OUTFLOW_TYPES
 
@@ -32,32 +32,53 @@ _CTES = {
     "kind": """
         SELECT r_regionkey AS category_id, r_name AS name, CAST(NULL AS VARCHAR) AS description FROM region""",
     "merged": """
-        SELECT l_orderkey, l_linenumber, CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS tx_id,
-               min(l_suppkey) AS crypto_id,
-               CASE min(l_returnflag || l_linestatus)
+        SELECT l_orderkey, l_linenumber, l_orderkey * 10 + l_linenumber AS line,
+               CAST((l_orderkey * 10 + l_linenumber) * 1000
+                    + row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                                         ORDER BY l_suppkey, l_shipdate, l_returnflag, l_linestatus, l_quantity,
+                                                  l_extendedprice, l_tax) AS BIGINT) AS tx_id,
+               l_suppkey AS crypto_id,
+               CASE l_returnflag || l_linestatus
                  WHEN 'NF' THEN 'BUY' WHEN 'NO' THEN 'BUY' WHEN 'RO' THEN 'SELL' WHEN 'AF' THEN 'DEPOSIT'
-                 WHEN 'AO' THEN 'STAKING_REWARD' WHEN 'RF' THEN 'WITHDRAWAL' END AS tx_type,
-               CAST(sum(CAST(l_quantity AS DECIMAL(18,8))) AS DECIMAL(18,8)) AS quantity,
-               CAST(min(l_extendedprice) AS DECIMAL(18,8)) AS price,
-               CAST(min(l_shipdate) AS TIMESTAMP) AS tx_timestamp,
-               CAST(min(l_tax) AS DECIMAL(10,4)) AS fee_usd
-        FROM lineitem GROUP BY l_orderkey, l_linenumber""",
+                 WHEN 'AO' THEN 'STAKING_REWARD' WHEN 'RF' THEN 'WITHDRAWAL' ELSE l_returnflag || l_linestatus END AS tx_type,
+               CAST(l_quantity AS DECIMAL(18,8)) AS quantity,
+               CAST(l_extendedprice AS DECIMAL(18,8)) AS price,
+               CAST(l_shipdate AS TIMESTAMP) AS tx_timestamp,
+               CAST(l_tax AS DECIMAL(10,4)) AS fee_usd
+        FROM lineitem""",
     "tx": """
         SELECT m.tx_id, m.crypto_id,
                CASE WHEN m.l_linenumber <> 7 THEN c.c_nationkey END AS exchange_id,
                CASE WHEN m.l_linenumber <> 6 THEN n.n_regionkey END AS category_id,
                m.tx_type, m.quantity,
                CASE WHEN m.tx_type IN ('DEPOSIT', 'WITHDRAWAL') THEN NULL
-                    WHEN m.tx_id % 997 = 0 THEN CAST(0 AS DECIMAL(18,8)) ELSE m.price END AS price_per_unit_usd,
+                    WHEN m.line % 997 = 0 THEN CAST(0 AS DECIMAL(18,8)) ELSE m.price END AS price_per_unit_usd,
                m.tx_timestamp, m.fee_usd, CAST(NULL AS VARCHAR) AS notes
         FROM merged m
-        JOIN orders o ON o.o_orderkey = m.l_orderkey
-        JOIN customer c ON c.c_custkey = o.o_custkey
-        JOIN nation n ON n.n_nationkey = c.c_nationkey""",
+        LEFT JOIN orders o ON o.o_orderkey = m.l_orderkey
+        LEFT JOIN customer c ON c.c_custkey = o.o_custkey
+        LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey""",
+    "checked": """
+        SELECT * FROM tx UNION ALL
+        SELECT * FROM (VALUES
+          (-1, -5, 0, 0, 'BUY', 1, 10, TIMESTAMP '2000-06-01', 0.1, 'unknown asset'),
+          (-2, 0, -7, 1, 'SELL', 2, 11, TIMESTAMP '2000-06-02', 0.2, 'unknown venue'),
+          (-3, 0, 1, -9, 'BUY', 3, 12, TIMESTAMP '2000-06-03', NULL, 'unknown category'),
+          (-4, 0, 1, 1, 'BUY', 4, 13, TIMESTAMP '1950-01-01', 0.4, 'before any calendar'))""",
+    "spoiled": """
+        SELECT * FROM checked UNION ALL
+        SELECT -6, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM range(2)""",
     "hp": """
         SELECT l_suppkey AS crypto_id, CAST(l_shipdate AS DATE) AS price_date,
                max(CAST(l_extendedprice AS DECIMAL(18,8))) AS close_price_usd
         FROM lineitem GROUP BY ALL""",
+    "series": """
+        SELECT hp.crypto_id * 1000000 + date_diff('day', DATE '1970-01-01', hp.price_date) AS price_id, hp.*,
+               low AS open_price_usd, close_price_usd AS high_price_usd, low AS low_price_usd, volume_usd
+        FROM hp JOIN (SELECT l_suppkey AS crypto_id, CAST(l_shipdate AS DATE) AS price_date,
+                             min(CAST(l_extendedprice AS DECIMAL(18,8))) AS low,
+                             CAST(sum(CAST(l_quantity AS DECIMAL(24,2))) AS DECIMAL(24,2)) AS volume_usd
+                      FROM lineitem GROUP BY ALL) USING (crypto_id, price_date)""",
     # signed movements and what follows from them
     "flow": f"""
         SELECT crypto_id, CAST(tx_timestamp AS DATE) AS day,
@@ -117,11 +138,22 @@ _CTES = {
                CAST(t.fee_usd AS DECIMAL(18,8)) AS fee_usd, t.tx_timestamp
         FROM tx t JOIN asset_key a USING (crypto_id) LEFT JOIN venue_key v USING (exchange_id)
         LEFT JOIN kind_key k USING (category_id)""",
+    "checked_fact": """
+        SELECT t.tx_id AS tx_id_original, c.date_key,
+               strftime(t.tx_timestamp, '%H:%M:%S') AS time_of_day, a.crypto_key, v.exchange_key, k.category_key,
+               t.tx_type, CAST(t.quantity AS DECIMAL(28,18)) AS quantity,
+               CAST(t.price_per_unit_usd AS DECIMAL(24,8)) AS price_per_unit_usd,
+               CAST(CAST(t.quantity AS DECIMAL(38,8)) * CAST(t.price_per_unit_usd AS DECIMAL(38,8)) AS DECIMAL(30,8))
+                 AS transaction_value_usd,
+               CAST(t.fee_usd AS DECIMAL(18,8)) AS fee_usd, t.exchange_id, t.category_id
+        FROM checked t LEFT JOIN cal c ON c.full_date = CAST(t.tx_timestamp AS DATE)
+        LEFT JOIN asset_key a USING (crypto_id) LEFT JOIN venue_key v USING (exchange_id)
+        LEFT JOIN kind_key k USING (category_id)""",
     # change audit
     "before": f"SELECT * FROM tx WHERE tx_timestamp < TIMESTAMP '{LATE_FROM}'",
     "after": f"""
         SELECT * REPLACE (
-            CASE WHEN exchange_id IS NULL AND tx_timestamp < TIMESTAMP '{LATE_FROM}' THEN 0.75 ELSE fee_usd END
+            CASE WHEN exchange_id IS NULL AND tx_timestamp < TIMESTAMP '{LATE_FROM}' THEN 1.25 ELSE fee_usd END
               AS fee_usd,
             CASE WHEN exchange_id IS NULL AND tx_timestamp < TIMESTAMP '{LATE_FROM}' THEN 'venue unknown' END AS notes)
         FROM tx WHERE tx_type <> 'STAKING_REWARD' OR tx_timestamp >= TIMESTAMP '{STAKING_CLOSED}'""",
@@ -134,9 +166,10 @@ _CTES = {
 }
 
 _NEEDS = {
-    "tx": ["merged"], "flow": ["tx"], "held": ["flow"], "newest": ["hp"], "valued": ["held", "newest", "asset"],
+    "tx": ["merged"], "flow": ["tx"], "held": ["flow"], "newest": ["hp"], "series": ["hp"], "valued": ["held", "newest", "asset"],
     "lot": ["tx"], "pair": ["lot"], "gain": ["pair"], "cal": ["tx"], "days": ["cal"], "asset_key": ["asset"],
     "venue_key": ["venue"], "kind_key": ["kind"], "fact": ["tx", "asset_key", "venue_key", "kind_key"],
+    "checked": ["tx"], "spoiled": ["checked"], "checked_fact": ["checked", "cal", "asset_key", "venue_key", "kind_key"],
     "before": ["tx"], "after": ["tx"], "log": ["tx", "before", "after"],
 }
 
@@ -481,10 +514,34 @@ def _quality() -> dict[str, str]:
         f"""SELECT 'reference {table}({key})' AS rule, CAST({key} AS VARCHAR) AS key, CAST(count(*) AS BIGINT) AS n
             FROM {cte} WHERE {key} NOT IN (SELECT {key} FROM {dim}) GROUP BY {key}"""
         for table, cte, dim, key in (
-            ("transactions", "tx", "(SELECT * FROM asset WHERE symbol < 'S5')", "crypto_id"),
-            ("transactions", "tx", "(SELECT * FROM venue WHERE exchange_type <> 'WALLET')", "exchange_id"),
-            ("transactions", "tx", "kind", "category_id"),
-            ("historical_prices", "hp", "(SELECT * FROM asset WHERE symbol < 'S5')", "crypto_id"),
+            ("transactions", "spoiled", "asset", "crypto_id"), ("transactions", "spoiled", "venue", "exchange_id"),
+            ("transactions", "spoiled", "kind", "category_id"), ("historical_prices", "hp", "asset", "crypto_id"),
+        )
+    )
+    keys = (
+        ("cryptocurrencies", "asset", "crypto_id"), ("cryptocurrencies", "asset", "symbol"), ("exchanges", "venue", "exchange_id"),
+        ("exchanges", "venue", "name"), ("transaction_categories", "kind", "category_id"),
+        ("transaction_categories", "kind", "name"), ("transactions", "spoiled", "tx_id"),
+    )
+    unique = " UNION ALL ".join(
+        f"""SELECT 'unique {table}({key})', CAST({key} AS VARCHAR), CAST(count(*) AS BIGINT) FROM {cte}
+            WHERE {key} IS NOT NULL GROUP BY {key} HAVING count(*) > 1"""
+        for table, cte, key in keys
+    )
+    needed = [(t, c, k) for t, c, k in keys] + [("exchanges", "venue", "exchange_type")] + [
+        ("transactions", "spoiled", k) for k in ("crypto_id", "tx_type", "quantity", "tx_timestamp")
+    ]
+    not_null = " UNION ALL ".join(
+        f"""SELECT 'not null {table}({key})', CAST(NULL AS VARCHAR), CAST(count(*) AS BIGINT) FROM {cte}
+            WHERE {key} IS NULL HAVING count(*) > 0"""
+        for table, cte, key in needed
+    )
+    lengths = " UNION ALL ".join(
+        f"""SELECT 'length {table}({key})', {key}, CAST(count(*) AS BIGINT) FROM {cte} WHERE length({key}) > {n} GROUP BY {key}"""
+        for table, cte, key, n in (
+            ("cryptocurrencies", "asset", "symbol", 10), ("cryptocurrencies", "asset", "name", 100),
+            ("exchanges", "venue", "name", 100), ("transaction_categories", "kind", "name", 50),
+            ("transactions", "spoiled", "tx_type", 20),
         )
     )
     return {
@@ -501,14 +558,14 @@ def _quality() -> dict[str, str]:
                 WHERE w > 1000000 OR (w > 0 AND w < 0.01)""",
         ),
         "dq_orphan_crypto": _with(
-            "tx asset",
-            """SELECT DISTINCT crypto_id AS missing_crypto_id_in_transactions FROM tx
-               WHERE crypto_id NOT IN (SELECT crypto_id FROM asset WHERE symbol < 'S5')""",
+            "checked asset",
+            """SELECT DISTINCT crypto_id AS missing_crypto_id_in_transactions FROM checked
+               WHERE crypto_id NOT IN (SELECT crypto_id FROM asset)""",
         ),
         "dq_orphan_exchange": _with(
-            "tx venue",
-            """SELECT DISTINCT exchange_id AS missing_exchange_id_in_transactions FROM tx
-               WHERE exchange_id NOT IN (SELECT exchange_id FROM venue WHERE exchange_type <> 'WALLET')""",
+            "checked venue",
+            """SELECT DISTINCT exchange_id AS missing_exchange_id_in_transactions FROM checked
+               WHERE exchange_id NOT IN (SELECT exchange_id FROM venue)""",
         ),
         "dq_stale_prices": _with(
             "held newest asset",
@@ -525,15 +582,14 @@ def _quality() -> dict[str, str]:
                JOIN asset ON asset.crypto_id = x.crypto_id""",
         ),
         "dq_constraint_violations": _with(
-            "tx asset venue kind hp",
-            f"""{references} UNION ALL
-                SELECT 'check transactions(tx_type)', tx_type, CAST(count(*) AS BIGINT) FROM tx
+            "spoiled asset venue kind hp",
+            f"""{references} UNION ALL {unique} UNION ALL {not_null} UNION ALL {lengths} UNION ALL
+                SELECT 'check transactions(tx_type)', tx_type, CAST(count(*) AS BIGINT) FROM spoiled
                 WHERE tx_type NOT IN ('BUY', 'SELL', 'DEPOSIT', 'WITHDRAWAL') GROUP BY tx_type""",
         ),
         "dq_unmapped_dates": _with(
-            "tx",
-            f"""SELECT tx_id, tx_timestamp FROM tx
-                WHERE CAST(tx_timestamp AS DATE) NOT BETWEEN DATE '{CALENDAR[0]}' AND DATE '{CALENDAR[1]}'""",
+            "checked cal",
+            "SELECT tx_id, tx_timestamp FROM checked WHERE CAST(tx_timestamp AS DATE) NOT IN (SELECT full_date FROM cal)",
         ),
     }
 
@@ -555,6 +611,20 @@ def _warehouse() -> dict[str, str]:
     def mean(value: str, quantity: str) -> str:
         return _R6(f"CAST({value} AS DOUBLE) / nullif(CAST({quantity} AS DOUBLE), 0)")
 
+    def monthly(where: str) -> str:
+        return _with(
+            "fact asset_key",
+            f"""SELECT strftime(tx_timestamp, '%Y-%m') AS year_month, symbol AS crypto_symbol, name AS crypto_name,
+                       {bq} AS total_buy_quantity, {bv} AS total_buy_value_usd, {bn} AS number_of_buy_transactions,
+                       {mean(bv, bq)} AS average_buy_price_usd,
+                       {sq} AS total_sell_quantity, {sv} AS total_sell_value_usd, {sn} AS number_of_sell_transactions,
+                       {mean(sv, sq)} AS average_sell_price_usd,
+                       {bq} - {sq} AS net_quantity_transacted_this_month,
+                       {bv} - {sv} AS net_value_transacted_this_month_usd,
+                       CAST(coalesce(sum(fee_usd), 0) AS DECIMAL(38,8)) AS total_fees_paid_for_asset_this_month_usd
+                FROM fact JOIN asset_key USING (crypto_key) WHERE {where} GROUP BY 1, 2, 3""",
+        )
+
     star_counts = " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM {cte}"
         for name, cte in (
@@ -565,8 +635,10 @@ def _warehouse() -> dict[str, str]:
     null_checks = " UNION ALL ".join(
         f"SELECT 'null_{key}' AS check_name, CAST({n} AS BIGINT) AS row_count"
         for key, n in (
-            ("date_key", "0"), ("crypto_key", "0"), ("category_key", "0"),
-            ("exchange_key", "(SELECT count(*) FROM tx JOIN venue USING (exchange_id) WHERE exchange_type = 'WALLET')"),
+            ("date_key", "(SELECT count(*) FROM kept WHERE date_key IS NULL)"),
+            ("crypto_key", "(SELECT count(*) FROM kept WHERE crypto_key IS NULL)"),
+            ("category_key", "(SELECT count(*) FROM kept WHERE category_key IS NULL AND category_id IS NOT NULL)"),
+            ("exchange_key", "(SELECT count(*) FROM kept WHERE exchange_key IS NULL AND exchange_id IS NOT NULL)"),
         )
     )
     next_keys = " UNION ALL ".join(
@@ -578,7 +650,11 @@ def _warehouse() -> dict[str, str]:
     )
     return {
         "mv_current_holdings": _MV,
-        "read_mv_current_holdings": _MV,
+        "read_mv_current_holdings": _with(
+            "flow asset",
+            f"""SELECT crypto_id, symbol, name, CAST(sum(q) AS DECIMAL(28,18)) AS current_holding_quantity
+                FROM flow JOIN asset USING (crypto_id) WHERE day < DATE '{LATE_FROM}' GROUP BY 1, 2, 3 HAVING sum(q) > 0""",
+        ),
         "build_dim_date": _with("days", "SELECT * FROM days"),
         "insert_only_load": _with(
             "days",
@@ -602,9 +678,9 @@ def _warehouse() -> dict[str, str]:
                FROM kind""",
         ),
         "build_fact_transactions": _with(
-            "fact",
-            f"""SELECT row_number() OVER (ORDER BY tx_id_original) AS transaction_key, {fact_columns} FROM fact
-                WHERE CAST(tx_timestamp AS DATE) BETWEEN DATE '{CALENDAR[0]}' AND DATE '{CALENDAR[1]}'""",
+            "checked_fact",
+            f"""SELECT row_number() OVER (ORDER BY tx_id_original) AS transaction_key, {fact_columns} FROM checked_fact
+                WHERE date_key IS NOT NULL AND crypto_key IS NOT NULL""",
         ),
         "upsert_fact_transactions": _with(
             "fact",
@@ -612,24 +688,16 @@ def _warehouse() -> dict[str, str]:
                          AS transaction_key, {fact_columns} FROM fact""",
         ),
         "fact_rejects": _with(
-            "tx",
-            f"""SELECT tx_id, 'date outside calendar' AS reason FROM tx
-                WHERE CAST(tx_timestamp AS DATE) NOT BETWEEN DATE '{CALENDAR[0]}' AND DATE '{CALENDAR[1]}'""",
-        ),
-        "view_monthly_crypto_transaction_summary": _with(
-            "fact asset_key",
-            f"""SELECT strftime(tx_timestamp, '%Y-%m') AS year_month, symbol AS crypto_symbol, name AS crypto_name,
-                       {bq} AS total_buy_quantity, {bv} AS total_buy_value_usd, {bn} AS number_of_buy_transactions,
-                       {mean(bv, bq)} AS average_buy_price_usd,
-                       {sq} AS total_sell_quantity, {sv} AS total_sell_value_usd, {sn} AS number_of_sell_transactions,
-                       {mean(sv, sq)} AS average_sell_price_usd,
-                       {bq} - {sq} AS net_quantity_transacted_this_month,
-                       {bv} - {sv} AS net_value_transacted_this_month_usd,
-                       CAST(coalesce(sum(fee_usd), 0) AS DECIMAL(38,8)) AS total_fees_paid_for_asset_this_month_usd
-                FROM fact JOIN asset_key USING (crypto_key) GROUP BY 1, 2, 3""",
-        ),
+            "checked_fact",
+            """SELECT tx_id_original AS tx_id,
+                      CASE WHEN date_key IS NULL THEN 'date outside calendar' ELSE 'unknown asset' END AS reason
+               FROM checked_fact WHERE date_key IS NULL OR crypto_key IS NULL""",
+        ),
+        "view_monthly_crypto_transaction_summary": monthly("TRUE"),
+        "monthly_summary_of_asset": monthly(f"symbol = '{'BTC' if TARGET_ASSET == 0 else f'S{TARGET_ASSET}'}'"),
+        "monthly_summary_of_month": monthly(f"strftime(tx_timestamp, '%Y-%m') = '{ONE_MONTH[0][:7]}'"),
         "verify_star_counts": _with("fact cal asset venue kind", star_counts),
-        "verify_star_null_keys": _with("tx venue", null_checks),
+        "verify_star_null_keys": _with("checked_fact", null_checks.replace("kept", "(SELECT * FROM checked_fact WHERE date_key IS NOT NULL AND crypto_key IS NOT NULL)")),
         "value_by_symbol_year": _with(
             "fact asset_key",
             """SELECT symbol AS crypto_symbol, CAST(date_key // 10000 AS INTEGER) AS transaction_year,
@@ -655,6 +723,20 @@ def _audit() -> dict[str, str]:
                            THEN 'tx_timestamp: ' || strftime(tx_timestamp, '%Y-%m-') || '00 00:00:00' ELSE '' END AS reason
                FROM tx""",
         ),
+        **{
+            f"load_{table}_csv": _with(cte, f"SELECT *, '' AS reason FROM {cte}")
+            for table, cte in (
+                ("cryptocurrencies", "asset"), ("exchanges", "venue"), ("transaction_categories", "kind"),
+                ("historical_prices", "series"),
+            )
+        },
+        "insert_with_new_ids": _with(
+            "tx",
+            f"""SELECT CASE WHEN tx_timestamp < TIMESTAMP '{LATE_FROM}' THEN tx_id
+                           ELSE max(tx_id) FILTER (tx_timestamp < TIMESTAMP '{LATE_FROM}') OVER ()
+                                + row_number() OVER (PARTITION BY tx_timestamp < TIMESTAMP '{LATE_FROM}' ORDER BY tx_id) END AS tx_id,
+                       crypto_id, tx_type, quantity, price_per_unit_usd, tx_timestamp, fee_usd, notes FROM tx""",
+        ),
         "ledger_edits": _with(
             "after", "SELECT * REPLACE (CAST(fee_usd AS DECIMAL(10,4)) AS fee_usd) FROM after"
         ),

@@ -11,8 +11,9 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField
 
 from lotwise.functions.sql_functions import register_sql_functions
 from lotwise.operators import (
@@ -20,7 +21,7 @@ from lotwise.operators import (
 )
 from lotwise.plans.ordering import in_report_order
 from lotwise.schemas import (
-    AUDIT_IMAGE, DIM_CRYPTOCURRENCY, DIM_EXCHANGE, DIM_TRANSACTION_CATEGORY, FACT_TRANSACTIONS, TRANSACTIONS, conform,
+    AUDIT_IMAGE, DIM_CRYPTOCURRENCY, DIM_EXCHANGE, DIM_TRANSACTION_CATEGORY, FACT_TRANSACTIONS, TABLES, conform,
 )
 from lotwise.session import shared_dir
 from lotwise.sources import csv_ledger, snapshots
@@ -36,7 +37,7 @@ TARGET_ASSET = 0
 LATE_FROM = "2001-01-01"
 STAKING_CLOSED = "1996-01-01"
 EARLIER_LOAD_UNTIL = "2000-01-01"
-CALENDAR = ("1996-01-01", "2000-12-31")
+ONE_MONTH = ("2000-03-01", "2000-03-31")
 LOGGED_AT = dt.datetime(2001, 8, 1, 12, 0, 0)
 
 
@@ -103,7 +104,7 @@ class _Run(LedgerTables):
         late = self.transactions.filter(F.col("tx_timestamp") >= F.lit(LATE_FROM).cast("timestamp"))
         closed = F.lit(STAKING_CLOSED).cast("timestamp")
         step = ledger_edits.update_rows(
-            self.before, F.col("exchange_id").isNull(), {"notes": F.lit("venue unknown"), "fee_usd": F.lit(0.75)}
+            self.before, F.col("exchange_id").isNull(), {"notes": F.lit("venue unknown"), "fee_usd": F.lit(1.25)}
         )
         step = ledger_edits.delete_rows(step, (F.col("tx_type") == "STAKING_REWARD") & (F.col("tx_timestamp") < closed))
         return self.stored("ledger", ledger_edits.insert_rows(step, late))
@@ -135,16 +136,16 @@ def _holdings() -> dict[str, Query]:
             lambda t: holdings.current_holdings(t.trades, t.cryptocurrencies), order="current_holdings"
         ),
         "historical_holdings_by_date": _on(
-            lambda t: holdings.historical_holdings_by_date(t.trades, t.cryptocurrencies, AS_OF),
+            lambda t: holdings.historical_holdings_by_date(t.trades_in(until=AS_OF), t.cryptocurrencies, AS_OF),
             order="historical_holdings_by_date",
         ),
         "get_historical_holdings": _on(
-            lambda t: holdings.get_historical_holdings(t.trades, t.cryptocurrencies, AS_OF),
+            lambda t: holdings.get_historical_holdings(t.trades_in(until=AS_OF), t.cryptocurrencies, AS_OF),
             order="get_historical_holdings",
         ),
         "get_historical_holdings_sql": _sql_holdings,
         "holdings_net": _on(lambda t: holdings.holdings_net(t.trades)),
-        "holdings_at_dates": _on(lambda t: holdings.holdings_at_dates(t.trades, [START, "2000-12-31", END])),
+        "holdings_at_dates": _on(lambda t: holdings.holdings_at_dates(t.trades_in(until=END), [START, "2000-12-31", END])),
         "latest_prices": _on(lambda t: valuation.latest_prices(t.historical_prices)),
         "prices_on_date": _on(lambda t: valuation.prices_on_date(t.historical_prices, AS_OF)),
         "prices_as_of": _on(lambda t: valuation.prices_as_of(t.historical_prices, AS_OF)),
@@ -164,15 +165,15 @@ def _holdings() -> dict[str, Query]:
             "percentage_change",
         ),
         "portfolio_value_change_between_dates": _on(
-            lambda t: valuation.portfolio_value_change_between_dates(t.trades, t.historical_prices, START, END),
+            lambda t: valuation.portfolio_value_change_between_dates(t.trades_in(until=END), t.historical_prices, START, END),
             "percentage_change",
         ),
         "get_portfolio_value_at_date": _on(
-            lambda t: valuation.get_portfolio_value_at_date(t.trades, t.cryptocurrencies, t.historical_prices, AS_OF)
+            lambda t: valuation.get_portfolio_value_at_date(t.trades_in(until=AS_OF), t.cryptocurrencies, t.historical_prices, AS_OF)
         ),
         "get_portfolio_value_at_date_sql": _sql_value,
         "portfolio_vs_btc_benchmark": _on(
-            lambda t: valuation.portfolio_vs_btc_benchmark(t.trades, t.historical_prices, START, END, TARGET_ASSET),
+            lambda t: valuation.portfolio_vs_btc_benchmark(t.trades_in(until=END), t.historical_prices, START, END, TARGET_ASSET),
             *growth,
         ),
     }
@@ -238,7 +239,10 @@ def _indicators() -> dict[str, Query]:
     return {
         "moving_averages": over(indicators.moving_averages, "sma_7_day", "sma_30_day"),
         "rsi_14": over(indicators.rsi_14, "avg_gain_14", "avg_loss_14", "rs_14", "rsi_14"),
-        "price_correlation_with_btc": over(indicators.price_correlation_with_btc, "correlation_with_btc"),
+        "price_correlation_with_btc": _on(
+            lambda t: indicators.price_correlation_with_btc(t.historical_prices, t.cryptocurrencies),
+            "correlation_with_btc", order="price_correlation_with_btc",
+        ),
         "price_volatility_30day": over(
             indicators.price_volatility_30day, "daily_pct_return", "volatility_30day_stddev_returns"
         ),
@@ -253,10 +257,12 @@ def _tax_lots() -> dict[str, Query]:
         "fifo_sells": _on(lambda t: fifo.fifo_sells(t.trades)),
         "fifo_matched_lots": _on(lambda t: fifo.fifo_matched_lots(t.trades)),
         "fifo_realized_single_asset": _on(
-            lambda t: fifo.fifo_realized_single_asset(t.trades, t.cryptocurrencies, TARGET_ASSET)
+            lambda t: fifo.fifo_realized_single_asset(t.trades, t.cryptocurrencies, TARGET_ASSET),
+            order="fifo_realized_single_asset",
         ),
         "fifo_summary_per_sale_single_asset": _on(
-            lambda t: fifo.fifo_summary_per_sale_single_asset(t.trades, t.cryptocurrencies, TARGET_ASSET)
+            lambda t: fifo.fifo_summary_per_sale_single_asset(t.trades, t.cryptocurrencies, TARGET_ASSET),
+            order="fifo_summary_per_sale_single_asset",
         ),
         "fifo_annual_single_asset": _on(
             lambda t: fifo.fifo_annual_single_asset(t.trades, t.cryptocurrencies, TARGET_ASSET),
@@ -276,31 +282,23 @@ def _tax_lots() -> dict[str, Query]:
 # --- data quality --------------------------------------------------------------------------------------------
 
 def _quality() -> dict[str, Query]:
-    def fewer_assets(t: _Run) -> DataFrame:
-        return t.cryptocurrencies.filter(F.col("symbol") < "S5")
-
-    def fewer_venues(t: _Run) -> DataFrame:
-        return t.exchanges.filter(F.col("exchange_type") != "WALLET")
-
     return {
         "dq_missing_or_zero_price": _on(
             lambda t: quality.dq_missing_or_zero_price(t.trades, t.cryptocurrencies), order="dq_missing_or_zero_price"
         ),
         "dq_outlier_value": _on(lambda t: quality.dq_outlier_value(t.trades, t.cryptocurrencies, high=1_000_000)),
-        "dq_orphan_crypto": _on(lambda t: quality.dq_orphan_crypto(t.trades, fewer_assets(t))),
-        "dq_orphan_exchange": _on(lambda t: quality.dq_orphan_exchange(t.transactions, fewer_venues(t))),
+        "dq_orphan_crypto": _on(lambda t: quality.dq_orphan_crypto(t.checked, t.cryptocurrencies)),
+        "dq_orphan_exchange": _on(lambda t: quality.dq_orphan_exchange(t.checked, t.exchanges)),
         "dq_stale_prices": _on(
             lambda t: quality.dq_stale_prices(t.trades, t.cryptocurrencies, t.historical_prices, "2001-11-01"),
             order="dq_stale_prices",
         ),
         "dq_price_gaps": _on(lambda t: quality.dq_price_gaps(t.historical_prices, t.cryptocurrencies)),
         "dq_constraint_violations": _on(
-            lambda t: quality.dq_constraint_violations(
-                t.as_dict() | {"cryptocurrencies": fewer_assets(t), "exchanges": fewer_venues(t)}
-            )
+            lambda t: quality.dq_constraint_violations(t.as_dict() | {"transactions": t.spoiled})
         ),
         "dq_unmapped_dates": _on(
-            lambda t: quality.dq_unmapped_dates(t.trades, warehouse.build_dim_date(t.spark, *CALENDAR))
+            lambda t: quality.dq_unmapped_dates(t.checked, warehouse.calendar_covering(t.trades))
         ),
     }
 
@@ -375,26 +373,37 @@ def _next_keys(t: _Run) -> DataFrame:
 def _star_counts(t: _Run) -> DataFrame:
     return statistics.table_row_counts(
         {
-            "fact_transactions": t.fact_rows(), "dim_date": t.dim_date, "dim_cryptocurrency": t.dim_crypto,
+            "fact_transactions": _measures(t), "dim_date": t.dim_date, "dim_cryptocurrency": t.dim_crypto,
             "dim_exchange": t.dim_exchange, "dim_transaction_category": t.dim_category,
         }
     )
 
 
+def _measures(t: _Run, tx: DataFrame | None = None) -> DataFrame:
+    return warehouse.fact_measures(t.trades if tx is None else tx, t.dim_date, t.dim_crypto)
+
+
+def _monthly(t: _Run, tx: DataFrame | None = None) -> DataFrame:
+    return warehouse.view_monthly_crypto_transaction_summary(_measures(t, tx), t.dim_date, t.dim_crypto)
+
+
 def _null_keys(t: _Run) -> DataFrame:
-    """Venues are looked up in a dimension that lacks some of them."""
-    some = t.exchanges.filter(F.col("exchange_type") != "WALLET")
-    known = t.stored(
-        "dim_exchange", warehouse.upsert_dim_exchange(some, warehouse.empty_table(t.spark, DIM_EXCHANGE))
-    )
-    fact = warehouse.fact_rows(t.transactions, t.dim_date, t.dim_crypto, known, t.dim_category)
-    return warehouse.verify_star_null_keys(fact, t.transactions)
+    """The ledger with a few ids that no dimension has."""
+    return warehouse.verify_star_null_keys(t.fact_rows(t.checked), t.checked)
+
+
+def _holdings_of_an_earlier_refresh(t: _Run) -> DataFrame:
+    """A snapshot is stored, then the ledger grows: what is read is still the stored one."""
+    path = shared_dir(t.spark, "mv_current_holdings")
+    until = dt.date.fromisoformat(LATE_FROM) - dt.timedelta(days=1)
+    snapshots.save_mv_current_holdings(t.trades_in(until=until), t.cryptocurrencies, path)
+    return snapshots.read_mv_current_holdings(t.spark, path)
 
 
 def _warehouse() -> dict[str, Query]:
     return {
         "mv_current_holdings": _on(_materialized_holdings),
-        "read_mv_current_holdings": _on(_materialized_holdings),
+        "read_mv_current_holdings": _on(_holdings_of_an_earlier_refresh, order="read_mv_current_holdings"),
         "build_dim_date": _on(lambda t: warehouse.calendar_covering(t.trades)),
         "insert_only_load": _on(_insert_only_load),
         "upsert_dim_cryptocurrency": _on(_second_load_cryptos),
@@ -402,22 +411,28 @@ def _warehouse() -> dict[str, Query]:
         "upsert_dim_transaction_category": _on(_second_load_categories),
         "build_fact_transactions": _on(
             lambda t: _load_fact(
-                t, t.transactions, warehouse.empty_table(t.spark, FACT_TRANSACTIONS),
-                warehouse.build_dim_date(t.spark, *CALENDAR),
+                t, t.checked, warehouse.empty_table(t.spark, FACT_TRANSACTIONS), t.dim_date,
             )
         ),
         "upsert_fact_transactions": _on(_second_load_fact),
         "fact_rejects": _on(
-            lambda t: warehouse.fact_rejects(t.trades, warehouse.build_dim_date(t.spark, *CALENDAR), t.dim_crypto)
+            lambda t: warehouse.fact_rejects(t.checked, t.dim_date, t.dim_crypto)
         ),
         "view_monthly_crypto_transaction_summary": _on(
-            lambda t: warehouse.view_monthly_crypto_transaction_summary(t.fact_rows(), t.dim_date, t.dim_crypto),
+            _monthly, "average_buy_price_usd", "average_sell_price_usd", order="view_monthly_crypto_transaction_summary",
+        ),
+        "monthly_summary_of_asset": _on(
+            lambda t: _monthly(t, t.trades_in(crypto_id=TARGET_ASSET)),
+            "average_buy_price_usd", "average_sell_price_usd", order="view_monthly_crypto_transaction_summary",
+        ),
+        "monthly_summary_of_month": _on(
+            lambda t: _monthly(t, t.trades_in(*ONE_MONTH)),
             "average_buy_price_usd", "average_sell_price_usd", order="view_monthly_crypto_transaction_summary",
         ),
         "verify_star_counts": _on(_star_counts),
         "verify_star_null_keys": _on(_null_keys),
         "value_by_symbol_year": _on(
-            lambda t: warehouse.value_by_symbol_year(t.fact_rows(), t.dim_date, t.dim_crypto),
+            lambda t: warehouse.value_by_symbol_year(_measures(t), t.dim_date, t.dim_crypto),
             order="value_by_symbol_year",
         ),
         "assign_surrogate_keys": _on(
@@ -431,24 +446,35 @@ def _warehouse() -> dict[str, Query]:
 
 # --- import, edits, audit ------------------------------------------------------------------------------------
 
-def _csv_round_trip(t: _Run) -> DataFrame:
-    """Writes the ledger as CSV files, some with an impossible day, and imports them."""
-    path = shared_dir(t.spark, "ledger-csv")
-    text = F.date_format("tx_timestamp", csv_ledger.TIMESTAMP_FORMAT)
-    spoiled = F.when(F.col("tx_type") == "WITHDRAWAL", F.concat(F.substring(text, 1, 8), F.lit("00 00:00:00")))
-    t.transactions.select(
-        *[
-            F.coalesce(spoiled, text).alias(f.name) if f.name == "tx_timestamp" else F.col(f.name)
-            for f in TRANSACTIONS.fields
-        ]
-    ).write.option("header", True).csv(path)
-    rows, rejects = csv_ledger.load_ledger_csv(t.spark, path, "transactions")
-    return rows.withColumn("reason", F.lit("").cast("string")).unionByName(
-        rejects.select(
-            *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in TRANSACTIONS.fields if f.name != "tx_timestamp"],
-            F.lit(None).cast("timestamp").alias("tx_timestamp"), "reason",
+def _csv_round_trip(table: str, source: Callable[[_Run], DataFrame]) -> Callable[[_Run], DataFrame]:
+    """Writes a table as CSV files, timestamps of some rows with an impossible day, and imports them."""
+
+    def run(t: _Run) -> DataFrame:
+        fields = TABLES[table].fields
+        path = shared_dir(t.spark, f"{table}-csv")
+        text = F.date_format("tx_timestamp", csv_ledger.TIMESTAMP_FORMAT)
+        spoiled = F.when(F.col("tx_type") == "WITHDRAWAL", F.concat(F.substring(text, 1, 8), F.lit("00 00:00:00")))
+        source(t).select(
+            *[F.coalesce(spoiled, text).alias(f.name) if f.name == "tx_timestamp" else F.col(f.name) for f in fields]
+        ).write.option("header", True).option("escape", '"').csv(path)
+        rows, rejects = csv_ledger.load_ledger_csv(t.spark, path, table)
+        return rows.withColumn("reason", F.lit("").cast("string")).unionByName(
+            rejects.select(*[_refused(f).alias(f.name) for f in fields], "reason")
         )
-    )
+
+    return run
+
+
+def _refused(field: StructField) -> Column:
+    """A rejected row's value; the text of a timestamp is in the reason."""
+    return F.lit(None).cast("timestamp") if field.name == "tx_timestamp" else F.col(field.name).try_cast(field.dataType)
+
+
+def _inserted_without_ids(t: _Run) -> DataFrame:
+    """The late rows come without ids and get the ones after the ledger's last, in order of their own."""
+    late = t.trades.filter(F.col("tx_timestamp") >= F.lit(LATE_FROM).cast("timestamp"))
+    early = t.trades.filter(F.col("tx_timestamp") < F.lit(LATE_FROM).cast("timestamp"))
+    return ledger_edits.insert_with_new_ids(early, late.withColumnRenamed("tx_id", "arrival"), "arrival")
 
 
 def _audit_log(t: _Run) -> DataFrame:
@@ -474,8 +500,15 @@ def _streamed_audit(t: _Run) -> DataFrame:
 
 def _audit() -> dict[str, Query]:
     return {
-        "load_ledger_csv": _on(_csv_round_trip),
+        "load_ledger_csv": _on(_csv_round_trip("transactions", lambda t: t.transactions)),
+        "load_cryptocurrencies_csv": _on(_csv_round_trip("cryptocurrencies", lambda t: t.cryptocurrencies)),
+        "load_exchanges_csv": _on(_csv_round_trip("exchanges", lambda t: t.exchanges)),
+        "load_transaction_categories_csv": _on(
+            _csv_round_trip("transaction_categories", lambda t: t.transaction_categories)
+        ),
+        "load_historical_prices_csv": _on(_csv_round_trip("historical_prices", lambda t: t.historical_prices)),
         "ledger_edits": _on(lambda t: t.after),
+        "insert_with_new_ids": _on(_inserted_without_ids),
         "audit_changes": _on(_audit_log),
         "recent_audit": _on(lambda t: audit.recent_audit(_audit_log(t), 5)),
         "audit_stream": _on(_streamed_audit),

@@ -29,16 +29,16 @@ _INT, _LONG, _STR, _DATE, _TS, _BOOL = (
 )
 
 # Table layouts. Third item: nullable.
-CRYPTOCURRENCIES = _struct(("crypto_id", _INT, False), ("symbol", _STR, False), ("name", _STR, False))
-EXCHANGES = _struct(("exchange_id", _INT, False), ("name", _STR, False), ("exchange_type", _STR, False))
-TRANSACTION_CATEGORIES = _struct(("category_id", _INT, False), ("name", _STR, False), ("description", _STR, True))
+CRYPTOCURRENCIES = _struct(("crypto_id", _LONG, False), ("symbol", _STR, False), ("name", _STR, False))
+EXCHANGES = _struct(("exchange_id", _LONG, False), ("name", _STR, False), ("exchange_type", _STR, False))
+TRANSACTION_CATEGORIES = _struct(("category_id", _LONG, False), ("name", _STR, False), ("description", _STR, True))
 TRANSACTIONS = _struct(
-    ("tx_id", _INT, False), ("crypto_id", _INT, False), ("exchange_id", _INT, True), ("category_id", _INT, True),
+    ("tx_id", _LONG, False), ("crypto_id", _LONG, False), ("exchange_id", _LONG, True), ("category_id", _LONG, True),
     ("tx_type", _STR, False), ("quantity", QUANTITY, False), ("price_per_unit_usd", PRICE, True),
     ("tx_timestamp", _TS, False), ("fee_usd", FEE, True), ("notes", _STR, True),
 )
 HISTORICAL_PRICES = _struct(
-    ("price_id", _INT, False), ("crypto_id", _INT, False), ("price_date", _DATE, False),
+    ("price_id", _LONG, False), ("crypto_id", _LONG, False), ("price_date", _DATE, False),
     ("close_price_usd", PRICE, False), ("open_price_usd", PRICE, True), ("high_price_usd", PRICE, True),
     ("low_price_usd", PRICE, True), ("volume_usd", VOLUME, True),
 )
@@ -50,7 +50,7 @@ TABLES = {
     "historical_prices": HISTORICAL_PRICES,
 }
 AUDIT_IMAGE = _struct(
-    ("tx_id", _LONG, True), ("crypto_id", _INT, True), ("exchange_id", _INT, True), ("category_id", _INT, True),
+    ("tx_id", _LONG, True), ("crypto_id", _LONG, True), ("exchange_id", _LONG, True), ("category_id", _LONG, True),
     ("tx_type", _STR, True), ("quantity", WIDE_QUANTITY, True), ("price_per_unit_usd", WIDE_PRICE, True),
     ("tx_timestamp", _TS, True), ("fee_usd", WIDE_FEE, True), ("notes", _STR, True),
 )
@@ -65,15 +65,15 @@ DIM_DATE = _struct(
     ("week_of_year_iso", _INT, False), ("is_weekday", _BOOL, False), ("is_weekend", _BOOL, False),
 )
 DIM_CRYPTOCURRENCY = _struct(
-    ("crypto_key", _LONG, True), ("crypto_id_original", _INT, True), ("symbol", _STR, True), ("name", _STR, True),
+    ("crypto_key", _LONG, True), ("crypto_id_original", _LONG, True), ("symbol", _STR, True), ("name", _STR, True),
     ("is_stablecoin", _BOOL, True),
 )
 DIM_EXCHANGE = _struct(
-    ("exchange_key", _LONG, True), ("exchange_id_original", _INT, True), ("exchange_name", _STR, True),
+    ("exchange_key", _LONG, True), ("exchange_id_original", _LONG, True), ("exchange_name", _STR, True),
     ("exchange_type", _STR, True),
 )
 DIM_TRANSACTION_CATEGORY = _struct(
-    ("category_key", _LONG, True), ("category_id_original", _INT, True), ("category_name", _STR, True),
+    ("category_key", _LONG, True), ("category_id_original", _LONG, True), ("category_name", _STR, True),
     ("category_description", _STR, True),
 )
 FACT_TRANSACTIONS = _struct(

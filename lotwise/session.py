@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -37,11 +36,7 @@ def local_session(app: str = "lotwise", cpus: int = 8, shuffle_partitions: int |
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below ``spark.checkpoint.dir``, where every executor can read what others wrote.
 
-    Only a local master may fall back to a temporary folder of this machine.
+    Where that is not set, the session's warehouse folder is taken, which a cluster shares as well.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="lotwise-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -19,15 +19,21 @@ def _typed(field: T.StructField) -> Column:
     return text.try_cast(field.dataType)
 
 
-def load_ledger_csv(spark: SparkSession, path: str, table: str) -> tuple[DataFrame, DataFrame]:
+def load_ledger_csv(spark: SparkSession, path: str, table: str, multi_line: bool = True) -> tuple[DataFrame, DataFrame]:
     """(rows, rejects) of a CSV file or folder with a header.
 
-    Rejects keep the text as read, with a reason: a value that is not of its column's type (a day 00, say),
-    or an empty one where the table needs a value.
+    Rejects keep the text as read, with a reason: a value that is not of its column's type (a day 00, say), an empty
+    one where the table needs a value, or a line whose fields are not as many as the columns, which is kept whole in
+    ``line``. Quoted values may hold line breaks; each file is then read by one task, so a large import comes in many
+    files. Without ``multi_line`` files are split, and no value may hold a line break.
     """
     fields = TABLES[table].fields
-    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in fields])
-    raw = spark.read.schema(as_text).option("header", True).option("enforceSchema", False).csv(path)
+    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in fields] + [T.StructField("line", T.StringType())])
+    raw = (
+        spark.read.schema(as_text).option("header", True).option("enforceSchema", False).option("multiLine", multi_line)
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "line").option("escape", '"').csv(path)
+    )
+    broken = F.when(F.col("line").isNotNull(), F.lit("number of fields"))
     problems = [
         F.when(
             _typed(f).isNull() & (F.col(f.name).isNotNull() | F.lit(not f.nullable)),
@@ -35,6 +41,6 @@ def load_ledger_csv(spark: SparkSession, path: str, table: str) -> tuple[DataFra
         )
         for f in fields
     ]
-    checked = raw.withColumn("reason", F.concat_ws("; ", *problems))
+    checked = raw.withColumn("reason", F.coalesce(broken, F.concat_ws("; ", *problems)))
     good = checked.filter(F.col("reason") == "").select(*[_typed(f).alias(f.name) for f in fields])
     return good, checked.filter(F.col("reason") != "")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lotwise.functions.expressions import as_date
 from lotwise.schemas import FEE, PRICE, QUANTITY, VOLUME
 from lotwise.session import pin_session
 
@@ -19,13 +21,14 @@ TYPE_OF_FLAGS = {
     "AO": "STAKING_REWARD",
     "RF": "WITHDRAWAL",
 }
-# Fixed value: every 997th id gets price 0, the edge case of a zero-priced trade.
+# Fixed value: every 997th order line gets price 0, the edge case of a zero-priced trade.
 ZERO_PRICE_EVERY = 997
 
 
-def _flag_code(flag: Column, status: Column) -> Column:
-    """Two one-letter texts as a number of the same order: a minimum of texts could not be hash-aggregated."""
-    return F.ascii(flag) * 256 + F.ascii(status)
+# Room for the days of one asset in the ids of prices.
+DAYS_PER_ASSET = 1_000_000
+# Copies of one order line that an id can tell apart.
+MAX_COPIES = 999
 
 
 class LedgerTables:
@@ -67,63 +70,98 @@ class LedgerTables:
 
     @cached_property
     def trades(self) -> DataFrame:
-        """The ledger without venue and category, which need three more joins.
+        """The ledger without venue and category, which need three more joins: one row per line item."""
+        return self._trades(self._read("lineitem")).drop("l_orderkey", "l_linenumber")
 
-        Nearly every row is a group of its own, so combining before the shuffle would gain nothing. Rows are
-        shuffled by order instead: the grouping and the join with the orders both run on that partitioning.
+    def trades_in(
+        self, start: dt.date | str | None = None, until: dt.date | str | None = None, crypto_id: int | None = None
+    ) -> DataFrame:
+        """Trades from the start of one day to the end of another, and of one asset, filtered in the Parquet scan.
+
+        The copies of a line are numbered within what is left, so this is for reports that show no ids.
         """
-        merged = (
-            self._read("lineitem")
-            .repartition("l_orderkey")
-            .groupBy("l_orderkey", "l_linenumber")
-            .agg(
-                F.min("l_suppkey").alias("crypto_id"),
-                F.min(_flag_code(F.col("l_returnflag"), F.col("l_linestatus"))).alias("flags"),
-                F.sum(F.col("l_quantity").cast(QUANTITY)).cast(QUANTITY).alias("quantity"),
-                F.min("l_extendedprice").cast(PRICE).alias("price"),
-                F.min("l_shipdate").cast("timestamp").alias("tx_timestamp"),
-                F.min("l_tax").cast(FEE).alias("fee_usd"),
-            )
-        )
-        tx_id = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-        tx_type = F.coalesce(
-            *[
-                F.when(F.col("flags") == _flag_code(F.lit(flags[0]), F.lit(flags[1])), kind)
-                for flags, kind in TYPE_OF_FLAGS.items()
-            ]
-        )
-        return merged.select(
+        rows = self._read("lineitem")
+        midnight = lambda day: F.lit(dt.datetime.combine(day, dt.time())).cast("timestamp_ntz")
+        if start is not None:
+            rows = rows.filter(F.col("l_shipdate") >= midnight(as_date(start)))
+        if until is not None:
+            rows = rows.filter(F.col("l_shipdate") < midnight(as_date(until) + dt.timedelta(days=1)))
+        if crypto_id is not None:
+            rows = rows.filter(F.col("l_suppkey") == crypto_id)
+        return self._trades(rows).drop("l_orderkey", "l_linenumber")
+
+    @staticmethod
+    def _trades(lines: DataFrame) -> DataFrame:
+        """Ids are made of order, line and the copy of the line, since lines come more than once.
+
+        Only the id needs the copies numbered: where it is not asked for, Spark drops the window and its shuffle.
+        """
+        values = ("l_suppkey", "l_shipdate", "l_returnflag", "l_linestatus", "l_quantity", "l_extendedprice", "l_tax")
+        copy = F.row_number().over(Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*values))
+        line = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+        too_many = F.raise_error(F.lit(f"more than {MAX_COPIES} copies of an order line")).cast("bigint")
+        flags = F.concat("l_returnflag", "l_linestatus")
+        tx_type = F.coalesce(*[F.when(flags == code, kind) for code, kind in TYPE_OF_FLAGS.items()], flags)
+        return lines.withColumn("copy", copy).select(
             "l_orderkey", "l_linenumber",
-            tx_id.alias("tx_id"),
-            "crypto_id",
+            F.when(F.col("copy") <= MAX_COPIES, line * (MAX_COPIES + 1) + F.col("copy")).otherwise(too_many).alias("tx_id"),
+            F.col("l_suppkey").alias("crypto_id"),
             tx_type.alias("tx_type"),
-            "quantity",
+            F.col("l_quantity").cast(QUANTITY).alias("quantity"),
             F.when(tx_type.isin("DEPOSIT", "WITHDRAWAL"), F.lit(None))
-            .when(tx_id % ZERO_PRICE_EVERY == 0, F.lit(0))
-            .otherwise(F.col("price"))
+            .when(line % ZERO_PRICE_EVERY == 0, F.lit(0))
+            .otherwise(F.col("l_extendedprice"))
             .cast(PRICE)
             .alias("price_per_unit_usd"),
-            "tx_timestamp",
-            "fee_usd",
+            F.col("l_shipdate").cast("timestamp").alias("tx_timestamp"),
+            F.col("l_tax").cast(FEE).alias("fee_usd"),
             F.lit(None).cast("string").alias("notes"),
         )
 
     @cached_property
     def transactions(self) -> DataFrame:
+        """The whole ledger. Orders without a customer or nation leave venue and category empty."""
         venue = (
             self._read("orders").select("o_orderkey", "o_custkey")
-            .join(self._read("customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
-            .join(self._read("nation").select("n_nationkey", "n_regionkey"), F.col("c_nationkey") == F.col("n_nationkey"))
+            .join(
+                self._read("customer").select("c_custkey", "c_nationkey"),
+                F.col("o_custkey") == F.col("c_custkey"), "left",
+            )
+            .join(
+                self._read("nation").select("n_nationkey", "n_regionkey"),
+                F.col("c_nationkey") == F.col("n_nationkey"), "left",
+            )
         )
         line = F.col("l_linenumber")
         # Both sides grow with the data: a merge join, so that neither is ever broadcast on an estimate.
-        return self.trades.join(venue.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).select(
+        rows = self._trades(self._read("lineitem"))
+        return rows.join(venue.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"), "left").select(
             "tx_id", "crypto_id",
             F.when(line != 7, F.col("c_nationkey")).alias("exchange_id"),
             F.when(line != 6, F.col("n_regionkey")).alias("category_id"),
             "tx_type", "quantity", "price_per_unit_usd", "tx_timestamp", "fee_usd", "notes",
         )
 
+    @cached_property
+    def checked(self) -> DataFrame:
+        """The whole ledger and a few rows that break its references: asset, venue, category, calendar."""
+        columns = ", ".join(f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in self.transactions.schema)
+        orphans = self.spark.sql(f"""
+            SELECT {columns} FROM VALUES
+              (-1, -5, 0, 0, 'BUY', 1, 10, '2000-06-01', 0.1, 'unknown asset'),
+              (-2, 0, -7, 1, 'SELL', 2, 11, '2000-06-02', 0.2, 'unknown venue'),
+              (-3, 0, 1, -9, 'BUY', 3, 12, '2000-06-03', NULL, 'unknown category'),
+              (-4, 0, 1, 1, 'BUY', 4, 13, '1950-01-01', 0.4, 'before any calendar')
+            AS t({", ".join(self.transactions.columns)})""")
+        return self.transactions.unionByName(orphans)
+
+    @cached_property
+    def spoiled(self) -> DataFrame:
+        """`checked`, and an id that comes twice with nothing else filled in."""
+        blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.transactions.schema.fields[1:]]
+        twice = self.spark.range(2).select(F.lit(-6).cast("bigint").alias("tx_id"), *blank)
+        return self.checked.unionByName(twice)
+
     @cached_property
     def historical_prices(self) -> DataFrame:
         price = F.col("l_extendedprice").cast(PRICE)
@@ -137,6 +175,7 @@ class LedgerTables:
                 F.min(price).alias("low_price_usd"),
                 F.sum(F.col("l_quantity").cast(VOLUME)).cast(VOLUME).alias("volume_usd"),
             )
+            .withColumn("price_id", F.col("crypto_id") * DAYS_PER_ASSET + F.unix_date("price_date"))
         )
 
     def as_dict(self) -> dict[str, DataFrame]:

@@ -49,21 +49,21 @@ def random_ledger(seed, n=160, assets=3, days=40):
 
 
 @pytest.mark.parametrize("seed", range(4))
-@pytest.mark.parametrize("unit", X.SLICE_UNITS)
-def test_equals_the_interval_overlap(make, seed, unit):
+@pytest.mark.parametrize("most", [1, 2, 5, 10**6])
+def test_equals_the_interval_overlap(make, seed, most):
     rows = random_ledger(seed)
     expected = brute_force(rows)
     assert len(expected) > 20
-    assert matches(X.fifo_matched_lots(make.tx(*rows), slice_unit=unit)) == expected
+    assert matches(X.fifo_matched_lots(make.tx(*rows), slice_rows=most)) == expected
 
 
-@pytest.mark.parametrize("unit", X.SLICE_UNITS)
-def test_one_sale_over_many_slices_and_many_sales_in_one_lot(make, unit):
+@pytest.mark.parametrize("most", [1, 2, 5, 10**6])
+def test_one_sale_over_many_slices_and_many_sales_in_one_lot(make, most):
     rows = [(1, 1, "BUY", 30, 1, "2022-01-01 00:00:00")]
     rows += [(10 + i, 1, "SELL", 1, 2, f"2022-{1 + i % 12:02d}-02 03:00:00") for i in range(24)]
     rows += [(100 + i, 1, "BUY", 1, 3, f"2022-{1 + i % 12:02d}-03 05:{i:02d}:00") for i in range(30)]
     rows += [(900, 1, "SELL", 36, 9, "2023-01-01 00:00:00")]
-    assert matches(X.fifo_matched_lots(make.tx(*rows), slice_unit=unit)) == brute_force(rows)
+    assert matches(X.fifo_matched_lots(make.tx(*rows), slice_rows=most)) == brute_force(rows)
 
 
 def test_equal_ends_and_ties_in_time(make):
@@ -157,12 +157,27 @@ def test_amounts_balance(make):
 
 def test_no_pairing_in_the_plan(two_assets):
     text = plan(X.fifo_matched_lots(two_assets))
-    assert "Join" not in text
+    assert "SortMergeJoin" not in text and "NestedLoop" not in text and "Cartesian" not in text
 
 
-def test_slices_are_measured(make):
+def slices(tx, most):
+    return X._with_slice(X._lots(tx, None), most).groupBy("crypto_id", "side", "slice").count().collect()
+
+
+def test_slices_are_years_unless_they_are_large(make):
     rows = [(i, 1, "BUY", 1, 1, f"2022-01-{1 + i // 6:02d} {i % 6:02d}:00:00") for i in range(24)]
+    rows.append((30, 1, "BUY", 1, 1, "2023-05-05 00:00:00"))
+    tx = make.tx(*rows)
+    assert sorted(r["count"] for r in slices(tx, 24)) == [1, 24]
+    assert sorted(r["count"] for r in slices(tx, 6)) == [1] + [6] * 4
+    assert sorted(r["count"] for r in slices(tx, 1)) == [1] * 25
+
+
+def test_half_the_ledger_at_one_instant_is_split(make, monkeypatch):
+    monkeypatch.setattr(X, "IDS_PER_RANGE", 10)
+    rows = [(i, 1, "BUY", 1, 1, "2022-01-01 00:00:00") for i in range(95)]
+    rows += [(1000 + i, i % 4, "SELL", 1, 1, f"2022-{1 + i % 12:02d}-07 00:00:00") for i in range(100)]
     tx = make.tx(*rows)
-    assert [X.measure_slice_unit(tx, n) for n in (24, 6, 1, 0)] == ["month", "day", "hour", "minute"]
-    with pytest.raises(ValueError):
-        X.fifo_buys(tx, slice_unit="week")
+    assert max(r["count"] for r in slices(tx, 30)) == 25
+    assert max(r["count"] for r in slices(tx.filter("crypto_id = 1"), 20)) <= 10
+    assert matches(X.fifo_matched_lots(tx, slice_rows=20)) == brute_force(rows)

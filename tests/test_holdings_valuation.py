@@ -165,3 +165,20 @@ def test_benchmark_asset_need_not_be_held(make, quotes):
     assert (row.btc_price_start, row.btc_price_end) == (D(10), D(30))
     assert row.portfolio_start_value == 0 and row.portfolio_percentage_growth is None
     assert row.btc_hypothetical_end_value == 0.0 and row.btc_hypothetical_percentage_growth is None
+
+
+def test_the_day_of_a_registered_query_reaches_the_scan(spark):
+    import os
+
+    from lotwise.plans.queries import all_queries
+
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("given tables not there")
+    for name in ("historical_holdings_by_date", "get_portfolio_value_at_date", "portfolio_vs_btc_benchmark"):
+        text = plan(all_queries()[name](spark, folder))
+        assert "LessThan(l_shipdate,2001-08-02" in text, name
+    # Reports without ids number no copies, so nothing is shuffled by order.
+    assert "l_orderkey" not in plan(all_queries()["current_holdings"](spark, folder))
+    monthly = plan(all_queries()["view_monthly_crypto_transaction_summary"](spark, folder))
+    assert "hashpartitioning(l_orderkey" not in monthly and "Window" not in monthly and "o_orderkey" not in monthly

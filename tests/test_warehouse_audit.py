@@ -1,11 +1,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 from decimal import Decimal as D
 from types import SimpleNamespace
 
 import pytest
-from conftest import ts
+from conftest import plan, ts
 from pyspark.sql import functions as F
 
 from lotwise.operators import audit as A
@@ -44,6 +45,15 @@ def test_existing_keys_stay_and_new_ones_follow(spark):
     assert got[5] == 101 and got[30] == 4
 
 
+def test_keys_of_sparse_ids_need_no_ordering_of_the_whole_table(spark):
+    rng = random.Random(4)
+    ids = sorted({rng.randrange(-(2**63), 2**63) for _ in range(300)} | {-(2**63), 2**63 - 1, 0, -1})
+    df = spark.createDataFrame([(None, i) for i in ids], "key bigint, id bigint")
+    keyed = K.assign_surrogate_keys(df, "key", "id")
+    assert dict((r.id, r.key) for r in keyed.collect()) == {i: n for n, i in enumerate(ids, start=1)}
+    assert "SinglePartition" not in "".join(x for x in plan(keyed).split("\n\n") if x.lstrip().startswith("(") and "Window" in x)
+
+
 def test_next_key(spark):
     assert K.next_key(spark.createDataFrame([(7,), (3,)], "id int"), "id").collect()[0][0] == 8
     assert K.next_key(spark.createDataFrame([], "id int"), "id").collect()[0][0] == 1
@@ -183,18 +193,33 @@ def test_csv_import_quarantines_what_does_not_fit(spark, tmp_path):
     }
 
 
+def test_csv_import_loses_no_text(spark, tmp_path):
+    lines = [
+        "tx_id,crypto_id,exchange_id,category_id,tx_type,quantity,price_per_unit_usd,tx_timestamp,fee_usd,notes",
+        "3000000000,3000000001,1,1,BUY,1,2,2022-01-01 00:00:00,0.1,big ids",
+        "2,1,1,1,BUY,1,2,2022-01-01 00:00:00,0.1,one comma, too many",
+        '3,1,1,1,BUY,1,2,2022-01-01 00:00:00,0.1,"two',
+        'lines, and ""quotes"""',
+        "4,1,1",
+        '5,1,1,1,BUY,1,2,2022-01-01 00:00:00,0.1,"never closed',
+    ]
+    (tmp_path / "tx.csv").write_text("\n".join(lines) + "\n")
+    good, bad = csv_ledger.load_ledger_csv(spark, str(tmp_path / "tx.csv"), "transactions")
+    notes = {r.tx_id: r.notes for r in good.collect()}
+    assert notes[3000000000] == "big ids" and notes[3] == 'two\nlines, and "quotes"'
+    kept = "".join(f"{r.line}{r.notes}" for r in bad.collect())
+    assert "too many" in kept and "4,1,1" in kept and 2 not in notes and 4 not in notes
+    assert "never closed" in kept + "".join(x or "" for x in notes.values())
+
+
 def test_shared_folder_follows_the_session(spark):
-    def session(master, **conf):
-        return SimpleNamespace(
-            conf=SimpleNamespace(get=lambda key, default: conf.get(key.replace(".", "_"), default)),
-            sparkContext=SimpleNamespace(master=master),
-        )
+    def session(**conf):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: conf.get(key.replace(".", "_"), default)))
 
-    cluster = session("spark://host:7077", spark_checkpoint_dir="/shared/example")
+    cluster = session(spark_checkpoint_dir="/shared/example", spark_sql_warehouse_dir="/warehouse")
     assert shared_dir(cluster, "x").startswith("/shared/example/x-")
+    assert shared_dir(session(spark_sql_warehouse_dir="/warehouse"), "x").startswith("/warehouse/x-")
     assert shared_dir(spark, "x") != shared_dir(spark, "x")
-    with pytest.raises(RuntimeError):
-        shared_dir(session("spark://host:7077"), "x")
 
 
 # --- edits and audit -----------------------------------------------------------------------------------------
@@ -210,14 +235,14 @@ def ledger(make):
 
 @pytest.fixture(scope="module")
 def changed(ledger, make):
-    step = L.insert_rows(ledger, make.tx((4, 1, "BUY", "0.005", 60000, "2022-01-04 00:00:00", 1, 1, "0.5", "new")))
-    step = L.update_rows(step, F.col("tx_id") == 2, {"fee_usd": F.lit(0.75), "notes": F.lit("edited")})
+    step = L.insert_rows(ledger, make.tx((4, 1, "BUY", "0.125", 41000, "2022-01-04 00:00:00", 1, 1, "0.3", "new")))
+    step = L.update_rows(step, F.col("tx_id") == 2, {"fee_usd": F.lit(1.25), "notes": F.lit("edited")})
     return L.delete_rows(step, F.col("tx_id") == 3)
 
 
 def test_edits(ledger, changed):
     got = {r.tx_id: (r.fee_usd, r.notes) for r in changed.collect()}
-    assert got == {1: (D("0.5"), "keep"), 2: (D("0.75"), "edited"), 4: (D("0.5"), "new")}
+    assert got == {1: (D("0.5"), "keep"), 2: (D("1.25"), "edited"), 4: (D("0.3"), "new")}
     # a predicate that is NULL touches nothing
     assert L.delete_rows(ledger, F.col("exchange_id") == 1).count() == 1
     assert L.update_rows(ledger, F.col("exchange_id") == 1, {"notes": F.lit("z")}).filter("notes = 'z'").count() == 2
