@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,10 +57,21 @@ def anchors_of(templates: dict[str, str]) -> list[str]:
         for i in range(max(1, len(words) - SHINGLE_WORDS + 1)):
             run = words[i : i + SHINGLE_WORDS]
             if run and chosen.isdisjoint(run):
-                chosen.add(max(run, key=lambda w: (len(w), w)))
+                chosen.add(min(run, key=lambda w: (-len(w), w)))
     return sorted(chosen)
 
 
+def _hashes(templates: dict[str, str], length: int) -> list[int]:
+    """Shingle hashes of the templates of a length, as the engine's xxhash64 gives them."""
+    found = set()
+    for words in map(_plain_words, templates.values()):
+        if len(words) == length:
+            for i in range(max(1, length - SHINGLE_WORDS + 1)):
+                value = xxhash.xxh64_intdigest(" ".join(words[i : i + SHINGLE_WORDS]).encode(), 42)
+                found.add(value - (1 << 64) if value >> 63 else value)
+    return sorted(found)
+
+
 def template_rows(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
     """(license, template_shingles, length) of each template that has words."""
     rows = spark.createDataFrame([(k, v) for k, v in templates.items()], "license string, text string")
@@ -77,8 +89,9 @@ def scan(
     Windows move by an eighth of their length, and the last one ends with the text; shorter texts are one window.
     `first_word` counts from 0; of equally good windows the first counts. `digest` is the xxhash64 of the text: rows with
     the same id and text are one, null and empty texts have no result. Templates are a fixed list given by the caller,
-    so their bands may be broadcast. Texts aren't shuffled, only what was found in them; windows without any anchor word
-    of the templates can't match and aren't hashed.
+    so their bands may be broadcast. Texts aren't shuffled, only what was found in them. Windows without any shingle of
+    a template of their length can't match and aren't hashed: they are told by anchor words, of which every shingle of
+    every template has one, and the shingles around these.
     """
     templates = TEMPLATES if templates is None else templates
     known = template_rows(docs.sparkSession, templates)
@@ -88,11 +101,22 @@ def scan(
         return docs.limit(0).select(
             id, F.lit(0).cast("long").alias("digest"), F.lit("").alias("license"), F.lit(0.0).alias("containment"), F.lit(0).cast("long").alias("first_word")
         )
+    # Anchors inside a shingle of a template of the window's length; where there is none, no window can match.
+    shared = F.create_map(*[x for n in lengths for x in (F.lit(n), F.array(*[F.lit(h) for h in _hashes(templates, n)]))])
+    run = F.least(F.col("length"), F.lit(SHINGLE_WORDS))
+
+    def in_template(place: Column) -> Column:
+        starts = F.sequence(F.greatest(place - (SHINGLE_WORDS - 1), F.lit(0)), place)
+        return F.exists(starts, lambda i: F.array_contains(F.col("hashes"), F.xxhash64(F.array_join(F.slice("words", i + 1, run), " "))))
+
     near = (
         docs.select(F.col(id).alias("id"), F.xxhash64(text).alias("digest"), words_of(F.col(text)).alias("words"))
         .where(F.arrays_overlap("words", anchors))
-        .withColumn("places", F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.array_contains(anchors, F.get("words", i))))
+        .withColumn("anchored", F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.array_contains(anchors, F.get("words", i))))
         .withColumn("length", F.explode(F.array(*[F.lit(n) for n in lengths])))
+        .withColumn("hashes", shared[F.col("length")])
+        .withColumn("places", F.filter("anchored", in_template))
+        .where(F.size("places") > 0)
     )
     step = F.greatest(F.floor(F.col("length") / STEPS_PER_WINDOW), F.lit(1)).cast("int")
     last = F.greatest(F.size("words") - F.col("length"), F.lit(0))
