@@ -18,6 +18,10 @@ STEPS_PER_WINDOW = 8
 # miss it with probability (1 - (2/3) ** BAND_ROWS) ** BANDS, which is below one in a million.
 BANDS, BAND_ROWS = 24, 2
 
+# Words too common to tell license texts from others; a run of words has one as its anchor only if it
+# has no other word.
+COMMON_WORDS = frozenset("a all an and any are as at be by for from if in is it may not of on or that the this to was with you".split())
+
 _GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -47,7 +51,7 @@ def _plain_words(text: str) -> list[str]:
 
 
 def anchors_of(templates: dict[str, str]) -> list[str]:
-    """Words of which every shingle of every template has at least one: the longest word of those that had none yet.
+    """Words of which every shingle of every template has at least one: the longest uncommon word of those that had none yet.
 
     A text without any of them shares no shingle with any template.
     """
@@ -57,7 +61,7 @@ def anchors_of(templates: dict[str, str]) -> list[str]:
         for i in range(max(1, len(words) - SHINGLE_WORDS + 1)):
             run = words[i : i + SHINGLE_WORDS]
             if run and chosen.isdisjoint(run):
-                chosen.add(min(run, key=lambda w: (-len(w), w)))
+                chosen.add(min(run, key=lambda w: (w in COMMON_WORDS, -len(w), w)))
     return sorted(chosen)
 
 
