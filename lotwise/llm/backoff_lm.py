@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 ORDER = 2
 BACKOFF = 0.4
 # Text that one task explodes at once, and n-grams that one task counts at once, on average.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 BUCKET_GRAMS = 1 << 20
 
 _PIECE = 1 << 20
