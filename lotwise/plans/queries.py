@@ -340,7 +340,7 @@ def _load_fact(t: _Run, tx: DataFrame, fact: DataFrame, dim_date: DataFrame) ->
 
 
 def _second_load_fact(t: _Run) -> DataFrame:
-    """Load the early part of the ledger without fees, store it, then load the whole ledger over it."""
+    """Load the early part of the ledger without fees, store it by month, then load the whole ledger over it."""
     path = shared_dir(t.spark, "fact")
     early = t.transactions.filter(F.col("tx_timestamp") < F.lit(EARLIER_LOAD_UNTIL).cast("timestamp"))
     first = _load_fact(
@@ -348,7 +348,8 @@ def _second_load_fact(t: _Run) -> DataFrame:
         warehouse.empty_table(t.spark, FACT_TRANSACTIONS), t.dim_date,
     )
     snapshots.save_fact(first, path)
-    return _load_fact(t, t.transactions, snapshots.read_fact(t.spark, path), t.dim_date)
+    snapshots.load_fact_months(t.spark, path, t.fact_rows(), shared_dir(t.spark, "fact-staging"))
+    return snapshots.read_fact(t.spark, path)
 
 
 def _materialized_holdings(t: _Run) -> DataFrame:
@@ -495,7 +496,8 @@ def _streamed_audit(t: _Run) -> DataFrame:
     audit_stream.start_audit_stream(
         audit_stream.read_change_feed(t.spark, feed), log, checkpoint
     ).awaitTermination()
-    return t.spark.read.parquet(log)
+    # Ids follow the order of arrival, which SQL over the tables can't know.
+    return t.spark.read.parquet(log).select("operation_type", "operation_timestamp", *AUDIT_IMAGE.fieldNames())
 
 
 def _audit() -> dict[str, Query]:

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise.operators.holdings import current_holdings
-from lotwise.schemas import WIDE_QUANTITY
+from lotwise.operators.merge import upsert
+from lotwise.schemas import FACT_TRANSACTIONS, WIDE_QUANTITY, conform
 
 
 def materialize_current_holdings(tx: DataFrame, cryptos: DataFrame) -> DataFrame:
@@ -29,12 +30,40 @@ def save_table(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").parquet(path)
 
 
-def save_fact(fact: DataFrame, path: str) -> None:
+def _by_month(fact: DataFrame) -> DataFrame:
     """Partitioned by month for pruning; the rebalance keeps files even when one month is far larger."""
-    fact.withColumn("date_month", F.floor(F.col("date_key") / 100).cast("int")).hint(
-        "rebalance", F.col("date_month")
-    ).write.mode("errorifexists").partitionBy("date_month").parquet(path)
+    return fact.withColumn("date_month", F.floor(F.col("date_key") / 100).cast("int")).hint("rebalance", F.col("date_month"))
+
+
+def save_fact(fact: DataFrame, path: str) -> None:
+    _by_month(fact).write.mode("errorifexists").partitionBy("date_month").parquet(path)
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("date_month")
+
+
+def load_fact_months(spark: SparkSession, path: str, rows: DataFrame, staging: str) -> None:
+    """Upsert fact rows into a stored fact, rewriting only the months the load touches.
+
+    These are the months of the loaded rows and those their ids are stored in so far, so a row that moves to another
+    month leaves the old one. The next content of these months is written to ``staging``, a folder that must not exist,
+    before any month is replaced; the other months keep their files. A calendar's months are few, so their list may go
+    through the driver.
+    """
+    stored = spark.read.parquet(path)
+    ids = rows.select("tx_id_original")
+    months = rows.select(F.floor(F.col("date_key") / 100).cast("int").alias("date_month")).unionByName(
+        stored.select("tx_id_original", "date_month").join(ids, "tx_id_original", "left_semi").select("date_month")
+    )
+    touched = sorted(r.date_month for r in months.distinct().collect())
+    part = stored.filter(F.col("date_month").isin(touched)).drop("date_month")
+    save_fact(conform(upsert(part, rows, "tx_id_original", "transaction_key", keyed=stored), FACT_TRANSACTIONS), staging)
+    staged = spark.read.parquet(staging)
+    _by_month(staged.drop("date_month")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "date_month"
+    ).parquet(path)
+    left = {r.date_month for r in staged.select("date_month").distinct().collect()}
+    for month in touched:
+        if month not in left:
+            staged.drop("date_month").limit(0).write.mode("overwrite").parquet(f"{path}/date_month={month}")

@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from lotwise.schemas import AUDIT_IMAGE
+from lotwise.operators.keys import assign_surrogate_keys
+from lotwise.schemas import AUDIT_HISTORY, AUDIT_IMAGE, conform
+
+# Partition column of the streamed log.
+BATCH = "stream_batch"
 
 # op is I, U or D; old is NULL for I, new is NULL for D.
 CHANGE_FEED = T.StructType(
@@ -35,13 +39,32 @@ def audit_rows(feed: DataFrame) -> DataFrame:
 
 
 def start_audit_stream(feed: DataFrame, audit_path: str, checkpoint: str) -> StreamingQuery:
-    """Appends what has arrived and stops; the same checkpoint picks up from there, each change once."""
+    """Appends what has arrived and stops; the same checkpoint picks up from there, each change once.
+
+    Entries get the ids after the log's last one, in order of arrival. A batch is a folder of its own in the log, which
+    a repeated batch replaces, so a restart neither doubles entries nor leaves gaps.
+    """
+
+    def append(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        log = _logged_before(spark, audit_path, number)
+        rows = audit_rows(batch).withColumns(
+            {"audit_id": F.lit(None).cast("bigint"), "arrival": F.monotonically_increasing_id()}
+        )
+        numbered = assign_surrogate_keys(rows, "audit_id", "arrival", keyed=log)
+        conform(numbered, AUDIT_HISTORY).write.mode("overwrite").parquet(f"{audit_path}/{BATCH}={number}")
+
     return (
-        audit_rows(feed)
-        .writeStream.format("parquet")
+        feed.writeStream.foreachBatch(append)
         .outputMode("append")
-        .option("path", audit_path)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def _logged_before(spark: SparkSession, audit_path: str, number: int) -> DataFrame:
+    """The log's entries of earlier batches; none if there is no log yet."""
+    if number == 0:
+        return spark.createDataFrame([], AUDIT_HISTORY)
+    return spark.read.parquet(audit_path).filter(F.col(BATCH) < number)

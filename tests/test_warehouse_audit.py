@@ -180,6 +180,28 @@ CSV = """tx_id,crypto_id,exchange_id,category_id,tx_type,quantity,price_per_unit
 """
 
 
+def test_a_load_rewrites_only_the_months_it_touches(spark, star, make, tmp_path):
+    path = str(tmp_path / "fact")
+    ledger = star["tx"].unionByName(make.tx((7, 2, "BUY", 1, 3, "2022-03-01 00:00:00", 1, 1, "0.1")))
+    snapshots.save_fact(load(star, ledger, W.empty_table(spark, FACT_TRANSACTIONS)), path)
+
+    def files():
+        return {p.parent.name: p.name for p in (tmp_path / "fact").glob("*/part-*.parquet")}
+
+    before = files()
+    moved = make.tx(
+        (4, 2, "DEPOSIT", 6, None, "2022-01-20 00:00:00", 1, 1, "0.2"), (8, 1, "BUY", 1, 1, "2022-01-21 00:00:00", 1, 1, None)
+    )
+    fresh = W.fact_rows(moved, star["date"], star["crypto"], star["exchange"], star["category"])
+    snapshots.load_fact_months(spark, path, fresh, str(tmp_path / "staging"))
+    after = files()
+    assert after["date_month=202203"] == before["date_month=202203"]
+    assert after["date_month=202201"] != before["date_month=202201"]
+    got = {r.tx_id_original: (r.transaction_key, r.date_key, r.quantity) for r in snapshots.read_fact(spark, path).collect()}
+    assert set(got) == {1, 2, 3, 4, 7, 8}
+    assert got[4] == (4, 20220120, D(6)) and got[8][0] == 6 and got[7][0] == 5
+
+
 def test_csv_import_quarantines_what_does_not_fit(spark, tmp_path):
     (tmp_path / "tx.csv").write_text(CSV)
     good, bad = csv_ledger.load_ledger_csv(spark, str(tmp_path / "tx.csv"), "transactions")
@@ -304,3 +326,4 @@ def test_stream_logs_every_change_once(spark, ledger, tmp_path):
     assert run() == [(1, "I", 1), (2, "U", 1), (3, "U", 1), (4, "D", 2)]
     deleted = spark.read.parquet(log).filter("operation_type = 'D'").collect()[0]
     assert deleted.tx_timestamp == dt.datetime(2022, 1, 2)
+    assert sorted(r.audit_id for r in spark.read.parquet(log).collect()) == [1, 2, 3, 4] and deleted.audit_id == 4
