@@ -39,7 +39,7 @@ class Ftrl:
 _BASE = np.uint64(0x100000001B3)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x100000001B3, -1, 1 << 64))
-_PIECE = 1 << 20
+_PIECE = 1 << 18
 
 # 0 white space and controls, 1 letters, digits and everything beyond ASCII, 2 signs.
 _KIND = np.array([0 if c <= 32 or c == 127 else 1 if c >= 128 or chr(c).isalnum() else 2 for c in range(256)], np.uint8)
