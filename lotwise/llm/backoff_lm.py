@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lotwise.llm.common import exact, restored
+
 ORDER = 2
 BACKOFF = 0.4
 # Text that one task explodes at once, and n-grams that one task counts at once, on average.
@@ -157,7 +159,7 @@ def scores(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
     words, size = words or 0, size or 0
     blocks = max(1, -(-size // BLOCK_BYTES))
     buckets = max(1, -(-ORDER * words // BUCKET_GRAMS))
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)))
+    dealt = exact(rows).withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)))
 
     def send(group: pd.DataFrame) -> pd.DataFrame:
         _, _, every, often = _exploded(list(group["text"]))
@@ -188,6 +190,6 @@ def scores(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
 
     sent = dealt.groupBy("block").applyInPandas(send, "block long, bucket long, grams binary, counts binary")
     counted = sent.groupBy("bucket").applyInPandas(count, "block long, bucket long, counts binary")
-    kind = rows.schema["id"].dataType.simpleString()
+    kind = dealt.schema["id"].dataType.simpleString()
     scored = dealt.groupBy("block").cogroup(counted.groupBy("block")).applyInPandas(finish, f"id {kind}, n_words long, log10_score double")
-    return scored.withColumnRenamed("id", id)
+    return restored(scored, rows.select("id")).withColumnRenamed("id", id)

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Rows of whole texts that one Arrow batch may hold in a Python worker.
 TEXT_BATCH = 1000
@@ -56,6 +57,22 @@ def renamed_free(narrow: DataFrame, frame: DataFrame) -> DataFrame:
     return narrow.toDF(*[free_name(frame, f"_{c}") for c in narrow.columns])
 
 
+def exact(frame: DataFrame) -> DataFrame:
+    """Nullable integers as decimals, for Python workers: beside nulls, pandas holds integers as doubles, which round from 2^53 on."""
+    whole = [f.name for f in frame.schema if isinstance(f.dataType, T.IntegralType) and f.nullable]
+    return frame.withColumns({c: F.col(f"`{c}`").cast("decimal(20,0)") for c in whole})
+
+
+def restored(frame: DataFrame, like: DataFrame) -> DataFrame:
+    """`frame` with the types that its first columns, in order, have in `like`."""
+    types = [f.dataType for f in like.schema] + [f.dataType for f in frame.schema.fields[len(like.columns) :]]
+    return frame.select(*[F.col(f"`{c}`").cast(kind).alias(c) for c, kind in zip(frame.columns, types, strict=True)])
+
+
+def schema_of(frame: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema)
+
+
 def small_batches(frames: Iterator[pd.DataFrame], rows: int = TEXT_BATCH) -> Iterator[pd.DataFrame]:
     """Arrow batches cut into pieces of a bounded number of rows."""
     for frame in frames:

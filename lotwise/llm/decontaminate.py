@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import checkpointed, free_name, renamed_free, small_batches
+from lotwise.llm.common import checkpointed, exact, free_name, renamed_free, restored, small_batches
 
 WINDOW_WORDS = 13
 BLOCK_WORDS = 2
@@ -183,10 +183,12 @@ def _one_pass(rows: DataFrame, items: list[tuple[str, str]]) -> DataFrame:
                 }
             )
 
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.withColumn("digest", F.xxhash64("text")).mapInPandas(
+    carried = exact(rows.withColumn("digest", F.xxhash64("text")))
+    kind = carried.schema["id"].dataType.simpleString()
+    found = carried.mapInPandas(
         run, f"id {kind}, digest long, n_words long, ranges array<struct<begin: bigint, end: bigint>>, items array<string>"
     )
+    return restored(found, rows.select("id"))
 
 
 def n_hit() -> Column:

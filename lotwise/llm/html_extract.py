@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import checkpointed, small_batches
+from lotwise.llm.common import checkpointed, exact, restored, small_batches
 from lotwise.llm.url_rules import host_of
 
 # Candidates that each page names to its host.
@@ -23,7 +23,7 @@ BROADCAST_HOSTS = 100_000
 
 # Elements that never hold an article's text, and words in class, id or role that say the same.
 SKIPPED_TAGS = frozenset(
-    "nav header footer aside form button select option menu dialog svg canvas object figcaption head noscript template".split()
+    "nav header footer aside form button select option menu dialog svg canvas object head noscript template".split()
 )
 SKIPPED_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr "
@@ -238,12 +238,13 @@ def main_texts(pages: DataFrame, id: str = "page_id", url: str = "url", content:
     winners = checkpointed(winning_paths(pages, url, content))
     few = winners.count() <= BROADCAST_HOSTS
     rows = pages.select(F.col(id).alias("id"), F.col(url).alias("url"), host_of(F.col(url)).alias("host"), F.col(content).alias("html"))
-    met = rows.join(F.broadcast(winners) if few else winners, "host", "left").select("id", "url", "path", "html")
-    kind, url_kind = rows.schema["id"].dataType.simpleString(), rows.schema["url"].dataType.simpleString()
+    met = exact(rows.join(F.broadcast(winners) if few else winners, "host", "left").select("id", "url", "path", "html"))
+    kind, url_kind = met.schema["id"].dataType.simpleString(), met.schema["url"].dataType.simpleString()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in small_batches(frames):
             texts = [extract(x, path) for x, path in zip(frame["html"], frame["path"], strict=True)]
             yield pd.DataFrame({"id": frame["id"], "url": frame["url"], "text": texts})
 
-    return met.mapInPandas(run, f"id {kind}, url {url_kind}, text string").withColumnsRenamed({"id": id, "url": url})
+    found = met.mapInPandas(run, f"id {kind}, url {url_kind}, text string")
+    return restored(found, rows.select("id", "url")).withColumnsRenamed({"id": id, "url": url})

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lotwise.llm.common import exact, restored
+
 CAPACITY = 1024
 # Documents that are packed together. Each shard is one task's work, whatever the corpus size.
 SHARD_ROWS = 4096
@@ -81,11 +83,12 @@ def pack(
         cluster.alias("cluster"),
         F.greatest(F.coalesce(size.cast("long"), F.lit(0)), F.lit(0)).alias("size"),
     )
-    counted = rows.groupBy("id", "source", "cluster", "size").agg(F.count(F.lit(1)).alias("copies"))
+    counted = exact(rows).groupBy("id", "source", "cluster", "size").agg(F.count(F.lit(1)).alias("copies"))
     single = counted.select("id", "source", "cluster", "size", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
     shards = max(1, -(-docs.count() // SHARD_ROWS))
-    dealt = single.withColumn("shard", F.pmod(F.xxhash64("id", "source", "size", "copy"), F.lit(shards)))
-    kind = rows.schema["id"].dataType.simpleString()
+    place = F.xxhash64(F.col("id").cast(rows.schema["id"].dataType), F.col("source").cast(rows.schema["source"].dataType), "size", "copy")
+    dealt = single.withColumn("shard", F.pmod(place, F.lit(shards)))
+    kind = dealt.schema["id"].dataType.simpleString()
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["size", "id", "copy", "source", "cluster"], ascending=[False, True, True, True, True])
@@ -112,7 +115,7 @@ def pack(
         "id", "copy", *[F.lit(0).cast("long").alias(c) for c in ("piece", "piece_begin", "piece_end")],
         *[F.lit(None).cast("long").alias(c) for c in ("bin_id", "bin_offset")],
     )
-    return packed.unionByName(none).withColumnRenamed("id", id)
+    return restored(packed.unionByName(none), rows.select("id")).withColumnRenamed("id", id)
 
 
 def pack_texts(docs: DataFrame, text: str = "text", **names) -> DataFrame:

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import small_batches
+from lotwise.llm.common import exact, restored, schema_of, small_batches
 
 # The bound of the fit: this many labelled rows at most, those with the smallest hash of their id.
 SAMPLE_ROWS = 6000
@@ -227,7 +227,7 @@ def with_scores(docs: DataFrame, weights: np.ndarray, name: str, text: str = "te
     Null and empty texts get the score of the intercept alone. Rows and their number stay, repeated ones too.
     """
     keep = docs.columns if keep is None else keep
-    types = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    carried = exact(docs.select(*dict.fromkeys([*keep, text])))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in small_batches(frames):
@@ -235,7 +235,8 @@ def with_scores(docs: DataFrame, weights: np.ndarray, name: str, text: str = "te
             out[name] = scores(list(frame[text]), weights)
             yield out
 
-    return docs.select(*dict.fromkeys([*keep, text])).mapInPandas(run, f"{types}, `{name}` double")
+    scored = carried.mapInPandas(run, f"{schema_of(carried.select(*keep))}, `{name}` double")
+    return restored(scored, docs.select(*keep))
 
 
 def score_of(text: Column, weights: np.ndarray) -> Column:

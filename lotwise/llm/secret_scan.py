@@ -8,13 +8,15 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import free_name, small_batches
+from lotwise.llm.common import exact, free_name, restored, schema_of, small_batches
 
 # Kinds in the order they are listed in.
 KINDS = ("assign", "access", "hex", "guess")
@@ -161,10 +163,13 @@ def scan(text: str | None) -> list[tuple[str, int, int, float | None]]:
         found += [("access", m.start(), m.end(), None) for m in _ACCESS.finditer(text) if m.end() - m.start() >= MIN_ACCESS]
     found += [("hex", m.start(), m.end(), None) for m in _HEX.finditer(text)]
     if context:
-        base = [(b, e) for _, b, e, _ in found]
+        # Of the base spans that begin at or before a place, the furthest end.
+        base = sorted((b, e) for _, b, e, _ in found)
+        reach = list(accumulate((e for _, e in base), max))
         for m in _CONTEXT.finditer(text):
             begin, end = m.span(m.lastindex)
-            if end - begin < MIN_GUESS_CHARS or any(b <= begin and end <= e for b, e in base):
+            before = bisect_right(base, begin, key=lambda span: span[0])
+            if end - begin < MIN_GUESS_CHARS or (before and end <= reach[before - 1]):
                 continue
             cost = guess_log10(text[begin:end])
             if cost >= MIN_GUESS_LOG10:
@@ -193,8 +198,8 @@ def with_secrets(docs: DataFrame, text: str = "text", name: str = "secrets", kee
     """
     kept = docs.select(*(keep if keep is not None else [c for c in docs.columns if c != text]))
     name = free_name(kept, name)
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
     inside = free_name(kept, "text")
+    carried = exact(docs.select(*kept.columns, F.col(text).alias(inside)))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in small_batches(frames):
@@ -204,7 +209,7 @@ def with_secrets(docs: DataFrame, text: str = "text", name: str = "secrets", kee
             ]
             yield out
 
-    return docs.select(*kept.columns, F.col(text).alias(inside)).mapInPandas(run, f"{types}, `{name}` {SPAN_TYPE}")
+    return restored(carried.mapInPandas(run, f"{schema_of(carried.drop(inside))}, `{name}` {SPAN_TYPE}"), kept)
 
 
 def redact(docs: DataFrame, text: str = "text", mark: str = "[secret]") -> DataFrame:

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import checkpointed, components, free_name, renamed_free, small_batches
+from lotwise.llm.common import checkpointed, components, exact, free_name, renamed_free, restored, schema_of, small_batches
 
 SHINGLE_WORDS = 4
 SEED = 42
@@ -47,6 +47,7 @@ def fingerprint(text: str | None) -> int:
 def with_fingerprints(docs: DataFrame, text: str, name: str) -> DataFrame:
     """`docs` without its text column and with `name`, the fingerprint (long). A null or blank text has fingerprint 0."""
     kept = [c for c in docs.columns if c != text]
+    carried = exact(docs.select(*kept, text))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in small_batches(frames):
@@ -54,8 +55,8 @@ def with_fingerprints(docs: DataFrame, text: str, name: str) -> DataFrame:
             out[name] = np.array([fingerprint(x) for x in frame[text]], np.int64)
             yield out
 
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.drop(text).schema)
-    return docs.select(*kept, text).mapInPandas(run, f"{types}, `{name}` long")
+    printed = carried.mapInPandas(run, f"{schema_of(carried.select(*kept))}, `{name}` long")
+    return restored(printed, docs.select(*kept))
 
 
 def embedding(bits: Column) -> Column:

@@ -49,3 +49,8 @@ def test_query_matches_the_template_of_the_pages(spark, small):
     got = queries.op6_html_extract(spark, small).collect()
     assert {r.page_id: r.text for r in got} == want
     assert all(r.n_chars == len(r.text) for r in got)
+
+
+def test_captions_are_part_of_the_article():
+    page = "<body><nav>menu</nav><article><p>one</p><figure><img src=x><figcaption>two</figcaption></figure><p>three</p></article></body>"
+    assert html_extract.extract(page, None) == "one\ntwo\nthree"

@@ -78,3 +78,11 @@ def test_query_lists_what_the_scan_finds(spark, small):
         found = secret_scan.scan(texts[r.doc_id])
         assert r.spans == ",".join(f"{k}:{b}:{e}" for k, b, e, _ in found)
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(s[0] == k for s in found) for k in ("assign", "access", "hex"))
+
+
+def test_guess_spans_lie_in_no_other_span():
+    text = "token=Zx8qLw2Vt9Kd password: 'Gh5,Nw1;Rt7:Pv' secret => 0123456789abcdef0123456789abcdef api-key: \"Qm4 Tz8 Jc2 Xb6\" " * 40
+    found = secret_scan.scan(text)
+    base = [(b, e) for k, b, e, _ in found if k != "guess"]
+    guesses = [(b, e) for k, b, e, _ in found if k == "guess"]
+    assert guesses and not any(b <= begin and end <= e for begin, end in guesses for b, e in base)
