@@ -84,8 +84,8 @@ def dq_price_gaps(prices: DataFrame, cryptos: DataFrame, crypto_id: int | None =
 
 
 def dq_unmapped_dates(tx: DataFrame, dim_date: DataFrame) -> DataFrame:
-    # One row per calendar day: the broadcast is bounded, the ledger stays where it is.
-    days = F.broadcast(dim_date.select(F.col("full_date").alias("tx_date")))
+    # Distinct days: the broadcast is bounded by the calendar's range, the ledger stays where it is.
+    days = F.broadcast(dim_date.select(F.col("full_date").alias("tx_date")).distinct())
     return (
         tx.select("tx_id", "tx_timestamp", F.to_date("tx_timestamp").alias("tx_date"))
         .join(days, "tx_date", "left_anti")

@@ -84,8 +84,13 @@ def empty_table(spark: SparkSession, schema) -> DataFrame:
     return conform(spark.range(1).select(*[F.lit(None).alias(f.name) for f in schema.fields]).limit(0), schema)
 
 
+def per_day(dim_date: DataFrame, day: Column, *values: str) -> DataFrame:
+    """One row per day, broadcast. Grouping bounds it by the days there are, even if a calendar lists one twice."""
+    return F.broadcast(dim_date.groupBy(day).agg(*[F.min(v).alias(v) for v in values]))
+
+
 def _day_keys(dim_date: DataFrame) -> DataFrame:
-    return F.broadcast(dim_date.select(F.col("full_date").alias("tx_date"), "date_key"))
+    return per_day(dim_date, F.col("full_date").alias("tx_date"), "date_key")
 
 
 def _with_dimension_keys(
@@ -177,8 +182,8 @@ def view_monthly_crypto_transaction_summary(fact: DataFrame, dim_date: DataFrame
     """
     amounts = {"quantity": F.col("quantity"), "value": F.col("transaction_value_usd")}
     kinds = {"buy": "BUY", "sell": "SELL"}
-    month = F.date_format("full_date", "yyyy-MM").alias("year_month")
-    dated = fact.join(F.broadcast(dim_date.select("date_key", month)), "date_key")
+    months = dim_date.select("date_key", F.date_format("full_date", "yyyy-MM").alias("year_month"))
+    dated = fact.join(per_day(months, F.col("date_key"), "year_month"), "date_key")
     sums = dated.groupBy("year_month", "crypto_key").agg(
         *[F.sum(F.when(is_type(t), c)).alias(f"{k}_{a}") for k, t in kinds.items() for a, c in amounts.items()],
         *[count_if(is_type(t)).alias(f"{k}_count") for k, t in kinds.items()],
@@ -239,7 +244,7 @@ def verify_star_null_keys(fact: DataFrame, tx: DataFrame) -> DataFrame:
 def value_by_symbol_year(fact: DataFrame, dim_date: DataFrame, dim_crypto: DataFrame) -> DataFrame:
     yearly = (
         fact.filter(F.col("tx_type").isin("BUY", "SELL"))
-        .join(F.broadcast(dim_date.select("date_key", "year_actual")), "date_key")
+        .join(per_day(dim_date, F.col("date_key"), "year_actual"), "date_key")
         .groupBy("year_actual", "crypto_key")
         .agg(F.sum("transaction_value_usd").alias("value"))
     )
