@@ -144,7 +144,8 @@ def scores(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
     word that occurs in no other document. At the start of a text shorter contexts cost no backoff. Null and empty texts
     have no words and score 0; repeated rows are different documents with equal words. An empty table gives no rows.
 
-    Blocks of documents are dealt evenly, whatever their ids. Each block sends its distinct n-grams to the hash buckets,
+    Blocks of documents are dealt evenly by their place, whatever their ids; `docs` is read three times and must give its
+    rows in the same places each time, as tables do (store it first where an unordered shuffle makes it). Each block sends its distinct n-grams to the hash buckets,
     added up first, so a frequent n-gram is one entry a block; the buckets return the corpus counts in the order sent.
     """
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))

@@ -165,7 +165,8 @@ def near_duplicates(vectors: DataFrame, id: str = "vec_id", embedding: str = "em
     Null, empty and zero vectors, and those with null or non-finite components, link with nothing and are kept, as their
     own component. n_links counts the other rows linked directly, copies included; component_id is the smallest id
     reachable. Equal vectors of a label enter the forest as one, so copies are never paired. Links are found by the
-    forest, whose recall the tests measure against brute force; none below the cosine is returned.
+    forest, whose recall the tests measure against brute force; none below the cosine is returned. Different vectors are
+    told apart by a 64-bit hash; among 10^9 of them the odds that any two share one are below 3 %.
     """
     rows = vectors.select(
         F.col(id).alias("id"), F.col(label).alias("label"), F.transform(F.col(embedding), lambda x: x.cast("double")).alias("vector")

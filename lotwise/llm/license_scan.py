@@ -14,6 +14,8 @@ SHINGLE_WORDS = 5
 MIN_CONTAINMENT = 0.8
 # A window is as long as a template; it moves by this part of its length.
 STEPS_PER_WINDOW = 8
+# Templates whose bands may be broadcast; more meet the windows by a shuffle, unless Spark finds them small enough.
+BROADCAST_TEMPLATES = 1000
 # A window of a template's length that holds 0.8 of its shingles has a Jaccard similarity of at least 0.8 / 1.2; all BANDS
 # miss it with probability (1 - (2/3) ** BAND_ROWS) ** BANDS, which is below one in a million.
 BANDS, BAND_ROWS = 24, 2
@@ -92,8 +94,8 @@ def scan(
     A template is found where a window of its length, in words, has MIN_CONTAINMENT or more of its distinct shingles.
     Windows move by an eighth of their length, and the last one ends with the text; shorter texts are one window.
     `first_word` counts from 0; of equally good windows the first counts. `digest` is the xxhash64 of the text: rows with
-    the same id and text are one, null and empty texts have no result. Templates are a fixed list given by the caller,
-    so their bands may be broadcast. Texts aren't shuffled, only what was found in them. Windows without any shingle of
+    the same id and text are one, null and empty texts have no result. Templates are a list given by the caller; the bands
+    of BROADCAST_TEMPLATES or fewer are broadcast. Texts aren't shuffled, only what was found in them. Windows without any shingle of
     a template of their length can't match and aren't hashed: they are told by anchor words, of which every shingle of
     every template has one, and the shingles around these.
     """
@@ -143,8 +145,9 @@ def scan(
         .select("id", "digest", "length", "start", shingles_of(F.col("window")).alias("shingles"))
     )
     bands = known.select("license", "template_shingles", F.col("length").alias("own_length"), F.posexplode(bands_of(F.col("template_shingles"))).alias("own_band", "own_key"))
+    bands = F.broadcast(bands) if len(templates) <= BROADCAST_TEMPLATES else bands
     met = windows.select("id", "digest", "length", "start", "shingles", F.posexplode(bands_of(F.col("shingles"))).alias("band", "key")).join(
-        F.broadcast(bands), (F.col("band") == F.col("own_band")) & (F.col("key") == F.col("own_key")) & (F.col("length") == F.col("own_length"))
+        bands, (F.col("band") == F.col("own_band")) & (F.col("key") == F.col("own_key")) & (F.col("length") == F.col("own_length"))
     )
     share = F.size(F.array_intersect("template_shingles", "shingles")) / F.size("template_shingles")
     return (

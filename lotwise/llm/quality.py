@@ -190,7 +190,7 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     """Weights learned from the labelled rows of `labels`, joined to their texts.
 
     At most SAMPLE_ROWS rows are used: those with the smallest hash of their id, so the choice doesn't depend on order
-    or partitions. Rows with a null id or label, or a label other than 0 and 1, are left out. SHARDS models are trained
+    or partitions; of several texts with one id the one with the smallest hash. Rows with a null id or label, or a label other than 0 and 1, are left out. SHARDS models are trained
     side by side on a share each and averaged. Without labelled rows all weights are 0 and every score is one half.
     """
     chosen = (
@@ -200,12 +200,12 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
         .orderBy(F.xxhash64("id"), "id", "y")
         .limit(SAMPLE_ROWS)
     )
-    # The sample is bounded by its limit, so it may be broadcast; repeated documents are cut by the same limit.
+    # The sample is bounded by its limit, so it may be broadcast. Texts go from the scan to their shard, never to one task.
     rows = (
         docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
         .join(F.broadcast(chosen), "id")
-        .orderBy(F.xxhash64("id"), "id", "y", F.xxhash64("text"))
-        .limit(SAMPLE_ROWS)
+        .groupBy("id", "y")
+        .agg(F.min_by("text", F.xxhash64("text")).alias("text"))
         .withColumn("shard", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(SHARDS)))
     )
 
