@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from lotwise.llm.common import exact, restored
 
+# Words of the longest n-grams, unless the caller names another order.
 ORDER = 2
 BACKOFF = 0.4
 # Text that one task explodes at once, and n-grams that one task counts at once, on average.
@@ -81,10 +82,10 @@ def grams(hashes: np.ndarray, owner: np.ndarray, order: int) -> tuple[np.ndarray
     return out, whole
 
 
-def _exploded(texts: list[str | None]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray]:
+def _exploded(texts: list[str | None], order: int) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray]:
     """Number of the text of each word; by order, n-grams by word; all distinct n-grams, sorted, and how often each occurs."""
     hashes, owner = word_hashes(texts)
-    by_order = [grams(hashes, owner, n) for n in range(1, ORDER + 1)]
+    by_order = [grams(hashes, owner, n) for n in range(1, order + 1)]
     every, often = np.unique(np.concatenate([g[whole] for g, whole in by_order]), return_counts=True)
     return owner, by_order, every, often
 
@@ -113,9 +114,9 @@ def _packed_counts(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes()
 
 
-def _score(texts: list[str | None], totals: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+def _score(texts: list[str | None], totals: np.ndarray, words: int, order: int) -> tuple[np.ndarray, np.ndarray]:
     """Words and log10 score of each text, from the corpus counts of all distinct n-grams of these texts."""
-    owner, by_order, every, _ = _exploded(texts)
+    owner, by_order, every, _ = _exploded(texts, order)
     size = np.bincount(owner, minlength=len(texts))
     others = np.maximum(words - size[owner], 0)
     # Counts in the other documents, at each word, by order.
@@ -128,18 +129,18 @@ def _score(texts: list[str | None], totals: np.ndarray, words: int) -> tuple[np.
         left.append(rest)
     # A word seen nowhere else has one chance in all other words and itself, once more backed off.
     level = np.where(left[0] > 0, left[0] / np.maximum(others, 1), BACKOFF / (others + 1.0))
-    for order in range(1, ORDER):
-        context = np.concatenate([np.zeros(1, np.int64), left[order - 1][:-1]]) if len(owner) else left[order - 1]
-        seen = left[order] > 0
-        whole = by_order[order][1]
-        level = np.where(seen, left[order] / np.maximum(context, 1), np.where(whole, BACKOFF * level, level))
+    for n in range(1, order):
+        context = np.concatenate([np.zeros(1, np.int64), left[n - 1][:-1]]) if len(owner) else left[n - 1]
+        seen = left[n] > 0
+        whole = by_order[n][1]
+        level = np.where(seen, left[n] / np.maximum(context, 1), np.where(whole, BACKOFF * level, level))
     return size, np.bincount(owner, np.log10(level), len(texts))
 
 
-def scores(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def scores(docs: DataFrame, id: str = "doc_id", text: str = "text", order: int = ORDER) -> DataFrame:
     """One row per row of `docs`: (id, n_words long, log10_score double).
 
-    Each word scores count(n-gram) / count(context), where the n-gram occurs in another document; else BACKOFF times its
+    N-grams have up to `order` words. Each word scores count(n-gram) / count(context), where the n-gram occurs in another document; else BACKOFF times its
     score with a shorter context, down to its share of all words of the other documents, or BACKOFF / (those + 1) for a
     word that occurs in no other document. At the start of a text shorter contexts cost no backoff. Null and empty texts
     have no words and score 0; repeated rows are different documents with equal words. An empty table gives no rows.
@@ -159,11 +160,11 @@ def scores(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
     words, size = rows.select("text").mapInPandas(sizes, "words long, bytes long").agg(F.sum("words"), F.sum("bytes")).first()
     words, size = words or 0, size or 0
     blocks = max(1, -(-size // BLOCK_BYTES))
-    buckets = max(1, -(-ORDER * words // BUCKET_GRAMS))
+    buckets = max(1, -(-order * words // BUCKET_GRAMS))
     dealt = exact(rows).withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)))
 
     def send(group: pd.DataFrame) -> pd.DataFrame:
-        _, _, every, often = _exploded(list(group["text"]))
+        _, _, every, often = _exploded(list(group["text"]), order)
         edges = _bucket_edges(every, buckets)
         full = np.flatnonzero(np.diff(edges))
         return pd.DataFrame(
@@ -186,7 +187,7 @@ def scores(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
 
     def finish(group: pd.DataFrame, counted: pd.DataFrame) -> pd.DataFrame:
         own = [_counts(x) for x in counted.sort_values("bucket")["counts"]]
-        size, score = _score(list(group["text"]), np.concatenate([np.zeros(0, np.int64), *own]), words)
+        size, score = _score(list(group["text"]), np.concatenate([np.zeros(0, np.int64), *own]), words, order)
         return pd.DataFrame({"id": group["id"], "n_words": size, "log10_score": score})
 
     sent = dealt.groupBy("block").applyInPandas(send, "block long, bucket long, grams binary, counts binary")

@@ -73,7 +73,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return backoff_lm.scores(read(spark, sf_dir, "documents")).withColumn("log10_score", F.round("log10_score", 6))
+    return backoff_lm.scores(read(spark, sf_dir, "documents"), order=3).withColumn("log10_score", F.round("log10_score", 6))
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

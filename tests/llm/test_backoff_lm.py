@@ -5,7 +5,7 @@ from collections import Counter
 
 import pytest
 
-from lotwise.llm import backoff_lm
+from lotwise.llm import backoff_lm, queries
 
 
 def _brute(texts):
@@ -49,3 +49,52 @@ def test_small_tables(documents):
     assert (alone.doc_id, alone.n_words) == (None, 2) and alone.log10_score < 0
     rows = backoff_lm.scores(documents((1, "same text here"), (1, "same text here"))).collect()
     assert rows[0] == rows[1]
+
+
+def _brute_of_order(texts, order):
+    """Scores straight from the definition: the longest n-gram that other texts have, backed off one word at a time."""
+    words = [re.findall(r"[0-9a-z\u0080-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) for t in texts]
+    grams = lambda own: Counter(tuple(own[i : i + n]) for n in range(1, order + 1) for i in range(len(own) - n + 1))
+    every, total = Counter(), sum(map(len, words))
+    for own in words:
+        every.update(grams(own))
+    out = []
+    for own in words:
+        mine, score = grams(own), 0.0
+        left = lambda gram: every[gram] - mine[gram]
+        for i in range(len(own)):
+            factor = 1.0
+            for n in range(min(order, i + 1), 0, -1):
+                gram = tuple(own[i - n + 1 : i + 1])
+                if left(gram):
+                    level = left(gram) / (left(gram[:-1]) if n > 1 else total - len(own))
+                    break
+                factor *= 0.4
+            else:
+                level = 1 / (total - len(own) + 1)
+            score += math.log10(factor * level)
+        out.append((len(own), score))
+    return out
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 5])
+def test_any_order(documents, monkeypatch, order):
+    monkeypatch.setattr(backoff_lm, "BLOCK_BYTES", 200)
+    monkeypatch.setattr(backoff_lm, "BUCKET_GRAMS", 50)
+    rng = random.Random(order)
+    texts = [" ".join(rng.choice("a b c d e F".split()) for _ in range(rng.choice([0, 1, 2, 3, 9, 40]))) for _ in range(40)]
+    texts += [texts[5], None, "", "once only here", "a b c new a b c"]
+    want = _brute_of_order(texts, order)
+    got = backoff_lm.scores(documents(*enumerate(texts)), order=order).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert r.n_words == want[r.doc_id][0]
+        assert abs(r.log10_score - want[r.doc_id][1]) < 1e-6
+
+
+def test_query_counts_trigrams(spark, small):
+    rows = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()
+    want = sorted((r.doc_id, n, score) for r, (n, score) in zip(rows, _brute_of_order([r.text for r in rows], 3), strict=True))
+    got = sorted((r.doc_id, r.n_words, r.log10_score) for r in queries.op8_backoff_lm(spark, small).collect())
+    assert [x[:2] for x in got] == [x[:2] for x in want]
+    assert all(abs(g[2] - w[2]) < 1e-5 for g, w in zip(got, want, strict=True))
