@@ -12,13 +12,13 @@ from lotwise.llm.license_texts import TEMPLATES
 
 SHINGLE_WORDS = 5
 MIN_CONTAINMENT = 0.8
-# A window is as long as a template; it moves by this part of its length.
+# A window is as long as a template; windows that are retrieved move by this part of their length.
 STEPS_PER_WINDOW = 8
 # Templates whose bands may be broadcast; more meet the windows by a shuffle, unless Spark finds them small enough.
 BROADCAST_TEMPLATES = 1000
-# A window of a template's length that holds 0.8 of its shingles has a Jaccard similarity of at least 0.8 / 1.2; all BANDS
-# miss it with probability (1 - (2/3) ** BAND_ROWS) ** BANDS, which is below one in a million.
-BANDS, BAND_ROWS = 24, 2
+# Where some window holds 0.8 of a template's shingles, one on the grid holds 0.7 or more and has a Jaccard similarity of at
+# least 0.7 / 1.3; all BANDS miss it with probability (1 - (0.7 / 1.3) ** BAND_ROWS) ** BANDS, far below one in a million.
+BANDS, BAND_ROWS = 48, 1
 
 # Words too common to tell license texts from others; a run of words has one as its anchor only if it
 # has no other word.
@@ -92,7 +92,8 @@ def scan(
     """(id, digest, license, containment double, first_word long): each template found in each text, at its best window.
 
     A template is found where a window of its length, in words, has MIN_CONTAINMENT or more of its distinct shingles.
-    Windows move by an eighth of their length, and the last one ends with the text; shorter texts are one window.
+    Windows start at every word, and the last one ends with the text; shorter texts are one window. Bands retrieve windows
+    that move by an eighth of their length; around these, every start within a step is verified.
     `first_word` counts from 0; of equally good windows the first counts. `digest` is the xxhash64 of the text: rows with
     the same id and text are one, null and empty texts have no result. Templates are a list given by the caller; the bands
     of BROADCAST_TEMPLATES or fewer are broadcast. Texts aren't shuffled, only what was found in them. Windows without any shingle of
@@ -136,24 +137,48 @@ def scan(
             ),
         )
     )
+    # Hashes of the runs of words that start at each place of the text, and those of a number of words from a start on.
+    ends = F.greatest(F.size("words") - run, F.lit(0))
+    hashed = F.transform(F.sequence(F.lit(0), ends), lambda i: F.xxhash64(F.array_join(F.slice("words", i + 1, run), " ")))
+    low = F.greatest(F.col("start") - F.col("step"), F.lit(0))
+
+    def held(hashes: str, start: Column, words: Column) -> Column:
+        return F.slice(hashes, start + 1, F.greatest(words - run + 1, F.lit(1)))
+
     windows = (
         near.withColumn("step", step)
         .withColumn("last", last)
+        .withColumn("runs", hashed)
         .withColumn("start", F.explode(F.array_distinct(F.concat(around.cast("array<int>"), F.array("last")))))
-        .withColumn("window", F.slice("words", F.col("start") + 1, F.col("length")))
-        .where(F.arrays_overlap("window", anchors))
-        .select("id", "digest", "length", "start", shingles_of(F.col("window")).alias("shingles"))
-    )
-    bands = known.select("license", "template_shingles", F.col("length").alias("own_length"), F.posexplode(bands_of(F.col("template_shingles"))).alias("own_band", "own_key"))
+        .where(F.arrays_overlap(F.slice("words", F.col("start") + 1, F.col("length")), anchors))
+        .withColumn("low", low)
+        .withColumn("high", F.least(F.col("start") + F.col("step"), F.col("last")))
+        .select(
+            "id", "digest", "length", "low", "high",
+            held("runs", F.col("low"), F.col("high") - F.col("low") + F.col("length")).alias("region"),
+            held("runs", F.col("start"), F.col("length")).alias("shingles"),
+        )
+    )
+    bands = known.select("license", "template_shingles", F.col("length").alias("own_length"), bands_of(F.col("template_shingles")).alias("own_keys"))
+    bands = bands.select("*", F.posexplode("own_keys").alias("own_band", "own_key"))
     bands = F.broadcast(bands) if len(templates) <= BROADCAST_TEMPLATES else bands
-    met = windows.select("id", "digest", "length", "start", "shingles", F.posexplode(bands_of(F.col("shingles"))).alias("band", "key")).join(
+    keyed = windows.select("id", "digest", "length", "low", "high", "region", bands_of(F.col("shingles")).alias("keys"))
+    met = keyed.select("*", F.posexplode("keys").alias("band", "key")).join(
         bands, (F.col("band") == F.col("own_band")) & (F.col("key") == F.col("own_key")) & (F.col("length") == F.col("own_length"))
     )
-    share = F.size(F.array_intersect("template_shingles", "shingles")) / F.size("template_shingles")
+    share = lambda hashes: F.size(F.array_intersect("template_shingles", hashes)) / F.size("template_shingles")
+    best = F.array_min(
+        F.transform(
+            F.sequence("low", "high"),
+            lambda s: F.struct((-share(held("region", s - F.col("low"), F.col("length")))).alias("share"), s.cast("long").alias("start")),
+        )
+    )
+    # A window that meets a template in several bands is verified in the first, and only where enough is around it.
+    first = F.array_position(F.zip_with("keys", "own_keys", lambda a, b: a == b), True) == F.col("band") + 1
     return (
-        met.select("id", "digest", "license", share.alias("containment"), F.col("start").cast("long").alias("start"))
-        .where(F.col("containment") >= MIN_CONTAINMENT)
+        met.where(first & (share(F.col("region")) >= MIN_CONTAINMENT))
         .groupBy("id", "digest", "license")
-        .agg(F.min(F.struct(-F.col("containment"), F.col("start"))).alias("best"))
-        .select(F.col("id").alias(id), "digest", "license", (-F.col("best.col1")).alias("containment"), F.col("best.start").alias("first_word"))
+        .agg(F.min(best).alias("best"))
+        .where(F.col("best.share") <= -MIN_CONTAINMENT)
+        .select(F.col("id").alias(id), "digest", "license", (-F.col("best.share")).alias("containment"), F.col("best.start").alias("first_word"))
     )

@@ -71,3 +71,25 @@ def test_every_shingle_has_an_anchor():
     for text in TEMPLATES.values():
         words = license_scan._plain_words(text)
         assert all(anchors & set(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
+
+
+def _marked(words, places):
+    return [f"changed{i}" if i in places else w for i, w in enumerate(words)]
+
+
+def test_found_wherever_the_text_puts_it(documents):
+    """Copies with words changed are found at every offset, with the containment of the aligned copy."""
+    texts, want = [], []
+    for name, number in (("BSD-3-Clause#1", 1), ("MIT#2", 2), ("GPL-3.0#2", 1)):
+        words = license_scan._plain_words(TEMPLATES[name])
+        # Changed runs in the middle, as many words as leave just enough of the template.
+        changed = _marked(words, set(range(10, 10 + number)))
+        while len(_runs(words) & _runs(_marked(changed, {10 + number}))) >= 0.8 * len(_runs(words)):
+            changed, number = _marked(changed, {10 + number}), number + 1
+        share = len(_runs(words) & _runs(changed)) / len(_runs(words))
+        assert 0.8 <= share < 0.83
+        for offset in range(9):
+            texts.append(" ".join([*(f"before{i}" for i in range(offset)), *changed, *(f"after{i}" for i in range(80))]))
+            want.append((name, (share, offset)))
+    got = _got(license_scan.scan(documents(*enumerate(texts))))
+    assert [got.get(i, {}).get(name) for i, (name, _) in enumerate(want)] == [found for _, found in want]
