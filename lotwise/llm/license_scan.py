@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,10 +15,12 @@ SHINGLE_WORDS = 5
 MIN_CONTAINMENT = 0.8
 # A window is as long as a template; windows that are retrieved move by this part of their length.
 STEPS_PER_WINDOW = 8
+# A copy with words put in may reach over a stretch longer than the template by this part of its length.
+STRETCH_PART = 2
 # Templates whose bands may be broadcast; more meet the windows by a shuffle, unless Spark finds them small enough.
 BROADCAST_TEMPLATES = 1000
-# Where some window holds 0.8 of a template's shingles, one on the grid holds 0.7 or more and has a Jaccard similarity of at
-# least 0.7 / 1.3; all BANDS miss it with probability (1 - (0.7 / 1.3) ** BAND_ROWS) ** BANDS, far below one in a million.
+# Where a stretch holds 0.8 of a template's shingles, a window on the grid inside it holds half of them, 0.4, and has a Jaccard
+# similarity of at least 0.4 / 1.6; all BANDS miss it with probability (1 - 0.25 ** BAND_ROWS) ** BANDS, one in a million.
 BANDS, BAND_ROWS = 48, 1
 
 # Words too common to tell license texts from others; a run of words has one as its anchor only if it
@@ -91,10 +94,12 @@ def scan(
 ) -> DataFrame:
     """(id, digest, license, containment double, first_word long): each template found in each text, at its best window.
 
-    A template is found where a window of its length, in words, has MIN_CONTAINMENT or more of its distinct shingles.
-    Windows start at every word, and the last one ends with the text; shorter texts are one window. Bands retrieve windows
-    that move by an eighth of their length; around these, every start within a step is verified.
-    `first_word` counts from 0; of equally good windows the first counts. `digest` is the xxhash64 of the text: rows with
+    A template is found where a stretch of one and a half times its length, in words, has MIN_CONTAINMENT or more of its
+    distinct shingles, so that copies with words put in are whole. Windows of the template's own length come first where
+    they have as many. Both start at every word, up to the window that ends with the text; shorter texts are one window.
+    Bands retrieve windows that move by an eighth of their length; around these, every start is verified whose stretch
+    can reach over them. `first_word` counts from 0; of equally good windows the first counts, of equally good
+    stretches the first that begins with a shingle of the template, or the last of all. `digest` is the xxhash64 of the text: rows with
     the same id and text are one, null and empty texts have no result. Templates are a list given by the caller; the bands
     of BROADCAST_TEMPLATES or fewer are broadcast. Texts aren't shuffled, only what was found in them. Windows without any shingle of
     a template of their length can't match and aren't hashed: they are told by anchor words, of which every shingle of
@@ -140,7 +145,8 @@ def scan(
     # Hashes of the runs of words that start at each place of the text, and those of a number of words from a start on.
     ends = F.greatest(F.size("words") - run, F.lit(0))
     hashed = F.transform(F.sequence(F.lit(0), ends), lambda i: F.xxhash64(F.array_join(F.slice("words", i + 1, run), " ")))
-    low = F.greatest(F.col("start") - F.col("step"), F.lit(0))
+    more = F.floor(F.col("length") / STRETCH_PART).cast("int")
+    low = F.greatest(F.col("start") - F.col("step") - more, F.lit(0))
 
     def held(hashes: str, start: Column, words: Column) -> Column:
         return F.slice(hashes, start + 1, F.greatest(words - run + 1, F.lit(1)))
@@ -154,24 +160,29 @@ def scan(
         .withColumn("low", low)
         .withColumn("high", F.least(F.col("start") + F.col("step"), F.col("last")))
         .select(
-            "id", "digest", "length", "low", "high",
-            held("runs", F.col("low"), F.col("high") - F.col("low") + F.col("length")).alias("region"),
+            "id", "digest", "length", "low", "high", "last",
+            held("runs", F.col("low"), F.col("high") - F.col("low") + F.col("length") + more).alias("region"),
             held("runs", F.col("start"), F.col("length")).alias("shingles"),
         )
     )
     bands = known.select("license", "template_shingles", F.col("length").alias("own_length"), bands_of(F.col("template_shingles")).alias("own_keys"))
     bands = bands.select("*", F.posexplode("own_keys").alias("own_band", "own_key"))
     bands = F.broadcast(bands) if len(templates) <= BROADCAST_TEMPLATES else bands
-    keyed = windows.select("id", "digest", "length", "low", "high", "region", bands_of(F.col("shingles")).alias("keys"))
+    keyed = windows.select("id", "digest", "length", "low", "high", "last", "region", bands_of(F.col("shingles")).alias("keys"))
     met = keyed.select("*", F.posexplode("keys").alias("band", "key")).join(
         bands, (F.col("band") == F.col("own_band")) & (F.col("key") == F.col("own_key")) & (F.col("length") == F.col("own_length"))
     )
     share = lambda hashes: F.size(F.array_intersect("template_shingles", hashes)) / F.size("template_shingles")
+
+    def at(wide: bool, words: Column) -> Callable[[Column], Column]:
+        """Minus the share of the words from a start on, so that the least is the best."""
+        found = lambda s: -share(held("region", s - F.col("low"), words))
+        return lambda s: F.struct(found(s).alias("share"), F.lit(wide).alias("wide"), s.cast("long").alias("start"))
+
+    starts = F.sequence("low", "high")
+    begins = lambda s: (s == F.col("last")) | F.array_contains("template_shingles", F.get("region", s - F.col("low")))
     best = F.array_min(
-        F.transform(
-            F.sequence("low", "high"),
-            lambda s: F.struct((-share(held("region", s - F.col("low"), F.col("length")))).alias("share"), s.cast("long").alias("start")),
-        )
+        F.concat(F.transform(starts, at(False, F.col("length"))), F.transform(F.filter(starts, begins), at(True, F.col("length") + more)))
     )
     # A window that meets a template in several bands is verified in the first, and only where enough is around it.
     first = F.array_position(F.zip_with("keys", "own_keys", lambda a, b: a == b), True) == F.col("band") + 1

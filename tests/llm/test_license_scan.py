@@ -1,3 +1,4 @@
+import random
 import re
 
 from lotwise.llm import license_scan
@@ -93,3 +94,35 @@ def test_found_wherever_the_text_puts_it(documents):
             want.append((name, (share, offset)))
     got = _got(license_scan.scan(documents(*enumerate(texts))))
     assert [got.get(i, {}).get(name) for i, (name, _) in enumerate(want)] == [found for _, found in want]
+
+
+def _best_of_every_start(words, own):
+    """Best containment over every window of the template's length and every stretch of one and a half times that."""
+    last = max(0, len(words) - len(own))
+    parts = (words[s : s + n] for s in range(last + 1) for n in (len(own), len(own) + len(own) // 2))
+    return max(len(_runs(own) & _runs(part)) for part in parts) / len(_runs(own)) if words else 0.0
+
+
+def test_copies_with_words_put_in(documents):
+    rng = random.Random(3)
+    texts = []
+    for name, number in (("MIT#2", 16), ("GPL-2.0#1", 10)):
+        words = license_scan._plain_words(TEMPLATES[name])
+        for offset in (0, 1, 5, 11):
+            put = [*words[: len(words) // 2], *(f"new{i}" for i in range(number)), *words[len(words) // 2 :]]
+            texts.append([*(f"before{i}" for i in range(offset)), *put, *(f"after{i}" for i in range(rng.choice([0, 3, 90])))])
+    planted = len(texts)
+    for text in TEMPLATES.values():
+        for _ in range(3):
+            # Words put in, changed and left out anywhere.
+            words = license_scan._plain_words(text)
+            for _ in range(rng.randrange(6)):
+                at = rng.randrange(len(words))
+                words[at : at + rng.randrange(2)] = [f"new{i}" for i in range(rng.randrange(8))]
+                words = words or ["none"]
+            texts.append([*["before"] * rng.randrange(40), *words, *["after"] * rng.randrange(40)])
+    got = _got(license_scan.scan(documents(*[(i, " ".join(t)) for i, t in enumerate(texts)])))
+    assert all(name in got.get(i, {}) for i, name in enumerate(["MIT#2"] * 4 + ["GPL-2.0#1"] * 4)) and planted == 8
+    for i, words in enumerate(texts):
+        every = {name: _best_of_every_start(words, license_scan._plain_words(text)) for name, text in TEMPLATES.items()}
+        assert {name: share for name, (share, _) in got.get(i, {}).items()} == {name: share for name, share in every.items() if share >= 0.8}
