@@ -186,22 +186,41 @@ def parse(text: str) -> Page:
     return page
 
 
+def _outermost(page: Page) -> dict[str, list[Element]]:
+    """Containers with text by path, in page order, without those inside another one on the same path."""
+    found: dict[str, list[Element]] = {}
+    # Inner containers close before outer ones, so from the end outer ones come first.
+    for element in reversed(page.containers):
+        if element.last_block > element.first_block:
+            same = found.setdefault(element.path, [])
+            if not same or element.first_block < same[-1].first_block:
+                same.append(element)
+    return {path: same[::-1] for path, same in reversed(found.items())}
+
+
+def _path_score(same: list[Element]) -> float:
+    return sum(e.weight * e.chars for e in same)
+
+
 def candidates(text: str | None) -> list[tuple[str, float]]:
-    """The best-scored container paths of a page and their scores; the score is text outside links, by kind of element."""
-    best: dict[str, float] = {}
-    for element in parse(text or "").containers:
-        score = element.weight * element.chars
-        if score > 0:
-            best[element.path] = max(best.get(element.path, 0.0), score)
-    return sorted(best.items(), key=lambda x: (-x[1], x[0]))[:CANDIDATES]
+    """The best-scored container paths of a page and their scores; the score is text outside links, by kind of element.
+
+    A path's score is the sum over its outermost containers, so an article in several parts counts as a whole.
+    """
+    scores = [(path, score) for path, same in _outermost(parse(text or "")).items() if (score := _path_score(same)) > 0]
+    return sorted(scores, key=lambda x: (-x[1], x[0]))[:CANDIDATES]
 
 
 def extract(text: str | None, path: str | None) -> str:
-    """The text of the page's best container on the path; without one, of its best container of all."""
+    """The text of all the page's outermost containers on the path, in page order; without one, of its best path."""
     page = parse(text or "")
-    on_path = [e for e in page.containers if e.path == path and e.chars > 0]
-    chosen = max(on_path or page.containers, key=lambda e: e.weight * e.chars)
-    return "\n".join(page.blocks[chosen.first_block : chosen.last_block])
+    by_path = _outermost(page)
+    chosen = by_path.get(path, [])
+    if not _path_score(chosen):
+        chosen = max(by_path.values(), key=_path_score, default=[])
+    if not _path_score(chosen):
+        chosen = by_path.get("*", [])
+    return "\n".join(block for e in chosen for block in page.blocks[e.first_block : e.last_block])
 
 
 def winning_paths(pages: DataFrame, url: str = "url", content: str = "html") -> DataFrame:

@@ -54,3 +54,19 @@ def test_query_matches_the_template_of_the_pages(spark, small):
 def test_captions_are_part_of_the_article():
     page = "<body><nav>menu</nav><article><p>one</p><figure><img src=x><figcaption>two</figcaption></figure><p>three</p></article></body>"
     assert html_extract.extract(page, None) == "one\ntwo\nthree"
+
+
+def test_articles_in_several_parts():
+    a, b = "First part. " * 80, "Second part. " * 70
+    parts = f'<body><div><div class="post-body"><p>{a}</p></div><div class="ad">Buy</div><div class="post-body">{b}<p><a href="#">More</a></p></div></div></body>'
+    want = "\n".join([a.strip(), b.strip(), "More"])
+    path = html_extract.candidates(parts)[0][0]
+    assert path == "body>div>div.post-body"
+    assert html_extract.extract(parts, path) == html_extract.extract(parts, None) == want
+    # A part of links alone belongs to the article too, and what lies inside a part isn't there twice.
+    linked = parts.replace('<div class="ad">', '<div class="post-body"><a href="#">Source</a></div><div class="ad">')
+    assert html_extract.extract(linked, path) == want.replace(a.strip(), a.strip() + "\nSource")
+    articles = "<body><article><p>one</p></article><nav>menu</nav><article><p>two two</p></article><article>three</article></body>"
+    assert html_extract.extract(articles, None) == html_extract.extract(articles, "body>article") == "one\ntwo two\nthree"
+    deep = "<div>" * 30 + "deep" + "</div>" * 10 + "<p>less deep</p>"
+    assert html_extract.extract(deep, html_extract.candidates(deep)[0][0]) == "deep\nless deep"
