@@ -34,6 +34,10 @@ SKIPPED_WORDS = frozenset(
 # Elements that may hold an article, by how much their text counts.
 CONTAINERS = {"article": 4.0, "main": 3.0, "section": 1.2, "div": 1.1, "td": 1.0, "body": 1.0}
 ARTICLE_WORDS = frozenset("article post entry story content main text body".split())
+# A class that begins with one of these tells what is around an element, not what it is.
+MODIFIERS = frozenset("has with no without".split())
+# Last words of a class that leave its meaning to the word before: comments-area, ad-slot.
+NEUTRAL_WORDS = frozenset("area slot wrap wrapper container box block section list inner unit item items link links button buttons".split())
 BLOCK_TAGS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option p pre section summary table tbody td "
@@ -78,25 +82,60 @@ class Page:
     containers: list[Element] = field(default_factory=list)
 
 
-def _names(attributes: str) -> tuple[list[str], str]:
-    """Words of class, id and role; the first class, digits generalised."""
+def _says_skip(name: list[str]) -> set[str]:
+    """The listed word that a class, id or role name, given by its words, ends with: "left-sidebar", but not "has-sidebar"."""
+    if not name or name[0] in MODIFIERS:
+        return set()
+    bare = name
+    while len(bare) > 1 and bare[-1] in NEUTRAL_WORDS:
+        bare = bare[:-1]
+    # Neutral words count out only behind a single word: content-sidebar-wrap holds the content too.
+    last = bare[-1] if len(bare) == 1 else name[-1]
+    return {last} & SKIPPED_WORDS
+
+
+def _names(attributes: str) -> tuple[list[str], str, set[str], set[str]]:
+    """Words of class, id and role; the first class, digits generalised; listed words that class or id, and role, end with.
+
+    Class and id say nothing where another name of theirs is an article's own ("main-content"), other than comments.
+    """
     words: list[str] = []
     first = ""
+    bad: set[str] = set()
+    roles: set[str] = set()
+    article = False
     for kind, *values in _NAMES.findall(attributes):
         value = next((v for v in values if v), "").lower()
         words += re.split(r"[\s_-]+", value)
         if kind.lower() == "class" and not first and value.split():
             first = re.sub(r"\d+", "0", value.split()[0])
-    return words, first
+        for whole in value.split():
+            # Numbers only tell elements of a kind apart.
+            name = [w for w in re.split(r"[_-]+", whole) if w and not w.isdigit()]
+            if kind.lower() == "role":
+                roles |= _says_skip(name)
+            else:
+                bad |= _says_skip(name)
+                article |= bool(name) and name[0] not in MODIFIERS and name[-1] in ARTICLE_WORDS and SKIPPED_WORDS.isdisjoint(name)
+    return words, first, bad & {"comment", "comments"} if article else bad, roles
 
 
-def parse(text: str) -> Page:
-    """One walk over the tags of a page. Unclosed and unknown tags don't matter; inline tags join what is around them."""
+def parse(text: str, by_class: bool = True) -> Page:
+    """One walk over the tags of a page. Unclosed and unknown tags don't matter; inline tags join what is around them.
+
+    Where nothing is left because a class or id says to skip it, the page is walked once more without regard to these.
+    """
+    by_name = False
     page = Page()
     stack: list[Element] = []
     parts: list[str] = []
     scored = linked = 0
 
+    def listed(bad: set[str], roles: set[str]) -> bool:
+        nonlocal by_name
+        by_name = by_name or bool(bad)
+        return bool(roles or (by_class and bad))
+
     def flush() -> None:
         """End the block that is open; text in links counts against it."""
         nonlocal scored, linked
@@ -137,8 +176,8 @@ def parse(text: str) -> Page:
             continue
         if tag not in BLOCK_TAGS and tag not in SKIPPED_TAGS:
             if token[4] and not token[2] and tag not in VOID_TAGS:
-                words, _ = _names(token[4])
-                if not SKIPPED_WORDS.isdisjoint(words):
+                _, _, bad, roles = _names(token[4])
+                if listed(bad, roles):
                     stack.append(Element(tag, True))
             elif token[2] and stack and stack[-1].tag == tag:
                 close(len(stack) - 1)
@@ -160,16 +199,15 @@ def parse(text: str) -> Page:
             close(len(stack) - 1)
         while stack and tag in ENDS_BEFORE.get(stack[-1].tag, ()):
             close(len(stack) - 1)
-        words, first = _names(token[4]) if token[4] else ([], "")
+        words, first, bad, roles = _names(token[4]) if token[4] else ([], "", set(), set())
         above = stack[-1] if stack else None
         skipped = bool(above and above.skipped) or tag in SKIPPED_TAGS
         if not skipped and words and tag not in ("html", "body"):
-            bad = SKIPPED_WORDS.intersection(words)
             if tag in ("article", "main"):
-                bad &= {"comment", "comments"}
+                bad, roles = bad & {"comment", "comments"}, roles & {"comment", "comments"}
             elif not ARTICLE_WORDS.isdisjoint(words):
-                bad -= {"header"}
-            skipped = bool(bad)
+                bad, roles = bad - {"header"}, roles - {"header"}
+            skipped = listed(bad, roles)
         step = f"{tag}.{first}" if first else tag
         steps = (*(above.steps if above else ()), step)[-PATH_STEPS:]
         element = Element(tag, skipped, steps, first_block=len(page.blocks), chars=-scored)
@@ -181,6 +219,8 @@ def parse(text: str) -> Page:
         parts.append(text[at:])
     flush()
     close(0)
+    if by_class and by_name and not page.blocks:
+        return parse(text, by_class=False)
     # Pages without any container still have their text.
     page.containers.append(Element("", False, (), "*", 0.5, 0, scored, len(page.blocks)))
     return page

@@ -70,3 +70,17 @@ def test_articles_in_several_parts():
     assert html_extract.extract(articles, None) == html_extract.extract(articles, "body>article") == "one\ntwo two\nthree"
     deep = "<div>" * 30 + "deep" + "</div>" * 10 + "<p>less deep</p>"
     assert html_extract.extract(deep, html_extract.candidates(deep)[0][0]) == "deep\nless deep"
+
+
+def test_layout_classes_do_not_hide_the_article():
+    for names in ("content has-sidebar", "main-content with-sidebar", "entry-content no-comments", "container no-sidebar", "content-sidebar-wrap", "sidebar-left-layout", "content sidebar"):
+        for tag in ("div", "section", "span"):
+            page = f'<body><{tag} class="{names}"><h1>Title</h1><p>Text</p><div class="ad">Buy</div></{tag}></body>'
+            assert html_extract.extract(page, None) == "Title\nText", names
+    # What is named after it stays out, also behind a prefix, before a neutral word or a number, and by its role.
+    for names in ("class=sidebar", "class='main-nav'", "class='post-comments'", "id=comments-area", "class='ad-slot x'", "class=sidebar-2", "class='widget widget_text'", "class=main role=navigation", "class='post comment'"):
+        page = f"<body><div><p>Text</p><div {names}>Other things</div></div></body>"
+        assert html_extract.extract(page, None) == "Text", names
+    # A page that is one skipped class alone keeps its text.
+    assert html_extract.extract('<body><div class="widget"><p>All there is</p><nav>menu</nav></div></body>', None) == "All there is"
+    assert html_extract.extract("<body><nav class=menu>menu</nav></body>", None) == ""
