@@ -22,8 +22,9 @@ from lotwise.llm.common import exact, free_name, restored, schema_of, small_batc
 KINDS = ("assign", "access", "hex", "guess")
 SPAN_TYPE = "array<struct<kind: string, begin: bigint, end: bigint, guess_log10: double>>"
 MIN_ASSIGNED, MIN_ACCESS, MIN_HEX = 6, 20, 24
-# A credential-context value counts as a secret from this many guesses (power of ten) and characters on.
-MIN_GUESS_LOG10, MIN_GUESS_CHARS = 10.0, 8
+# A credential-context value counts as a secret from this many guesses (power of ten) and characters on; a random value of
+# that many characters takes as many guesses.
+MIN_GUESS_LOG10, MIN_GUESS_CHARS = 8.0, 8
 
 _ASSIGN = re.compile(
     r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII
@@ -172,7 +173,8 @@ def scan(text: str | None) -> list[tuple[str, int, int, float | None]]:
             if end - begin < MIN_GUESS_CHARS or (before and end <= reach[before - 1]):
                 continue
             cost = guess_log10(text[begin:end])
-            if cost >= MIN_GUESS_LOG10:
+            # Sums of logarithms are off in their last digits.
+            if round(cost, 9) >= MIN_GUESS_LOG10:
                 found.append(("guess", begin, end, cost))
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 

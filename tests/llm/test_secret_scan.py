@@ -86,3 +86,11 @@ def test_guess_spans_lie_in_no_other_span():
     base = [(b, e) for k, b, e, _ in found if k != "guess"]
     guesses = [(b, e) for k, b, e, _ in found if k == "guess"]
     assert guesses and not any(b <= begin and end <= e for begin, end in guesses for b, e in base)
+
+
+def test_random_values_count_from_eight_characters_on():
+    for value in ("x9$Kq!2v", "x9$Kq!2vT", "Zr#8kW%b"):
+        text = f'password: "{value}" and more'
+        assert [s[:3] for s in secret_scan.scan(text)] == [("guess", 11, 11 + len(value))], value
+        assert secret_scan.redacted(text, "[secret]") == 'password: "[secret]" and more'
+    assert secret_scan.scan('password: "x9$Kq!2"') == secret_scan.scan("pwd: Password1") == secret_scan.scan("pwd: qwerty2024") == []
