@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import backoff_lm, decontaminate, embedding_dedup, html_extract, license_scan, packing, quality, secret_scan, simhash, url_rules
+from lotwise.llm import (
+    backoff_lm,
+    decontaminate,
+    embedding_dedup,
+    fill_in_middle,
+    html_extract,
+    license_scan,
+    packing,
+    phrases,
+    quality,
+    secret_scan,
+    sentence_pieces,
+    simhash,
+    url_rules,
+)
 from lotwise.llm.common import read
 
 
@@ -87,6 +101,38 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("component_id", F.col("component_id").cast("long"))
 
 
+def op11_sentence_pieces(spark: SparkSession, sf_dir: str, model_file: str | None = None) -> DataFrame:
+    if model_file is None:
+        import public_tokenizers
+
+        model_file = public_tokenizers.path("piece_bpe_32k.model")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentence_pieces.encode(docs, sentence_pieces.Vocabulary(model_file), decoded="decoded").select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.transform(read(spark, sf_dir, "documents"))
+    restored = fill_in_middle.restored_text(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored, 256).alias("restored_sha256"),
+    )
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
 OP1_SQL = r"""
 WITH item AS (
   SELECT CAST(item_id AS VARCHAR) AS item_id,
@@ -153,6 +199,52 @@ FROM v LEFT JOIN lowest ON lowest.id = v.vec_id LEFT JOIN counts ON counts.id =
 """
 
 
+OP12_SQL = r"""
+WITH doc AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+         sha256(concat('7:', doc_id)) AS h FROM documents),
+drawn AS (
+  SELECT *, len(u) AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS k1, ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS k2,
+         ('0x' || h[17:24])::BIGINT % 100 AS r3, ('0x' || h[25:32])::BIGINT % 100 AS r4 FROM doc),
+cut AS (
+  SELECT *, array_to_string(u[1:least(k1, k2)], '') AS p, array_to_string(u[least(k1, k2) + 1:greatest(k1, k2)], '') AS m,
+         array_to_string(u[greatest(k1, k2) + 1:], '') AS s,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r3 >= 100 THEN 'plain'
+              WHEN r4 < 50 THEN 'spm' ELSE 'psm' END AS form FROM drawn)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM cut
+"""
+
+OP13_SQL = r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w
+  FROM documents),
+place AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM piece WHERE len(w) > 0),
+f AS (SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, count(*) AS f
+      FROM place, (SELECT unnest([1, 2, 3]) AS size) WHERE i + size - 1 <= len(w) GROUP BY ALL),
+total AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
+cut AS (
+  SELECT lang, size, phrase, f AS a, unnest(range(1, size)) AS k, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= 10),
+scored AS (
+  SELECT cut.lang, cut.size, cut.phrase, a, k, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score
+  FROM cut JOIN f x ON x.lang = cut.lang AND x.size = k AND x.phrase = array_to_string(w[1:k], ' ')
+           JOIN f y ON y.lang = cut.lang AND y.size = cut.size - k AND y.phrase = array_to_string(w[k + 1:], ' ')),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, phrase, max(a) AS longer
+  FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase FROM cut WHERE size = 3)
+  GROUP BY lang, phrase),
+kept AS (SELECT weakest.* FROM weakest LEFT JOIN inside USING (lang, phrase) WHERE size = 3 OR longer IS NULL OR 100 * longer < 50 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM kept JOIN total USING (lang) QUALIFY rank <= 2000
+"""
+
+
 def _op2_sql() -> str:
     """Every window of every template's length, counted from the shingles it shares with the template."""
     values = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in license_scan.TEMPLATES.items())
@@ -186,4 +278,11 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op1_decontaminate": OP1_SQL, "op2_license_scan": _op2_sql(), "op8_backoff_lm": OP8_SQL, "op10_embedding_dedup": OP10_SQL}
+    return {
+        "op1_decontaminate": OP1_SQL,
+        "op2_license_scan": _op2_sql(),
+        "op8_backoff_lm": OP8_SQL,
+        "op10_embedding_dedup": OP10_SQL,
+        "op12_fill_in_middle": OP12_SQL,
+        "op13_phrases": OP13_SQL,
+    }

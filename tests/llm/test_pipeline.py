@@ -22,7 +22,7 @@ def test_same_rows_as_sql(spark, small, con, name):
 
 def test_queries_name_every_operator():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in queries.all_queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_stages_take_effect(spark, small):

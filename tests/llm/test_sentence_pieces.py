@@ -1,0 +1,93 @@
+import random
+
+import pytest
+import public_tokenizers
+import sentencepiece
+
+from lotwise.llm import queries
+from lotwise.llm import sentence_pieces as op
+
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=MODEL)
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    return op.Vocabulary(MODEL)
+
+
+ODD = [
+    None, "", " ", "  a  b ", "\n", "a\0b", "▁x ▁", "<s> </s> <0x0A> <unk>", "� é́ ＡＢ\xa0x​", "日本😀語﻿",
+    " " * 70, "x" * 500, "ab" * 300 + " " * 40 + "\n\n\t c", "=" * 33 + "-" * 65, "hello " * 30_000, "a" * 200_000,
+]
+
+
+def _texts(rng: random.Random, names: list[str]):
+    yield "".join(rng.choice(names).replace("▁", " ") for _ in range(rng.randint(0, 30)))
+    yield "".join(rng.choice("abehtin  \n.,") for _ in range(rng.randint(0, 60)))
+    yield " " * rng.randint(0, 70) + "x" * rng.randint(0, 40) + " " * rng.randint(0, 40)
+    yield "".join(chr(rng.choice([rng.randint(1, 0x2FFF), rng.randint(0xE000, 0x1FFFF), 32, 0x2581, 0xFFFD])) for _ in range(20))
+
+
+def test_encodes_and_decodes_as_the_library(library, vocabulary):
+    rng, names = random.Random(11), list(vocabulary.piece)
+    encoder, decoder = op.Encoder(vocabulary), op.Decoder(vocabulary)
+    for text in [*ODD, *(t for _ in range(1500) for t in _texts(rng, names))]:
+        ids = library.encode(text or "", add_eos=True)
+        assert encoder.encode(text) == ids
+        assert decoder.decode(ids) == library.decode(ids)
+
+
+def test_decodes_any_ids_as_the_library(library, vocabulary):
+    rng, decoder = random.Random(5), op.Decoder(vocabulary)
+    for _ in range(5000):
+        ids = [rng.randrange(32000) if rng.random() < 0.6 else rng.randrange(0, 262) for _ in range(rng.randint(0, 8))]
+        assert decoder.decode(ids) == library.decode(ids)
+
+
+def test_every_piece_alone(library, vocabulary):
+    encoder = op.Encoder(vocabulary)
+    for name in list(vocabulary.usable)[::7]:
+        assert encoder._part(name) == [vocabulary.usable[name]]
+
+
+def test_forgetting_changes_nothing(monkeypatch, library, vocabulary):
+    monkeypatch.setattr(op, "REMEMBERED", 3)
+    encoder = op.Encoder(vocabulary)
+    for text in ["the cat and the dog and the bird", "one two three four five six seven"] * 3:
+        assert encoder.encode(text) == library.encode(text, add_eos=True)
+
+
+def test_frames_keep_their_columns_and_rows(spark, documents, vocabulary, library):
+    rows = [(1, "the cat"), (1, "the cat"), (None, None), (2**60 + 1, ""), (3, "x y" * 9000)]
+    docs = documents(*rows).withColumnRenamed("digest", "ids").withColumnRenamed("bits", "a.b")
+    made = op.encode(docs, vocabulary, decoded="decoded")
+    assert made.columns == [*[c for c in docs.columns if c != "text"], "ids_", "decoded"]
+    got = sorted(((r.doc_id, list(r.ids_), r.decoded) for r in made.collect()), key=str)
+    assert got == sorted(((i, library.encode(t or "", add_eos=True), t or "") for i, t in rows), key=str)
+    back = op.decode(made.drop("decoded"), vocabulary, ids="ids_", name="again")
+    assert sorted(r.again for r in back.collect()) == sorted(t or "" for _, t in rows)
+    empty = op.encode(docs.limit(0), vocabulary)
+    assert empty.collect() == [] and dict(empty.dtypes)["ids_"] == "array<int>"
+
+
+def test_decode_takes_null_ids(spark, vocabulary):
+    frame = spark.createDataFrame([(1, [1824, 2]), (2, None), (3, []), (4, [1824, None])], "id long, ids array<int>")
+    one = op.Decoder(vocabulary).decode([1824])
+    assert one and [r.text for r in op.decode(frame, vocabulary).orderBy("id").collect()] == [one, "", "", one]
+    assert op.decode(frame.limit(0), vocabulary).collect() == []
+
+
+def test_query(spark, small, library):
+    import hashlib
+
+    hashed = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    want = []
+    for r in spark.read.parquet(f"{small}/documents.parquet").collect():
+        ids = library.encode(r.text or "", add_eos=True)
+        want.append((r.doc_id, len(ids), hashed(" ".join(map(str, ids))), hashed(library.decode(ids))))
+    assert sorted(map(tuple, queries.op11_sentence_pieces(spark, small).collect())) == sorted(want)
