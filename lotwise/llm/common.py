@@ -27,7 +27,7 @@ def checkpoint_ready(spark: SparkSession) -> None:
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not context.master.startswith("local"):
+        if not (context.master == "local" or context.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         shared = os.path.join(tempfile.gettempdir(), "lotwise-checkpoints")
     context.setCheckpointDir(shared)
@@ -113,9 +113,9 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
             return labels.withColumnRenamed("label", "root")
 
 
-def stored(frame: DataFrame, name: str) -> DataFrame:
+def stored(frame: DataFrame, name: str, **options: str) -> DataFrame:
     """The same rows written as Parquet to a new path in the shared checkpoint folder, and read again."""
     checkpoint_ready(frame.sparkSession)
     path = f"{frame.sparkSession.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
+    frame.write.options(**options).parquet(path)
     return frame.sparkSession.read.parquet(path)

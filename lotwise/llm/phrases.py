@@ -23,7 +23,7 @@ TOP = 2000
 CHUNK_CHARS = 8 << 20
 # Suffixes that one task sorts, on average. Leading words with more than HOT_SUFFIXES are dealt by one more word.
 TASK_SUFFIXES = 1 << 19
-HOT_SUFFIXES = 1 << 17
+HOT_SUFFIXES = 1 << 19
 
 _BREAK = b"\xff"
 _LETTERS = {c: c + 32 for c in range(65, 91)}
@@ -111,7 +111,6 @@ def phrase_counts(docs: DataFrame, lang: str = "lang", text: str = "text", words
     and so on; counts of what is spread over tasks are added up after. The suffixes are written to the shared folder
     before they are dealt, so lost executors repeat one step only.
     """
-    named = [f"w{n}" for n in range(1, words + 1)]
     rows = docs.select(F.coalesce(F.col(f"`{lang}`"), F.lit("und")).alias("lang"), F.col(f"`{text}`").alias("text"))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,38 +122,23 @@ def phrase_counts(docs: DataFrame, lang: str = "lang", text: str = "text", words
                 head = heads[begin : begin + (1 << 14)]
                 end = heads[begin + (1 << 14)] if begin + (1 << 14) < len(heads) else len(often)
                 places = pa.array(np.append(head, end) - head[0], pa.int32())
-                lists = [pa.ListArray.from_arrays(places, known.take(pa.array(n[head[0] : end] % len(known)))) for n in numbers[1:]]
-                count = pa.ListArray.from_arrays(places, pa.array(often[head[0] : end], pa.int64()))
-                languages = pa.array([code] * len(head), pa.string())
-                first = known.take(pa.array(numbers[0][head]))
-                yield pa.RecordBatch.from_arrays([languages, first, *lists, count], ["lang", *named, "n"])
-
-    lists = [*[f"{w} array<string>" for w in named[1:]], "n array<long>"]
-    sent = stored(rows.mapInArrow(send, ", ".join(["lang string, w1 string", *lists])), "suffixes")
+                after = [known.take(pa.array(n[head[0] : end] % len(known))) for n in numbers[1:]]
+                more = [pc.fill_null(pc.binary_join_element_wise("", w, " "), "") for w in after[1:]]
+                tails = pc.binary_join_element_wise(after[0], *more, "")
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([code] * len(head), pa.string()),
+                        known.take(pa.array(numbers[0][head])),
+                        pa.ListArray.from_arrays(places, tails),
+                        pa.ListArray.from_arrays(places, pa.array(often[head[0] : end], pa.int64())),
+                    ],
+                    ["lang", "head", "tails", "n"],
+                )
+
+    sent = stored(rows.mapInArrow(send, "lang string, head string, tails array<string>, n array<long>"), "suffixes", compression="zstd")
     every = sent.agg(F.sum(F.size("n"))).first()[0] or 0
-    dealt = sent.withColumn("deal", F.lit(1))
-    spread = None
-    for depth in range(1, words):
-        # The leading words that too many suffixes begin with: at most one in HOT_SUFFIXES suffixes.
-        lead = named[:depth]
-        base = dealt if depth == 1 else spread
-        sizes = base.where(F.col("deal") == depth).groupBy("lang", *lead).agg(F.sum(F.size("n")).alias("size"))
-        hot = stored(sizes.where(F.col("size") > HOT_SUFFIXES).select("lang", *lead, F.lit(depth + 1).alias("further")), "hot")
-        if hot.isEmpty():
-            break
-        marked = base.join(hot, ["lang", *lead], "left").withColumn("deal", F.coalesce("further", "deal")).drop("further")
-        if depth == 1:
-            dealt = marked.where("deal = 1")
-            each = F.explode(F.arrays_zip(*named[1:], "n")).alias("one")
-            single = [F.col(f"one.{w}").alias(w) for w in named[1:]]
-            spread = marked.where("deal = 2").select("lang", "w1", "deal", each).select("lang", "w1", "deal", *single, F.array("one.n").alias("n"))
-        else:
-            spread = marked
-    if spread is not None:
-        dealt = dealt.unionByName(spread.select("lang", "w1", *[F.array(w).alias(w) for w in named[1:]], "n", "deal"))
     tasks = max(sent.sparkSession.sparkContext.defaultParallelism, -(-every // TASK_SUFFIXES))
-    by = [F.when(F.col("deal") >= n, F.element_at(w, 1)) for n, w in enumerate(named[1:], 2)]
-    routed = dealt.repartition(tasks, "lang", "w1", *by)
+    routed = _dealt(sent, words, tasks).repartition(tasks, "lang", "head", "lead")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = list(batches)
@@ -164,19 +148,21 @@ def phrase_counts(docs: DataFrame, lang: str = "lang", text: str = "text", words
             if not part.num_rows:
                 continue
             owner = np.repeat(np.arange(part.num_rows), pc.list_value_length(part["n"]).to_numpy())
-            coded = [_coded(part[c]) for c in ("lang", "w1")]
-            codes = [c[owner] for c, _ in coded]
-            flat = [_coded(pc.list_flatten(part[w])) for w in named[1:]]
             weights = pc.list_flatten(part["n"]).to_numpy()
-            names = [d for _, d in (*coded, *flat)]
-            keys = np.stack([*codes, *[c for c, _ in flat]])
+            languages, lang_names = _coded(part["lang"])
+            heads, head_names = _coded(part["head"])
+            tails = _whole(pc.split_pattern(pc.list_flatten(part["tails"]), " "))
+            begin, size = tails.offsets.to_numpy()[:-1], pc.list_value_length(tails).fill_null(0).to_numpy()
+            following, tail_names = _coded(tails.values)
+            following = np.append(following, -1)
+            later = [np.where(size > d, following[np.minimum(begin + d, len(following) - 1)], -1) for d in range(words - 1)]
+            names = [lang_names, head_names, *[tail_names] * (words - 1)]
+            keys = np.stack([languages[owner], heads[owner], *later])
             # Of shorter phrases this task has a part only, so none of them is abandoned here.
-            lowest = np.array([least if depth >= deal else 1 for depth in range(words + 1)])
-            lowest[0] = 1
+            lowest = np.array([1, *[least if depth >= deal else 1 for depth in range(1, words + 1)]])
             for depth, at, size in sorted_runs(keys, weights, lowest):
-                code = names[0].take(pa.array(keys[0][at]))
-                parts_ = [names[d].take(pa.array(keys[d][at])) for d in range(1, depth)]
-                phrase = pc.binary_join_element_wise(*parts_, " ") if parts_ else pa.array([""] * len(at), pa.string())
+                code, *spoken = [names[d].take(pa.array(keys[d][at])) for d in range(depth)]
+                phrase = pc.binary_join_element_wise(*spoken, " ") if spoken else pa.array([""] * len(at), pa.string())
                 yield pa.RecordBatch.from_arrays(
                     [code, pa.array(np.full(len(at), depth - 1)), phrase, pa.array(size)], ["lang", "words", "phrase", "f"]
                 )
@@ -185,10 +171,46 @@ def phrase_counts(docs: DataFrame, lang: str = "lang", text: str = "text", words
     return counted.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f")).where((F.col("words") == 0) | (F.col("f") >= least))
 
 
+def _dealt(sent: DataFrame, words: int, tasks: int) -> DataFrame:
+    """The suffixes with `deal`, how many leading words pick their task, and `lead`, those after the first one.
+
+    At most one in HOT_SUFFIXES suffixes' leading words are hot, so their lists are short; they are stored, for all
+    tasks must deal alike. Chunks with few suffixes of a leading word don't count for its size: they can't add more to
+    a task than a fraction of what it sorts anyway.
+    """
+    none = F.lit(None).cast("string")
+    some = F.size("n") * 4 * tasks > HOT_SUFFIXES
+    sizes = sent.where(some).groupBy("lang", "head").agg(F.sum(F.size("n")).alias("size"))
+    hot = stored(sizes.where(F.col("size") > HOT_SUFFIXES).select("lang", "head", F.lit(True).alias("hot")), "hot")
+    if hot.isEmpty():
+        return sent.withColumns({"deal": F.lit(1), "lead": none})
+    marked = sent.join(hot, ["lang", "head"], "left")
+    whole = marked.where("hot is null").select("lang", "head", "tails", "n", F.lit(1).alias("deal"), none.alias("lead"))
+    each = F.explode(F.arrays_zip("tails", "n")).alias("one")
+    spread = marked.where("hot").select("lang", "head", F.col("hot"), each)
+    spread = spread.select("lang", "head", F.col("one.tails").alias("tail"), F.col("one.n").alias("n"), F.lit(2).alias("deal"))
+    for depth in range(2, words):
+        lead = spread.withColumn("lead", F.substring_index("tail", " ", depth - 1))
+        sizes = lead.where(F.col("deal") == depth).groupBy("lang", "head", "lead").agg(F.count(F.lit(1)).alias("size"))
+        further = sizes.where(F.col("size") > HOT_SUFFIXES).select("lang", "head", "lead", F.lit(depth + 1).alias("further"))
+        further = stored(further, "hot")
+        if further.isEmpty():
+            break
+        spread = lead.join(further, ["lang", "head", "lead"], "left").withColumn("deal", F.coalesce("further", "deal")).drop("further", "lead")
+    single = spread.select(
+        "lang", "head", F.array("tail").alias("tails"), F.array("n").alias("n"), "deal",
+        F.expr("substring_index(tail, ' ', deal - 1)").alias("lead"),
+    )
+    return whole.unionByName(single)
+
+
+def _whole(column: pa.ChunkedArray | pa.Array) -> pa.Array:
+    return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+
+
 def _coded(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, pa.Array]:
     """Numbers of the strings, -1 for nulls, and the strings by number."""
-    whole = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    coded = whole.dictionary_encode()
+    coded = _whole(column).dictionary_encode()
     return coded.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
 
 
