@@ -21,9 +21,14 @@ SCALE = 1_000_000
 TOP = 2000
 # Text whose suffixes a task combines before it sends them.
 CHUNK_CHARS = 8 << 20
-# Suffixes that one task sorts, on average. Leading words with more than HOT_SUFFIXES are dealt by one more word.
+# Suffixes that one task sorts, on average. Leading words with more than HOT_SUFFIXES are dealt in up to HOT_PARTS parts
+# by their second word, and such a part that still has more by all words.
 TASK_SUFFIXES = 1 << 19
 HOT_SUFFIXES = 1 << 19
+HOT_PARTS = 64
+
+# What picks the task of suffixes: their leading word, a part of its second words, or all words.
+HEAD, SECOND, ALL = 1, 2, 3
 
 _BREAK = b"\xff"
 _LETTERS = {c: c + 32 for c in range(65, 91)}
@@ -107,8 +112,8 @@ def phrase_counts(docs: DataFrame, lang: str = "lang", text: str = "text", words
     their language, with all their occurrences; and for each language all its words, as an empty phrase of 0 words.
 
     Pieces of text send their suffixes, cut to `words` words, added up and put together by leading word, to the task of
-    their leading word. Leading words with more than HOT_SUFFIXES of them are dealt by two words, such pairs by three,
-    and so on; counts of what is spread over tasks are added up after. The suffixes are written to the shared folder
+    their leading word. Leading words with more than HOT_SUFFIXES of them are dealt in parts by their second word, and
+    parts with more by all words; counts of what is spread over tasks are added up after. The suffixes are written to the shared folder
     before they are dealt, so lost executors repeat one step only.
     """
     rows = docs.select(F.coalesce(F.col(f"`{lang}`"), F.lit("und")).alias("lang"), F.col(f"`{text}`").alias("text"))
@@ -143,7 +148,7 @@ def phrase_counts(docs: DataFrame, lang: str = "lang", text: str = "text", words
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = list(batches)
         table = pa.Table.from_batches(parts) if parts else None
-        for deal in range(1, words + 1) if parts else ():
+        for deal in (HEAD, SECOND, ALL) if parts else ():
             part = table.filter(pc.equal(table["deal"], deal)).combine_chunks()
             if not part.num_rows:
                 continue
@@ -159,7 +164,8 @@ def phrase_counts(docs: DataFrame, lang: str = "lang", text: str = "text", words
             names = [lang_names, head_names, *[tail_names] * (words - 1)]
             keys = np.stack([languages[owner], heads[owner], *later])
             # Of shorter phrases this task has a part only, so none of them is abandoned here.
-            lowest = np.array([1, *[least if depth >= deal else 1 for depth in range(1, words + 1)]])
+            together = {HEAD: 1, SECOND: 2, ALL: words}[deal]
+            lowest = np.array([1, *[least if depth >= together else 1 for depth in range(1, words + 1)]])
             for depth, at, size in sorted_runs(keys, weights, lowest):
                 code, *spoken = [names[d].take(pa.array(keys[d][at])) for d in range(depth)]
                 phrase = pc.binary_join_element_wise(*spoken, " ") if spoken else pa.array([""] * len(at), pa.string())
@@ -172,36 +178,40 @@ def phrase_counts(docs: DataFrame, lang: str = "lang", text: str = "text", words
 
 
 def _dealt(sent: DataFrame, words: int, tasks: int) -> DataFrame:
-    """The suffixes with `deal`, how many leading words pick their task, and `lead`, those after the first one.
+    """The suffixes with `deal`, what picks their task, and `lead`, what picks it beside the leading word.
 
     At most one in HOT_SUFFIXES suffixes' leading words are hot, so their lists are short; they are stored, for all
     tasks must deal alike. Chunks with few suffixes of a leading word don't count for its size: they can't add more to
     a task than a fraction of what it sorts anyway.
     """
-    none = F.lit(None).cast("string")
+    none = F.lit(None).cast("long")
     some = F.size("n") * 4 * tasks > HOT_SUFFIXES
-    sizes = sent.where(some).groupBy("lang", "head").agg(F.sum(F.size("n")).alias("size"))
-    hot = stored(sizes.where(F.col("size") > HOT_SUFFIXES).select("lang", "head", F.lit(True).alias("hot")), "hot")
+    sizes = sent.where(some).groupBy("lang", "head").agg(F.sum(F.size("n")).alias("size")).where(F.col("size") > HOT_SUFFIXES)
+    parts = F.least(F.lit(HOT_PARTS), F.ceil(2 * F.col("size") / HOT_SUFFIXES)).cast("long")
+    hot = stored(sizes.select("lang", "head", parts.alias("parts")), "hot")
     if hot.isEmpty():
-        return sent.withColumns({"deal": F.lit(1), "lead": none})
+        return sent.withColumns({"deal": F.lit(HEAD), "lead": none})
     marked = sent.join(hot, ["lang", "head"], "left")
-    whole = marked.where("hot is null").select("lang", "head", "tails", "n", F.lit(1).alias("deal"), none.alias("lead"))
-    each = F.explode(F.arrays_zip("tails", "n")).alias("one")
-    spread = marked.where("hot").select("lang", "head", F.col("hot"), each)
-    spread = spread.select("lang", "head", F.col("one.tails").alias("tail"), F.col("one.n").alias("n"), F.lit(2).alias("deal"))
-    for depth in range(2, words):
-        lead = spread.withColumn("lead", F.substring_index("tail", " ", depth - 1))
-        sizes = lead.where(F.col("deal") == depth).groupBy("lang", "head", "lead").agg(F.count(F.lit(1)).alias("size"))
-        further = sizes.where(F.col("size") > HOT_SUFFIXES).select("lang", "head", "lead", F.lit(depth + 1).alias("further"))
-        further = stored(further, "hot")
-        if further.isEmpty():
-            break
-        spread = lead.join(further, ["lang", "head", "lead"], "left").withColumn("deal", F.coalesce("further", "deal")).drop("further", "lead")
-    single = spread.select(
-        "lang", "head", F.array("tail").alias("tails"), F.array("n").alias("n"), "deal",
-        F.expr("substring_index(tail, ' ', deal - 1)").alias("lead"),
+    whole = marked.where("parts is null").select("lang", "head", "tails", "n", F.lit(HEAD).alias("deal"), none.alias("lead"))
+    part_of = lambda tail, n: F.struct(tail.alias("tail"), n.alias("n"), F.pmod(F.xxhash64(F.substring_index(tail, " ", 1)), F.col("parts")).alias("part"))
+    spread = (
+        marked.where("parts is not null")
+        .select("lang", "head", F.zip_with("tails", "n", part_of).alias("every"), F.explode(F.expr("sequence(0L, parts - 1)")).alias("lead"))
+        .withColumn("every", F.filter("every", lambda x: x["part"] == F.col("lead")))
+        .where(F.size("every") > 0)
+        .select("lang", "head", F.col("every.tail").alias("tails"), F.col("every.n").alias("n"), F.lit(SECOND).alias("deal"), "lead")
+    )
+    sizes = spread.groupBy("lang", "head", "lead").agg(F.sum(F.size("n")).alias("size")).where(F.col("size") > HOT_SUFFIXES)
+    hotter = stored(sizes.select("lang", "head", "lead", F.lit(True).alias("hotter")), "hotter")
+    if hotter.isEmpty():
+        return whole.unionByName(spread)
+    marked = spread.join(hotter, ["lang", "head", "lead"], "left")
+    single = (
+        marked.where("hotter")
+        .select("lang", "head", F.explode(F.arrays_zip("tails", "n")).alias("one"))
+        .select("lang", "head", F.array("one.tails").alias("tails"), F.array("one.n").alias("n"), F.lit(ALL).alias("deal"), F.xxhash64("one.tails").alias("lead"))
     )
-    return whole.unionByName(single)
+    return whole.unionByName(marked.where("hotter is null").drop("hotter")).unionByName(single)
 
 
 def _whole(column: pa.ChunkedArray | pa.Array) -> pa.Array:
