@@ -1,7 +1,8 @@
-"""Stupid-backoff scores: n-gram counts by hash bucket, joined back to the documents' n-grams, summed per document.
+"""Stupid-backoff scores: a count table of n-grams partitioned by hash, joined to the n-grams of the documents, summed per document.
 
 Counts are taken over all documents. A document is scored with its own n-grams taken out of the counts, so that text
-seen nowhere else backs off. N-grams travel in packed arrays: one row for each block of documents and hash bucket.
+seen nowhere else backs off. Equal texts are one text with a number of copies; n-grams are rows, one for each block of
+texts that they occur in.
 """
 
 from __future__ import annotations
@@ -14,14 +15,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import exact, restored
-
 # Words of the longest n-grams, unless the caller names another order.
-ORDER = 2
+ORDER = 3
 BACKOFF = 0.4
-# Text that one task explodes at once, and n-grams that one task counts at once, on average.
+# Text that one task explodes at once, on average.
 BLOCK_BYTES = 4 << 20
-BUCKET_GRAMS = 1 << 20
 
 _PIECE = 1 << 20
 _WORD = np.array([48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 or c >= 128 for c in range(256)])
@@ -82,116 +80,97 @@ def grams(hashes: np.ndarray, owner: np.ndarray, order: int) -> tuple[np.ndarray
     return out, whole
 
 
-def _exploded(texts: list[str | None], order: int) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray]:
-    """Number of the text of each word; by order, n-grams by word; all distinct n-grams, sorted, and how often each occurs."""
-    hashes, owner = word_hashes(texts)
-    by_order = [grams(hashes, owner, n) for n in range(1, order + 1)]
-    every, often = np.unique(np.concatenate([g[whole] for g, whole in by_order]), return_counts=True)
-    return owner, by_order, every, often
-
-
-def _bucket_edges(every: np.ndarray, buckets: int) -> np.ndarray:
-    """Where each bucket begins in sorted hashes: buckets are equal ranges of hashes."""
-    bounds = np.array([(b << 64) // buckets for b in range(1, buckets)], np.uint64)
-    return np.concatenate([[0], np.searchsorted(every, bounds), [len(every)]])
-
-
-def _packed(values: np.ndarray) -> bytes:
-    """Sorted hashes as differences, byte by byte, so that high bytes, mostly zero, lie together and compress."""
-    steps = np.diff(values, prepend=np.uint64(0))
-    return np.ascontiguousarray(steps.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
-
-
-def _unpacked(data: bytes) -> np.ndarray:
-    return np.cumsum(np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<u8").ravel(), dtype=np.uint64)
+class Exploded:
+    """The n-grams of some texts: those of each order by word, and all distinct ones with their occurrences in all copies."""
 
+    def __init__(self, texts: list[str], copies: np.ndarray, order: int) -> None:
+        hashes, self.owner = word_hashes(texts)
+        self.by_order = [grams(hashes, self.owner, n) for n in range(1, order + 1)]
+        whole = [g[full] for g, full in self.by_order]
+        self.every, of = np.unique(np.concatenate(whole), return_inverse=True)
+        self.often = np.zeros(len(self.every), np.int64)
+        np.add.at(self.often, of, np.concatenate([copies[self.owner[full]] for _, full in self.by_order]))
 
-def _counts(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<i8").ravel()
 
-
-def _packed_counts(values: np.ndarray) -> bytes:
-    return np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes()
-
-
-def _score(texts: list[str | None], totals: np.ndarray, words: int, order: int) -> tuple[np.ndarray, np.ndarray]:
+def _score(texts: int, exploded: Exploded, totals: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Words and log10 score of each text, from the corpus counts of all distinct n-grams of these texts."""
-    owner, by_order, every, _ = _exploded(texts, order)
-    size = np.bincount(owner, minlength=len(texts))
+    owner, by_order, every = exploded.owner, exploded.by_order, exploded.every
+    size = np.bincount(owner, minlength=texts)
     others = np.maximum(words - size[owner], 0)
     # Counts in the other documents, at each word, by order.
     left = []
     for hashes, whole in by_order:
         place = np.searchsorted(every, hashes[whole])
-        own, of, often = np.unique(place * len(texts) + owner[whole], return_inverse=True, return_counts=True)
+        own, of, often = np.unique(place * texts + owner[whole], return_inverse=True, return_counts=True)
         rest = np.zeros(len(hashes), np.int64)
         rest[whole] = totals[place] - often[of]
         left.append(rest)
     # A word seen nowhere else has one chance in all other words and itself, once more backed off.
     level = np.where(left[0] > 0, left[0] / np.maximum(others, 1), BACKOFF / (others + 1.0))
-    for n in range(1, order):
+    for n in range(1, len(by_order)):
         context = np.concatenate([np.zeros(1, np.int64), left[n - 1][:-1]]) if len(owner) else left[n - 1]
         seen = left[n] > 0
         whole = by_order[n][1]
         level = np.where(seen, left[n] / np.maximum(context, 1), np.where(whole, BACKOFF * level, level))
-    return size, np.bincount(owner, np.log10(level), len(texts))
+    return size, np.bincount(owner, np.log10(level), texts)
 
 
 def scores(docs: DataFrame, id: str = "doc_id", text: str = "text", order: int = ORDER) -> DataFrame:
     """One row per row of `docs`: (id, n_words long, log10_score double).
 
-    N-grams have up to `order` words. Each word scores count(n-gram) / count(context), where the n-gram occurs in another document; else BACKOFF times its
-    score with a shorter context, down to its share of all words of the other documents, or BACKOFF / (those + 1) for a
-    word that occurs in no other document. At the start of a text shorter contexts cost no backoff. Null and empty texts
-    have no words and score 0; repeated rows are different documents with equal words. An empty table gives no rows.
+    N-grams have up to `order` words. Each word scores count(n-gram) / count(context), where the n-gram occurs in
+    another document; else BACKOFF times its score with a shorter context, down to its share of all words of the other
+    documents, or BACKOFF / (those + 1) for a word that occurs in no other document. At the start of a text shorter
+    contexts cost no backoff. Null and empty texts have no words and score 0; repeated rows are different documents with
+    equal words. An empty table gives no rows.
 
-    Blocks of documents are dealt evenly by their place, whatever their ids; `docs` is read three times and must give its
-    rows in the same places each time, as tables do (store it first where an unordered shuffle makes it). Each block sends its distinct n-grams to the hash buckets,
-    added up first, so a frequent n-gram is one entry a block; the buckets return the corpus counts in the order sent.
+    Texts meet their copies in a block that follows from the text, after copies in a batch were combined, so that many
+    copies are few rows. A block's distinct n-grams are rows (gram, block, n), shuffled once by hash; the count table is
+    grouped from them and joined to them where they are. Only n-grams that occur in other blocks, too, return to their
+    block. The rows grow in proportion to the text; none depends on the order in which a table is read.
     """
-    rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(f"`{id}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    digested = rows.withColumn("digest", F.md5("text"))
 
     def sizes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            raws = [np.frombuffer((x or "").encode() + b"\n", np.uint8) for x in frame["text"]]
+            raws = [np.frombuffer(x.encode() + b"\n", np.uint8) for x in frame["text"]]
             words = sum(int(np.count_nonzero(np.diff(_WORD[r].astype(np.int8)) == -1)) for r in raws)
             yield pd.DataFrame({"words": [words], "bytes": [sum(map(len, raws))]})
 
     words, size = rows.select("text").mapInPandas(sizes, "words long, bytes long").agg(F.sum("words"), F.sum("bytes")).first()
     words, size = words or 0, size or 0
     blocks = max(1, -(-size // BLOCK_BYTES))
-    buckets = max(1, -(-order * words // BUCKET_GRAMS))
-    dealt = exact(rows).withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)))
+
+    def combine(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield _distinct(frame.assign(copies=1))
+
+    block = F.pmod(F.xxhash64("digest"), F.lit(blocks)).alias("block")
+    texts = digested.select("digest", "text").mapInPandas(combine, "digest string, copies long, text string").select(block, "*")
 
     def send(group: pd.DataFrame) -> pd.DataFrame:
-        _, _, every, often = _exploded(list(group["text"]), order)
-        edges = _bucket_edges(every, buckets)
-        full = np.flatnonzero(np.diff(edges))
-        return pd.DataFrame(
-            {
-                "block": int(group["block"].iloc[0]),
-                "bucket": full,
-                "grams": [_packed(every[edges[b] : edges[b + 1]]) for b in full],
-                "counts": [_packed_counts(often[edges[b] : edges[b + 1]]) for b in full],
-            }
-        )
-
-    def count(group: pd.DataFrame) -> pd.DataFrame:
-        parts = [_unpacked(x) for x in group["grams"]]
-        every, of = np.unique(np.concatenate(parts), return_inverse=True)
-        total = np.zeros(len(every), np.int64)
-        np.add.at(total, of, np.concatenate([_counts(x) for x in group["counts"]]))
-        ends = np.cumsum([len(p) for p in parts])
-        back = [_packed_counts(total[of[end - len(p) : end]]) for p, end in zip(parts, ends, strict=True)]
-        return pd.DataFrame({"block": group["block"], "bucket": group["bucket"], "counts": back})
+        one = _distinct(group)
+        exploded = Exploded(list(one["text"]), one["copies"].to_numpy(), order)
+        return pd.DataFrame({"gram": exploded.every.view(np.int64), "block": group["block"].iloc[0], "n": exploded.often})
 
     def finish(group: pd.DataFrame, counted: pd.DataFrame) -> pd.DataFrame:
-        own = [_counts(x) for x in counted.sort_values("bucket")["counts"]]
-        size, score = _score(list(group["text"]), np.concatenate([np.zeros(0, np.int64), *own]), words, order)
-        return pd.DataFrame({"id": group["id"], "n_words": size, "log10_score": score})
-
-    sent = dealt.groupBy("block").applyInPandas(send, "block long, bucket long, grams binary, counts binary")
-    counted = sent.groupBy("bucket").applyInPandas(count, "block long, bucket long, counts binary")
-    kind = dealt.schema["id"].dataType.simpleString()
-    scored = dealt.groupBy("block").cogroup(counted.groupBy("block")).applyInPandas(finish, f"id {kind}, n_words long, log10_score double")
-    return restored(scored, rows.select("id")).withColumnRenamed("id", id)
+        one = _distinct(group)
+        exploded = Exploded(list(one["text"]), one["copies"].to_numpy(), order)
+        totals = exploded.often.copy()
+        totals[np.searchsorted(exploded.every, counted["gram"].to_numpy().view(np.uint64))] = counted["total"].to_numpy()
+        size, score = _score(len(one), exploded, totals, words)
+        return pd.DataFrame({"digest": one["digest"], "n_words": size, "log10_score": score})
+
+    sent = texts.groupBy("block").applyInPandas(send, "gram long, block long, n long").repartition("gram")
+    counts = sent.groupBy("gram").agg(F.sum("n").alias("total"))
+    elsewhere = sent.join(counts, "gram").where(F.col("total") > F.col("n")).select("block", "gram", "total")
+    scored = texts.groupBy("block").cogroup(elsewhere.groupBy("block")).applyInPandas(finish, "digest string, n_words long, log10_score double")
+    # Many rows of one text meet one row: adaptive execution splits them.
+    met = digested.select(F.col("id").alias(id), "digest").join(scored.hint("merge"), "digest")
+    return met.select(F.col(f"`{id}`"), "n_words", "log10_score")
+
+
+def _distinct(frame: pd.DataFrame) -> pd.DataFrame:
+    """(digest, copies, text), one row for each text."""
+    return frame.groupby("digest", as_index=False, sort=False).agg({"copies": "sum", "text": "first"})

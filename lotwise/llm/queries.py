@@ -87,7 +87,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return backoff_lm.scores(read(spark, sf_dir, "documents"), order=3).withColumn("log10_score", F.round("log10_score", 6))
+    return backoff_lm.scores(read(spark, sf_dir, "documents")).withColumn("log10_score", F.round("log10_score", 6))
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,14 +168,17 @@ WITH doc AS (
          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
   FROM documents),
-word AS (SELECT r, w[i] AS w, w[i - 1] AS v, i, len(w) AS size FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM doc)),
+word AS (SELECT r, w[i] AS w, w[i - 1] AS v, w[i - 2] AS u, i, len(w) AS size FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM doc)),
 one AS (SELECT *, count(*) OVER (PARTITION BY w) - count(*) OVER (PARTITION BY r, w) AS c1,
                (SELECT count(*) FROM word) - size AS others FROM word),
 two AS (SELECT *, CASE WHEN i > 1 THEN count(*) OVER (PARTITION BY v, w) - count(*) OVER (PARTITION BY r, v, w) END AS c2,
-               lag(c1) OVER (PARTITION BY r ORDER BY i) AS c0 FROM one),
-scored AS (SELECT r, log10(CASE WHEN c2 > 0 THEN c2 / c0
-                               ELSE CASE WHEN i > 1 THEN 0.4::DOUBLE ELSE 1::DOUBLE END
-                                    * CASE WHEN c1 > 0 THEN c1 / others ELSE 0.4::DOUBLE / (others + 1) END END) AS score FROM two),
+               lag(c1) OVER (PARTITION BY r ORDER BY i) AS before1 FROM one),
+three AS (SELECT *, CASE WHEN i > 2 THEN count(*) OVER (PARTITION BY u, v, w) - count(*) OVER (PARTITION BY r, u, v, w) END AS c3,
+                 lag(c2) OVER (PARTITION BY r ORDER BY i) AS before2 FROM two),
+scored AS (
+  SELECT r, log10(CASE WHEN c3 > 0 THEN c3 / before2 ELSE CASE WHEN i > 2 THEN 0.4::DOUBLE ELSE 1::DOUBLE END
+                  * CASE WHEN c2 > 0 THEN c2 / before1 ELSE CASE WHEN i > 1 THEN 0.4::DOUBLE ELSE 1::DOUBLE END
+                  * CASE WHEN c1 > 0 THEN c1 / others ELSE 0.4::DOUBLE / (others + 1) END END END) AS score FROM three),
 summed AS (SELECT r, count(*) AS n, sum(score) AS score FROM scored GROUP BY r)
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_words, round(coalesce(score, 0.0), 6) AS log10_score FROM doc LEFT JOIN summed USING (r)
 """
@@ -246,7 +249,8 @@ FROM kept JOIN total USING (lang) QUALIFY rank <= 2000
 
 
 def _op2_sql() -> str:
-    """Every window of every template's length, counted from the shingles it shares with the template."""
+    """Every window of every template's length, and every stretch of one and a half times that which begins with a shingle
+    of the template or is the last, counted from the shingles shared with the template. Templates have five words or more."""
     values = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in license_scan.TEMPLATES.items())
     words = r"regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
     return f"""
@@ -257,19 +261,18 @@ total AS (SELECT license, length, count(*) AS shingles FROM known GROUP BY ALL),
 doc AS (SELECT row_number() OVER () AS r, doc_id, {words} AS w FROM (SELECT DISTINCT doc_id, text FROM documents)),
 placed AS (SELECT r, len(w) AS n, i, array_to_string(w[i:i + 4], ' ') AS shingle
            FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM doc WHERE len(w) > 0)),
-hit AS (SELECT r, n, i - 1 AS place, license, length, greatest(length // 8, 1) AS step, shingle
+hit AS (SELECT r, i - 1 AS place, least(5, n) AS run, greatest(n - length, 0) AS last, license, length, shingle
         FROM placed JOIN known USING (shingle)),
-seen AS (
-  SELECT DISTINCT r, n, license, length, start, shingle
-  FROM (SELECT *, unnest(list_distinct(list_concat(
-            list_filter(list_transform(range(0, length // step + 1), lambda b: (place // step - b) * step),
-                        lambda s: s >= 0 AND s <= n - length),
-            [greatest(n - length, 0)]))) AS start FROM hit)
-  WHERE start <= place AND place + least(5, n) <= start + greatest(length, 5)),
-best AS (SELECT r, license, start, count(*) / max(shingles) AS containment
-         FROM seen JOIN total USING (license, length) GROUP BY r, license, start)
-SELECT doc_id, license, max(containment) AS containment, arg_min(start, (-containment, start)) AS first_word
-FROM best JOIN doc USING (r) WHERE containment >= 0.8 GROUP BY r, doc_id, license
+narrow AS (SELECT r, license, start, count(DISTINCT shingle) AS found
+           FROM (SELECT *, unnest(range(greatest(place + run - length, 0), least(place, last) + 1)) AS start FROM hit)
+           GROUP BY r, license, start),
+begin AS (SELECT r, license, place AS start FROM hit WHERE place <= last UNION SELECT r, license, last FROM hit),
+wide AS (SELECT r, license, start, count(DISTINCT shingle) AS found FROM begin JOIN hit USING (r, license)
+         WHERE place >= start AND place + run <= start + length + length // 2 GROUP BY r, license, start),
+best AS (SELECT r, license, start, found / shingles AS containment
+         FROM (SELECT *, 0 AS kind FROM narrow UNION ALL SELECT *, 1 FROM wide) JOIN total USING (license)
+         QUALIFY row_number() OVER (PARTITION BY r, license ORDER BY found DESC, kind, start) = 1)
+SELECT doc_id, license, containment, start AS first_word FROM best JOIN doc USING (r) WHERE containment >= 0.8
 """
 
 

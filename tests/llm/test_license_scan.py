@@ -5,24 +5,27 @@ from lotwise.llm import license_scan
 from lotwise.llm.license_texts import TEMPLATES
 
 
-def _runs(words):
-    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+def _runs(words, size=5):
+    return {" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
 
 
 def _brute(text, templates):
-    """Best containment and its first window, over every window of each template's length."""
+    """Best containment and its first word, over every window of each template's length and every stretch of one and a
+    half times that which begins with a shingle of the template or is the last."""
     words = [w for w in re.split(r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+", (text or "").lower()) if w]
     out = {}
     for name, content in templates.items():
         own = [w for w in re.split(r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+", content.lower()) if w]
         if not own or not words:
             continue
-        last = max(0, len(words) - len(own))
-        starts = sorted({*range(0, last + 1, max(1, len(own) // 8)), last})
-        share = lambda s: len(_runs(own) & _runs(words[s : s + len(own)])) / len(_runs(own))
-        best = max(starts, key=lambda s: (share(s), -s))
-        if share(best) >= 0.8:
-            out[name] = (share(best), best)
+        size = min(5, len(own))
+        known, last = _runs(own), max(0, len(words) - len(own))
+        share = lambda s, n: len(known & _runs(words[s : s + n], size)) / len(known)
+        tried = [(-share(s, len(own)), False, s) for s in range(last + 1)]
+        tried += [(-share(s, len(own) + len(own) // 2), True, s) for s in range(last + 1) if s == last or " ".join(words[s : s + size]) in known]
+        best = min(tried)
+        if best[0] <= -0.8:
+            out[name] = (-best[0], best[2])
     return out
 
 
