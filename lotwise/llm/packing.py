@@ -5,14 +5,16 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotwise.llm.common import exact, restored
 
 CAPACITY = 1024
-# Documents that are packed together. Each shard is one task's work, whatever the corpus size.
+# Documents that are packed together, on average: one in so many begins a shard.
 SHARD_ROWS = 4096
+# Parts of the range of hashes in which rows are put in order.
+RANGES = 1 << 16
 SHARD_BINS = 1 << 32
 
 
@@ -65,13 +67,30 @@ def _bits(keys: list) -> dict[object, int]:
     return {key: 1 << n for n, key in enumerate(k for k in dict.fromkeys(keys) if k is not None)}
 
 
+def _in_shards(rows: DataFrame, place: Column) -> DataFrame:
+    """`rows` with `shard`, the number of rows that begin one, up to their own place.
+
+    Rows are ordered in parts of the range of places; how many begin a shard in earlier parts is a table of RANGES rows.
+    """
+    first = F.pmod(F.xxhash64("place", F.lit(1)), F.lit(SHARD_ROWS)) == 0
+    placed = rows.withColumn("place", place).withColumn("part", F.floor(F.col("place") / (2.0**64 / RANGES)))
+    begun = placed.where(first).groupBy("part").agg(F.count(F.lit(1)).alias("begun"))
+    every = rows.sparkSession.range(-RANGES // 2, RANGES // 2 + 1, numPartitions=1).select(F.col("id").alias("of_part"))
+    before = F.coalesce(F.sum("begun").over(Window.orderBy("of_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    earlier = every.join(begun, F.col("of_part") == F.col("part"), "left").select("of_part", before.alias("before"))
+    upto = Window.partitionBy("part").orderBy("place").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = placed.withColumn("here", F.sum(first.cast("long")).over(upto))
+    met = numbered.join(F.broadcast(earlier), F.col("part") == F.col("of_part"))
+    return met.select(*rows.columns, (F.col("before") + F.col("here")).alias("shard"))
+
+
 def pack(
     docs: DataFrame, size: Column, cluster: Column, id: str = "doc_id", source: str = "source", capacity: int = CAPACITY
 ) -> DataFrame:
     """One row per piece: (id, copy, piece, piece_begin, piece_end, bin_id, bin_offset), all but the id long.
 
-    `size` is a document's length, `cluster` its duplicate cluster. Documents are dealt by a hash into shards of about
-    SHARD_ROWS rows, and each shard is packed by itself: largest piece first, into the tightest bin of its shard that
+    `size` is a document's length, `cluster` its duplicate cluster. Documents in the order of a hash of theirs
+    are cut into shards before those whose second hash says so, one in SHARD_ROWS, whatever the table's size. Each shard is packed by itself: largest piece first, into the tightest bin of its shard that
     has room and no piece of the same source or cluster, else into a new bin. Pieces of a document beyond the capacity
     are full bins and a rest. Null or zero sizes give one piece without length, bin_id and offset null. Repeated rows are told apart by `copy`,
     so they spread over shards like other rows. Null sources and clusters conflict with nothing. Only these columns are
@@ -85,9 +104,8 @@ def pack(
     )
     counted = exact(rows).groupBy("id", "source", "cluster", "size").agg(F.count(F.lit(1)).alias("copies"))
     single = counted.select("id", "source", "cluster", "size", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
-    shards = max(1, -(-docs.count() // SHARD_ROWS))
     place = F.xxhash64(F.col("id").cast(rows.schema["id"].dataType), F.col("source").cast(rows.schema["source"].dataType), "size", "copy")
-    dealt = single.withColumn("shard", F.pmod(place, F.lit(shards)))
+    dealt = _in_shards(single.where("size > 0"), place)
     kind = dealt.schema["id"].dataType.simpleString()
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
@@ -110,8 +128,8 @@ def pack(
         )
 
     columns = "copy long, piece long, piece_begin long, piece_end long, bin_id long, bin_offset long"
-    packed = dealt.where("size > 0").groupBy("shard").applyInPandas(run, f"id {kind}, {columns}")
-    none = dealt.where("size = 0").select(
+    packed = dealt.groupBy("shard").applyInPandas(run, f"id {kind}, {columns}")
+    none = single.where("size = 0").select(
         "id", "copy", *[F.lit(0).cast("long").alias(c) for c in ("piece", "piece_begin", "piece_end")],
         *[F.lit(None).cast("long").alias(c) for c in ("bin_id", "bin_offset")],
     )

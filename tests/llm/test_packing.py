@@ -76,3 +76,46 @@ def test_query_holds_all_documents(spark, small):
     words = {r.doc_id: len((r.text or "").split()) for r in docs.collect()}
     sums = got.groupBy("doc_id").agg(F.sum(F.col("piece_end") - F.col("piece_begin")).alias("n")).collect()
     assert all(words[r.doc_id] == r.n for r in sums)
+
+
+def test_shards_begin_where_the_hash_says(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_ROWS", 20)
+    rows = spark.range(3000).select("id", (F.col("id") % 9).alias("part"))
+    got = packing._in_shards(rows, F.xxhash64("id")).withColumn("place", F.xxhash64("id"))
+    got = got.withColumn("first", F.pmod(F.xxhash64("place", F.lit(1)), F.lit(20)) == 0).orderBy("place").collect()
+    number = 0
+    for r in got:
+        number += r.first
+        assert r.shard == number
+    assert len(got) == 3000 and number > 50
+
+
+def test_more_documents_leave_other_shards_alone(spark, documents, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_ROWS", 30)
+    rows = [(i, "w " * (1 + i * 37 % 900)) for i in range(600)]
+
+    def bins(frame):
+        inside = defaultdict(set)
+        for r in packing.pack_texts(frame.withColumn("source", F.col("doc_id").cast("string"))).collect():
+            inside[r.bin_id].add((r.doc_id, r.piece))
+        return {frozenset(x) for x in inside.values()}
+
+    before, after = bins(documents(*rows)), bins(documents(*rows, (1000, "w " * 300)))
+    assert before != after and len(before & after) > 0.6 * len(before)
+
+
+def test_query_packs_each_shard_as_the_plain_packer(spark, small):
+    """The registered query against every bin looked at for every piece, shard by shard."""
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "source", "text", F.xxhash64("text").alias("cluster"))
+    size = {r.doc_id: len((r.text or "").split()) for r in docs.collect()}
+    rows = {r.doc_id: r for r in docs.collect()}
+    assert len(rows) == docs.count()
+    shards = defaultdict(list)
+    for r in queries.op5_pack(spark, small).where("bin_id is not null").collect():
+        shards[r.bin_id >> 32].append(r)
+    for number, got in shards.items():
+        ids = sorted({r.doc_id for r in got}, key=lambda i: (-size[i], i))
+        want = _naive([size[i] for i in ids], [rows[i].source for i in ids], [rows[i].cluster for i in ids], packing.CAPACITY)
+        assert sorted((ids[n], b, e, (number << 32) + bin, at) for n, b, e, bin, at in want) == sorted(
+            (r.doc_id, r.piece_begin, r.piece_end, r.bin_id, r.bin_offset) for r in got
+        )
