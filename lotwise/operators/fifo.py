@@ -17,7 +17,8 @@ such a day into its instants and, within one instant, ranges of ids:
    buy slice and the one sell slice that cover it; there the marker learns the segment's carry-in lot and
    each lot learns its segment. Lots and markers are then matched segment by segment.
 
-All rows are shuffled twice: by asset, side and slice, then by asset and segment.
+The lots with their slices and the slices' bounds are stored once, in the shared folder; all steps read them there. All
+rows are then shuffled twice: by asset, side and slice, then by asset and segment.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 
 from lotwise.functions.expressions import above_dust, is_type
 from lotwise.schemas import QUANTITY
+from lotwise.session import shared_dir
 
 # Lots that one slice should hold at most, and ids per range where a single instant holds more.
 SLICE_ROWS = 1_000_000
@@ -50,30 +52,38 @@ def _lots(tx: DataFrame, crypto_id: int | None) -> DataFrame:
 def _with_slice(lots: DataFrame, slice_rows: int) -> DataFrame:
     """Lots with their slice, which orders like (tx_timestamp, tx_id).
 
-    Lots are counted by day, before the shuffle. A list of years (months, days) with more than ``slice_rows`` lots has
-    at most one entry per that many lots, which bounds its broadcast; mostly it is empty.
+    Lots are counted by day, before the shuffle, and days summed up to months and years. The days of years with more
+    than ``slice_rows`` lots are a list of at most 366 entries for each that many lots, which bounds its broadcast;
+    mostly it is empty.
     """
     queue = ["crypto_id", "side"]
     days = lots.groupBy(*queue, F.date_trunc("day", "tx_timestamp").alias("day")).agg(F.count(F.lit(1)).alias("lots"))
-    sliced = lots
-    for unit in ("year", "month", "day"):
-        large = (
-            days.groupBy(*queue, F.date_trunc(unit, "day").alias(unit))
-            .agg(F.sum("lots").alias("lots"))
-            .filter(F.col("lots") > slice_rows)
-            .select(*queue, unit, F.lit(True).alias(f"large_{unit}"))
-        )
-        sliced = sliced.withColumn(unit, F.date_trunc(unit, "tx_timestamp")).join(
-            F.broadcast(large), [*queue, unit], "left"
-        )
+    within = lambda unit: F.sum("lots").over(Window.partitionBy(*queue, F.date_trunc(unit, "day"))) > slice_rows
+    large = (
+        days.select(*queue, "day", within("year").alias("large_year"), within("month").alias("large_month"), (F.col("lots") > slice_rows).alias("large_day"))
+        .filter("large_year")
+    )
+    day = F.date_trunc("day", "tx_timestamp")
+    sized = lots.withColumn("day", day).join(F.broadcast(large), [*queue, "day"], "left")
     part = F.struct(
-        "year",
-        F.when(F.col("large_year"), F.col("month")).alias("month"),
+        F.date_trunc("year", "day").alias("year"),
+        F.when(F.col("large_year"), F.date_trunc("month", "day")).alias("month"),
         F.when(F.col("large_month"), F.col("day")).alias("day"),
         F.when(F.col("large_day"), F.col("tx_timestamp")).alias("instant"),
         F.when(F.col("large_day"), F.expr(f"tx_id div {IDS_PER_RANGE}")).alias("ids"),
     )
-    return sliced.select(*lots.columns, part.alias("slice"))
+    return sized.select(*lots.columns, part.alias("slice"))
+
+
+def _stored_slices(lots: DataFrame, slice_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Lots with their slices, and the slices' bounds, each written to the shared folder once: all steps read them there."""
+    spark = lots.sparkSession
+    plain, sliced, bounds = (shared_dir(spark, name) for name in ("lots", "sliced-lots", "slices"))
+    lots.write.parquet(plain)
+    _with_slice(spark.read.schema(lots.schema).parquet(plain), slice_rows).write.parquet(sliced)
+    stored = spark.read.parquet(sliced)
+    _slice_bounds(stored).write.parquet(bounds)
+    return stored, spark.read.parquet(bounds)
 
 
 def _slice_bounds(lots: DataFrame) -> DataFrame:
@@ -108,8 +118,8 @@ def _running(lots: DataFrame, extra: DataFrame) -> DataFrame:
 
 
 def _queue(tx: DataFrame, side: str, crypto_id: int | None, slice_rows: int) -> DataFrame:
-    lots = _with_slice(_lots(tx.filter(is_type(side)), crypto_id), slice_rows)
-    return _running(lots, _headers(_slice_bounds(lots))).filter(F.col("kind") == _LOT)
+    lots, bounds = _stored_slices(_lots(tx.filter(is_type(side)), crypto_id), slice_rows)
+    return _running(lots, _headers(bounds)).filter(F.col("kind") == _LOT)
 
 
 def fifo_buys(tx: DataFrame, crypto_id: int | None = None, slice_rows: int = SLICE_ROWS) -> DataFrame:
@@ -168,8 +178,10 @@ def fifo_matched_lots(tx: DataFrame, crypto_id: int | None = None, slice_rows: i
     A buy later than the sale is no match, but keeps its place in the queue: what a sale takes from it is
     dropped and not carried to another lot.
     """
-    lots = _with_slice(_lots(tx, crypto_id), slice_rows)
-    bounds = _slice_bounds(lots)
+    return _matched(*_stored_slices(_lots(tx, crypto_id), slice_rows))
+
+
+def _matched(lots: DataFrame, bounds: DataFrame) -> DataFrame:
     rows = _running(lots, _headers(bounds).unionByName(_markers(_segments(bounds)), allowMissingColumns=True))
 
     # Within a slice, from its upper end down: a marker comes before the lots that end at its cut.
@@ -307,7 +319,8 @@ def buy_lot_consumption(tx: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFram
 
 def tax_lot_inventory_current(tx: DataFrame, cryptos: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Buy lots with a quantity left. Lots and what was taken from them meet in one aggregate by lot."""
-    lots = _lots(tx.filter(is_type("BUY")), None).select(
+    stored, bounds = _stored_slices(_lots(tx, None), slice_rows)
+    lots = stored.filter(F.col("side") == "BUY").select(
         "crypto_id",
         F.col("tx_id").alias("buy_tx_id"),
         F.col("tx_timestamp").alias("buy_timestamp"),
@@ -315,7 +328,7 @@ def tax_lot_inventory_current(tx: DataFrame, cryptos: DataFrame, slice_rows: int
         F.col("price_per_unit_usd").alias("purchase_price_per_unit_usd"),
         F.lit(0).cast(QUANTITY).alias("taken"),
     )
-    taken = fifo_matched_lots(tx, None, slice_rows).select("crypto_id", "buy_tx_id", _taken().alias("taken"))
+    taken = _matched(stored, bounds).select("crypto_id", "buy_tx_id", _taken().alias("taken"))
     facts = ("buy_timestamp", "original_buy_quantity", "purchase_price_per_unit_usd")
     remaining = (F.col("original_buy_quantity") - F.col("taken")).cast(_RUNNING)
     return (

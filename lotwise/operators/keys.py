@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows per numbering task: natural ids are unique integers, so a bucket cannot hold more than its width.
-BUCKET_WIDTH = 1_000_000
-# Buckets in a bucket of the next level.
-FANOUT = 1 << 15
+from lotwise.session import shared_dir
+
+# monotonically_increasing_id() holds the partition above these bits and the place in it below.
+_PLACE_BITS = 33
 
 
 def next_key(table: DataFrame, key: str) -> DataFrame:
@@ -17,37 +17,35 @@ def next_key(table: DataFrame, key: str) -> DataFrame:
 
 
 def assign_surrogate_keys(
-    df: DataFrame, key: str, natural_id: str, width: int = BUCKET_WIDTH, start_after: int = 0,
-    keyed: DataFrame | None = None,
+    df: DataFrame, key: str, natural_id: str, start_after: int = 0, keyed: DataFrame | None = None
 ) -> DataFrame:
     """Fill NULL keys with the numbers after the largest existing one, in order of the natural id.
 
-    Rows that have a key keep it. The id range is cut into buckets of fixed width, and buckets into larger ones, up to
-    the whole range of 64 bits. Rows are numbered inside their bucket, and a bucket starts after the smaller ones of
-    its parent and where its parent starts, so every ordering is within one bucket of bounded size, however sparse the
-    ids are. ``natural_id`` must be an integer and unique. ``keyed`` is a table that holds all keys given so far, if
-    that is cheaper to read than ``df``.
+    Rows that have a key keep it. The rows are range-partitioned once, those without a key first, and written to the
+    shared folder with their place; a partition's numbers start after those of the partitions before it, whose counts
+    are one row each. So no task orders more than a partition, however sparse or dense the ids are, and the input is
+    computed once. ``natural_id`` can be of any type with an order and must be unique. ``keyed`` is a table that holds
+    all keys given so far, where ``df`` doesn't.
     """
-    missing = F.col(key).isNull().cast("bigint")
-    bucketed = df.withColumn("bucket0", F.expr(f"`{natural_id}` div {width}"))
-    levels = [bucketed.groupBy("bucket0").agg(F.sum(missing).alias("fresh"))]
-    span = width
-    while span < 1 << 63:
-        span *= FANOUT
-        inner, outer = f"bucket{len(levels) - 1}", f"bucket{len(levels)}"
-        # Beyond 64 bits there is one bucket, which holds all.
-        parent = F.expr(f"`{inner}` div {FANOUT}") if span < 1 << 63 else F.lit(0).cast("bigint")
-        levels[-1] = levels[-1].withColumn(outer, parent)
-        levels.append(levels[-1].groupBy(outer).agg(F.sum("fresh").alias("fresh")))
-    top = F.greatest(F.coalesce(F.max(key).cast("bigint"), F.lit(0)), F.lit(start_after))
-    start = (df if keyed is None else keyed).agg(top.alias("offset")).withColumn(f"bucket{len(levels) - 1}", F.lit(0).cast("bigint"))
-    for n in range(len(levels) - 2, -1, -1):
-        inner, outer = f"bucket{n}", f"bucket{n + 1}"
-        before = Window.partitionBy(outer).orderBy(inner).rowsBetween(Window.unboundedPreceding, -1)
-        smaller = F.coalesce(F.sum("fresh").over(before), F.lit(0))
-        start = levels[n].withColumn("smaller", smaller).join(start, outer).select(
-            inner, (F.col("offset") + F.col("smaller")).alias("offset")
-        )
-    in_bucket = Window.partitionBy("bucket0").orderBy(natural_id).rowsBetween(Window.unboundedPreceding, 0)
-    numbered = F.coalesce(F.col(key).cast("bigint"), F.col("offset") + F.sum(missing).over(in_bucket))
-    return bucketed.join(start, "bucket0").withColumn(key, numbered).select(df.columns)
+    spark = df.sparkSession
+    path = shared_dir(spark, "numbered")
+    (
+        df.withColumn("__kept", F.col(key).isNotNull())
+        .repartitionByRange("__kept", natural_id)
+        .sortWithinPartitions("__kept", natural_id)
+        .withColumn("__place", F.monotonically_increasing_id())
+        .write.parquet(path)
+    )
+    placed = spark.read.parquet(path).withColumn("__part", F.shiftright("__place", _PLACE_BITS))
+    parts = placed.groupBy("__part").agg(F.count(F.when(~F.col("__kept"), 1)).alias("fresh"), F.max(key).cast("bigint").alias("top"))
+    # One row for each partition, so they may be ordered in one task and broadcast.
+    before = F.coalesce(F.sum("fresh").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    every = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    top = F.greatest(F.coalesce(F.max("top").over(every), F.lit(0)), F.lit(start_after))
+    if keyed is not None:
+        parts = parts.crossJoin(F.broadcast(keyed.agg(F.max(key).cast("bigint").alias("other_top"))))
+        top = F.greatest(top, F.coalesce("other_top", F.lit(0)))
+    offsets = parts.select("__part", (before + top).alias("__offset"))
+    number = F.col("__offset") + F.col("__place").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)) + 1
+    numbered = F.when(F.col("__kept"), F.col(key).cast("bigint")).otherwise(number)
+    return placed.join(F.broadcast(offsets), "__part").withColumn(key, numbered).select(df.columns)

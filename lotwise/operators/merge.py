@@ -28,4 +28,4 @@ def upsert(
         surrogate, natural_id,
         *[F.when(F.col("loaded"), F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c) for c in values],
     )
-    return assign_surrogate_keys(merged, surrogate, natural_id, keyed=target if keyed is None else keyed).select(target.columns)
+    return assign_surrogate_keys(merged, surrogate, natural_id, keyed=keyed).select(target.columns)

@@ -96,90 +96,78 @@ def dq_unmapped_dates(tx: DataFrame, dim_date: DataFrame) -> DataFrame:
 def dq_constraint_violations(tables: dict[str, DataFrame]) -> DataFrame:
     """rule, key, n: what the declared constraints of the five tables would have refused.
 
-    n is the number of rows of a key. NULLs are exempt from UNIQUE, CHECK and reference rules.
+    n is the number of rows of a key. NULLs are exempt from UNIQUE, CHECK and reference rules. Every table is read once:
+    each row says which rules it breaks, which keys it has and what it refers to, and one grouping by rule and key, added
+    up before its shuffle, shows keys that come twice and references that nothing fulfils.
     """
-    cryptos, exchanges, categories = (
-        tables["cryptocurrencies"], tables["exchanges"], tables["transaction_categories"],
+    cryptos, exchanges, categories, tx, prices = (
+        tables[t] for t in ("cryptocurrencies", "exchanges", "transaction_categories", "transactions", "historical_prices")
     )
-    tx, prices = tables["transactions"], tables["historical_prices"]
-    parts = [
-        _unique(cryptos, "cryptocurrencies", "crypto_id"),
-        _unique(cryptos, "cryptocurrencies", "symbol"),
-        _unique(exchanges, "exchanges", "exchange_id"),
-        _unique(exchanges, "exchanges", "name"),
-        _unique(categories, "transaction_categories", "category_id"),
-        _unique(categories, "transaction_categories", "name"),
-        _unique(tx, "transactions", "tx_id"),
-        _unique(prices, "historical_prices", "price_id"),
-        _unique(prices, "historical_prices", "crypto_id", "price_date"),
-        _row_rules(
-            cryptos, "cryptocurrencies", not_null=("crypto_id", "symbol", "name"), longest={"symbol": 10, "name": 100}
+    said = [
+        _sayings(
+            cryptos, "cryptocurrencies", unique=(("crypto_id",), ("symbol",)), not_null=("crypto_id", "symbol", "name"),
+            longest={"symbol": 10, "name": 100},
+            fulfils={"crypto_id": ("reference transactions(crypto_id)", "reference historical_prices(crypto_id)")},
         ),
-        _row_rules(
-            exchanges, "exchanges", not_null=("exchange_id", "name", "exchange_type"),
+        _sayings(
+            exchanges, "exchanges", unique=(("exchange_id",), ("name",)), not_null=("exchange_id", "name", "exchange_type"),
             allowed={"exchange_type": EXCHANGE_TYPES}, longest={"name": 100, "exchange_type": 20},
+            fulfils={"exchange_id": ("reference transactions(exchange_id)",)},
         ),
-        _row_rules(categories, "transaction_categories", not_null=("category_id", "name"), longest={"name": 50}),
-        _row_rules(
-            tx, "transactions",
+        _sayings(
+            categories, "transaction_categories", unique=(("category_id",), ("name",)), not_null=("category_id", "name"),
+            longest={"name": 50}, fulfils={"category_id": ("reference transactions(category_id)",)},
+        ),
+        _sayings(
+            tx, "transactions", unique=(("tx_id",),),
             not_null=("tx_id", "crypto_id", "tx_type", "quantity", "tx_timestamp"),
-            allowed={"tx_type": STORED_TX_TYPES},
-            longest={"tx_type": 20},
-            references={"crypto_id": cryptos, "exchange_id": exchanges, "category_id": categories},
+            allowed={"tx_type": STORED_TX_TYPES}, longest={"tx_type": 20},
+            references=("crypto_id", "exchange_id", "category_id"),
         ),
-        _row_rules(
-            prices, "historical_prices",
-            not_null=("price_id", "crypto_id", "price_date", "close_price_usd"),
-            references={"crypto_id": cryptos},
+        _sayings(
+            prices, "historical_prices", unique=(("price_id",), ("crypto_id", "price_date")),
+            not_null=("price_id", "crypto_id", "price_date", "close_price_usd"), references=("crypto_id",),
         ),
     ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
-def _unique(df: DataFrame, table: str, *keys: str) -> DataFrame:
-    known = df
-    for k in keys:
-        known = known.filter(F.col(k).isNotNull())
+    every = said[0]
+    for more in said[1:]:
+        every = every.unionByName(more)
+    broken = (F.col("kind") == _BROKEN) | ((F.col("kind") == _UNIQUE) & (F.col("n") > 1))
     return (
-        known.groupBy(*keys).count().filter(F.col("count") > 1)
-        .select(
-            F.lit(f"unique {table}({','.join(keys)})").alias("rule"),
-            F.concat_ws("|", *keys).alias("key"),
-            F.col("count").alias("n"),
-        )
+        every.groupBy("rule", "key", "kind")
+        .agg(F.sum("rows").alias("n"), F.max(F.col("rows") == 0).alias("fulfilled"))
+        .filter(broken | ((F.col("kind") == _REFERENCE) & ~F.col("fulfilled")))
+        .select("rule", "key", "n")
     )
 
 
-def _row_rules(
-    df: DataFrame, table: str, not_null: tuple[str, ...] = (), allowed: dict[str, tuple[str, ...]] | None = None,
-    references: dict[str, DataFrame] | None = None, longest: dict[str, int] | None = None,
+_BROKEN, _UNIQUE, _REFERENCE = range(3)
+
+
+def _sayings(
+    df: DataFrame, table: str, unique: tuple[tuple[str, ...], ...] = (), not_null: tuple[str, ...] = (),
+    allowed: dict[str, tuple[str, ...]] | None = None, longest: dict[str, int] | None = None,
+    references: tuple[str, ...] = (), fulfils: dict[str, tuple[str, ...]] | None = None,
 ) -> DataFrame:
-    """All rules that look at one row, in one pass: each row names what it breaks or refers to, these are
-    counted before the shuffle, and references that exist are taken out of the few counted rows."""
-
-    def entry(rule: str, column: str, key: Column, when: Column) -> Column:
-        named = F.lit(f"{rule} {table}({column})").alias("rule")
-        return F.when(when, F.struct(named, key.cast("string").alias("key")))
-
-    entries = [entry("not null", c, F.lit(None), F.col(c).isNull()) for c in not_null]
-    entries += [entry("check", c, F.col(c), ~F.col(c).isin(*values)) for c, values in (allowed or {}).items()]
-    entries += [entry("length", c, F.col(c), F.char_length(c) > n) for c, n in (longest or {}).items()]
-    entries += [entry("reference", c, F.col(c), F.col(c).isNotNull()) for c in (references or {})]
-    found = (
-        df.select(F.explode(F.array_compact(F.array(*entries))).alias("at"))
-        .groupBy("at.rule", "at.key")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    existing = [
-        dim.select(F.lit(f"reference {table}({c})").alias("rule"), F.col(c).cast("string").alias("key"))
-        for c, dim in (references or {}).items()
-    ]
-    if not existing:
-        return found
-    fulfilled = existing[0]
-    for more in existing[1:]:
-        fulfilled = fulfilled.unionByName(more)
-    return found.join(fulfilled, ["rule", "key"], "left_anti")
+    """rule, key, kind, rows: what each row has to say to the rules, in one pass.
+
+    A row that breaks a rule, or has a key, or refers to one, counts 1; one that fulfils references counts 0.
+    """
+
+    def say(rule: str, kind: int, key: Column, when: Column, rows: int = 1) -> Column:
+        said = F.struct(F.lit(rule).alias("rule"), key.cast("string").alias("key"), F.lit(kind).alias("kind"), F.lit(rows).cast("bigint").alias("rows"))
+        return F.when(when, said)
+
+    def known(*columns: str) -> Column:
+        whole = F.lit(True)
+        for c in columns:
+            whole = whole & F.col(c).isNotNull()
+        return whole
+
+    entries = [say(f"unique {table}({','.join(keys)})", _UNIQUE, F.concat_ws("|", *keys), known(*keys)) for keys in unique]
+    entries += [say(f"not null {table}({c})", _BROKEN, F.lit(None), F.col(c).isNull()) for c in not_null]
+    entries += [say(f"check {table}({c})", _BROKEN, F.col(c), ~F.col(c).isin(*values)) for c, values in (allowed or {}).items()]
+    entries += [say(f"length {table}({c})", _BROKEN, F.col(c), F.char_length(c) > n) for c, n in (longest or {}).items()]
+    entries += [say(f"reference {table}({c})", _REFERENCE, F.col(c), known(c)) for c in references]
+    entries += [say(rule, _REFERENCE, F.col(c), known(c), rows=0) for c, rules in (fulfils or {}).items() for rule in rules]
+    return df.select(F.inline(F.array_compact(F.array(*entries))))

@@ -58,7 +58,7 @@ class _Run(LedgerTables):
         """The four dimensions of a first load. The loads do not depend on each other and run side by side."""
         empty = warehouse.empty_table
         loads = {
-            "dim_date": warehouse.calendar_covering(self.trades),
+            "dim_date": warehouse.calendar_covering(self.movements),
             "dim_cryptocurrency": warehouse.upsert_dim_cryptocurrency(
                 self.cryptocurrencies, empty(self.spark, DIM_CRYPTOCURRENCY)
             ),
@@ -133,7 +133,7 @@ def _holdings() -> dict[str, Query]:
     return {
         "table_row_counts": _on(lambda t: statistics.table_row_counts(t.as_dict())),
         "current_holdings": _on(
-            lambda t: holdings.current_holdings(t.trades, t.cryptocurrencies), order="current_holdings"
+            lambda t: holdings.current_holdings(t.movements, t.cryptocurrencies), order="current_holdings"
         ),
         "historical_holdings_by_date": _on(
             lambda t: holdings.historical_holdings_by_date(t.trades_in(until=AS_OF), t.cryptocurrencies, AS_OF),
@@ -144,24 +144,24 @@ def _holdings() -> dict[str, Query]:
             order="get_historical_holdings",
         ),
         "get_historical_holdings_sql": _sql_holdings,
-        "holdings_net": _on(lambda t: holdings.holdings_net(t.trades)),
+        "holdings_net": _on(lambda t: holdings.holdings_net(t.movements)),
         "holdings_at_dates": _on(lambda t: holdings.holdings_at_dates(t.trades_in(until=END), [START, "2000-12-31", END])),
         "latest_prices": _on(lambda t: valuation.latest_prices(t.historical_prices)),
         "prices_on_date": _on(lambda t: valuation.prices_on_date(t.historical_prices, AS_OF)),
         "prices_as_of": _on(lambda t: valuation.prices_as_of(t.historical_prices, AS_OF)),
         "current_portfolio_value": _on(
-            lambda t: valuation.current_portfolio_value(t.trades, t.cryptocurrencies, t.historical_prices)
+            lambda t: valuation.current_portfolio_value(t.movements, t.cryptocurrencies, t.historical_prices)
         ),
         "portfolio_value_breakdown": _on(
-            lambda t: valuation.portfolio_value_breakdown(t.trades, t.cryptocurrencies, t.historical_prices),
+            lambda t: valuation.portfolio_value_breakdown(t.movements, t.cryptocurrencies, t.historical_prices),
             order="portfolio_value_breakdown",
         ),
         "current_asset_allocation": _on(
-            lambda t: valuation.current_asset_allocation(t.trades, t.cryptocurrencies, t.historical_prices),
+            lambda t: valuation.current_asset_allocation(t.movements, t.cryptocurrencies, t.historical_prices),
             "allocation_percentage", order="current_asset_allocation",
         ),
         "portfolio_value_change_daily": _on(
-            lambda t: valuation.portfolio_value_change_daily(t.trades, t.historical_prices, AS_OF),
+            lambda t: valuation.portfolio_value_change_daily(t.movements, t.historical_prices, AS_OF),
             "percentage_change",
         ),
         "portfolio_value_change_between_dates": _on(
@@ -181,7 +181,7 @@ def _holdings() -> dict[str, Query]:
 
 def _sql_tables(t: _Run) -> dict[str, DataFrame]:
     return {
-        "transactions": t.trades, "cryptocurrencies": t.cryptocurrencies, "historical_prices": t.historical_prices,
+        "transactions": t.movements, "cryptocurrencies": t.cryptocurrencies, "historical_prices": t.historical_prices,
     }
 
 
@@ -200,28 +200,28 @@ def _sql_value(spark: SparkSession, folder: str) -> DataFrame:
 def _statistics() -> dict[str, Query]:
     return {
         "transaction_frequency_by_month": _on(
-            lambda t: statistics.transaction_frequency_by_month(t.trades), order="transaction_frequency_by_month"
+            lambda t: statistics.transaction_frequency_by_month(t.movements), order="transaction_frequency_by_month"
         ),
         "average_purchase_price_by_asset": _on(
-            lambda t: statistics.average_purchase_price_by_asset(t.trades, t.cryptocurrencies),
+            lambda t: statistics.average_purchase_price_by_asset(t.movements, t.cryptocurrencies),
             "weighted_average_purchase_price_usd", order="average_purchase_price_by_asset",
         ),
         "transaction_analysis_by_exchange": _on(
-            lambda t: statistics.transaction_analysis_by_exchange(t.transactions, t.exchanges),
+            lambda t: statistics.transaction_analysis_by_exchange(t.placed_movements, t.exchanges),
             order="transaction_analysis_by_exchange",
         ),
         "transaction_value_distribution": _on(
-            lambda t: statistics.transaction_value_distribution(t.trades), order="transaction_value_distribution"
+            lambda t: statistics.transaction_value_distribution(t.movements), order="transaction_value_distribution"
         ),
         "fee_by_exchange": _on(
-            lambda t: statistics.fee_by_exchange(t.transactions, t.exchanges), order="fee_by_exchange"
+            lambda t: statistics.fee_by_exchange(t.placed_movements, t.exchanges), order="fee_by_exchange"
         ),
-        "fee_by_asset": _on(lambda t: statistics.fee_by_asset(t.trades, t.cryptocurrencies), order="fee_by_asset"),
+        "fee_by_asset": _on(lambda t: statistics.fee_by_asset(t.movements, t.cryptocurrencies), order="fee_by_asset"),
         "transactions_per_month": _on(
-            lambda t: statistics.transactions_per_month(t.trades), order="transactions_per_month"
+            lambda t: statistics.transactions_per_month(t.movements), order="transactions_per_month"
         ),
         "most_active_cryptos": _on(
-            lambda t: statistics.most_active_cryptos(t.trades, t.cryptocurrencies), order="most_active_cryptos"
+            lambda t: statistics.most_active_cryptos(t.movements, t.cryptocurrencies), order="most_active_cryptos"
         ),
         "price_range_check": _on(
             lambda t: statistics.price_range_check(t.historical_prices, t.cryptocurrencies),
@@ -257,15 +257,15 @@ def _tax_lots() -> dict[str, Query]:
         "fifo_sells": _on(lambda t: fifo.fifo_sells(t.trades)),
         "fifo_matched_lots": _on(lambda t: fifo.fifo_matched_lots(t.trades)),
         "fifo_realized_single_asset": _on(
-            lambda t: fifo.fifo_realized_single_asset(t.trades, t.cryptocurrencies, TARGET_ASSET),
+            lambda t: fifo.fifo_realized_single_asset(t.trades_of(TARGET_ASSET), t.cryptocurrencies, TARGET_ASSET),
             order="fifo_realized_single_asset",
         ),
         "fifo_summary_per_sale_single_asset": _on(
-            lambda t: fifo.fifo_summary_per_sale_single_asset(t.trades, t.cryptocurrencies, TARGET_ASSET),
+            lambda t: fifo.fifo_summary_per_sale_single_asset(t.trades_of(TARGET_ASSET), t.cryptocurrencies, TARGET_ASSET),
             order="fifo_summary_per_sale_single_asset",
         ),
         "fifo_annual_single_asset": _on(
-            lambda t: fifo.fifo_annual_single_asset(t.trades, t.cryptocurrencies, TARGET_ASSET),
+            lambda t: fifo.fifo_annual_single_asset(t.trades_of(TARGET_ASSET), t.cryptocurrencies, TARGET_ASSET),
             order="fifo_annual_single_asset",
         ),
         "fifo_summary_per_sale_all_assets": _on(
@@ -290,7 +290,7 @@ def _quality() -> dict[str, Query]:
         "dq_orphan_crypto": _on(lambda t: quality.dq_orphan_crypto(t.checked, t.cryptocurrencies)),
         "dq_orphan_exchange": _on(lambda t: quality.dq_orphan_exchange(t.checked, t.exchanges)),
         "dq_stale_prices": _on(
-            lambda t: quality.dq_stale_prices(t.trades, t.cryptocurrencies, t.historical_prices, "2001-11-01"),
+            lambda t: quality.dq_stale_prices(t.movements, t.cryptocurrencies, t.historical_prices, "2001-11-01"),
             order="dq_stale_prices",
         ),
         "dq_price_gaps": _on(lambda t: quality.dq_price_gaps(t.historical_prices, t.cryptocurrencies)),
@@ -298,7 +298,7 @@ def _quality() -> dict[str, Query]:
             lambda t: quality.dq_constraint_violations(t.as_dict() | {"transactions": t.spoiled})
         ),
         "dq_unmapped_dates": _on(
-            lambda t: quality.dq_unmapped_dates(t.checked, warehouse.calendar_covering(t.trades))
+            lambda t: quality.dq_unmapped_dates(t.checked, warehouse.calendar_covering(t.movements))
         ),
     }
 
@@ -307,7 +307,7 @@ def _quality() -> dict[str, Query]:
 
 def _insert_only_load(t: _Run) -> DataFrame:
     """Days of an earlier load carry other names and must keep them."""
-    days = t.stored("dim_date", warehouse.calendar_covering(t.trades))
+    days = t.stored("dim_date", warehouse.calendar_covering(t.movements))
     earlier = days.filter(F.col("full_date") < F.lit(EARLIER_LOAD_UNTIL).cast("date")).withColumn(
         "day_name", F.upper("day_name")
     )
@@ -354,7 +354,7 @@ def _second_load_fact(t: _Run) -> DataFrame:
 
 def _materialized_holdings(t: _Run) -> DataFrame:
     path = shared_dir(t.spark, "mv_current_holdings")
-    snapshots.save_mv_current_holdings(t.trades, t.cryptocurrencies, path)
+    snapshots.save_mv_current_holdings(t.movements, t.cryptocurrencies, path)
     return snapshots.read_mv_current_holdings(t.spark, path)
 
 
@@ -381,7 +381,7 @@ def _star_counts(t: _Run) -> DataFrame:
 
 
 def _measures(t: _Run, tx: DataFrame | None = None) -> DataFrame:
-    return warehouse.fact_measures(t.trades if tx is None else tx, t.dim_date, t.dim_crypto)
+    return warehouse.fact_measures(t.movements if tx is None else tx, t.dim_date, t.dim_crypto)
 
 
 def _monthly(t: _Run, tx: DataFrame | None = None) -> DataFrame:
@@ -405,7 +405,7 @@ def _warehouse() -> dict[str, Query]:
     return {
         "mv_current_holdings": _on(_materialized_holdings),
         "read_mv_current_holdings": _on(_holdings_of_an_earlier_refresh, order="read_mv_current_holdings"),
-        "build_dim_date": _on(lambda t: warehouse.calendar_covering(t.trades)),
+        "build_dim_date": _on(lambda t: warehouse.calendar_covering(t.movements)),
         "insert_only_load": _on(_insert_only_load),
         "upsert_dim_cryptocurrency": _on(_second_load_cryptos),
         "upsert_dim_exchange": _on(_second_load_exchanges),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -36,7 +37,12 @@ def local_session(app: str = "lotwise", cpus: int = 8, shuffle_partitions: int |
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below ``spark.checkpoint.dir``, where every executor can read what others wrote.
 
-    Where that is not set, the session's warehouse folder is taken, which a cluster shares as well.
+    Where that is not set, a session of one process takes a temporary folder; a cluster has to set it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = os.path.join(tempfile.gettempdir(), "lotwise-shared")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -27,8 +27,12 @@ ZERO_PRICE_EVERY = 997
 
 # Room for the days of one asset in the ids of prices.
 DAYS_PER_ASSET = 1_000_000
-# Copies of one order line that an id can tell apart.
-MAX_COPIES = 999
+# Room for the copies of an order line and for the lines of an order in ids; more where there are more.
+COPIES, LINES = 1000, 10
+# Copies of one order line that are numbered in one task.
+HOT_COPIES = 1_000_000
+# What copies of a line are ordered by.
+_VALUES = ("l_suppkey", "l_shipdate", "l_returnflag", "l_linestatus", "l_quantity", "l_extendedprice", "l_tax")
 
 
 class LedgerTables:
@@ -73,12 +77,17 @@ class LedgerTables:
         """The ledger without venue and category, which need three more joins: one row per line item."""
         return self._trades(self._read("lineitem")).drop("l_orderkey", "l_linenumber")
 
+    @cached_property
+    def movements(self) -> DataFrame:
+        """`trades` without ids, for reports that show none."""
+        return self._trades(self._read("lineitem"), ids=False).drop("l_orderkey", "l_linenumber")
+
     def trades_in(
         self, start: dt.date | str | None = None, until: dt.date | str | None = None, crypto_id: int | None = None
     ) -> DataFrame:
         """Trades from the start of one day to the end of another, and of one asset, filtered in the Parquet scan.
 
-        The copies of a line are numbered within what is left, so this is for reports that show no ids.
+        For reports that show no ids: these follow from all copies of a line.
         """
         rows = self._read("lineitem")
         midnight = lambda day: F.lit(dt.datetime.combine(day, dt.time())).cast("timestamp_ntz")
@@ -88,23 +97,65 @@ class LedgerTables:
             rows = rows.filter(F.col("l_shipdate") < midnight(as_date(until) + dt.timedelta(days=1)))
         if crypto_id is not None:
             rows = rows.filter(F.col("l_suppkey") == crypto_id)
-        return self._trades(rows).drop("l_orderkey", "l_linenumber")
+        return self._trades(rows, ids=False).drop("l_orderkey", "l_linenumber")
+
+    def trades_of(self, crypto_id: int) -> DataFrame:
+        """`trades` of one asset. Only lines that it has a copy of are numbered, so only these are shuffled."""
+        lines = self._read("lineitem")
+        own = lines.filter(F.col("l_suppkey") == crypto_id).select("l_orderkey", "l_linenumber").distinct()
+        near = lines.join(own, ["l_orderkey", "l_linenumber"], "left_semi")
+        return self._trades(near).filter(F.col("crypto_id") == crypto_id).drop("l_orderkey", "l_linenumber")
 
-    @staticmethod
-    def _trades(lines: DataFrame) -> DataFrame:
+    @cached_property
+    def _widths(self) -> tuple[int, int, int]:
+        """Room for lines and copies in ids, as powers of ten, and the most copies that a line has."""
+        lines = self._read("lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("copies"))
+        last, most = lines.agg(F.max("l_linenumber"), F.max("copies")).first()
+        power = lambda least, top: max(least, 10 ** len(str(top or 0)))
+        return power(LINES, last), power(COPIES, most), most or 0
+
+    def _numbered(self, lines: DataFrame) -> DataFrame:
+        """Order lines with ``copy``, from 1: each line's copies in order of their values.
+
+        Lines with more than HOT_COPIES copies are numbered on two levels: equal copies are counted first, the others
+        dealt into pieces by a hash and numbered there after the copies of the pieces before, so that no task has all.
+        """
+        line = ["l_orderkey", "l_linenumber"]
+        plain = lines.withColumn("copy", F.row_number().over(Window.partitionBy(*line).orderBy(*_VALUES)).cast("bigint"))
+        if self._widths[2] <= HOT_COPIES:
+            return plain
+        hot = self._read("lineitem").groupBy(*line).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT_COPIES)
+        pieces = F.ceil(F.col("n") / HOT_COPIES)
+        equal = (
+            lines.select(*line, *_VALUES).join(hot, line).groupBy(*line, *_VALUES, "n").agg(F.count(F.lit(1)).alias("same"))
+            .withColumn("piece", F.pmod(F.xxhash64(*_VALUES), pieces))
+        )
+        totals = equal.groupBy(*line, "piece").agg(F.sum("same").alias("total"))
+        earlier = Window.partitionBy(*line).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+        starts = totals.select(*line, "piece", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("start"))
+        inside = Window.partitionBy(*line, "piece").orderBy(*_VALUES).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        last = F.col("start") + F.sum("same").over(inside)
+        many = (
+            equal.join(starts, [*line, "piece"]).withColumn("last", last)
+            .select(*line, *_VALUES, F.explode(F.sequence(F.col("last") - F.col("same") + 1, F.col("last"))).alias("copy"))
+        )
+        few = lines.select(*line, *_VALUES).join(hot, line, "left_anti")
+        few = few.withColumn("copy", F.row_number().over(Window.partitionBy(*line).orderBy(*_VALUES)).cast("bigint"))
+        return few.unionByName(many)
+
+    def _trades(self, lines: DataFrame, ids: bool = True) -> DataFrame:
         """Ids are made of order, line and the copy of the line, since lines come more than once.
 
-        Only the id needs the copies numbered: where it is not asked for, Spark drops the window and its shuffle.
+        Without ``ids`` no copies are numbered and no shuffle precedes what follows.
         """
-        values = ("l_suppkey", "l_shipdate", "l_returnflag", "l_linestatus", "l_quantity", "l_extendedprice", "l_tax")
-        copy = F.row_number().over(Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*values))
-        line = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-        too_many = F.raise_error(F.lit(f"more than {MAX_COPIES} copies of an order line")).cast("bigint")
+        room, copies, _ = self._widths if ids else (0, 0, 0)
+        line = F.col("l_orderkey") * LINES + F.col("l_linenumber")
         flags = F.concat("l_returnflag", "l_linestatus")
         tx_type = F.coalesce(*[F.when(flags == code, kind) for code, kind in TYPE_OF_FLAGS.items()], flags)
-        return lines.withColumn("copy", copy).select(
+        tx_id = [((F.col("l_orderkey") * room + F.col("l_linenumber")) * copies + F.col("copy")).alias("tx_id")] if ids else []
+        return (self._numbered(lines) if ids else lines).select(
             "l_orderkey", "l_linenumber",
-            F.when(F.col("copy") <= MAX_COPIES, line * (MAX_COPIES + 1) + F.col("copy")).otherwise(too_many).alias("tx_id"),
+            *tx_id,
             F.col("l_suppkey").alias("crypto_id"),
             tx_type.alias("tx_type"),
             F.col("l_quantity").cast(QUANTITY).alias("quantity"),
@@ -121,6 +172,14 @@ class LedgerTables:
     @cached_property
     def transactions(self) -> DataFrame:
         """The whole ledger. Orders without a customer or nation leave venue and category empty."""
+        return self._placed(ids=True)
+
+    @cached_property
+    def placed_movements(self) -> DataFrame:
+        """`transactions` without ids, for reports that show none."""
+        return self._placed(ids=False)
+
+    def _placed(self, ids: bool) -> DataFrame:
         venue = (
             self._read("orders").select("o_orderkey", "o_custkey")
             .join(
@@ -134,9 +193,9 @@ class LedgerTables:
         )
         line = F.col("l_linenumber")
         # Both sides grow with the data: a merge join, so that neither is ever broadcast on an estimate.
-        rows = self._trades(self._read("lineitem"))
+        rows = self._trades(self._read("lineitem"), ids)
         return rows.join(venue.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"), "left").select(
-            "tx_id", "crypto_id",
+            *(["tx_id"] if ids else []), "crypto_id",
             F.when(line != 7, F.col("c_nationkey")).alias("exchange_id"),
             F.when(line != 6, F.col("n_regionkey")).alias("category_id"),
             "tx_type", "quantity", "price_per_unit_usd", "tx_timestamp", "fee_usd", "notes",

@@ -28,30 +28,49 @@ def rows(df):
 
 # --- keys and loads ------------------------------------------------------------------------------------------
 
-@pytest.mark.parametrize("width", [1, 7, 1000, 10**6])
-def test_keys_are_dense_and_follow_the_natural_id(spark, width):
+def test_keys_are_dense_and_follow_the_natural_id(spark):
     ids = [5, 17, 3, 900, 901, 902, 10**9, 44, -12]
     df = spark.createDataFrame([(None, i) for i in ids], "key bigint, id bigint")
-    got = dict((r.id, r.key) for r in K.assign_surrogate_keys(df, "key", "id", width=width).collect())
+    got = dict((r.id, r.key) for r in K.assign_surrogate_keys(df, "key", "id").collect())
     assert got == {i: n for n, i in enumerate(sorted(ids), start=1)}
+    assert K.assign_surrogate_keys(df.limit(0), "key", "id").collect() == []
 
 
 def test_existing_keys_stay_and_new_ones_follow(spark):
     df = spark.createDataFrame([(4, 30), (9, 10), (None, 20), (None, 5), (None, 40)], "key bigint, id bigint")
-    for width in (1, 15, 100):
-        got = dict((r.id, r.key) for r in K.assign_surrogate_keys(df, "key", "id", width=width).collect())
-        assert got == {30: 4, 10: 9, 5: 10, 20: 11, 40: 12}
+    got = dict((r.id, r.key) for r in K.assign_surrogate_keys(df, "key", "id").collect())
+    assert got == {30: 4, 10: 9, 5: 10, 20: 11, 40: 12}
     got = dict((r.id, r.key) for r in K.assign_surrogate_keys(df, "key", "id", start_after=100).collect())
     assert got[5] == 101 and got[30] == 4
+    got = dict((r.id, r.key) for r in K.assign_surrogate_keys(df, "key", "id", keyed=df.select(F.lit(50).alias("key"))).collect())
+    assert got[5] == 51 and got[30] == 4
 
 
-def test_keys_of_sparse_ids_need_no_ordering_of_the_whole_table(spark):
+def test_keys_of_sparse_ids_over_many_partitions(spark):
+    """The whole range of 64 bits; after the input is stored in ranges, only one row a partition is put in order."""
     rng = random.Random(4)
     ids = sorted({rng.randrange(-(2**63), 2**63) for _ in range(300)} | {-(2**63), 2**63 - 1, 0, -1})
     df = spark.createDataFrame([(None, i) for i in ids], "key bigint, id bigint")
-    keyed = K.assign_surrogate_keys(df, "key", "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        keyed = K.assign_surrogate_keys(df, "key", "id")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert dict((r.id, r.key) for r in keyed.collect()) == {i: n for n, i in enumerate(ids, start=1)}
-    assert "SinglePartition" not in "".join(x for x in plan(keyed).split("\n\n") if x.lstrip().startswith("(") and "Window" in x)
+    assert len(keyed.inputFiles()) > 1
+    text = plan(keyed)
+    assert "rangepartitioning" not in text and "`id`" not in "".join(x for x in text.split("\n\n") if "Window" in x)
+
+
+def test_upserts_need_few_exchanges(spark):
+    target = spark.createDataFrame([(1, 10, "a"), (2, 20, "b")], "key bigint, id bigint, name string")
+    rows = spark.createDataFrame([(20, "B"), (30, "c")], "id bigint, name string")
+    from lotwise.operators.merge import upsert
+
+    got = upsert(target, rows, "id", "key")
+    assert sorted(map(tuple, got.collect())) == [(1, 10, "a"), (2, 20, "B"), (3, 30, "c")]
+    text = plan(upsert(target, rows, "id", "key"))
+    assert text.count("Exchange hashpartitioning") <= 3 and "SortMergeJoin" not in text
 
 
 def test_next_key(spark):
@@ -235,12 +254,14 @@ def test_csv_import_loses_no_text(spark, tmp_path):
 
 
 def test_shared_folder_follows_the_session(spark):
-    def session(**conf):
-        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: conf.get(key.replace(".", "_"), default)))
-
-    cluster = session(spark_checkpoint_dir="/shared/example", spark_sql_warehouse_dir="/warehouse")
-    assert shared_dir(cluster, "x").startswith("/shared/example/x-")
-    assert shared_dir(session(spark_sql_warehouse_dir="/warehouse"), "x").startswith("/warehouse/x-")
+    def session(master, **conf):
+        known = SimpleNamespace(get=lambda key, default=None: conf.get(key.replace(".", "_"), default))
+        return SimpleNamespace(conf=known, sparkContext=SimpleNamespace(master=master))
+
+    assert shared_dir(session("yarn", spark_checkpoint_dir="/shared/example"), "x").startswith("/shared/example/x-")
+    for master in ("yarn", "local-cluster[2,1,1024]", "spark://host:7077"):
+        with pytest.raises(ValueError):
+            shared_dir(session(master, spark_sql_warehouse_dir="/warehouse"), "x")
     assert shared_dir(spark, "x") != shared_dir(spark, "x")
 
 
