@@ -9,25 +9,70 @@ from pyspark.sql import functions as F
 
 from lotwise.operators.keys import assign_surrogate_keys
 from lotwise.schemas import AUDIT_HISTORY, AUDIT_IMAGE, conform
+from lotwise.session import shared_dir
+
+
+# Width of the ranges of ids that are compared by checksum.
+IDS_PER_RANGE = 1_000_000
+# Column of a snapshot that is stored by month (``sources.snapshots.save_ledger``), as yyyyMM.
+MONTH = "tx_month"
+
+
+def _by_range(snapshot: DataFrame) -> DataFrame:
+    """Row images with the month and the range of ids that each row is in."""
+    if MONTH not in snapshot.columns:
+        snapshot = snapshot.withColumn(MONTH, F.date_format("tx_timestamp", "yyyyMM").cast("int"))
+    return snapshot.select(
+        MONTH,
+        F.floor(F.col("tx_id") / IDS_PER_RANGE).cast("bigint").alias("id_range"),
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in AUDIT_IMAGE],
+    )
+
+
+def differing_ranges(before: DataFrame, after: DataFrame) -> DataFrame:
+    """tx_month, id_range: where two snapshots differ, told by row counts and sums of row hashes.
+
+    One pass over each snapshot; sums are added up before the shuffle, so no row of the ledger is shuffled.
+    """
+    columns = AUDIT_IMAGE.fieldNames()
+    # Hashes skip NULLs, so which columns are NULL is hashed, too.
+    row_hash = F.xxhash64(*columns, *[F.col(c).isNull() for c in columns]).cast("decimal(20,0)")
+    signed = [
+        _by_range(snapshot).select(MONTH, "id_range", (row_hash * sign).alias("hash"), F.lit(sign).alias("sign"))
+        for snapshot, sign in ((before, -1), (after, 1))
+    ]
+    sums = signed[0].unionByName(signed[1]).groupBy(MONTH, "id_range").agg(F.sum("hash").alias("hashes"), F.sum("sign").alias("signs"))
+    return sums.filter((F.col("hashes") != 0) | (F.col("signs") != 0)).select(MONTH, "id_range")
 
 
 def audit_changes(before: DataFrame, after: DataFrame) -> DataFrame:
     """operation_type and the row image: the new one for I, the old one for U and D.
 
-    A snapshot pair cannot show updates that change nothing, or the steps between; the change feed
-    (``streaming.audit_stream``) does.
+    Only rows in ranges whose checksums differ are joined; snapshots stored by month are read again in months that have
+    such a range only. A calendar's months are few, so their list goes through the driver. A snapshot pair cannot show
+    updates that change nothing, or the steps between; the change feed (``streaming.audit_stream``) does.
     """
     columns = AUDIT_IMAGE.fieldNames()
-    image = F.struct(*columns)
-    old = conform(before, AUDIT_IMAGE).select("tx_id", image.alias("old"))
-    new = conform(after, AUDIT_IMAGE).select("tx_id", image.alias("new"))
+    spark, path = before.sparkSession, shared_dir(before.sparkSession, "differing-ranges")
+    differing_ranges(before, after).write.parquet(path)
+    ranges = spark.read.parquet(path)
+    months = [r[0] for r in ranges.select(MONTH).distinct().collect()]
+    touched = F.col(MONTH).isin([m for m in months if m is not None])
+    touched = touched | F.col(MONTH).isNull() if None in months else touched
+    ranges = ranges.select(F.col(MONTH).alias("of_month"), F.col("id_range").alias("of_range"))
+
+    def images(snapshot: DataFrame, name: str) -> DataFrame:
+        rows = _by_range(snapshot).filter(touched)
+        same = F.col(MONTH).eqNullSafe(F.col("of_month")) & F.col("id_range").eqNullSafe(F.col("of_range"))
+        return rows.join(ranges, same, "left_semi").select("tx_id", F.struct(*columns).alias(name))
+
     operation = (
         F.when(F.col("old").isNull(), "I")
         .when(F.col("new").isNull(), "D")
         .when(~F.col("old").eqNullSafe(F.col("new")), "U")
     )
     return (
-        old.join(new, "tx_id", "full")
+        images(before, "old").join(images(after, "new"), "tx_id", "full")
         .select(operation.alias("operation_type"), F.coalesce("old", "new").alias("image"))
         .filter(F.col("operation_type").isNotNull())
         .select("operation_type", *[F.col(f"image.{c}").alias(c) for c in columns])

@@ -655,6 +655,17 @@ def _warehouse() -> dict[str, str]:
             f"""SELECT crypto_id, symbol, name, CAST(sum(q) AS DECIMAL(28,18)) AS current_holding_quantity
                 FROM flow JOIN asset USING (crypto_id) WHERE day < DATE '{LATE_FROM}' GROUP BY 1, 2, 3 HAVING sum(q) > 0""",
         ),
+        "refresh_mv_current_holdings": _with(
+            "after asset",
+            f"""SELECT crypto_id, symbol, name,
+                       CAST(sum(CASE WHEN tx_type IN ({_IN}) THEN quantity ELSE -quantity END) AS DECIMAL(28,18)) AS current_holding_quantity
+                FROM after JOIN asset USING (crypto_id) WHERE tx_type IN ({_IN}, {_OUT})
+                GROUP BY 1, 2, 3 HAVING current_holding_quantity > 0""",
+        ),
+        # The earlier load had no fees.
+        "refresh_monthly_summary": monthly("TRUE").replace(
+            "sum(fee_usd)", f"sum(CASE WHEN tx_timestamp >= TIMESTAMP '{EARLIER_LOAD_UNTIL}' THEN fee_usd END)"
+        ),
         "build_dim_date": _with("days", "SELECT * FROM days"),
         "insert_only_load": _with(
             "days",

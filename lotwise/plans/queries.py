@@ -92,14 +92,23 @@ class _Run(LedgerTables):
             self.dim_crypto, self.dim_exchange, self.dim_category,
         )
 
+    def ledger(self, rows: DataFrame) -> DataFrame:
+        """A snapshot of the ledger, stored by month."""
+        path = shared_dir(self.spark, "ledger")
+        snapshots.save_ledger(rows, path)
+        return snapshots.read_ledger(self.spark, path)
+
     @cached_property
-    def before(self) -> DataFrame:
+    def before_by_month(self) -> DataFrame:
         """A stored snapshot of the ledger before its late rows arrived."""
-        rows = self.transactions.filter(F.col("tx_timestamp") < F.lit(LATE_FROM).cast("timestamp"))
-        return self.stored("ledger", rows)
+        return self.ledger(self.transactions.filter(F.col("tx_timestamp") < F.lit(LATE_FROM).cast("timestamp")))
+
+    @property
+    def before(self) -> DataFrame:
+        return self.before_by_month.drop(audit.MONTH)
 
     @cached_property
-    def after(self) -> DataFrame:
+    def after_by_month(self) -> DataFrame:
         """The next snapshot, after inserts, updates and deletes."""
         late = self.transactions.filter(F.col("tx_timestamp") >= F.lit(LATE_FROM).cast("timestamp"))
         closed = F.lit(STAKING_CLOSED).cast("timestamp")
@@ -107,7 +116,11 @@ class _Run(LedgerTables):
             self.before, F.col("exchange_id").isNull(), {"notes": F.lit("venue unknown"), "fee_usd": F.lit(1.25)}
         )
         step = ledger_edits.delete_rows(step, (F.col("tx_type") == "STAKING_REWARD") & (F.col("tx_timestamp") < closed))
-        return self.stored("ledger", ledger_edits.insert_rows(step, late))
+        return self.ledger(ledger_edits.insert_rows(step, late))
+
+    @property
+    def after(self) -> DataFrame:
+        return self.after_by_month.drop(audit.MONTH)
 
 
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -340,7 +353,11 @@ def _load_fact(t: _Run, tx: DataFrame, fact: DataFrame, dim_date: DataFrame) ->
 
 
 def _second_load_fact(t: _Run) -> DataFrame:
-    """Load the early part of the ledger without fees, store it by month, then load the whole ledger over it."""
+    return snapshots.read_fact(t.spark, _fact_of_two_loads(t, t.fact_rows())[0])
+
+
+def _fact_of_two_loads(t: _Run, rows: DataFrame, summary: str | None = None) -> tuple[str, list[int]]:
+    """Load the early part of the ledger without fees, store it by month (and its monthly report), then load rows over it."""
     path = shared_dir(t.spark, "fact")
     early = t.transactions.filter(F.col("tx_timestamp") < F.lit(EARLIER_LOAD_UNTIL).cast("timestamp"))
     first = _load_fact(
@@ -348,8 +365,26 @@ def _second_load_fact(t: _Run) -> DataFrame:
         warehouse.empty_table(t.spark, FACT_TRANSACTIONS), t.dim_date,
     )
     snapshots.save_fact(first, path)
-    snapshots.load_fact_months(t.spark, path, t.fact_rows(), shared_dir(t.spark, "fact-staging"))
-    return snapshots.read_fact(t.spark, path)
+    if summary:
+        snapshots.save_monthly_summary(snapshots.read_fact(t.spark, path), t.dim_date, t.dim_crypto, summary)
+    return path, snapshots.load_fact_months(t.spark, path, rows, shared_dir(t.spark, "fact-staging"))
+
+
+def _refreshed_summary(t: _Run) -> DataFrame:
+    """The stored monthly report after a load of the months that an earlier load hadn't: only these are made anew."""
+    summary = shared_dir(t.spark, "monthly-summary")
+    late = t.transactions.filter(F.col("tx_timestamp") >= F.lit(EARLIER_LOAD_UNTIL).cast("timestamp"))
+    path, months = _fact_of_two_loads(t, t.fact_rows(late), summary)
+    snapshots.refresh_monthly_summary(t.spark, summary, path, months, t.dim_date, t.dim_crypto)
+    return snapshots.read_monthly_summary(t.spark, summary)
+
+
+def _refreshed_holdings(t: _Run) -> DataFrame:
+    """The stored holdings of an earlier ledger, brought up to date from the audit log of what has changed since."""
+    path = shared_dir(t.spark, "mv_current_holdings")
+    snapshots.save_mv_current_holdings(t.before, t.cryptocurrencies, path)
+    snapshots.refresh_mv_current_holdings(t.stored("audit", _audit_log(t)), t.after, t.cryptocurrencies, path)
+    return snapshots.read_mv_current_holdings(t.spark, path)
 
 
 def _materialized_holdings(t: _Run) -> DataFrame:
@@ -405,6 +440,10 @@ def _warehouse() -> dict[str, Query]:
     return {
         "mv_current_holdings": _on(_materialized_holdings),
         "read_mv_current_holdings": _on(_holdings_of_an_earlier_refresh, order="read_mv_current_holdings"),
+        "refresh_mv_current_holdings": _on(_refreshed_holdings, order="read_mv_current_holdings"),
+        "refresh_monthly_summary": _on(
+            _refreshed_summary, "average_buy_price_usd", "average_sell_price_usd", order="view_monthly_crypto_transaction_summary",
+        ),
         "build_dim_date": _on(lambda t: warehouse.calendar_covering(t.movements)),
         "insert_only_load": _on(_insert_only_load),
         "upsert_dim_cryptocurrency": _on(_second_load_cryptos),
@@ -479,7 +518,7 @@ def _inserted_without_ids(t: _Run) -> DataFrame:
 
 
 def _audit_log(t: _Run) -> DataFrame:
-    return audit.audit_entries(audit.audit_changes(t.before, t.after), LOGGED_AT)
+    return audit.audit_entries(audit.audit_changes(t.before_by_month, t.after_by_month), LOGGED_AT)
 
 
 def _streamed_audit(t: _Run) -> DataFrame:

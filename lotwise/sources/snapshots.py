@@ -2,27 +2,81 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.operators.holdings import current_holdings
+from lotwise.functions.expressions import above_dust, moves_holdings, signed_quantity
+from lotwise.operators.audit import MONTH
 from lotwise.operators.merge import upsert
-from lotwise.schemas import FACT_TRANSACTIONS, WIDE_QUANTITY, conform
+from lotwise.operators.warehouse import view_monthly_crypto_transaction_summary
+from lotwise.schemas import AUDIT_IMAGE, FACT_TRANSACTIONS, WIDE_QUANTITY, conform
 
 
-def materialize_current_holdings(tx: DataFrame, cryptos: DataFrame) -> DataFrame:
-    return current_holdings(tx, cryptos).withColumn(
-        "current_holding_quantity", F.col("current_holding_quantity").cast(WIDE_QUANTITY)
-    )
+def save_mv_current_holdings(tx: DataFrame, cryptos: DataFrame, path: str) -> None:
+    """Create or refresh: the snapshot is computed anew from the whole ledger, as a new version."""
+    _save_version(tx.sparkSession, path, _net(tx), cryptos)
 
 
-def save_mv_current_holdings(tx: DataFrame, cryptos: DataFrame, path: str) -> None:
-    """Create or refresh: the snapshot is computed anew and replaced."""
-    materialize_current_holdings(tx, cryptos).write.mode("overwrite").parquet(path)
+def refresh_mv_current_holdings(audit: DataFrame, tx: DataFrame, cryptos: DataFrame, path: str) -> None:
+    """The next version of a stored snapshot, from what the audit log says has changed since: ``audit`` has the entries
+    after that snapshot (audit_id, operation_type and the row images), ``tx`` is the ledger as it is now.
+
+    A row counted with the image that its first entry holds, unless that entry inserted it, and counts with its present
+    values, if it is still there. Only changed rows are looked up; the stored sums of all others stay.
+    """
+    spark, images = tx.sparkSession, AUDIT_IMAGE.fieldNames()
+    first = audit.groupBy(F.col("tx_id").alias("id")).agg(F.min_by(F.struct("operation_type", *images), "audit_id").alias("first"))
+    counted = first.filter(F.col("first.operation_type") != "I").select([F.col(f"first.{c}").alias(c) for c in images])
+    present = tx.join(first.select(F.col("id").alias("tx_id")), "tx_id", "left_semi")
+    stored = spark.read.parquet(f"{path}/net/version={_newest(spark, path)}")
+    change = _net(present).unionByName(_net(counted).withColumn("net", -F.col("net"))).unionByName(stored)
+    _save_version(spark, path, change.groupBy("crypto_id").agg(F.sum("net").cast(_NET).alias("net")), cryptos)
 
 
 def read_mv_current_holdings(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).orderBy("symbol")
+    """The newest version that is complete. It stays readable while the next one is written."""
+    return spark.read.parquet(f"{path}/holdings/version={_newest(spark, path)}").orderBy("symbol")
+
+
+_NET = "decimal(38,18)"
+
+
+def _net(tx: DataFrame) -> DataFrame:
+    """crypto_id, net: sums of all signed quantities, also where nothing is held."""
+    return tx.filter(moves_holdings()).groupBy("crypto_id").agg(F.sum(signed_quantity()).cast(_NET).alias("net"))
+
+
+def _save_version(spark: SparkSession, path: str, net: DataFrame, cryptos: DataFrame) -> None:
+    """A new version beside the earlier ones: sums, holdings made from them, and last the mark that it is complete."""
+    version = (_newest(spark, path) or 0) + 1
+    net.write.mode("overwrite").parquet(f"{path}/net/version={version}")
+    held = spark.read.parquet(f"{path}/net/version={version}").filter(above_dust(F.col("net")))
+    cryptos.join(held, "crypto_id").select(
+        "crypto_id", "symbol", "name", F.col("net").cast(WIDE_QUANTITY).alias("current_holding_quantity")
+    ).write.mode("overwrite").parquet(f"{path}/holdings/version={version}")
+    spark.range(1).select(F.lit(version).alias("version")).write.mode("append").parquet(f"{path}/complete")
+
+
+def _newest(spark: SparkSession, path: str) -> int | None:
+    """The newest complete version; none if there is none yet."""
+    try:
+        return spark.read.schema("version int").parquet(f"{path}/complete").agg(F.max("version")).first()[0]
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def save_ledger(tx: DataFrame, path: str) -> None:
+    """A snapshot of the ledger, stored by month."""
+    by_month = tx.withColumn(MONTH, F.date_format("tx_timestamp", "yyyyMM").cast("int")).hint("rebalance", F.col(MONTH))
+    by_month.write.mode("errorifexists").partitionBy(MONTH).parquet(path)
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The snapshot with its month, by which it is pruned."""
+    return spark.read.parquet(path)
 
 
 def save_table(df: DataFrame, path: str) -> None:
@@ -43,8 +97,8 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("date_month")
 
 
-def load_fact_months(spark: SparkSession, path: str, rows: DataFrame, staging: str) -> None:
-    """Upsert fact rows into a stored fact, rewriting only the months the load touches.
+def load_fact_months(spark: SparkSession, path: str, rows: DataFrame, staging: str) -> list[int]:
+    """Upsert fact rows into a stored fact, rewriting only the months the load touches, and return these (yyyyMM).
 
     These are the months of the loaded rows and those their ids are stored in so far, so a row that moves to another
     month leaves the old one. The next content of these months is written to ``staging``, a folder that must not exist,
@@ -59,6 +113,13 @@ def load_fact_months(spark: SparkSession, path: str, rows: DataFrame, staging: s
     touched = sorted(r.date_month for r in months.distinct().collect())
     part = stored.filter(F.col("date_month").isin(touched)).drop("date_month")
     save_fact(conform(upsert(part, rows, "tx_id_original", "transaction_key", keyed=stored), FACT_TRANSACTIONS), staging)
+    finish_fact_months(spark, path, staging, touched)
+    return touched
+
+
+def finish_fact_months(spark: SparkSession, path: str, staging: str, touched: list[int]) -> None:
+    """Replace the touched months by what is staged. A load that broke off here is finished by calling this once more:
+    months are replaced as wholes, so those already replaced come out the same."""
     staged = spark.read.parquet(staging)
     _by_month(staged.drop("date_month")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         "date_month"
@@ -67,3 +128,31 @@ def load_fact_months(spark: SparkSession, path: str, rows: DataFrame, staging: s
     for month in touched:
         if month not in left:
             staged.drop("date_month").limit(0).write.mode("overwrite").parquet(f"{path}/date_month={month}")
+
+
+def save_monthly_summary(fact: DataFrame, dim_date: DataFrame, dim_crypto: DataFrame, path: str) -> None:
+    """The monthly report, stored by month."""
+    _summary_by_month(fact, dim_date, dim_crypto).write.mode("errorifexists").partitionBy("summary_month").parquet(path)
+
+
+def read_monthly_summary(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("summary_month")
+
+
+def refresh_monthly_summary(
+    spark: SparkSession, path: str, fact_path: str, months: list[int], dim_date: DataFrame, dim_crypto: DataFrame
+) -> None:
+    """Recompute the stored report for the months a load has touched (``load_fact_months`` returns them), from these
+    months of the stored fact; the other months keep their files."""
+    part = spark.read.parquet(fact_path).filter(F.col("date_month").isin(months)).drop("date_month")
+    fresh = _summary_by_month(part, dim_date, dim_crypto)
+    fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("summary_month").parquet(path)
+    left = {r[0] for r in part.select(F.floor(F.col("date_key") / 100).cast("int")).distinct().collect()}
+    for month in months:
+        if month not in left:
+            fresh.drop("summary_month").limit(0).write.mode("overwrite").parquet(f"{path}/summary_month={month}")
+
+
+def _summary_by_month(fact: DataFrame, dim_date: DataFrame, dim_crypto: DataFrame) -> DataFrame:
+    report = view_monthly_crypto_transaction_summary(fact, dim_date, dim_crypto)
+    return report.withColumn("summary_month", F.regexp_replace("year_month", "-", "").cast("int"))

@@ -12,6 +12,8 @@ from lotwise.schemas import AUDIT_HISTORY, AUDIT_IMAGE, conform
 
 # Partition column of the streamed log.
 BATCH = "stream_batch"
+# Folder of the last ids beside the batches; readers of the log don't see it.
+LAST_IDS = "_last_ids"
 
 # op is I, U or D; old is NULL for I, new is NULL for D.
 CHANGE_FEED = T.StructType(
@@ -42,17 +44,21 @@ def start_audit_stream(feed: DataFrame, audit_path: str, checkpoint: str) -> Str
     """Appends what has arrived and stops; the same checkpoint picks up from there, each change once.
 
     Entries get the ids after the log's last one, in order of arrival. A batch is a folder of its own in the log, which
-    a repeated batch replaces, so a restart neither doubles entries nor leaves gaps.
+    a repeated batch replaces, so a restart neither doubles entries nor leaves gaps. Each batch leaves the last id it
+    gave in a small file beside the log, where the next one reads it: no batch reads the log.
     """
 
     def append(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        log = _logged_before(spark, audit_path, number)
+        last = _last_id(spark, audit_path, number - 1)
         rows = audit_rows(batch).withColumns(
             {"audit_id": F.lit(None).cast("bigint"), "arrival": F.monotonically_increasing_id()}
         )
-        numbered = assign_surrogate_keys(rows, "audit_id", "arrival", keyed=log)
-        conform(numbered, AUDIT_HISTORY).write.mode("overwrite").parquet(f"{audit_path}/{BATCH}={number}")
+        numbered = assign_surrogate_keys(rows, "audit_id", "arrival", start_after=last)
+        folder = f"{audit_path}/{BATCH}={number}"
+        conform(numbered, AUDIT_HISTORY).write.mode("overwrite").parquet(folder)
+        given = spark.read.schema(AUDIT_HISTORY).parquet(folder).agg(F.coalesce(F.max("audit_id"), F.lit(last)).alias("last_id"))
+        given.write.mode("overwrite").parquet(f"{audit_path}/{LAST_IDS}/{number}")
 
     return (
         feed.writeStream.foreachBatch(append)
@@ -63,8 +69,8 @@ def start_audit_stream(feed: DataFrame, audit_path: str, checkpoint: str) -> Str
     )
 
 
-def _logged_before(spark: SparkSession, audit_path: str, number: int) -> DataFrame:
-    """The log's entries of earlier batches; none if there is no log yet."""
-    if number == 0:
-        return spark.createDataFrame([], AUDIT_HISTORY)
-    return spark.read.parquet(audit_path).filter(F.col(BATCH) < number)
+def _last_id(spark: SparkSession, audit_path: str, number: int) -> int:
+    """The last id that was given up to a batch."""
+    if number < 0:
+        return 0
+    return spark.read.parquet(f"{audit_path}/{LAST_IDS}/{number}").first()["last_id"]

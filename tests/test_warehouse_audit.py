@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import inspect
 import random
 from decimal import Decimal as D
 from types import SimpleNamespace
@@ -10,6 +11,7 @@ from conftest import plan, ts
 from pyspark.sql import functions as F
 
 from lotwise.operators import audit as A
+from lotwise.operators import holdings as H
 from lotwise.operators import keys as K
 from lotwise.operators import ledger_edits as L
 from lotwise.operators import merge as M
@@ -348,3 +350,120 @@ def test_stream_logs_every_change_once(spark, ledger, tmp_path):
     deleted = spark.read.parquet(log).filter("operation_type = 'D'").collect()[0]
     assert deleted.tx_timestamp == dt.datetime(2022, 1, 2)
     assert sorted(r.audit_id for r in spark.read.parquet(log).collect()) == [1, 2, 3, 4] and deleted.audit_id == 4
+    # A batch that is repeated gives its ids again, and no batch reads the log: only the file beside it.
+    source = inspect.getsource(ST.start_audit_stream)
+    assert "read.parquet(audit_path)" not in source
+    assert [spark.read.parquet(f"{log}/{ST.LAST_IDS}/{n}").first()[0] for n in (0, 1)] == [3, 4]
+    (tmp_path / "checkpoint" / "commits" / "1").unlink()
+    (tmp_path / "checkpoint" / "commits" / ".1.crc").unlink(missing_ok=True)
+    assert run() == [(1, "I", 1), (2, "U", 1), (3, "U", 1), (4, "D", 2)]
+    assert sorted(r.audit_id for r in spark.read.parquet(log).collect()) == [1, 2, 3, 4]
+    change("D", 3, 5, new=False)
+    assert run()[-1] == (5, "D", 3)
+    assert sorted(r.audit_id for r in spark.read.parquet(log).collect()) == [1, 2, 3, 4, 5]
+
+
+def _random_ledgers(make, seed):
+    """A ledger and the next one, after inserts, updates (also of asset, quantity and month) and deletes."""
+    rng = random.Random(seed)
+    when = lambda: f"2022-{rng.randrange(1, 7):02d}-{rng.randrange(1, 28):02d} 00:00:00"
+    row = lambda i: (i, rng.randrange(1, 4), rng.choice(["BUY", "SELL", "DEPOSIT", "OTHER"]), rng.randrange(1, 50), 10, when(), None, None, None, None)
+    old = {i: row(i) for i in range(1, 120)}
+    new = {i: (row(i) if rng.random() < 0.1 else r) for i, r in old.items() if rng.random() > 0.1} | {i: row(i) for i in range(200, 220)}
+    return make.tx(*old.values()), make.tx(*new.values())
+
+
+def test_changes_of_random_ledgers_by_checksum(spark, make, monkeypatch, tmp_path):
+    monkeypatch.setattr(A, "IDS_PER_RANGE", 10)
+    for seed in range(3):
+        before, after = _random_ledgers(make, seed)
+        images = [conform(x, AUDIT_IMAGE) for x in (before, after)]
+        old, new = ({r.tx_id: r for r in x.collect()} for x in images)
+        want = {("I", i) for i in new.keys() - old.keys()} | {("D", i) for i in old.keys() - new.keys()}
+        want |= {("U", i) for i in old.keys() & new.keys() if old[i] != new[i]}
+        stored = []
+        for n, x in enumerate((before, after)):
+            snapshots.save_ledger(x, f"{tmp_path}/{seed}-{n}")
+            stored.append(snapshots.read_ledger(spark, f"{tmp_path}/{seed}-{n}"))
+        for pair in ((before, after), stored):
+            got = A.audit_changes(*pair).collect()
+            assert {(r.operation_type, r.tx_id) for r in got} == want and len(got) == len(want)
+            assert all(tuple(r)[1:] == tuple((new if r.operation_type == "I" else old)[r.tx_id]) for r in got)
+
+
+def test_unchanged_months_are_not_read_by_the_join(spark, make, tmp_path):
+    base = [(i, 1, "BUY", 1, 10, f"2022-{1 + i % 6:02d}-01 00:00:00") for i in range(1, 61)]
+    blank = make.tx((100, 1, "BUY", 1, 10, "2022-01-01 00:00:00")).withColumn("tx_timestamp", F.lit(None).cast("timestamp"))
+    ledgers = [make.tx(*base), L.update_rows(make.tx(*base), F.col("tx_id") == 2, {"notes": F.lit("x")}), make.tx(*base).unionByName(blank)]
+    stored = []
+    for n, ledger in enumerate(ledgers):
+        snapshots.save_ledger(ledger, f"{tmp_path}/{n}")
+        stored.append(snapshots.read_ledger(spark, f"{tmp_path}/{n}"))
+    assert A.differing_ranges(stored[0], stored[1]).collect() == [(202203, 0)]
+    changes = A.audit_changes(stored[0], stored[1])
+    assert [(r.operation_type, r.tx_id) for r in changes.collect()] == [("U", 2)]
+    assert "tx_month" in plan(changes) and "PartitionFilters: [(tx_month" in plan(changes).replace("isnotnull(tx_month", "(tx_month") and "202203" in plan(changes)
+    same = A.audit_changes(stored[0], stored[0])
+    assert same.collect() == [] and "Join" not in plan(same).split("== Initial Plan ==")[0]
+    assert [(r.operation_type, r.tx_id) for r in A.audit_changes(stored[0], stored[2]).collect()] == [("I", 100)]
+
+
+def test_holdings_are_refreshed_from_the_audit_log(spark, make, tmp_path):
+    for seed in range(3):
+        before, after = _random_ledgers(make, seed)
+        _, last = _random_ledgers(make, seed + 10)
+        path, cryptos = f"{tmp_path}/mv{seed}", make.cryptos((1, "A", "a"), (2, "B", "b"), (3, "C", "c"))
+        snapshots.save_mv_current_holdings(before, cryptos, path)
+        first = {p: p.stat().st_mtime_ns for p in (tmp_path / f"mv{seed}").rglob("part-*")}
+        one = A.audit_entries(A.audit_changes(before, after), dt.datetime(2022, 7, 1))
+        two = A.audit_entries(A.audit_changes(after, last), dt.datetime(2022, 7, 2), last_audit_id=one.count())
+        snapshots.refresh_mv_current_holdings(one, after, cryptos, path)
+        assert rows(snapshots.read_mv_current_holdings(spark, path)) == rows(_holdings(after, cryptos))
+        # Rows may have several entries: only the first one's image was counted.
+        both = f"{tmp_path}/both{seed}"
+        snapshots.save_mv_current_holdings(before, cryptos, both)
+        snapshots.refresh_mv_current_holdings(one.unionByName(two), last, cryptos, both)
+        assert rows(snapshots.read_mv_current_holdings(spark, both)) == rows(_holdings(last, cryptos))
+        assert all(p.stat().st_mtime_ns == t for p, t in first.items())
+        # A version without its mark isn't read.
+        snapshots._net(last).write.parquet(f"{path}/holdings/version=3")
+        assert rows(snapshots.read_mv_current_holdings(spark, path)) == rows(_holdings(after, cryptos))
+
+
+def _holdings(tx, cryptos):
+    return H.current_holdings(tx, cryptos).withColumn("current_holding_quantity", F.col("current_holding_quantity").cast("decimal(28,18)"))
+
+
+def test_the_stored_report_is_refreshed_by_month(spark, star, make, tmp_path):
+    fact, report = str(tmp_path / "fact"), str(tmp_path / "report")
+    ledger = star["tx"].unionByName(make.tx((7, 2, "BUY", 1, 3, "2022-03-01 00:00:00", 1, 1, "0.1"), (9, 1, "BUY", 1, 3, "2022-04-01 00:00:00")))
+    snapshots.save_fact(load(star, ledger, W.empty_table(spark, FACT_TRANSACTIONS)), fact)
+    snapshots.save_monthly_summary(snapshots.read_fact(spark, fact), star["date"], star["crypto"], report)
+    files = lambda: {p.parent.name: p.name for p in (tmp_path / "report").glob("*/part-*.parquet")}
+    before = files()
+    # One row moves out of April, which is left without any; one is new.
+    moved = make.tx((9, 1, "BUY", 5, 3, "2022-01-20 00:00:00"), (8, 1, "BUY", 1, 1, "2022-01-21 00:00:00"))
+    fresh = W.fact_rows(moved, star["date"], star["crypto"], star["exchange"], star["category"])
+    months = snapshots.load_fact_months(spark, fact, fresh, str(tmp_path / "staging"))
+    assert months == [202201, 202204]
+    snapshots.refresh_monthly_summary(spark, report, fact, months, star["date"], star["crypto"])
+    after = files()
+    assert after["summary_month=202203"] == before["summary_month=202203"] and after["summary_month=202201"] != before["summary_month=202201"]
+    whole = W.view_monthly_crypto_transaction_summary(snapshots.read_fact(spark, fact), star["date"], star["crypto"])
+    assert rows(snapshots.read_monthly_summary(spark, report)) == rows(whole)
+
+
+def test_a_load_that_broke_off_is_finished_from_staging(spark, star, make, tmp_path, monkeypatch):
+    path, staging = str(tmp_path / "fact"), str(tmp_path / "staging")
+    snapshots.save_fact(load(star, star["tx"], W.empty_table(spark, FACT_TRANSACTIONS)), path)
+    moved = make.tx((4, 2, "DEPOSIT", 6, None, "2022-01-20 00:00:00", 1, 1, "0.2"), (8, 1, "BUY", 1, 1, "2022-01-21 00:00:00"))
+    fresh = W.fact_rows(moved, star["date"], star["crypto"], star["exchange"], star["category"])
+    want = load(star, L.insert_rows(L.delete_rows(star["tx"], F.col("tx_id") == 4), moved), snapshots.read_fact(spark, path)).collect()
+    broken = lambda *args: (_ for _ in ()).throw(RuntimeError("lost"))
+    finish, touched = snapshots.finish_fact_months, []
+    monkeypatch.setattr(snapshots, "finish_fact_months", lambda s, p, st, months: (touched.extend(months), broken()))
+    with pytest.raises(RuntimeError):
+        snapshots.load_fact_months(spark, path, fresh, staging)
+    for _ in range(2):
+        finish(spark, path, staging, touched)
+        assert rows(snapshots.read_fact(spark, path)) == sorted(map(tuple, want), key=str)
