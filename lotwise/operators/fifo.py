@@ -53,37 +53,39 @@ def _with_slice(lots: DataFrame, slice_rows: int) -> DataFrame:
     """Lots with their slice, which orders like (tx_timestamp, tx_id).
 
     Lots are counted by day, before the shuffle, and days summed up to months and years. The days of years with more
-    than ``slice_rows`` lots are a list of at most 366 entries for each that many lots, which bounds its broadcast;
-    mostly it is empty.
+    than ``slice_rows`` lots are a list of at most 366 entries for each that many lots, which bounds its broadcast. It
+    is stored, as every step must cut alike; mostly it is empty, and slices are years.
     """
     queue = ["crypto_id", "side"]
     days = lots.groupBy(*queue, F.date_trunc("day", "tx_timestamp").alias("day")).agg(F.count(F.lit(1)).alias("lots"))
     within = lambda unit: F.sum("lots").over(Window.partitionBy(*queue, F.date_trunc(unit, "day"))) > slice_rows
-    large = (
-        days.select(*queue, "day", within("year").alias("large_year"), within("month").alias("large_month"), (F.col("lots") > slice_rows).alias("large_day"))
-        .filter("large_year")
-    )
+    sizes = [within("year").alias("large_year"), within("month").alias("large_month"), (F.col("lots") > slice_rows).alias("large_day")]
+    path = shared_dir(lots.sparkSession, "large-slices")
+    days.select(*queue, "day", *sizes).filter("large_year").write.parquet(path)
+    large = lots.sparkSession.read.parquet(path)
+    some = not large.isEmpty()
     day = F.date_trunc("day", "tx_timestamp")
-    sized = lots.withColumn("day", day).join(F.broadcast(large), [*queue, "day"], "left")
+    sized = lots.withColumn("day", day).join(F.broadcast(large), [*queue, "day"], "left") if some else lots
+    finer = lambda when, column: F.when(F.col(when), column) if some else F.when(F.lit(False), column)
     part = F.struct(
-        F.date_trunc("year", "day").alias("year"),
-        F.when(F.col("large_year"), F.date_trunc("month", "day")).alias("month"),
-        F.when(F.col("large_month"), F.col("day")).alias("day"),
-        F.when(F.col("large_day"), F.col("tx_timestamp")).alias("instant"),
-        F.when(F.col("large_day"), F.expr(f"tx_id div {IDS_PER_RANGE}")).alias("ids"),
+        F.date_trunc("year", "tx_timestamp").alias("year"),
+        finer("large_year", F.date_trunc("month", "tx_timestamp")).alias("month"),
+        finer("large_month", day).alias("day"),
+        finer("large_day", F.col("tx_timestamp")).alias("instant"),
+        finer("large_day", F.expr(f"tx_id div {IDS_PER_RANGE}")).alias("ids"),
     )
     return sized.select(*lots.columns, part.alias("slice"))
 
 
 def _stored_slices(lots: DataFrame, slice_rows: int) -> tuple[DataFrame, DataFrame]:
-    """Lots with their slices, and the slices' bounds, each written to the shared folder once: all steps read them there."""
+    """Lots with their slices, and the slices' bounds. Lots and bounds are written to the shared folder once, and all
+    steps read them there."""
     spark = lots.sparkSession
-    plain, sliced, bounds = (shared_dir(spark, name) for name in ("lots", "sliced-lots", "slices"))
+    plain, bounds = (shared_dir(spark, name) for name in ("lots", "slices"))
     lots.write.parquet(plain)
-    _with_slice(spark.read.schema(lots.schema).parquet(plain), slice_rows).write.parquet(sliced)
-    stored = spark.read.parquet(sliced)
-    _slice_bounds(stored).write.parquet(bounds)
-    return stored, spark.read.parquet(bounds)
+    sliced = _with_slice(spark.read.schema(lots.schema).parquet(plain), slice_rows)
+    _slice_bounds(sliced).write.parquet(bounds)
+    return sliced, spark.read.parquet(bounds)
 
 
 def _slice_bounds(lots: DataFrame) -> DataFrame:

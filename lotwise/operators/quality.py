@@ -103,29 +103,30 @@ def dq_constraint_violations(tables: dict[str, DataFrame]) -> DataFrame:
     cryptos, exchanges, categories, tx, prices = (
         tables[t] for t in ("cryptocurrencies", "exchanges", "transaction_categories", "transactions", "historical_prices")
     )
+    rules: list[str] = []
     said = [
         _sayings(
-            cryptos, "cryptocurrencies", unique=(("crypto_id",), ("symbol",)), not_null=("crypto_id", "symbol", "name"),
+            rules, cryptos, "cryptocurrencies", unique=(("crypto_id",), ("symbol",)), not_null=("crypto_id", "symbol", "name"),
             longest={"symbol": 10, "name": 100},
             fulfils={"crypto_id": ("reference transactions(crypto_id)", "reference historical_prices(crypto_id)")},
         ),
         _sayings(
-            exchanges, "exchanges", unique=(("exchange_id",), ("name",)), not_null=("exchange_id", "name", "exchange_type"),
+            rules, exchanges, "exchanges", unique=(("exchange_id",), ("name",)), not_null=("exchange_id", "name", "exchange_type"),
             allowed={"exchange_type": EXCHANGE_TYPES}, longest={"name": 100, "exchange_type": 20},
             fulfils={"exchange_id": ("reference transactions(exchange_id)",)},
         ),
         _sayings(
-            categories, "transaction_categories", unique=(("category_id",), ("name",)), not_null=("category_id", "name"),
+            rules, categories, "transaction_categories", unique=(("category_id",), ("name",)), not_null=("category_id", "name"),
             longest={"name": 50}, fulfils={"category_id": ("reference transactions(category_id)",)},
         ),
         _sayings(
-            tx, "transactions", unique=(("tx_id",),),
+            rules, tx, "transactions", unique=(("tx_id",),),
             not_null=("tx_id", "crypto_id", "tx_type", "quantity", "tx_timestamp"),
             allowed={"tx_type": STORED_TX_TYPES}, longest={"tx_type": 20},
             references=("crypto_id", "exchange_id", "category_id"),
         ),
         _sayings(
-            prices, "historical_prices", unique=(("price_id",), ("crypto_id", "price_date")),
+            rules, prices, "historical_prices", unique=(("price_id",), ("crypto_id", "price_date")),
             not_null=("price_id", "crypto_id", "price_date", "close_price_usd"), references=("crypto_id",),
         ),
     ]
@@ -137,7 +138,7 @@ def dq_constraint_violations(tables: dict[str, DataFrame]) -> DataFrame:
         every.groupBy("rule", "key", "kind")
         .agg(F.sum("rows").alias("n"), F.max(F.col("rows") == 0).alias("fulfilled"))
         .filter(broken | ((F.col("kind") == _REFERENCE) & ~F.col("fulfilled")))
-        .select("rule", "key", "n")
+        .select(F.get(F.array(*[F.lit(r) for r in rules]), F.col("rule")).alias("rule"), "key", "n")
     )
 
 
@@ -145,17 +146,19 @@ _BROKEN, _UNIQUE, _REFERENCE = range(3)
 
 
 def _sayings(
-    df: DataFrame, table: str, unique: tuple[tuple[str, ...], ...] = (), not_null: tuple[str, ...] = (),
+    rules: list[str], df: DataFrame, table: str, unique: tuple[tuple[str, ...], ...] = (), not_null: tuple[str, ...] = (),
     allowed: dict[str, tuple[str, ...]] | None = None, longest: dict[str, int] | None = None,
     references: tuple[str, ...] = (), fulfils: dict[str, tuple[str, ...]] | None = None,
 ) -> DataFrame:
-    """rule, key, kind, rows: what each row has to say to the rules, in one pass.
+    """rule, key, kind, rows: what each row has to say to the rules, in one pass. A rule is its place in ``rules``.
 
     A row that breaks a rule, or has a key, or refers to one, counts 1; one that fulfils references counts 0.
     """
 
     def say(rule: str, kind: int, key: Column, when: Column, rows: int = 1) -> Column:
-        said = F.struct(F.lit(rule).alias("rule"), key.cast("string").alias("key"), F.lit(kind).alias("kind"), F.lit(rows).cast("bigint").alias("rows"))
+        if rule not in rules:
+            rules.append(rule)
+        said = F.struct(F.lit(rules.index(rule)).alias("rule"), key.cast("string").alias("key"), F.lit(kind).alias("kind"), F.lit(rows).cast("bigint").alias("rows"))
         return F.when(when, said)
 
     def known(*columns: str) -> Column:
