@@ -163,8 +163,10 @@ def scores(docs: DataFrame, id: str = "doc_id", text: str = "text", order: int =
         return pd.DataFrame({"digest": one["digest"], "n_words": size, "log10_score": score})
 
     sent = texts.groupBy("block").applyInPandas(send, "gram long, block long, n long").repartition("gram")
-    counts = sent.groupBy("gram").agg(F.sum("n").alias("total"))
-    elsewhere = sent.join(counts, "gram").where(F.col("total") > F.col("n")).select("block", "gram", "total")
+    # Both sides of the join need all three columns, so that Spark reuses the one shuffle for both.
+    counts = sent.groupBy("gram").agg(F.sum("n").alias("total"), F.min("block").alias("first"), F.max("block").alias("last"))
+    several = (F.col("first") < F.col("last")) & (F.col("total") > F.col("n"))
+    elsewhere = sent.join(counts, "gram").where(several).select("block", "gram", "total")
     scored = texts.groupBy("block").cogroup(elsewhere.groupBy("block")).applyInPandas(finish, "digest string, n_words long, log10_score double")
     # Many rows of one text meet one row: adaptive execution splits them.
     met = digested.select(F.col("id").alias(id), "digest").join(scored.hint("merge"), "digest")
