@@ -12,7 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Words of the longest n-grams, unless the caller names another order.
@@ -125,8 +125,8 @@ def scores(docs: DataFrame, id: str = "doc_id", text: str = "text", order: int =
     equal words. An empty table gives no rows.
 
     Texts meet their copies in a block that follows from the text, after copies in a batch were combined, so that many
-    copies are few rows. A block's distinct n-grams are rows (gram, block, n), shuffled once by hash; the count table is
-    grouped from them and joined to them where they are. Only n-grams that occur in other blocks, too, return to their
+    copies are few rows. A block's distinct n-grams are rows (gram, block, n), shuffled once by hash; the counts of
+    each n-gram, at most one a block, are added up there and joined to them in place. Only n-grams that occur in other blocks, too, return to their
     block. The rows grow in proportion to the text; none depends on the order in which a table is read.
     """
     rows = docs.select(F.col(f"`{id}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
@@ -162,11 +162,10 @@ def scores(docs: DataFrame, id: str = "doc_id", text: str = "text", order: int =
         size, score = _score(len(one), exploded, totals, words)
         return pd.DataFrame({"digest": one["digest"], "n_words": size, "log10_score": score})
 
-    sent = texts.groupBy("block").applyInPandas(send, "gram long, block long, n long").repartition("gram")
-    # Both sides of the join need all three columns, so that Spark reuses the one shuffle for both.
-    counts = sent.groupBy("gram").agg(F.sum("n").alias("total"), F.min("block").alias("first"), F.max("block").alias("last"))
-    several = (F.col("first") < F.col("last")) & (F.col("total") > F.col("n"))
-    elsewhere = sent.join(counts, "gram").where(several).select("block", "gram", "total")
+    sent = texts.groupBy("block").applyInPandas(send, "gram long, block long, n long")
+    # Counts by n-gram, joined to the rows they were counted from: one shuffle and one sort, where a join takes two.
+    counted = sent.withColumn("total", F.sum("n").over(Window.partitionBy("gram")))
+    elsewhere = counted.where(F.col("total") > F.col("n")).select("block", "gram", "total")
     scored = texts.groupBy("block").cogroup(elsewhere.groupBy("block")).applyInPandas(finish, "digest string, n_words long, log10_score double")
     # Many rows of one text meet one row: adaptive execution splits them.
     met = digested.select(F.col("id").alias(id), "digest").join(scored.hint("merge"), "digest")
