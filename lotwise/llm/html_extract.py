@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -23,7 +24,7 @@ BROADCAST_HOSTS = 100_000
 
 # Elements that never hold an article's text, and words in class, id or role that say the same.
 SKIPPED_TAGS = frozenset(
-    "nav header footer aside form button select option menu dialog svg canvas object head noscript template".split()
+    "nav header footer aside button select option menu dialog svg canvas object head noscript template".split()
 )
 SKIPPED_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr "
@@ -50,14 +51,72 @@ ENDS_BEFORE = {
     "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "tr": {"tr"},
 }
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|textarea|title|iframe|noscript|template|svg|xmp)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<[!?][^>]*>"
-    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^'">]|"[^"]*"|'[^']*')*)>""",
-    re.DOTALL | re.IGNORECASE,
-)
-_NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
+# Elements whose content is no markup. Of the second group, one that is never closed is passed over alone.
+RAW_TAGS = frozenset("script style textarea title iframe xmp".split())
+CLOSED_TAGS = frozenset("noscript template svg".split())
+# Controls of a form, and the text outside links, for each of them, that makes the form a wrapper of the page.
+CONTROLS = frozenset("input button select textarea".split())
+FORM_CHARS = 100
+
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_QUOTED = re.compile(r"""(?:[^'">]++|"[^"]*"|'[^']*')*+>""")
+_ENDS = {tag: re.compile(rf"</{tag}\s*+>", re.IGNORECASE) for tag in RAW_TAGS | CLOSED_TAGS}
+_NAMES = re.compile(r"""(?<![\w-])(class|id|role)\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
+_HIDDEN = re.compile(r"""(?<![\w-])type\s*+=\s*+["']?hidden\b""", re.IGNORECASE)
+_LONG_NUMBER = re.compile(r"&#(?:0{8,}|[0-9]{8})[0-9]*;?")
+
+
+def _tags(text: str) -> Iterator[tuple[int, int, bool, str, str]]:
+    """(begin, end, closing, tag, attributes) of all markup in page order; comments and declarations have an empty tag.
+
+    Every character is looked at a bounded number of times: once a quote proves open to the end, quotes no longer count,
+    and a kind of element that proves open to the end isn't searched for its end again.
+    """
+    at, size = 0, len(text)
+    quotes = True
+    never_closed = set()
+    while (begin := text.find("<", at)) >= 0:
+        if text.startswith("<!--", begin):
+            close = text.find("-->", begin + 2)
+            at = size if close < 0 else close + 3
+            yield begin, at, False, "", ""
+            continue
+        named = _TAG.match(text, begin)
+        if not named and text[begin + 1 : begin + 2] not in ("!", "?"):
+            at = begin + 1
+            continue
+        opened = named.end() if named else begin + 2
+        whole = _QUOTED.match(text, opened) if named and quotes else None
+        quotes = quotes and bool(whole or not named)
+        close = whole.end() if whole else text.find(">", opened) + 1
+        if not close:
+            # Without another ">" only a comment can follow.
+            close = text.find("<!--", begin)
+            if close >= 0:
+                yield close, size, False, "", ""
+            return
+        at = close
+        if not named:
+            yield begin, at, False, "", ""
+            continue
+        tag, attributes = named[2].lower(), text[opened : close - 1]
+        if not named[1] and (tag in RAW_TAGS or tag in CLOSED_TAGS and tag not in never_closed and not (tag == "svg" and attributes.endswith("/"))):
+            ended = _ENDS[tag].search(text, at)
+            if not ended and tag in CLOSED_TAGS:
+                never_closed.add(tag)
+            else:
+                at = ended.end() if ended else size
+        yield begin, at, bool(named[1]), tag, attributes
+
+
+def _unescaped(text: str) -> str:
+    """Character references decoded; numbers beyond all characters, which Python may refuse to read, like other wrong ones."""
+
+    def short(found: re.Match) -> str:
+        digits = found[0].strip("&#;").lstrip("0") or "0"
+        return f"&#{digits};" if len(digits) < 8 else "\ufffd"
+
+    return html.unescape(_LONG_NUMBER.sub(short, text) if "&#" in text else text)
 
 
 @dataclass
@@ -72,6 +131,10 @@ class Element:
     first_block: int = 0
     chars: int = 0
     last_block: int = 0
+    # Of forms: containers before them, visible controls and articles within them.
+    containers: int = 0
+    controls: int = 0
+    articles: int = 0
 
 
 @dataclass
@@ -124,11 +187,16 @@ def parse(text: str, by_class: bool = True) -> Page:
     """One walk over the tags of a page. Unclosed and unknown tags don't matter; inline tags join what is around them.
 
     Where nothing is left because a class or id says to skip it, the page is walked once more without regard to these.
+    A form goes when it closes, unless it wraps the page: it has an article in it, nothing to fill in, or FORM_CHARS of text
+    for each control. A header stays in an article, where it holds the title.
     """
     by_name = False
     page = Page()
     stack: list[Element] = []
     parts: list[str] = []
+    # Elements that are open, by tag, so that stray closing tags cost nothing; and open forms.
+    opened: Counter[str] = Counter()
+    forms: list[Element] = []
     scored = linked = 0
 
     def listed(bad: set[str], roles: set[str]) -> bool:
@@ -139,7 +207,7 @@ def parse(text: str, by_class: bool = True) -> Page:
     def flush() -> None:
         """End the block that is open; text in links counts against it."""
         nonlocal scored, linked
-        block = " ".join(html.unescape("".join(parts)).split())
+        block = " ".join(_unescaped("".join(parts)).split())
         parts.clear()
         if block:
             page.blocks.append(block)
@@ -147,8 +215,20 @@ def parse(text: str, by_class: bool = True) -> Page:
         linked = 0
 
     def close(upto: int) -> None:
+        nonlocal scored
         while len(stack) > upto:
             element = stack.pop()
+            opened[element.tag] -= 1
+            if forms and forms[-1] is element:
+                forms.pop()
+                inside = scored + element.chars
+                wraps = element.articles or not element.controls or inside >= FORM_CHARS * element.controls
+                if not wraps or opened["article"] or opened["main"]:
+                    scored = -element.chars
+                    del page.blocks[element.first_block :], page.containers[element.containers :]
+                elif forms:
+                    forms[-1].controls += element.controls
+                    forms[-1].articles += element.articles
             if element.path and not element.skipped:
                 element.last_block = len(page.blocks)
                 element.chars += scored
@@ -156,30 +236,30 @@ def parse(text: str, by_class: bool = True) -> Page:
 
     at = 0
     links = False
-    for token in _TOKEN.finditer(text):
-        begin = token.start()
+    for begin, end, closing, tag, attributes in _tags(text):
         if begin > at and not (stack and stack[-1].skipped):
             piece = text[at:begin]
             parts.append(piece)
             if links:
                 linked += len(piece)
-        at = token.end()
-        tag = token[3]
-        if not tag:
+        at = end
+        if forms and tag in CONTROLS and not closing and not _HIDDEN.search(attributes):
+            forms[-1].controls += 1
+        if not tag or tag in RAW_TAGS or tag in CLOSED_TAGS:
             continue
-        tag = tag.lower()
         if tag == "a":
-            links = not token[2]
+            links = not closing
             continue
         if tag == "br":
             parts.append(" ")
             continue
         if tag not in BLOCK_TAGS and tag not in SKIPPED_TAGS:
-            if token[4] and not token[2] and tag not in VOID_TAGS:
-                _, _, bad, roles = _names(token[4])
+            if attributes and not closing and tag not in VOID_TAGS:
+                _, _, bad, roles = _names(attributes)
                 if listed(bad, roles):
                     stack.append(Element(tag, True))
-            elif token[2] and stack and stack[-1].tag == tag:
+                    opened[tag] += 1
+            elif closing and stack and stack[-1].tag == tag:
                 close(len(stack) - 1)
             continue
         if not (stack and stack[-1].skipped):
@@ -187,8 +267,8 @@ def parse(text: str, by_class: bool = True) -> Page:
         else:
             parts.clear()
         links = False
-        if token[2]:
-            for depth in range(len(stack) - 1, -1, -1):
+        if closing:
+            for depth in range(len(stack) - 1, -1, -1) if opened[tag] else ():
                 if stack[depth].tag == tag:
                     close(depth)
                     break
@@ -199,13 +279,13 @@ def parse(text: str, by_class: bool = True) -> Page:
             close(len(stack) - 1)
         while stack and tag in ENDS_BEFORE.get(stack[-1].tag, ()):
             close(len(stack) - 1)
-        words, first, bad, roles = _names(token[4]) if token[4] else ([], "", set(), set())
+        words, first, bad, roles = _names(attributes) if attributes else ([], "", set(), set())
         above = stack[-1] if stack else None
-        skipped = bool(above and above.skipped) or tag in SKIPPED_TAGS
+        skipped = bool(above and above.skipped) or (tag in SKIPPED_TAGS and not (tag == "header" and opened["article"]))
         if not skipped and words and tag not in ("html", "body"):
             if tag in ("article", "main"):
                 bad, roles = bad & {"comment", "comments"}, roles & {"comment", "comments"}
-            elif not ARTICLE_WORDS.isdisjoint(words):
+            elif not ARTICLE_WORDS.isdisjoint(words) or tag == "header":
                 bad, roles = bad - {"header"}, roles - {"header"}
             skipped = listed(bad, roles)
         step = f"{tag}.{first}" if first else tag
@@ -214,7 +294,13 @@ def parse(text: str, by_class: bool = True) -> Page:
         if tag in CONTAINERS:
             element.path = ">".join(steps)
             element.weight = CONTAINERS[tag] * (1.0 if ARTICLE_WORDS.isdisjoint(words) else 2.0)
+        if forms and tag in ("article", "main") and not skipped:
+            forms[-1].articles += 1
+        if tag == "form" and not skipped:
+            element.containers = len(page.containers)
+            forms.append(element)
         stack.append(element)
+        opened[tag] += 1
     if at < len(text) and not (stack and stack[-1].skipped):
         parts.append(text[at:])
     flush()

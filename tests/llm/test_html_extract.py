@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 from lotwise.llm import html_extract, queries
 
@@ -84,3 +85,59 @@ def test_layout_classes_do_not_hide_the_article():
     # A page that is one skipped class alone keeps its text.
     assert html_extract.extract('<body><div class="widget"><p>All there is</p><nav>menu</nav></div></body>', None) == "All there is"
     assert html_extract.extract("<body><nav class=menu>menu</nav></body>", None) == ""
+
+
+def test_forms_around_and_within_the_article():
+    article = "<h1>Title</h1><p>" + "Some text here. " * 40 + "</p>"
+    want = "Title\n" + ("Some text here. " * 40).strip()
+    search = '<div class="search"><input name=q><button>Go</button></div>'
+    hidden = '<input type="hidden" name="__VIEWSTATE" value="a>b">'
+    for wrapped in (
+        f'<body><form id="aspnetForm">{hidden}{search}<div class="post">{article}</div></form></body>',
+        f"<body><form>{hidden}<div><p>Short.</p></div></form></body>",
+        f"<body><form>{search}<article><p>Short.</p></article></form></body>",
+        f'<body><form id=aspnetForm>{search}<div class="post">{article}</div></body>',
+    ):
+        assert html_extract.extract(wrapped, None) == (want if article in wrapped else "Short."), wrapped
+    contact = "<form><p>Your name</p><input><p>Message</p><textarea>x</textarea><button>Send</button></form>"
+    for page in (
+        f"<body><article>{article}{contact}</article></body>",
+        f"<body><div>{article}{contact}</div></body>",
+        f"<body>{contact}<form>{hidden}<div>{article}{contact}</div></form>{contact}</body>",
+    ):
+        assert html_extract.extract(page, None) == want, page
+    # In an article a form goes, whatever it holds; a page of a form alone has no text.
+    assert html_extract.extract("<article><p>Text</p><form><p>" + "Terms. " * 100 + "</p></form></article>", None) == "Text"
+    assert html_extract.extract(f"<body>{contact}</body>", None) == ""
+
+
+LAYOUTS = {
+    "header of the article": ("<body><header>Site</header><article><header><h1>Title</h1></header><p>Text</p><footer>Tags</footer></article></body>", "Title\nText"),
+    "main with a header around": ("<main><header>Site</header><p>Text</p></main>", "Text"),
+    "table layout": ("<body><table><tr><td class=nav>Menu<td><h1>Title</h1><p>Text of some length</table></body>", "Title\nText of some length"),
+    "empty svg": ("<body><svg class=x /><p>Text</p><svg><path d='M0'/></svg></body>", "Text"),
+    "noscript never closed": ("<body><noscript><p>Text</p></body>", "Text"),
+    "quote never closed": ('<body><p title="it>One</p><p>Two</p></body>', "One\nTwo"),
+    "sign in an attribute": ("<body><p title='a > b' data-id=footer>Text</p></body>", "Text"),
+    "empty comments": ("<body><!--><p>One</p><!---><p>Two</p><!-- a > b --></body>", "One\nTwo"),
+    "stray closing tags": ("<body></div></nav><p>Text</span></section></p></body>", "Text"),
+    "capital letters": ("<BODY><NAV>Menu</NAV><ARTICLE><P>Text</P></ARTICLE></BODY>", "Text"),
+    "script with markup": ("<body><script>if (a < b) document.write('<p>no</p>')</script ><p>Text</p></body>", "Text"),
+    "definition list": ("<body><dl><dt>Term<dd>Meaning<dt>Other<dd>More</dl></body>", "Term\nMeaning\nOther\nMore"),
+    "odd references": ("<body><p>&#0000000000065; &#" + "9" * 9000 + "; &amp;lt;</p></body>", "A � &lt;"),
+    "comment to the end": ("<body><p>Text</p><!-- <p>hidden</p>", "Text"),
+    "sign without an end": ("<p>Text</p> a < b <!-- hidden", "Text\na < b"),
+}
+
+
+def test_layouts():
+    for name, (page, want) in LAYOUTS.items():
+        assert html_extract.extract(page, None) == want, name
+
+
+def test_time_grows_with_the_page():
+    for unit in ("<script ", "<a ", "<a", '<a "', "<a '\">\"'", "<!", "<!--", "<svg>", "<title", "<", "</p>", "<div>", "<form>", "<p id=' ", "&#1", "<b class=ad>"):
+        for page in (unit * (1_000_000 // len(unit)), "<div>" * 60_000 + unit * (700_000 // len(unit)) + ">"):
+            begin = time.process_time()
+            html_extract.extract(page, None)
+            assert time.process_time() - begin < 10, unit
