@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotwise.llm.common import ascii_lower, checkpointed
@@ -21,7 +21,7 @@ RULES = (
 # A token combination must occur in this share of labelled URLs, and be bad in this share of its URLs.
 MIN_SUPPORT = 0.002
 MIN_CONFIDENCE = 0.7
-# Mined rules that may be broadcast; more meet the URLs by a shuffle.
+# Tokens of mined rules, and frequent tokens, that may be broadcast; more meet the URLs by a shuffle.
 BROADCAST_RULES = 20_000
 
 _BAD = "\x00bad"
@@ -71,31 +71,70 @@ def tokens_of(url: Column) -> Column:
     )
 
 
+def _classes(rows: DataFrame, least: float) -> DataFrame:
+    """(token, class, freq) of the tokens in at least `least` rows; tokens of the very same rows share a class, the smallest of them.
+
+    The rows of a token are told by their number and two hashes of 64 bits over its distinct baskets. The result has at
+    most 1 / support times the tokens of an average URL.
+    """
+    baskets = rows.groupBy("tokens").agg(F.count("*").alias("n"))
+    signs = [F.bit_xor(F.xxhash64(F.lit(seed), "tokens")).alias(f"sign{seed}") for seed in (1, 2)]
+    single = (
+        baskets.select("n", "tokens", F.explode("tokens").alias("token"))
+        .groupBy("token")
+        .agg(F.sum("n").alias("freq"), *signs)
+        .where(F.col("freq") >= least)
+    )
+    same = Window.partitionBy("freq", "sign1", "sign2")
+    return checkpointed(single.select("token", F.min("token").over(same).alias("class"), "freq"))
+
+
 def mine(labelled: DataFrame, url: str, bad: str, support: float = MIN_SUPPORT, confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """(tokens, rarest, confidence, support) of the token combinations that mark bad URLs.
+    """(tokens, any_of, rarest, confidence, support) of the token combinations that mark bad URLs.
 
     `labelled` has a URL and a boolean a row; null labels and URLs without tokens are left out. FP-growth counts the
     combinations in at least `support` of the URLs, whole table; a rule is kept if at least `confidence` of its URLs are
-    bad and no part of it is as sure. `rarest` is the rule's token in the fewest labelled URLs, its place in the index.
-    No labelled rows give no rules.
+    bad and no part of it is as sure. No labelled rows give no rules.
+
+    Tokens of the same labelled URLs (a host and its labels, the fixed parts of a path) are one class to FP-growth, so
+    they don't double its combinations. A rule stands for all rules with one token of each of its classes: `any_of` lists
+    the classes, `tokens` their smallest tokens, `rarest` the class in the fewest labelled URLs, its place in the index.
     """
-    rows = labelled.where(F.col(bad).isNotNull()).select(tokens_of(F.col(url)).alias("tokens"), F.col(bad).alias("bad")).where(F.size("tokens") > 0)
-    baskets = checkpointed(rows.select(F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(_BAD)))).otherwise(F.col("tokens")).alias("items")))
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
-    single = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), F.col("freq").alias("token_freq"))
-    sure = model.associationRules.where(F.get("consequent", F.lit(0)) == _BAD).select(
-        F.array_sort("antecedent").alias("tokens"), "confidence", "support"
+    own = F.col(bad).alias("bad")
+    rows = checkpointed(labelled.where(F.col(bad).isNotNull()).select(tokens_of(F.col(url)).alias("tokens"), own).where(F.size("tokens") > 0))
+    every = rows.count()
+    known = _classes(rows, support * every)
+    few = F.broadcast(known) if known.count() <= BROADCAST_RULES else known
+    # One basket of classes for each basket of tokens; their many rows meet it by a join that adaptive execution splits.
+    short = (
+        rows.select("tokens").distinct().select("tokens", F.explode("tokens").alias("token")).join(few, "token")
+        .groupBy("tokens").agg(F.collect_set("class").alias("classes"))
+    )
+    met = rows.join(short.hint("merge"), "tokens", "left").withColumn("classes", F.coalesce("classes", F.array().cast("array<string>")))
+    baskets = checkpointed(met.select(F.when(F.col("bad"), F.concat("classes", F.array(F.lit(_BAD)))).otherwise(F.col("classes")).alias("items")))
+    found = FPGrowth(itemsCol="items", minSupport=support).fit(baskets).freqItemsets
+    itemsets = checkpointed(found.select(F.array_sort("items").alias("items"), "freq"))
+    # The mark sorts before all tokens, so it comes first.
+    with_bad = itemsets.where((F.get("items", F.lit(0)) == _BAD) & (F.size("items") > 1))
+    marked = with_bad.select(F.slice("items", 2, F.size("items") - 1).alias("items"), F.col("freq").alias("bad_freq"))
+    sure = marked.join(itemsets, "items").select(
+        F.col("items").alias("tokens"), (F.col("bad_freq") / F.col("freq")).alias("confidence"), (F.col("bad_freq") / F.lit(every)).alias("support")
     )
-    placed = (
-        sure.select("tokens", "confidence", "support", F.explode("tokens").alias("token"))
-        .join(single, "token")
+    members = known.groupBy("class").agg(F.array_sort(F.collect_set("token")).alias("members"), F.first("freq").alias("freq"))
+    members = F.broadcast(members) if known.count() <= BROADCAST_RULES else members
+    one = F.struct("freq", "class", "members").alias("one")
+    rules = checkpointed(
+        sure.where(F.col("confidence") >= confidence)
+        .select("*", F.explode("tokens").alias("class"))
+        .join(members, "class")
         .groupBy("tokens", "confidence", "support")
-        .agg(F.min(F.struct("token_freq", "token")).alias("least"))
-        .select("tokens", "confidence", "support", F.col("least.token").alias("rarest"))
+        .agg(F.array_sort(F.collect_list(one)).alias("by_freq"))
+        .select("tokens", "by_freq.members", F.col("by_freq")[0]["members"].alias("rarest"), "confidence", "support")
+        .withColumnRenamed("members", "any_of")
     )
-    rules = checkpointed(placed)
-    # A rule is redundant if a smaller one within it is as sure; the smaller one's rarest token is one of its tokens.
-    within = rules.select(F.col("tokens").alias("part"), F.col("rarest").alias("part_rarest"), F.col("confidence").alias("part_confidence"))
+    # A rule is redundant if a smaller one within it is as sure; the smaller one's rarest class is one of its classes.
+    least = F.get("rarest", F.lit(0))
+    within = rules.select(F.col("tokens").alias("part"), least.alias("part_rarest"), F.col("confidence").alias("part_confidence"))
     redundant = (
         rules.select("tokens", "confidence", F.explode("tokens").alias("token"))
         .join(within, F.col("token") == F.col("part_rarest"))
@@ -110,18 +149,20 @@ def mine(labelled: DataFrame, url: str, bad: str, support: float = MIN_SUPPORT,
 def judge(pages: DataFrame, rules: DataFrame, id: str = "page_id", url: str = "url") -> DataFrame:
     """One row per row of `pages`: (id, host, path, rule, verdict, mined). Repeated rows stay; null URLs are allowed.
 
-    The longest fixed rule decides; without one, a URL is blocked if it holds all tokens of a mined rule. Rules are found
-    by an inverted index: each is listed under its rarest token, to which the tokens of the URLs are joined.
+    The longest fixed rule decides; without one, a URL is blocked if it holds a token of every class of a mined rule.
+    Rules are found by an inverted index: each is listed under the tokens of its rarest class, to which the tokens of the
+    URLs are joined.
     """
     rows = pages.select(F.col(id).alias("id"), F.col(url).alias("url"))
-    index = rules.select("tokens", "rarest")
-    index = F.broadcast(index) if index.count() <= BROADCAST_RULES else index
+    index = rules.select("any_of", F.explode("rarest").alias("rare"))
+    listed = index.agg(F.sum(F.size(F.flatten("any_of")))).first()[0] or 0
+    index = F.broadcast(index) if listed <= BROADCAST_RULES else index
     hit = (
         rows.where(F.col("url").isNotNull())
         .select("url", tokens_of(F.col("url")).alias("own"))
         .select("url", "own", F.explode("own").alias("token"))
-        .join(index, F.col("token") == F.col("rarest"))
-        .where(F.size(F.array_except("tokens", "own")) == 0)
+        .join(index, F.col("token") == F.col("rare"))
+        .where(F.forall("any_of", lambda one: F.arrays_overlap(one, "own")))
         .select(F.col("url").alias("hit_url"))
         .distinct()
     )

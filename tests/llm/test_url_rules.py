@@ -1,4 +1,5 @@
-from itertools import combinations
+import time
+from itertools import combinations, product
 
 from pyspark.sql import functions as F
 
@@ -57,7 +58,7 @@ def test_mined_rules_and_their_matches(spark, monkeypatch):
     rules = url_rules.mine(labelled, "url", "bad", support=0.05)
     rows = [(set(r.t), r.bad) for r in labelled.select(url_rules.tokens_of(F.col("url")).alias("t"), "bad").collect() if r.t]
     want = _mined(rows)
-    got = {tuple(r.tokens) for r in rules.collect()}
+    got = {tuple(sorted(c)) for r in rules.collect() for c in product(*r.any_of)}
     assert {c for c in got if len(c) <= 3} == want and want
     pages = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(urls)] * 2, "page_id long, url string")
     blocked = {r.page_id for r in url_rules.judge(pages, rules).where("mined").collect()}
@@ -74,3 +75,33 @@ def test_query_judges_every_page(spark, small):
         host, path, rule, verdict = _judge(pages[r.page_id])
         assert (r.host, r.path, r.rule) == (host, path, rule)
         assert r.verdict == (verdict or ("block" if r.mined else "allow"))
+
+
+def test_many_fixed_parts_of_a_path_are_one_class(spark):
+    path = "/".join(f"part{chr(97 + i)}" for i in range(25))
+    urls = [(f"https://one.example.org/{path}/{i}", i % 10 != 0) for i in range(200)] + [(f"https://two.org/{i}/parta", False) for i in range(200)]
+    labelled = spark.createDataFrame(urls, "url string, bad boolean")
+    begin = time.monotonic()
+    rules = url_rules.mine(labelled, "url", "bad").collect()
+    assert time.monotonic() - begin < 60
+    # The host, its first two labels but "org", and all parts but the first, which the other host has too.
+    assert [len(r.any_of) for r in rules] == [1]
+    assert rules[0].any_of[0] == sorted(["host=one.example.org", "label=one", "label=example", *[f"path=part{chr(98 + i)}" for i in range(24)]])
+    assert rules[0].rarest == rules[0].any_of[0] and abs(rules[0].confidence - 0.9) < 1e-9 and rules[0].support == 180 / 400
+    pages = spark.createDataFrame([(1, "http://x.org/partb"), (2, "http://x.org/parta"), (3, "http://one.x/")], "page_id long, url string")
+    mined = url_rules.mine(labelled, "url", "bad")
+    assert {r.page_id: r.verdict for r in url_rules.judge(pages, mined).collect()} == {1: "block", 2: "allow", 3: "block"}
+
+
+def test_query_blocks_by_rules_that_the_labels_give(spark, small, tmp_path):
+    """Pages of their own, whose bad documents share a path: the registered query blocks just the URLs with that path."""
+    rows = [(i, f"https://h{i % 7}.org/{'cheap/deals' if i % 3 == 0 else 'read/on'}/{i}") for i in range(300)]
+    rows += [(i, f"https://other{i % 5}.org/{'cheap' if i % 2 else 'fine'}/index") for i in range(300, 320)] + [(400, None)]
+    spark.createDataFrame(rows, "page_id long, url string").withColumn("html", F.lit("")).write.parquet(f"{tmp_path}/pages.parquet")
+    labels = [(i, int(i % 3 != 0 or i % 30 == 0), 0) for i in range(300)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r.page_id: r for r in queries.op9_url_filter(spark, str(tmp_path)).collect()}
+    assert set(got) == {i for i, _ in rows}
+    for i, url in rows:
+        assert got[i].mined == bool(url and ("/cheap/" in url)), url
+        assert got[i].verdict == ("block" if got[i].mined else "allow")
