@@ -17,7 +17,7 @@ from lotwise.operators import ledger_edits as L
 from lotwise.operators import merge as M
 from lotwise.operators import warehouse as W
 from lotwise.schemas import (
-    AUDIT_IMAGE, DIM_CRYPTOCURRENCY, DIM_EXCHANGE, DIM_TRANSACTION_CATEGORY, FACT_TRANSACTIONS, conform,
+    AUDIT_IMAGE, DIM_CRYPTOCURRENCY, DIM_EXCHANGE, DIM_TRANSACTION_CATEGORY, FACT_TRANSACTIONS, TABLES, conform,
 )
 from lotwise.sources import csv_ledger, snapshots
 from lotwise.session import shared_dir
@@ -236,6 +236,34 @@ def test_csv_import_quarantines_what_does_not_fit(spark, tmp_path):
     }
 
 
+def test_csv_files_are_split_unless_a_value_holds_a_line_break(spark, tmp_path):
+    head = ",".join(f.name for f in TABLES["exchanges"].fields) + "\n"
+    width = len(TABLES["exchanges"].fields)
+    line = lambda i, name: ",".join([str(i), name, *["x"] * (width - 2)]) + "\n"
+    folder = tmp_path / "odd [names] {of} files"
+    folder.mkdir()
+    (folder / "plain one.csv").write_text(head + "".join(line(i, f'"Name, ""{i}"""') for i in range(3000)))
+    (folder / "break %20.csv").write_text(head + line(5000, '"two\nlines"') + line(5001, '"a ""quoted""\r\nend"') + line(5002, "plain"))
+    (folder / "stray.csv").write_text(head + line(6000, '5" pipe') + line(6001, "plain"))
+    (folder / "empty.csv").write_text(head)
+    path = str(tmp_path) + "/odd*"
+    found = csv_ledger.files_with_open_quotes(spark, path)
+    assert sorted(f.rsplit("/", 1)[1][:5] for f in found) == ["break", "stray"]
+    good, bad = csv_ledger.load_ledger_csv(spark, path, "exchanges")
+    whole_good, whole_bad = csv_ledger.load_ledger_csv(spark, path, "exchanges", multi_line=True)
+    assert rows(good) == rows(whole_good) and good.count() + bad.count() == 3005
+    assert rows(bad) == rows(whole_bad)
+    assert good.where("exchange_id = 5000").first()[1] == "two\nlines"
+    limit = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        one = str(tmp_path) + "/odd*/plain*"
+        split, _ = csv_ledger.load_ledger_csv(spark, one, "exchanges")
+        assert split.rdd.getNumPartitions() > 3 and rows(split) == rows(good.where("exchange_id < 5000"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", limit)
+
+
 def test_csv_import_loses_no_text(spark, tmp_path):
     lines = [
         "tx_id,crypto_id,exchange_id,category_id,tx_type,quantity,price_per_unit_usd,tx_timestamp,fee_usd,notes",
