@@ -9,11 +9,11 @@ from __future__ import annotations
 import math
 import re
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import accumulate
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotwise.llm.common import exact, free_name, restored, schema_of, small_batches
@@ -54,23 +54,58 @@ KEYBOARD_ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
 # Common substitutions of letters by signs.
 LEET = {"4": "a", "@": "a", "8": "b", "3": "e", "1": "i", "!": "i", "0": "o", "5": "s", "$": "s", "7": "t", "+": "t"}
 
-_RANK = {w: n for n, w in reversed(list(enumerate(COMMON_WORDS, 1)))}
-_LONGEST = max(map(len, _RANK))
+# Words that a dictionary may hold; it is held by the driver and every worker.
+MAX_DICTIONARY = 200_000
 _PLACE = {c: (y, x) for y, row in enumerate(KEYBOARD_ROWS) for x, c in enumerate(row)}
 _DATES = (
     re.compile(r"(?:19|20)\d\d(?:[-/._]?)(?:0?[1-9]|1[0-2])(?:[-/._]?)(?:0?[1-9]|[12]\d|3[01])"),
     re.compile(r"(?:0?[1-9]|[12]\d|3[01])[-/._]?(?:0?[1-9]|[12]\d|3[01])[-/._]?(?:(?:19|20)\d\d|\d\d)"),
     re.compile(r"(?:19|20)\d\d"),
 )
+# A word of prose, with the punctuation around it, or a short number.
+_PROSE = re.compile(r"""[("'\[\u201c\u2018]*(?:[^\W\d_]?[^\W\d_A-Z]*(?:['\u2019-][^\W\d_A-Z]+)*|[A-Z]{1,5}|\d{1,4})[)"'\]\u201d\u2019.,;:!?\u2026]*""")
+_URL = re.compile(r"[a-z][a-z0-9+.-]*://[^\s@]*$", re.IGNORECASE)
+_MIXED = re.compile(r"[A-Za-z]\d|\d[A-Za-z]")
 _BRUTE_LOG10 = 1.0
 _CUT_LOG10 = math.log10(2)
 
 
-def guess_log10(value: str) -> float:
+class Dictionary:
+    """Words in lower case by their rank, from 1: how many guesses it takes to come to a word."""
+
+    def __init__(self, ranked: Iterable[tuple[str, int]]) -> None:
+        self.rank: dict[str, int] = {}
+        for word, rank in ranked:
+            if len(word) >= 3:
+                self.rank[word.lower()] = min(max(rank, 1), self.rank.get(word.lower(), rank))
+        self.longest = max(map(len, self.rank), default=0)
+
+
+COMMON = Dictionary(zip(COMMON_WORDS, range(1, len(COMMON_WORDS) + 1), strict=True))
+
+
+def frequent_words(docs: DataFrame, text: str = "text", size: int = 20_000) -> DataFrame:
+    """(word, rank) of the `size` most frequent words of 3 to 20 letters in all texts, equal counts by word: a dictionary."""
+    word = F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"(?<!\pL)\pL{3,20}(?!\pL)"), F.lit(0))).alias("word")
+    most = docs.select(word).groupBy("word").count().orderBy(F.desc("count"), "word").limit(size)
+    return most.select("word", F.row_number().over(Window.orderBy(F.desc("count"), "word")).alias("rank"))
+
+
+def _known(dictionary: DataFrame | None) -> Dictionary:
+    """A table (word, rank) as a dictionary; null words and ranks are left out, None is the list of COMMON_WORDS."""
+    if dictionary is None:
+        return COMMON
+    rows = dictionary.select("word", "rank").where("word is not null and rank is not null").limit(MAX_DICTIONARY + 1).collect()
+    if len(rows) > MAX_DICTIONARY:
+        raise ValueError(f"a dictionary may hold {MAX_DICTIONARY} words")
+    return Dictionary((r.word, r["rank"]) for r in rows)
+
+
+def guess_log10(value: str, known: Dictionary = COMMON) -> float:
     """Power of ten of the guesses that the cheapest segmentation of a value takes; an empty value takes one guess."""
     n = len(value)
     starts: list[list[tuple[int, float]]] = [[] for _ in range(n)]
-    for begin, end, cost in (*_words(value), *_dates(value), *_repeats(value), *_walks(value)):
+    for begin, end, cost in (*_words(value, known), *_dates(value), *_repeats(value), *_walks(value)):
         starts[begin].append((end, cost))
     # best: cheapest so far; brute: cheapest that ends in an open brute-force span, which pays its cut only once.
     best = [math.inf] * (n + 1)
@@ -86,18 +121,18 @@ def guess_log10(value: str) -> float:
     return max(0.0, best[n] - _CUT_LOG10 * (n > 0))
 
 
-def _words(value: str) -> Iterator[tuple[int, int, float]]:
+def _words(value: str, known: Dictionary = COMMON) -> Iterator[tuple[int, int, float]]:
     """Dictionary words in any case, also with substituted letters; capitals and substitutions multiply the guesses."""
     lower = value.lower() if len(value.lower()) == len(value) else value
     plain = "".join(LEET.get(c, c) for c in lower)
     for begin in range(len(value)):
-        for end in range(begin + 3, min(len(value), begin + _LONGEST) + 1):
+        for end in range(begin + 3, min(len(value), begin + known.longest) + 1):
             for form in dict.fromkeys((lower[begin:end], plain[begin:end])):
-                if form in _RANK:
+                if form in known.rank:
                     capitals = sum(c.isupper() for c in value[begin:end])
                     changed = sum(a != b for a, b in zip(lower[begin:end], form, strict=True))
                     extra = min(capitals, end - begin - capitals, 2) + (capitals > 0) + changed
-                    yield begin, end, math.log10(_RANK[form]) + extra * math.log10(2)
+                    yield begin, end, math.log10(known.rank[form]) + extra * math.log10(2)
 
 
 def _dates(value: str) -> Iterator[tuple[int, int, float]]:
@@ -127,6 +162,8 @@ def _walks(value: str) -> Iterator[tuple[int, int, float]]:
     lower = [c.lower() for c in value]
     for keys in (True, False):
         begin, turns, last = 0, 0, None
+        # Whether the run shares its first character with one before it, so that it counts without it, too.
+        shared = 0
         for i in range(1, len(value) + 1):
             step = None
             if i < len(value):
@@ -135,21 +172,40 @@ def _walks(value: str) -> Iterator[tuple[int, int, float]]:
                     step = (y1 - y0, x1 - x0) if max(abs(y1 - y0), abs(x1 - x0)) == 1 else None
                 elif not keys and abs(ord(value[i]) - ord(value[i - 1])) == 1 and value[i].isalnum():
                     step = (0, ord(value[i]) - ord(value[i - 1]))
-                    step = step if last is None or step == last else None
+                    if last is not None and step != last:
+                        # A sequence that turns round is two, which share the character between them.
+                        for first in range(begin, begin + shared + 1):
+                            if i - first >= 3:
+                                yield first, i, math.log10(47 * (i - first))
+                        begin, last, shared = i - 1, None, 1
             if step is None:
-                if i - begin >= 3:
-                    yield begin, i, math.log10(47 * (i - begin)) + turns * math.log10(5)
-                begin, turns, last = i, 0, None
+                for first in range(begin, begin + shared + 1):
+                    if i - first >= 3:
+                        yield first, i, math.log10(47 * (i - first)) + turns * math.log10(5)
+                begin, turns, last, shared = i, 0, None, 0
                 continue
             turns += last is not None and step != last
             last = step
 
 
-def scan(text: str | None) -> list[tuple[str, int, int, float | None]]:
+def _telling(value: str) -> list[str]:
+    """What could be secret of a context's value: of a URL its parts with digits among letters or of mixed case; of several
+    words, half of them prose or more, those that aren't; else all of it. Phrases of plain words are taken for prose."""
+    if _URL.match(value):
+        return [x for x in re.split(r"[^A-Za-z0-9_]+", value) if not (x.isdigit() or x.islower() or x.isupper() or x.istitle()) or _MIXED.search(x)]
+    words = value.split()
+    prose = [bool(_PROSE.fullmatch(x)) for x in words]
+    if len(words) > 1 and 2 * sum(prose) >= len(words):
+        return [x for x, plain in zip(words, prose, strict=True) if not plain]
+    return [value]
+
+
+def scan(text: str | None, known: Dictionary = COMMON) -> list[tuple[str, int, int, float | None]]:
     """(kind, begin, end, guess cost) in code points, end exclusive, by begin and then kind; null and empty texts have none.
 
     assign, access and hex are the leftmost matches of their pattern, each kind for itself. guess is the value of a
-    credential context that costs MIN_GUESS_LOG10 or more and isn't wholly inside one span of another kind.
+    credential context that costs MIN_GUESS_LOG10 or more, prose and plain URLs aside, and isn't wholly inside one span of
+    another kind.
     """
     if not text:
         return []
@@ -159,7 +215,7 @@ def scan(text: str | None) -> list[tuple[str, int, int, float | None]]:
     if context:
         for m in _ASSIGN.finditer(text):
             if len(m[2]) >= MIN_ASSIGNED:
-                found.append(("assign", m.start(), m.end(), guess_log10(m[2])))
+                found.append(("assign", m.start(), m.end(), guess_log10(m[2], known)))
     if b"akia" in low:
         found += [("access", m.start(), m.end(), None) for m in _ACCESS.finditer(text) if m.end() - m.start() >= MIN_ACCESS]
     found += [("hex", m.start(), m.end(), None) for m in _HEX.finditer(text)]
@@ -172,16 +228,16 @@ def scan(text: str | None) -> list[tuple[str, int, int, float | None]]:
             before = bisect_right(base, begin, key=lambda span: span[0])
             if end - begin < MIN_GUESS_CHARS or (before and end <= reach[before - 1]):
                 continue
-            cost = guess_log10(text[begin:end])
+            value = text[begin:end]
             # Sums of logarithms are off in their last digits.
-            if round(cost, 9) >= MIN_GUESS_LOG10:
-                found.append(("guess", begin, end, cost))
+            if any(round(guess_log10(x, known), 9) >= MIN_GUESS_LOG10 for x in _telling(value)):
+                found.append(("guess", begin, end, guess_log10(value, known)))
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
-def redacted(text: str | None, mark: str) -> str | None:
+def redacted(text: str | None, mark: str, known: Dictionary = COMMON) -> str | None:
     """The text with each range of touching or overlapping spans replaced by `mark`."""
-    spans = scan(text)
+    spans = scan(text, known)
     if not spans:
         return text
     out, at, until = [], 0, -1
@@ -193,11 +249,15 @@ def redacted(text: str | None, mark: str) -> str | None:
     return "".join([*out, text[at:]])
 
 
-def with_secrets(docs: DataFrame, text: str = "text", name: str = "secrets", keep: list[str] | None = None) -> DataFrame:
+def with_secrets(
+    docs: DataFrame, text: str = "text", name: str = "secrets", keep: list[str] | None = None, dictionary: DataFrame | None = None
+) -> DataFrame:
     """The columns `keep` (default: all but the text) and `name`, the spans found in the whole text, as SPAN_TYPE.
 
-    Rows stay as they are, repeated ones too; null texts count as empty and have no spans. One pass, no shuffle.
+    Rows stay as they are, repeated ones too; null texts count as empty and have no spans. One pass, no shuffle. The
+    words of a `dictionary`, a table (word, rank) of up to MAX_DICTIONARY rows, take the place of COMMON_WORDS.
     """
+    known = docs.sparkSession.sparkContext.broadcast(_known(dictionary))
     kept = docs.select(*(keep if keep is not None else [c for c in docs.columns if c != text]))
     name = free_name(kept, name)
     inside = free_name(kept, "text")
@@ -207,18 +267,19 @@ def with_secrets(docs: DataFrame, text: str = "text", name: str = "secrets", kee
         for frame in small_batches(frames):
             out = frame.drop(columns=inside)
             out[name] = [
-                [{"kind": k, "begin": b, "end": e, "guess_log10": g} for k, b, e, g in scan(x)] for x in frame[inside]
+                [{"kind": k, "begin": b, "end": e, "guess_log10": g} for k, b, e, g in scan(x, known.value)] for x in frame[inside]
             ]
             yield out
 
     return restored(carried.mapInPandas(run, f"{schema_of(carried.drop(inside))}, `{name}` {SPAN_TYPE}"), kept)
 
 
-def redact(docs: DataFrame, text: str = "text", mark: str = "[secret]") -> DataFrame:
+def redact(docs: DataFrame, text: str = "text", mark: str = "[secret]", dictionary: DataFrame | None = None) -> DataFrame:
     """The same rows and columns with every span of a secret in `text` replaced by `mark`; null texts stay null."""
+    known = docs.sparkSession.sparkContext.broadcast(_known(dictionary))
 
     def run(frames: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in frames:
-            yield texts.map(lambda x: redacted(x, mark))
+            yield texts.map(lambda x: redacted(x, mark, known.value))
 
     return docs.withColumn(text, F.pandas_udf(run, "string")(F.col(text)))

@@ -1,3 +1,4 @@
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -94,3 +95,48 @@ def test_random_values_count_from_eight_characters_on():
         assert [s[:3] for s in secret_scan.scan(text)] == [("guess", 11, 11 + len(value))], value
         assert secret_scan.redacted(text, "[secret]") == 'password: "[secret]" and more'
     assert secret_scan.scan('password: "x9$Kq!2"') == secret_scan.scan("pwd: Password1") == secret_scan.scan("pwd: qwerty2024") == []
+
+
+def test_prose_and_plain_urls_are_no_secrets():
+    plain = [
+        '"password": "Please enter your current password again"', "secret: https://docs.example.com/documentation/page-2",
+        "token = 'The token (see RFC 6750) is sent by the client.'", 'pwd: "Don\'t write it down, ever!"', "passphrase: 'correct horse battery staple'",
+    ]
+    for text in plain:
+        assert [s for s in secret_scan.scan(text) if s[0] == "guess"] == [], text
+    secret = [
+        "secret: https://hooks.example.com/services/T00/9f8Xk2LmQ7ZpR4tV", "passphrase = 'zK9!q x7#Gq 29z#' ", 'pwd: "use x9$Kq!2v#Lp as usual"',
+        "secret: https://user:x9Kq2vLp7@db.example.com/", 'pwd: "xKqZpWvRtY"',
+    ]
+    for text in secret:
+        assert [s[0] for s in secret_scan.scan(text)] in (["guess"], ["assign", "guess"]), text
+
+
+def test_planted_values_are_found_and_others_left():
+    rng = random.Random(3)
+    signs = "abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789!#$%&*"
+    words = ["summer", "dragon", "Monkey", "password", "qwerty", "2019", "123456", "aaaa", "love"]
+    planted = ["pwd: " + "".join(rng.choice(signs) for _ in range(rng.randint(10, 30))) for _ in range(400)]
+    weak = ["pwd: " + "".join(rng.sample(words, 2)) for _ in range(400)]
+    found = sum(bool(secret_scan.scan(x)) for x in planted)
+    wrong = sum(bool(secret_scan.scan(x)) for x in weak)
+    assert found / 400 >= 0.98 and found / (found + wrong) >= 0.98
+
+
+def test_sequences_that_turn_round_share_a_character():
+    spans = {(b, e) for b, e, _ in secret_scan._walks("abcdcba")}
+    assert {(0, 4), (3, 7), (4, 7)} <= spans
+    assert (1, 7) in {(b, e) for b, e, _ in secret_scan._walks("babcdef")}
+    assert secret_scan.guess_log10("abcdefedcba") < 6
+
+
+def test_dictionary_of_the_caller(spark, documents):
+    rows = documents((1, "pwd: 'correcthorsebatterystaple'"), (2, "pwd: x7Gq!29z#Lp0"), (3, None))
+    guesses = lambda found: {r.doc_id: [s.kind for s in r.secrets] for r in found.collect()}
+    assert guesses(secret_scan.with_secrets(rows)) == {1: ["guess"], 2: ["guess"], 3: []}
+    texts = documents(*[(i, "Correct horse, battery STAPLE an x y1z") for i in range(5)], (9, "horse horses"), (10, None))
+    ranked = secret_scan.frequent_words(texts, size=5)
+    assert [(r.word, r["rank"]) for r in ranked.orderBy("rank").collect()] == [("horse", 1), ("battery", 2), ("correct", 3), ("staple", 4), ("horses", 5)]
+    assert guesses(secret_scan.with_secrets(rows, dictionary=ranked)) == {1: [], 2: ["guess"], 3: []}
+    assert [r.text for r in secret_scan.redact(rows, dictionary=ranked).orderBy("doc_id").collect()][:2] == ["pwd: 'correcthorsebatterystaple'", "pwd: [secret]"]
+    assert guesses(secret_scan.with_secrets(rows, dictionary=ranked.limit(0))) == {1: ["guess"], 2: ["guess"], 3: []}
