@@ -7,6 +7,7 @@ may not, the block picks a bucket of test windows, whose first words and then al
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -108,15 +109,15 @@ def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def _passes(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[str, str]]]:
     """The benchmark in pieces of about PASS_WORDS words, streamed to the driver piece by piece. At least one, maybe empty."""
     piece: list[tuple[str, str]] = []
-    size = 0
+    size = pieces = 0
     named = benchmark.select(F.col(item_id).cast("string"), F.col(text)).where(F.col(item_id).isNotNull())
     for name, content in named.toLocalIterator():
         piece.append((name, content))
         size += len(words_of(content))
         if size >= PASS_WORDS:
             yield piece
-            piece, size = [], 0
-    if piece or not size:
+            piece, size, pieces = [], 0, pieces + 1
+    if piece or not pieces:
         yield piece
 
 
@@ -135,17 +136,21 @@ def contamination(
     """
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     found = [_one_pass(rows, piece) for piece in _passes(benchmark, item_id, item_text)]
+    base = found[0]
     if len(found) > 1:
-        # Every row is in every pass; equal rows have equal hits and stay as many as they are.
-        every = found[0]
-        for other in found[1:]:
-            every = every.unionByName(other)
-        joined = every.groupBy("id", "digest", "n_words").agg(
-            F.flatten(F.collect_list("ranges")).alias("ranges"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-            (F.count(F.lit(1)) / len(found)).cast("int").alias("copies"),
+        # Rows with hits only, equal ones as one, which have equal hits: at most one row a pass meets in a group.
+        more = [x.where(F.size("ranges") > 0).withColumn("pass", F.lit(n)) for n, x in enumerate(found) if n]
+        hits = reduce(DataFrame.unionByName, more).groupBy("id", "digest", "pass").agg(F.any_value("ranges").alias("ranges"), F.any_value("items").alias("items"))
+        later = hits.groupBy(F.col("id").alias("hit_id"), F.col("digest").alias("hit_digest")).agg(
+            F.flatten(F.collect_list("ranges")).alias("more_ranges"), F.flatten(F.collect_list("items")).alias("more_items")
+        )
+        # Many equal rows meet one: adaptive execution splits them.
+        met = base.join(later, base["id"].eqNullSafe(later["hit_id"]) & (base["digest"] == later["hit_digest"]), "left")
+        both = lambda a, b: F.when(F.col(b).isNull(), F.col(a)).otherwise(F.concat(a, b))
+        base = met.select(
+            "id", "digest", "n_words", both("ranges", "more_ranges").alias("ranges"),
+            F.array_sort(F.array_distinct(both("items", "more_items"))).alias("items"),
         )
-        found = [joined.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))]
     merged = F.aggregate(
         F.array_sort("ranges"),
         F.expr("cast(array() as array<struct<begin: bigint, end: bigint>>)"),
@@ -162,8 +167,8 @@ def contamination(
             ),
         ).otherwise(F.concat(done, F.array(x))),
     )
-    ranges = merged if len(found) > 1 or "copy" in found[0].columns else F.col("ranges")
-    return found[0].select(F.col("id").alias(id), "digest", "n_words", ranges.alias("ranges"), "items")
+    ranges = merged if len(found) > 1 else F.col("ranges")
+    return base.select(F.col("id").alias(id), "digest", "n_words", ranges.alias("ranges"), "items")
 
 
 def _one_pass(rows: DataFrame, items: list[tuple[str, str]]) -> DataFrame:

@@ -69,3 +69,11 @@ def test_clean_drops_contaminated_rows_alone(spark, documents):
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 3, 4, 4]
     assert kept.where(F.col("digest") != 1).count() == 0
+
+
+def test_no_pass_for_nothing(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "PASS_WORDS", 2)
+    pieces = lambda *items: [len(p) for p in decontaminate._passes(_benchmark(spark, list(items)).coalesce(1), "item_id", "text")]
+    assert pieces((1, "a b"), (2, "c d")) == [1, 1]
+    assert pieces((1, "a b"), (2, "c")) == [1, 1]
+    assert pieces() == [0]
