@@ -92,16 +92,21 @@ class _Run(LedgerTables):
             self.dim_crypto, self.dim_exchange, self.dim_category,
         )
 
-    def ledger(self, rows: DataFrame) -> DataFrame:
+    def ledger(self, rows: DataFrame, dealt: bool = False) -> DataFrame:
         """A snapshot of the ledger, stored by month."""
         path = shared_dir(self.spark, "ledger")
-        snapshots.save_ledger(rows, path)
+        snapshots.save_ledger(rows, path, dealt)
         return snapshots.read_ledger(self.spark, path)
 
     @cached_property
+    def whole_by_month(self) -> DataFrame:
+        """The ledger, computed once and stored by month. What came before the late rows and these are read from it."""
+        return self.ledger(self.transactions)
+
+    @property
     def before_by_month(self) -> DataFrame:
-        """A stored snapshot of the ledger before its late rows arrived."""
-        return self.ledger(self.transactions.filter(F.col("tx_timestamp") < F.lit(LATE_FROM).cast("timestamp")))
+        """The stored ledger before its late rows arrived."""
+        return self.whole_by_month.filter(F.col("tx_timestamp") < F.lit(LATE_FROM).cast("timestamp"))
 
     @property
     def before(self) -> DataFrame:
@@ -110,13 +115,13 @@ class _Run(LedgerTables):
     @cached_property
     def after_by_month(self) -> DataFrame:
         """The next snapshot, after inserts, updates and deletes."""
-        late = self.transactions.filter(F.col("tx_timestamp") >= F.lit(LATE_FROM).cast("timestamp"))
+        late = self.whole_by_month.filter(F.col("tx_timestamp") >= F.lit(LATE_FROM).cast("timestamp")).drop(audit.MONTH)
         closed = F.lit(STAKING_CLOSED).cast("timestamp")
         step = ledger_edits.update_rows(
             self.before, F.col("exchange_id").isNull(), {"notes": F.lit("venue unknown"), "fee_usd": F.lit(1.25)}
         )
         step = ledger_edits.delete_rows(step, (F.col("tx_type") == "STAKING_REWARD") & (F.col("tx_timestamp") < closed))
-        return self.ledger(ledger_edits.insert_rows(step, late))
+        return self.ledger(ledger_edits.insert_rows(step, late), dealt=True)
 
     @property
     def after(self) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import SparkSession
 
 # DATE(ts), month truncation and day-end cut-offs all follow the session zone.
 SESSION_ZONE = "UTC"
+# Codec of stored tables and steps.
+COMPRESSION = "zstd"
 
 
 def pin_session(spark: SparkSession) -> SparkSession:

@@ -11,6 +11,7 @@ from lotwise.operators.audit import MONTH
 from lotwise.operators.merge import upsert
 from lotwise.operators.warehouse import view_monthly_crypto_transaction_summary
 from lotwise.schemas import AUDIT_IMAGE, FACT_TRANSACTIONS, WIDE_QUANTITY, conform
+from lotwise.session import COMPRESSION
 
 
 def save_mv_current_holdings(tx: DataFrame, cryptos: DataFrame, path: str) -> None:
@@ -68,10 +69,12 @@ def _newest(spark: SparkSession, path: str) -> int | None:
         return None
 
 
-def save_ledger(tx: DataFrame, path: str) -> None:
-    """A snapshot of the ledger, stored by month."""
-    by_month = tx.withColumn(MONTH, F.date_format("tx_timestamp", "yyyyMM").cast("int")).hint("rebalance", F.col(MONTH))
-    by_month.write.mode("errorifexists").partitionBy(MONTH).parquet(path)
+def save_ledger(tx: DataFrame, path: str, dealt: bool = False) -> None:
+    """A snapshot of the ledger, stored by month. ``dealt``: the rows are read from a snapshot that is, so a task has
+    few months, and they need not be shuffled for that again."""
+    by_month = tx.withColumn(MONTH, F.date_format("tx_timestamp", "yyyyMM").cast("int"))
+    by_month = by_month if dealt else by_month.hint("rebalance", F.col(MONTH))
+    by_month.write.mode("errorifexists").option("compression", COMPRESSION).partitionBy(MONTH).parquet(path)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
@@ -81,7 +84,7 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 def save_table(df: DataFrame, path: str) -> None:
     """To a folder that must not exist yet: a load never overwrites what it reads."""
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").option("compression", COMPRESSION).parquet(path)
 
 
 def _by_month(fact: DataFrame) -> DataFrame:

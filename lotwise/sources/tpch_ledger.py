@@ -193,7 +193,11 @@ class LedgerTables:
         )
         line = F.col("l_linenumber")
         # Both sides grow with the data: a merge join, so that neither is ever broadcast on an estimate.
-        rows = self._trades(self._read("lineitem"), ids)
+        lines = self._read("lineitem")
+        if ids and self._widths[2] <= HOT_COPIES:
+            # Dealt by order once: the copies are numbered and the orders joined in the same partitions.
+            lines = lines.select("l_orderkey", "l_linenumber", *_VALUES).repartition("l_orderkey")
+        rows = self._trades(lines, ids)
         return rows.join(venue.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"), "left").select(
             *(["tx_id"] if ids else []), "crypto_id",
             F.when(line != 7, F.col("c_nationkey")).alias("exchange_id"),
