@@ -69,3 +69,10 @@ def test_snapshots_are_compared_in_their_own_types(run):
     assert shuffled and not any("decimal(28,18)" in x for x in shuffled)
     log = A.audit_changes(run.before_by_month, run.after_by_month)
     assert log.schema["quantity"].dataType.simpleString() == "decimal(28,18)"
+
+
+def test_the_last_entries_come_from_ledgers_stored_once(run):
+    log = Q._audit_log(run)
+    last = A.recent_audit(log, 5).collect()
+    assert [r.audit_id for r in last] == sorted((r.audit_id for r in log.collect()), reverse=True)[:5]
+    assert set(run.before_by_month.inputFiles()) <= set(run.whole_by_month.inputFiles())
