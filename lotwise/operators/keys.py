@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lotwise.session import shared_dir
+from lotwise.session import COMPRESSION, shared_dir
 
 # monotonically_increasing_id() holds the partition above these bits and the place in it below.
 _PLACE_BITS = 33
@@ -27,15 +27,25 @@ def assign_surrogate_keys(
     computed once. ``natural_id`` can be of any type with an order and must be unique. ``keyed`` is a table that holds
     all keys given so far, where ``df`` doesn't.
     """
-    spark = df.sparkSession
-    path = shared_dir(spark, "numbered")
-    (
+    in_order = (
         df.withColumn("__kept", F.col(key).isNotNull())
         .repartitionByRange("__kept", natural_id)
         .sortWithinPartitions("__kept", natural_id)
-        .withColumn("__place", F.monotonically_increasing_id())
-        .write.parquet(path)
     )
+    return _numbered(in_order, key, start_after, keyed).select(df.columns)
+
+
+def number_as_they_come(df: DataFrame, key: str, start_after: int = 0) -> DataFrame:
+    """All rows with numbers after ``start_after``, in the order in which Spark reads them: nothing is shuffled."""
+    columns = [*[c for c in df.columns if c != key], F.lit(None).cast("bigint").alias(key), F.lit(False).alias("__kept")]
+    return _numbered(df.select(columns), key, start_after).drop("__kept")
+
+
+def _numbered(df: DataFrame, key: str, start_after: int, keyed: DataFrame | None = None) -> DataFrame:
+    """Numbers for the rows that aren't ``__kept``, which come first and in order in all partitions."""
+    spark = df.sparkSession
+    path = shared_dir(spark, "numbered")
+    df.withColumn("__place", F.monotonically_increasing_id()).write.option("compression", COMPRESSION).parquet(path)
     placed = spark.read.parquet(path).withColumn("__part", F.shiftright("__place", _PLACE_BITS))
     parts = placed.groupBy("__part").agg(F.count(F.when(~F.col("__kept"), 1)).alias("fresh"), F.max(key).cast("bigint").alias("top"))
     # One row for each partition, so they may be ordered in one task and broadcast.

@@ -21,7 +21,7 @@ from lotwise.operators import (
 )
 from lotwise.plans.ordering import in_report_order
 from lotwise.schemas import (
-    AUDIT_IMAGE, DIM_CRYPTOCURRENCY, DIM_EXCHANGE, DIM_TRANSACTION_CATEGORY, FACT_TRANSACTIONS, TABLES, conform,
+    AUDIT_IMAGE, DIM_CRYPTOCURRENCY, DIM_EXCHANGE, DIM_TRANSACTION_CATEGORY, FACT_TRANSACTIONS, TABLES,
 )
 from lotwise.session import shared_dir
 from lotwise.sources import csv_ledger, snapshots
@@ -529,14 +529,12 @@ def _audit_log(t: _Run) -> DataFrame:
 def _streamed_audit(t: _Run) -> DataFrame:
     """Stores the changes as a feed and runs the stream over it until it is used up."""
     feed, log, checkpoint = (shared_dir(t.spark, n) for n in ("change-feed", "audit-log", "audit-checkpoint"))
-    image = F.struct(*AUDIT_IMAGE.fieldNames())
-    old = conform(t.before, AUDIT_IMAGE).select("tx_id", image.alias("old"))
-    new = conform(t.after, AUDIT_IMAGE).select("tx_id", image.alias("new"))
     op = F.when(F.col("old").isNull(), "I").when(F.col("new").isNull(), "D").otherwise("U")
     changed = ~F.col("old").eqNullSafe(F.col("new"))
-    old.join(new, "tx_id", "full").filter(changed).select(
+    changes = audit.paired_images(t.before, t.after).filter(changed).select(
         op.alias("op"), F.lit(LOGGED_AT).cast("timestamp").alias("changed_at"), "old", "new"
-    ).write.parquet(feed)
+    )
+    snapshots.save_table(changes, feed)
     audit_stream.start_audit_stream(
         audit_stream.read_change_feed(t.spark, feed), log, checkpoint
     ).awaitTermination()

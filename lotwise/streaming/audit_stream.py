@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from lotwise.operators.keys import assign_surrogate_keys
+from lotwise.operators.keys import number_as_they_come
 from lotwise.schemas import AUDIT_HISTORY, AUDIT_IMAGE, conform
+from lotwise.session import COMPRESSION
 
 # Partition column of the streamed log.
 BATCH = "stream_batch"
@@ -51,12 +52,9 @@ def start_audit_stream(feed: DataFrame, audit_path: str, checkpoint: str) -> Str
     def append(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         last = _last_id(spark, audit_path, number - 1)
-        rows = audit_rows(batch).withColumns(
-            {"audit_id": F.lit(None).cast("bigint"), "arrival": F.monotonically_increasing_id()}
-        )
-        numbered = assign_surrogate_keys(rows, "audit_id", "arrival", start_after=last)
+        numbered = number_as_they_come(audit_rows(batch), "audit_id", start_after=last)
         folder = f"{audit_path}/{BATCH}={number}"
-        conform(numbered, AUDIT_HISTORY).write.mode("overwrite").parquet(folder)
+        conform(numbered, AUDIT_HISTORY).write.mode("overwrite").option("compression", COMPRESSION).parquet(folder)
         given = spark.read.schema(AUDIT_HISTORY).parquet(folder).agg(F.coalesce(F.max("audit_id"), F.lit(last)).alias("last_id"))
         given.write.mode("overwrite").parquet(f"{audit_path}/{LAST_IDS}/{number}")
 

@@ -9,6 +9,7 @@ from conftest import plan
 from pyspark.sql import functions as F
 
 from lotwise.operators import audit as A
+from lotwise.operators import keys as K
 from lotwise.operators import ledger_edits as L
 from lotwise.plans import queries as Q
 
@@ -76,3 +77,11 @@ def test_the_last_entries_come_from_ledgers_stored_once(run):
     last = A.recent_audit(log, 5).collect()
     assert [r.audit_id for r in last] == sorted((r.audit_id for r in log.collect()), reverse=True)[:5]
     assert set(run.before_by_month.inputFiles()) <= set(run.whole_by_month.inputFiles())
+
+
+def test_a_stream_numbers_rows_without_ordering_them(spark):
+    df = spark.range(0, 1000, 1, 7).select((F.col("id") * 3 % 1000).alias("x"), F.col("id").alias("came"))
+    numbered = K.number_as_they_come(df, "n", start_after=50)
+    got = numbered.collect()
+    assert [r.n for r in sorted(got, key=lambda r: r.came)] == list(range(51, 1051))
+    assert set(numbered.columns) == {"x", "came", "n"} and "rangepartitioning" not in plan(numbered)
