@@ -10,7 +10,7 @@ from lotwise.functions.expressions import above_dust, moves_holdings, signed_qua
 from lotwise.operators.audit import MONTH
 from lotwise.operators.merge import upsert
 from lotwise.operators.warehouse import view_monthly_crypto_transaction_summary
-from lotwise.schemas import AUDIT_IMAGE, FACT_TRANSACTIONS, WIDE_QUANTITY, conform
+from lotwise.schemas import FACT_TRANSACTIONS, WIDE_QUANTITY, conform
 from lotwise.session import COMPRESSION
 
 
@@ -26,7 +26,8 @@ def refresh_mv_current_holdings(audit: DataFrame, tx: DataFrame, cryptos: DataFr
     A row counted with the image that its first entry holds, unless that entry inserted it, and counts with its present
     values, if it is still there. Only changed rows are looked up; the stored sums of all others stay.
     """
-    spark, images = tx.sparkSession, AUDIT_IMAGE.fieldNames()
+    # Only what holdings are made of is taken from the log.
+    spark, images = tx.sparkSession, ["crypto_id", "tx_type", "quantity"]
     first = audit.groupBy(F.col("tx_id").alias("id")).agg(F.min_by(F.struct("operation_type", *images), "audit_id").alias("first"))
     counted = first.filter(F.col("first.operation_type") != "I").select([F.col(f"first.{c}").alias(c) for c in images])
     present = tx.join(first.select(F.col("id").alias("tx_id")), "tx_id", "left_semi")

@@ -12,6 +12,7 @@ from lotwise.operators import audit as A
 from lotwise.operators import keys as K
 from lotwise.operators import ledger_edits as L
 from lotwise.plans import queries as Q
+from lotwise.sources import snapshots
 
 
 @pytest.fixture
@@ -85,3 +86,15 @@ def test_a_stream_numbers_rows_without_ordering_them(spark):
     got = numbered.collect()
     assert [r.n for r in sorted(got, key=lambda r: r.came)] == list(range(51, 1051))
     assert set(numbered.columns) == {"x", "came", "n"} and "rangepartitioning" not in plan(numbered)
+
+
+def test_a_refresh_takes_from_the_log_what_holdings_need(run, monkeypatch, tmp_path):
+    taken = []
+    real = snapshots._net
+    monkeypatch.setattr(snapshots, "_net", lambda tx: (taken.append(tx), real(tx))[1])
+    snapshots.save_mv_current_holdings(run.before, run.cryptocurrencies, str(tmp_path / "mv"))
+    snapshots.refresh_mv_current_holdings(Q._audit_log(run), run.after, run.cryptocurrencies, str(tmp_path / "mv"))
+    assert sorted(taken[-1].columns) == ["crypto_id", "quantity", "tx_type"]
+    fresh = str(tmp_path / "fresh")
+    snapshots.save_mv_current_holdings(run.after, run.cryptocurrencies, fresh)
+    assert rows(snapshots.read_mv_current_holdings(run.spark, str(tmp_path / "mv"))) == rows(snapshots.read_mv_current_holdings(run.spark, fresh))
