@@ -98,6 +98,11 @@ class _Run(LedgerTables):
         snapshots.save_ledger(rows, path, dealt)
         return snapshots.read_ledger(self.spark, path)
 
+    @cached_property
+    def booked(self) -> DataFrame:
+        """The ledger, computed once and stored, for loads that read it several times."""
+        return self.stored("booked", self.transactions)
+
     @cached_property
     def whole_by_month(self) -> DataFrame:
         """The ledger, computed once and stored by month. What came before the late rows and these are read from it."""
@@ -358,13 +363,13 @@ def _load_fact(t: _Run, tx: DataFrame, fact: DataFrame, dim_date: DataFrame) ->
 
 
 def _second_load_fact(t: _Run) -> DataFrame:
-    return snapshots.read_fact(t.spark, _fact_of_two_loads(t, t.fact_rows())[0])
+    return snapshots.read_fact(t.spark, _fact_of_two_loads(t, t.fact_rows(t.booked))[0])
 
 
 def _fact_of_two_loads(t: _Run, rows: DataFrame, summary: str | None = None) -> tuple[str, list[int]]:
     """Load the early part of the ledger without fees, store it by month (and its monthly report), then load rows over it."""
     path = shared_dir(t.spark, "fact")
-    early = t.transactions.filter(F.col("tx_timestamp") < F.lit(EARLIER_LOAD_UNTIL).cast("timestamp"))
+    early = t.booked.filter(F.col("tx_timestamp") < F.lit(EARLIER_LOAD_UNTIL).cast("timestamp"))
     first = _load_fact(
         t, early.withColumn("fee_usd", F.lit(None).cast("decimal(10,4)")),
         warehouse.empty_table(t.spark, FACT_TRANSACTIONS), t.dim_date,
@@ -378,7 +383,7 @@ def _fact_of_two_loads(t: _Run, rows: DataFrame, summary: str | None = None) ->
 def _refreshed_summary(t: _Run) -> DataFrame:
     """The stored monthly report after a load of the months that an earlier load hadn't: only these are made anew."""
     summary = shared_dir(t.spark, "monthly-summary")
-    late = t.transactions.filter(F.col("tx_timestamp") >= F.lit(EARLIER_LOAD_UNTIL).cast("timestamp"))
+    late = t.booked.filter(F.col("tx_timestamp") >= F.lit(EARLIER_LOAD_UNTIL).cast("timestamp"))
     path, months = _fact_of_two_loads(t, t.fact_rows(late), summary)
     snapshots.refresh_monthly_summary(t.spark, summary, path, months, t.dim_date, t.dim_crypto)
     return snapshots.read_monthly_summary(t.spark, summary)

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lotwise.functions.expressions import above_dust, moves_holdings, signed_quantity
 from lotwise.operators.audit import MONTH
+from lotwise.operators.keys import assign_surrogate_keys
 from lotwise.operators.merge import upsert
 from lotwise.operators.warehouse import view_monthly_crypto_transaction_summary
 from lotwise.schemas import FACT_TRANSACTIONS, WIDE_QUANTITY, conform
-from lotwise.session import COMPRESSION
+from lotwise.session import COMPRESSION, shared_dir
 
 
 def save_mv_current_holdings(tx: DataFrame, cryptos: DataFrame, path: str) -> None:
@@ -42,6 +45,8 @@ def read_mv_current_holdings(spark: SparkSession, path: str) -> DataFrame:
 
 
 _NET = "decimal(38,18)"
+# Rows of a month that a task writes to one file, at most, by a hash of their ids.
+ROWS_PER_SLICE = 500_000
 
 
 def _net(tx: DataFrame) -> DataFrame:
@@ -88,13 +93,20 @@ def save_table(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").option("compression", COMPRESSION).parquet(path)
 
 
-def _by_month(fact: DataFrame) -> DataFrame:
-    """Partitioned by month for pruning; the rebalance keeps files even when one month is far larger."""
-    return fact.withColumn("date_month", F.floor(F.col("date_key") / 100).cast("int")).hint("rebalance", F.col("date_month"))
+def _month_of_key() -> Column:
+    return F.floor(F.col("date_key") / 100).cast("int")
+
 
+def _by_month(fact: DataFrame, dealt: bool = False) -> DataFrame:
+    """Partitioned by month for pruning; the rebalance keeps files even when one month is far larger. Rows that are
+    ``dealt`` by month already aren't shuffled again."""
+    fact = fact.withColumn("date_month", _month_of_key())
+    return fact if dealt else fact.hint("rebalance", F.col("date_month"))
 
-def save_fact(fact: DataFrame, path: str) -> None:
-    _by_month(fact).write.mode("errorifexists").partitionBy("date_month").parquet(path)
+
+def save_fact(fact: DataFrame, path: str, dealt: bool = False) -> None:
+    by_month = _by_month(fact, dealt).write.mode("errorifexists").option("compression", COMPRESSION)
+    by_month.partitionBy("date_month").parquet(path)
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
@@ -108,26 +120,65 @@ def load_fact_months(spark: SparkSession, path: str, rows: DataFrame, staging: s
     month leaves the old one. The next content of these months is written to ``staging``, a folder that must not exist,
     before any month is replaced; the other months keep their files. A calendar's months are few, so their list may go
     through the driver.
+
+    Ids meet the stored keys without the rest of the rows, and new ones get theirs. Rows then are shuffled once, to
+    where their keys are and by month. Stored rows are read for ids that the load doesn't bring only. Where an id is
+    NULL or comes twice, the general upsert pairs whole rows.
     """
     stored = spark.read.parquet(path)
-    ids = rows.select("tx_id_original")
-    months = rows.select(F.floor(F.col("date_key") / 100).cast("int").alias("date_month")).unionByName(
-        stored.select("tx_id_original", "date_month").join(ids, "tx_id_original", "left_semi").select("date_month")
-    )
-    touched = sorted(r.date_month for r in months.distinct().collect())
+    copies = F.count(F.lit(1)).over(Window.partitionBy("tx_id_original"))
+    new = rows.select("tx_id_original", _month_of_key().alias("date_month"), F.lit(True).alias("loaded")).withColumn("copies", copies)
+    old = stored.select("tx_id_original", "transaction_key", F.col("date_month").alias("old_month"), F.lit(True).alias("kept"))
+    met = shared_dir(spark, "fact-ids")
+    save_table(new.join(old.withColumn("old_copies", copies), "tx_id_original", "full"), met)
+    ids = spark.read.parquet(met)
+    loaded, key = F.col("loaded").isNotNull(), F.col("transaction_key")
+    odd = F.col("tx_id_original").isNull() | (F.greatest("copies", "old_copies") > 1) | (F.col("kept") & key.isNull())
+    found = ids.groupBy("loaded", "date_month", "old_month").agg(F.count(F.lit(1)).alias("n"), F.max(odd).alias("odd")).collect()
+    counts = Counter()
+    for r in found:
+        if r.loaded:
+            counts[r.date_month] += r.n
+    touched = sorted({m for r in found if r.loaded for m in (r.date_month, r.old_month) if m is not None})
     part = stored.filter(F.col("date_month").isin(touched)).drop("date_month")
-    save_fact(conform(upsert(part, rows, "tx_id_original", "transaction_key", keyed=stored), FACT_TRANSACTIONS), staging)
+    if any(r.odd for r in found) or not counts or None in counts:
+        save_fact(conform(upsert(part, rows, "tx_id_original", "transaction_key", keyed=stored), FACT_TRANSACTIONS), staging)
+    else:
+        taken = ids.filter(loaded).select("tx_id_original", "date_month", "transaction_key")
+        fresh = assign_surrogate_keys(taken.filter(key.isNull()), "transaction_key", "tx_id_original", keyed=stored)
+        content = _with_keys(rows, taken.filter(key.isNotNull()).unionByName(fresh), counts)
+        left = ids.filter(~loaded & F.col("old_month").isin(touched)).select("tx_id_original")
+        if not left.isEmpty():
+            others = shared_dir(spark, "fact-ids-left")
+            save_table(left, others)
+            content = content.unionByName(part.join(spark.read.parquet(others), "tx_id_original", "left_semi").select(content.columns))
+        save_fact(conform(content, FACT_TRANSACTIONS), staging, dealt=True)
     finish_fact_months(spark, path, staging, touched)
     return touched
 
 
+def _with_keys(rows: DataFrame, keys: DataFrame, counts: dict[int, int]) -> DataFrame:
+    """Rows with the keys of their ids, dealt by month; a month of more than ROWS_PER_SLICE rows, by ranges of hashes, too."""
+    slices = F.create_map(*[F.lit(x) for month, n in counts.items() for x in (month, 1 + n // ROWS_PER_SLICE)])
+    cell = ["date_month", "slice"]
+    values = [f.name for f in FACT_TRANSACTIONS if f.name != "transaction_key"]
+    both = rows.select(*values, _month_of_key().alias("date_month"), F.lit(True).alias("is_row")).unionByName(keys, allowMissingColumns=True)
+    of_id = Window.partitionBy(*cell, "tx_id_original")
+    return (
+        both.withColumn("slice", F.pmod(F.xxhash64("tx_id_original"), F.element_at(slices, F.col("date_month"))))
+        .repartition(*cell)
+        .withColumn("transaction_key", F.max("transaction_key").over(of_id))
+        .filter("is_row").select(FACT_TRANSACTIONS.fieldNames())
+    )
+
+
 def finish_fact_months(spark: SparkSession, path: str, staging: str, touched: list[int]) -> None:
     """Replace the touched months by what is staged. A load that broke off here is finished by calling this once more:
-    months are replaced as wholes, so those already replaced come out the same."""
+    months are replaced as wholes, so those already replaced come out the same. The staged files are by month already,
+    so a task reads few months, and nothing is shuffled for that again."""
     staged = spark.read.parquet(staging)
-    _by_month(staged.drop("date_month")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "date_month"
-    ).parquet(path)
+    by_month = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", COMPRESSION)
+    by_month.partitionBy("date_month").parquet(path)
     left = {r.date_month for r in staged.select("date_month").distinct().collect()}
     for month in touched:
         if month not in left:

@@ -98,3 +98,32 @@ def test_a_refresh_takes_from_the_log_what_holdings_need(run, monkeypatch, tmp_p
     fresh = str(tmp_path / "fresh")
     snapshots.save_mv_current_holdings(run.after, run.cryptocurrencies, fresh)
     assert rows(snapshots.read_mv_current_holdings(run.spark, str(tmp_path / "mv"))) == rows(snapshots.read_mv_current_holdings(run.spark, fresh))
+
+
+@pytest.mark.parametrize("odd", [False, True])
+def test_rows_of_a_load_meet_keys_and_not_rows(spark, run, tmp_path, monkeypatch, odd):
+    monkeypatch.setattr(snapshots, "ROWS_PER_SLICE", 3)
+    fact, path = run.fact_rows(run.booked), str(tmp_path / "fact")
+    early = fact.filter("date_key < 19970000 and tx_id_original % 3 > 0")
+    snapshots.save_fact(K.assign_surrogate_keys(early, "transaction_key", "tx_id_original"), path)
+    stored = {r.tx_id_original: r for r in snapshots.read_fact(spark, path).collect()}
+    # A part of the stored rows, some in another month, without fees, and new ones.
+    load = fact.filter("tx_id_original % 2 = 0").withColumns({
+        "date_key": F.when(F.col("tx_id_original") % 4 == 0, 19960115).otherwise(F.col("date_key")), "fee_usd": F.lit(None).cast("decimal(18,8)"),
+    })
+    if odd:
+        load = load.unionByName(fact.filter("tx_id_original % 2 = 1").limit(1).withColumn("tx_id_original", F.lit(None).cast("bigint")))
+    else:
+        monkeypatch.setattr(snapshots, "upsert", lambda *args, **kw: pytest.fail("whole rows are paired"))
+    new = {r.tx_id_original: r for r in load.collect()}
+    snapshots.load_fact_months(spark, path, load, str(tmp_path / "staging"))
+    got = snapshots.read_fact(spark, path).collect()
+    assert len(got) == len({r.tx_id_original for r in got}) == len(stored.keys() | new.keys())
+    values = [c for c in fact.columns if c != "transaction_key"]
+    for r in got:
+        want = new.get(r.tx_id_original) or stored[r.tx_id_original]
+        assert [r[c] for c in values] == [want[c] for c in values]
+    keys = {r.tx_id_original: r.transaction_key for r in got}
+    assert all(keys[i] == r.transaction_key for i, r in stored.items())
+    fresh = sorted(new.keys() - stored.keys(), key=lambda i: (i is not None, i or 0))
+    assert [keys[i] for i in fresh] == list(range(len(stored) + 1, len(keys) + 1))
