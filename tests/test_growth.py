@@ -100,6 +100,15 @@ def test_a_refresh_takes_from_the_log_what_holdings_need(run, monkeypatch, tmp_p
     assert rows(snapshots.read_mv_current_holdings(run.spark, str(tmp_path / "mv"))) == rows(snapshots.read_mv_current_holdings(run.spark, fresh))
 
 
+def test_loads_read_a_ledger_stored_once(run):
+    run.booked
+    run.__dict__["transactions"] = None
+    whole = Q.warehouse.view_monthly_crypto_transaction_summary(run.fact_rows(run.booked), run.dim_date, run.dim_crypto)
+    # The earlier load comes without fees.
+    fees = "total_fees_paid_for_asset_this_month_usd"
+    assert rows(Q._refreshed_summary(run).drop(fees)) == rows(whole.drop(fees)) and whole.count() > 50
+
+
 @pytest.mark.parametrize("odd", [False, True])
 def test_rows_of_a_load_meet_keys_and_not_rows(spark, run, tmp_path, monkeypatch, odd):
     monkeypatch.setattr(snapshots, "ROWS_PER_SLICE", 3)
