@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lotwise.operators.keys import assign_surrogate_keys
 from lotwise.schemas import AUDIT_HISTORY, AUDIT_IMAGE, conform
-from lotwise.session import shared_dir
+from lotwise.session import COMPRESSION, shared_dir, spread
 
 
 # Least width of the ranges of ids that are compared by checksum, and how many there are at most.
@@ -19,11 +19,12 @@ RANGES = 1000
 MONTH = "tx_month"
 
 
-def _ids_per_range(before: DataFrame, after: DataFrame) -> int:
-    """The width of the ranges, so that however far ids spread, there are few ranges beside the rows of a task."""
+def _ids_per_range(before: DataFrame, after: DataFrame) -> tuple[int, int]:
+    """The width of the ranges, so that however far ids spread, there are few ranges beside the rows of a task; and the
+    number of rows of both."""
     ids = before.select("tx_id").unionByName(after.select("tx_id"))
-    least, most = ids.agg(F.min("tx_id"), F.max("tx_id")).first()
-    return max(IDS_PER_RANGE, ((most or 0) - (least or 0)) // RANGES + 1)
+    least, most, rows = ids.agg(F.min("tx_id"), F.max("tx_id"), F.count(F.lit(1))).first()
+    return max(IDS_PER_RANGE, ((most or 0) - (least or 0)) // RANGES + 1), rows
 
 
 def _by_range(snapshot: DataFrame, width: int) -> DataFrame:
@@ -41,7 +42,7 @@ def differing_ranges(before: DataFrame, after: DataFrame, width: int | None = No
     Sums are added up before the shuffle, and ranges are wide enough for that to leave few: no row of the ledger is
     shuffled.
     """
-    width = width or _ids_per_range(before, after)
+    width = width or _ids_per_range(before, after)[0]
     columns = AUDIT_IMAGE.fieldNames()
     # Hashes skip NULLs, so which columns are NULL is hashed, too.
     image = [F.col(f.name).cast(f.dataType) for f in AUDIT_IMAGE]
@@ -54,10 +55,11 @@ def differing_ranges(before: DataFrame, after: DataFrame, width: int | None = No
     return sums.filter((F.col("hashes") != 0) | (F.col("signs") != 0)).select(MONTH, "id_range")
 
 
-def paired_images(before: DataFrame, after: DataFrame) -> DataFrame:
+def paired_images(before: DataFrame, after: DataFrame, rows: int | None = None) -> DataFrame:
     """old, new: the row images of both snapshots side by side, NULL where one hasn't the id.
 
-    Rows are shuffled in the snapshots' own types, which are narrower than those of the audit log.
+    Rows are shuffled in the snapshots' own types, which are narrower than those of the audit log. ``rows`` is how many
+    both have, where that is known: more tasks then join many.
     """
     values = [f for f in AUDIT_IMAGE if f.name != "tx_id"]
     sides = [df.select("tx_id", F.struct(*[f.name for f in values]).alias(n)) for df, n in ((before, "old"), (after, "new"))]
@@ -68,6 +70,7 @@ def paired_images(before: DataFrame, after: DataFrame) -> DataFrame:
         ))
         for n in ("old", "new")
     }
+    sides = [spread(side, rows, "tx_id") for side in sides]
     return sides[0].join(sides[1], "tx_id", "full").select(*[image.alias(n) for n, image in wide.items()])
 
 
@@ -80,18 +83,19 @@ def audit_changes(before: DataFrame, after: DataFrame) -> DataFrame:
     """
     columns = AUDIT_IMAGE.fieldNames()
     spark, path = before.sparkSession, shared_dir(before.sparkSession, "differing-ranges")
-    width = _ids_per_range(before, after)
+    width, rows = _ids_per_range(before, after)
     differing_ranges(before, after, width).write.parquet(path)
     ranges = spark.read.parquet(path)
     months = [r[0] for r in ranges.select(MONTH).distinct().collect()]
     touched = F.col(MONTH).isin([m for m in months if m is not None])
     touched = touched | F.col(MONTH).isNull() if None in months else touched
-    ranges = ranges.select(F.col(MONTH).alias("of_month"), F.col("id_range").alias("of_range"))
+    # At most RANGES a month, and one more.
+    ranges = F.broadcast(ranges.select(F.col(MONTH).alias("of_month"), F.col("id_range").alias("of_range")))
 
     def suspects(snapshot: DataFrame) -> DataFrame:
-        rows = _by_range(snapshot, width).filter(touched)
+        audited = _by_range(snapshot, width).filter(touched)
         same = F.col(MONTH).eqNullSafe(F.col("of_month")) & F.col("id_range").eqNullSafe(F.col("of_range"))
-        return rows.join(ranges, same, "left_semi")
+        return audited.join(ranges, same, "left_semi")
 
     operation = (
         F.when(F.col("old").isNull(), "I")
@@ -99,7 +103,7 @@ def audit_changes(before: DataFrame, after: DataFrame) -> DataFrame:
         .when(~F.col("old").eqNullSafe(F.col("new")), "U")
     )
     return (
-        paired_images(suspects(before), suspects(after))
+        paired_images(suspects(before), suspects(after), rows)
         .select(operation.alias("operation_type"), F.coalesce("old", "new").alias("image"))
         .filter(F.col("operation_type").isNotNull())
         .select("operation_type", *[F.col(f"image.{c}").alias(c) for c in columns])
@@ -107,14 +111,20 @@ def audit_changes(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def audit_entries(changes: DataFrame, operation_timestamp: dt.datetime, last_audit_id: int = 0) -> DataFrame:
-    """Changes as rows of the audit table: stamped, and numbered after the last id in order of tx_id."""
-    stamped = changes.select(
+    """Changes as rows of the audit table: stamped, and numbered after the last id in order of tx_id.
+
+    They are stored first: numbering samples its input, and would join the snapshots twice.
+    """
+    spark, path = changes.sparkSession, shared_dir(changes.sparkSession, "changes")
+    changes.write.option("compression", COMPRESSION).parquet(path)
+    stored = spark.read.schema(changes.schema).parquet(path)
+    stamped = stored.select(
         F.lit(None).cast("bigint").alias("audit_id"),
         "operation_type",
         F.lit(operation_timestamp).cast("timestamp").alias("operation_timestamp"),
         *AUDIT_IMAGE.fieldNames(),
     )
-    return conform(assign_surrogate_keys(stamped, "audit_id", "tx_id", start_after=last_audit_id), AUDIT_HISTORY)
+    return conform(assign_surrogate_keys(stamped, "audit_id", "tx_id", start_after=last_audit_id, rows=stored.count()), AUDIT_HISTORY)
 
 
 def recent_audit(history: DataFrame, n: int = 5) -> DataFrame:

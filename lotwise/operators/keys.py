@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lotwise.session import COMPRESSION, shared_dir
+from lotwise.session import COMPRESSION, shared_dir, tasks_for
 
 # monotonically_increasing_id() holds the partition above these bits and the place in it below.
 _PLACE_BITS = 33
@@ -17,21 +17,22 @@ def next_key(table: DataFrame, key: str) -> DataFrame:
 
 
 def assign_surrogate_keys(
-    df: DataFrame, key: str, natural_id: str, start_after: int = 0, keyed: DataFrame | None = None
+    df: DataFrame, key: str, natural_id: str, start_after: int = 0, keyed: DataFrame | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Fill NULL keys with the numbers after the largest existing one, in order of the natural id.
 
     Rows that have a key keep it. The rows are range-partitioned once, those without a key first, and written to the
     shared folder with their place; a partition's numbers start after those of the partitions before it, whose counts
-    are one row each. So no task orders more than a partition, however sparse or dense the ids are, and the input is
-    computed once. ``natural_id`` can be of any type with an order and must be unique. ``keyed`` is a table that holds
-    all keys given so far, where ``df`` doesn't.
+    are one row each. So no task orders more than a partition, however sparse or dense the ids are. Spark samples the
+    input for the ranges, up to its last shuffle: one that ends in a join of many rows should be stored first.
+    ``natural_id`` can be of any type with an order and must be unique. ``keyed`` is a table that holds all keys given
+    so far, where ``df`` doesn't. ``rows`` is how many rows there are, where that is known: more tasks then order many.
     """
-    in_order = (
-        df.withColumn("__kept", F.col(key).isNotNull())
-        .repartitionByRange("__kept", natural_id)
-        .sortWithinPartitions("__kept", natural_id)
-    )
+    marked, order = df.withColumn("__kept", F.col(key).isNotNull()), ("__kept", natural_id)
+    tasks = tasks_for(df.sparkSession, rows)
+    ranged = marked.repartitionByRange(tasks, *order) if tasks else marked.repartitionByRange(*order)
+    in_order = ranged.sortWithinPartitions(*order)
     return _numbered(in_order, key, start_after, keyed).select(df.columns)
 
 

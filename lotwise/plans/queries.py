@@ -536,7 +536,7 @@ def _streamed_audit(t: _Run) -> DataFrame:
     feed, log, checkpoint = (shared_dir(t.spark, n) for n in ("change-feed", "audit-log", "audit-checkpoint"))
     op = F.when(F.col("old").isNull(), "I").when(F.col("new").isNull(), "D").otherwise("U")
     changed = ~F.col("old").eqNullSafe(F.col("new"))
-    changes = audit.paired_images(t.before, t.after).filter(changed).select(
+    changes = audit.paired_images(t.before, t.after, t.before.count() + t.after.count()).filter(changed).select(
         op.alias("op"), F.lit(LOGGED_AT).cast("timestamp").alias("changed_at"), "old", "new"
     )
     snapshots.save_table(changes, feed)

@@ -6,12 +6,14 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # DATE(ts), month truncation and day-end cut-offs all follow the session zone.
 SESSION_ZONE = "UTC"
 # Codec of stored tables and steps.
 COMPRESSION = "zstd"
+# Whole rows that a task sorts or joins, at most, where their number is known.
+ROWS_PER_TASK = 500_000
 
 
 def pin_session(spark: SparkSession) -> SparkSession:
@@ -36,6 +38,21 @@ def local_session(app: str = "lotwise", cpus: int = 8, shuffle_partitions: int |
     return pin_session(spark)
 
 
+def spread(df: DataFrame, rows: int | None, *columns: str) -> DataFrame:
+    """Spread by columns over as many tasks as ``rows`` rows need, so that none has to spill.
+
+    Left alone where the session's number of shuffle partitions is enough, or ``rows`` is not known.
+    """
+    tasks = tasks_for(df.sparkSession, rows)
+    return df.repartition(tasks, *columns) if tasks else df
+
+
+def tasks_for(spark: SparkSession, rows: int | None) -> int | None:
+    """How many tasks so many rows need, if these are more than the session's shuffle partitions."""
+    tasks = -(-(rows or 0) // ROWS_PER_TASK)
+    return tasks if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below ``spark.checkpoint.dir``, where every executor can read what others wrote.
 

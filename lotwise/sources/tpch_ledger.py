@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lotwise.functions.expressions import as_date
 from lotwise.schemas import FEE, PRICE, QUANTITY, VOLUME
-from lotwise.session import pin_session
+from lotwise.session import pin_session, tasks_for
 
 # Return flag and line status to transaction type.
 TYPE_OF_FLAGS = {
@@ -196,7 +196,8 @@ class LedgerTables:
         lines = self._read("lineitem")
         if ids and self._widths[2] <= HOT_COPIES:
             # Dealt by order once: the copies are numbered and the orders joined in the same partitions.
-            lines = lines.select("l_orderkey", "l_linenumber", *_VALUES).repartition("l_orderkey")
+            tasks = tasks_for(self.spark, lines.count())
+            lines = lines.select("l_orderkey", "l_linenumber", *_VALUES).repartition(*([tasks] if tasks else []), "l_orderkey")
         rows = self._trades(lines, ids)
         return rows.join(venue.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"), "left").select(
             *(["tx_id"] if ids else []), "crypto_id",

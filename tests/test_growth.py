@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 import pytest
 from conftest import plan
 from pyspark.sql import functions as F
 
+from lotwise import session
 from lotwise.operators import audit as A
 from lotwise.operators import keys as K
 from lotwise.operators import ledger_edits as L
@@ -136,3 +138,18 @@ def test_rows_of_a_load_meet_keys_and_not_rows(spark, run, tmp_path, monkeypatch
     assert all(keys[i] == r.transaction_key for i, r in stored.items())
     fresh = sorted(new.keys() - stored.keys(), key=lambda i: (i is not None, i or 0))
     assert [keys[i] for i in fresh] == list(range(len(stored) + 1, len(keys) + 1))
+
+
+def test_the_log_joins_snapshots_once_in_as_many_tasks_as_rows_need(run, monkeypatch):
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 20)
+    taken = []
+    real = A.assign_surrogate_keys
+    monkeypatch.setattr(A, "assign_surrogate_keys", lambda df, *args, **kw: (taken.append(df), real(df, *args, **kw))[1])
+    changes = A.audit_changes(run.before_by_month, run.after_by_month)
+    rows_of_both = run.before.count() + run.after.count()
+    assert f"hashpartitioning(tx_id#, {-(-rows_of_both // 20)})" in re.sub(r"#\d+L?", "#", plan(changes))
+    log = A.audit_entries(changes, Q.LOGGED_AT)
+    # Numbering samples its input: a join there would run twice.
+    assert "Join" not in plan(taken[0]) and log.count() == changes.count() > 100
+    ids = [(r.audit_id, r.tx_id) for r in log.collect()]
+    assert sorted(ids) == list(zip(range(1, len(ids) + 1), sorted(i for _, i in ids), strict=True))
