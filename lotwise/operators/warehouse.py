@@ -167,11 +167,12 @@ def fact_rejects(tx: DataFrame, dim_date: DataFrame, dim_crypto: DataFrame) -> D
 
 def build_fact_transactions(
     tx: DataFrame, dim_date: DataFrame, dim_crypto: DataFrame, dim_exchange: DataFrame, dim_category: DataFrame,
-    fact: DataFrame,
+    fact: DataFrame, size: int | None = None,
 ) -> DataFrame:
-    """The fact table after loading the ledger: upsert by tx id, new rows get the next keys."""
+    """The fact table after loading the ledger: upsert by tx id, new rows get the next keys. ``size`` is the number of
+    rows of both, where that is known."""
     rows = fact_rows(tx, dim_date, dim_crypto, dim_exchange, dim_category)
-    return conform(upsert(fact, rows, "tx_id_original", "transaction_key"), FACT_TRANSACTIONS)
+    return conform(upsert(fact, rows, "tx_id_original", "transaction_key", size=size), FACT_TRANSACTIONS)
 
 
 def view_monthly_crypto_transaction_summary(fact: DataFrame, dim_date: DataFrame, dim_crypto: DataFrame) -> DataFrame:

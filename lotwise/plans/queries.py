@@ -358,8 +358,8 @@ def _second_load_categories(t: _Run) -> DataFrame:
     return warehouse.upsert_dim_transaction_category(t.transaction_categories, first)
 
 
-def _load_fact(t: _Run, tx: DataFrame, fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    return warehouse.build_fact_transactions(tx, dim_date, t.dim_crypto, t.dim_exchange, t.dim_category, fact)
+def _load_fact(t: _Run, tx: DataFrame, fact: DataFrame, dim_date: DataFrame, size: int | None = None) -> DataFrame:
+    return warehouse.build_fact_transactions(tx, dim_date, t.dim_crypto, t.dim_exchange, t.dim_category, fact, size)
 
 
 def _second_load_fact(t: _Run) -> DataFrame:
@@ -372,7 +372,7 @@ def _fact_of_two_loads(t: _Run, rows: DataFrame, summary: str | None = None) ->
     early = t.booked.filter(F.col("tx_timestamp") < F.lit(EARLIER_LOAD_UNTIL).cast("timestamp"))
     first = _load_fact(
         t, early.withColumn("fee_usd", F.lit(None).cast("decimal(10,4)")),
-        warehouse.empty_table(t.spark, FACT_TRANSACTIONS), t.dim_date,
+        warehouse.empty_table(t.spark, FACT_TRANSACTIONS), t.dim_date, early.count(),
     )
     snapshots.save_fact(first, path)
     if summary:

@@ -14,7 +14,7 @@ from lotwise.operators.keys import assign_surrogate_keys
 from lotwise.operators.merge import upsert
 from lotwise.operators.warehouse import view_monthly_crypto_transaction_summary
 from lotwise.schemas import FACT_TRANSACTIONS, WIDE_QUANTITY, conform
-from lotwise.session import COMPRESSION, shared_dir
+from lotwise.session import COMPRESSION, shared_dir, spread, tasks_for
 
 
 def save_mv_current_holdings(tx: DataFrame, cryptos: DataFrame, path: str) -> None:
@@ -127,10 +127,11 @@ def load_fact_months(spark: SparkSession, path: str, rows: DataFrame, staging: s
     """
     stored = spark.read.parquet(path)
     copies = F.count(F.lit(1)).over(Window.partitionBy("tx_id_original"))
-    new = rows.select("tx_id_original", _month_of_key().alias("date_month"), F.lit(True).alias("loaded")).withColumn("copies", copies)
+    new = rows.select("tx_id_original", _month_of_key().alias("date_month"), F.lit(True).alias("loaded"))
     old = stored.select("tx_id_original", "transaction_key", F.col("date_month").alias("old_month"), F.lit(True).alias("kept"))
-    met = shared_dir(spark, "fact-ids")
-    save_table(new.join(old.withColumn("old_copies", copies), "tx_id_original", "full"), met)
+    size, met = stored.count() + rows.count(), shared_dir(spark, "fact-ids")
+    sides = [spread(side, size, "tx_id_original").withColumn(n, copies) for side, n in ((new, "copies"), (old, "old_copies"))]
+    save_table(sides[0].join(sides[1], "tx_id_original", "full"), met)
     ids = spark.read.parquet(met)
     loaded, key = F.col("loaded").isNotNull(), F.col("transaction_key")
     odd = F.col("tx_id_original").isNull() | (F.greatest("copies", "old_copies") > 1) | (F.col("kept") & key.isNull())
@@ -142,10 +143,10 @@ def load_fact_months(spark: SparkSession, path: str, rows: DataFrame, staging: s
     touched = sorted({m for r in found if r.loaded for m in (r.date_month, r.old_month) if m is not None})
     part = stored.filter(F.col("date_month").isin(touched)).drop("date_month")
     if any(r.odd for r in found) or not counts or None in counts:
-        save_fact(conform(upsert(part, rows, "tx_id_original", "transaction_key", keyed=stored), FACT_TRANSACTIONS), staging)
+        save_fact(conform(upsert(part, rows, "tx_id_original", "transaction_key", keyed=stored, size=size), FACT_TRANSACTIONS), staging)
     else:
         taken = ids.filter(loaded).select("tx_id_original", "date_month", "transaction_key")
-        fresh = assign_surrogate_keys(taken.filter(key.isNull()), "transaction_key", "tx_id_original", keyed=stored)
+        fresh = assign_surrogate_keys(taken.filter(key.isNull()), "transaction_key", "tx_id_original", keyed=stored, rows=size)
         content = _with_keys(rows, taken.filter(key.isNotNull()).unionByName(fresh), counts)
         left = ids.filter(~loaded & F.col("old_month").isin(touched)).select("tx_id_original")
         if not left.isEmpty():
@@ -164,9 +165,10 @@ def _with_keys(rows: DataFrame, keys: DataFrame, counts: dict[int, int]) -> Data
     values = [f.name for f in FACT_TRANSACTIONS if f.name != "transaction_key"]
     both = rows.select(*values, _month_of_key().alias("date_month"), F.lit(True).alias("is_row")).unionByName(keys, allowMissingColumns=True)
     of_id = Window.partitionBy(*cell, "tx_id_original")
+    tasks = tasks_for(rows.sparkSession, 2 * sum(counts.values()))
     return (
         both.withColumn("slice", F.pmod(F.xxhash64("tx_id_original"), F.element_at(slices, F.col("date_month"))))
-        .repartition(*cell)
+        .repartition(*([tasks] if tasks else []), *cell)
         .withColumn("transaction_key", F.max("transaction_key").over(of_id))
         .filter("is_row").select(FACT_TRANSACTIONS.fieldNames())
     )

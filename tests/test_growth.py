@@ -153,3 +153,18 @@ def test_the_log_joins_snapshots_once_in_as_many_tasks_as_rows_need(run, monkeyp
     assert "Join" not in plan(taken[0]) and log.count() == changes.count() > 100
     ids = [(r.audit_id, r.tx_id) for r in log.collect()]
     assert sorted(ids) == list(zip(range(1, len(ids) + 1), sorted(i for _, i in ids), strict=True))
+
+
+def test_loads_number_and_join_in_as_many_tasks_as_rows_need(run, monkeypatch):
+    whole = rows(Q._refreshed_summary(run))
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 20)
+    again = Q._Run(run.spark, run.folder)
+    tasks = -(-600 // 20)
+    assert f"hashpartitioning(l_orderkey#, {tasks})" in re.sub(r"#\d+L?", "#", plan(again.transactions))
+    asked = []
+    for module in (K, snapshots):
+        real = module.tasks_for
+        monkeypatch.setattr(module, "tasks_for", lambda spark, n, real=real: (asked.append(n), real(spark, n))[1])
+    assert rows(Q._refreshed_summary(again)) == whole
+    # The numbers of the first and the second load, and the rows that are dealt by month; dimensions don't say theirs.
+    assert len([n for n in asked if n and n > 100]) == 3
