@@ -2,8 +2,11 @@ import math
 import random
 import re
 from collections import Counter
+from zlib import compress
 
+import pandas as pd
 import pytest
+from conftest import plan
 
 from lotwise.llm import backoff_lm, queries
 
@@ -96,3 +99,49 @@ def test_query_counts_trigrams(spark, small):
     got = sorted((r.doc_id, r.n_words, r.log10_score) for r in queries.op8_backoff_lm(spark, small).collect())
     assert [x[:2] for x in got] == [x[:2] for x in want]
     assert all(abs(g[2] - w[2]) < 1e-5 for g, w in zip(got, want, strict=True))
+
+
+def _block(texts, counted=None):
+    rows = pd.DataFrame({"digest": [str(i) for i in range(len(texts))], "copies": 1, "text": [compress(t.encode()) for t in texts]})
+    return backoff_lm.Block(rows, 11, counted)
+
+
+def _every(texts, order):
+    one = _block(texts)
+    return backoff_lm.Level(one.hashes, one.owner, one.texts["copies"].to_numpy(), order).every
+
+
+def test_ngrams_are_shuffled_as_arrays_by_slice(documents):
+    shuffled = [x for x in plan(backoff_lm.scores(documents((1, "a b c d"), (2, "b c d e")))).split("\n\n") if "Exchange" in x]
+    assert any("slice" in x and "grams" in x for x in shuffled) and not any("hashpartitioning(gram" in x for x in shuffled)
+
+
+def test_a_slice_sends_hashes_and_only_counts_above_one():
+    one = _block(["a b a c", "a b"])
+    one.climb(1)
+    sent = one.sent(5 << 32)
+    assert sorted(n for x in sent["often"] for n in x) == [2, 3] and sent["ones"].sum() == 1
+    assert sum(map(len, sent["grams"])) == 3 and sent["start"].is_monotonic_increasing
+    assert all((g % 2**64) >> 53 == s for s, x in zip(sent["slice"], sent["grams"], strict=True) for g in x.tolist())
+
+
+@pytest.mark.parametrize("held", [1, 2, 1 << 21])
+def test_only_ngrams_of_returned_shorter_ones_are_sent(monkeypatch, held):
+    monkeypatch.setattr(backoff_lm, "HELD", held)
+    text = "a b c d e f"
+    two = _block([text])
+    two.climb(1)
+    two.climb(2)
+    pairs = two.level.every[two.places]
+    known = {g: n for n, g in enumerate(_every(["b c d x e f"], 2).tolist(), 7)}
+    counts = [(1 << 32 | at, known[g]) for at, g in enumerate(pairs.tolist()) if g in known]
+    assert len(counts) == 3
+    frames = [pd.DataFrame([x], columns=["at", "total"]) for x in counts[::-1]]
+    packs = pd.concat(backoff_lm._packed(iter(frames), 3))
+    assert set(packs["block"]) == {0}
+    again = _block([text], pd.DataFrame({"block": [0], "packs": [list(packs["pack"])]}))
+    again.climb(2)
+    assert sorted(again.left(2).tolist()) == sorted([0, 0, 0, *(n - 1 for _, n in counts)])
+    again.climb(3)
+    # Of a b c, b c d, c d e and d e f only b c d holds two known pairs.
+    assert len(again.places) == 1 and again.level.every[again.places[0]] == _every(["b c d"], 3)[0]
