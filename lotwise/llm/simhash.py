@@ -88,6 +88,9 @@ def links(prints: DataFrame, bits: str) -> DataFrame:
     Every grid has the embedding's counts of some groups as its cell. A pair within the distance shares a cell of at
     least one grid, and is emitted only in the first it shares; the Manhattan distance of the embeddings never exceeds
     the Hamming distance, so it rejects candidates before the exact count of differing bits. Nulls link with nothing.
+
+    Spark sizes the cells as if there were one for each fingerprint, so below its limit it would broadcast all of them:
+    the hint keeps the join a merge join.
     """
     masks = _group_masks()
     grids = list(combinations(range(GROUPS), GROUPS - MAX_BITS))
@@ -119,7 +122,7 @@ def links(prints: DataFrame, bits: str) -> DataFrame:
     shared = [next((n for n, grid in enumerate(grids) if all(m >> g & 1 for g in grid)), -1) for m in range(1 << GROUPS)]
     first = F.get(F.array(*[F.lit(n) for n in shared]), agree)
     near = (manhattan(a, b) <= MAX_BITS) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_BITS)
-    met = left.join(right, (F.col("grid") == F.col("grid_b")) & (F.col("cell") == F.col("cell_b")) & (F.col("a") < F.col("b")) & near)
+    met = left.join(right.hint("merge"), (F.col("grid") == F.col("grid_b")) & (F.col("cell") == F.col("cell_b")) & (F.col("a") < F.col("b")) & near)
     return met.where(F.col("grid") == first).select("a", "b")
 
 

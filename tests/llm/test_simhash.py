@@ -62,6 +62,15 @@ def test_links_match_all_pairs(spark):
     assert sorted((r.a, r.b) for r in got) == sorted(want)
 
 
+def test_cells_are_never_broadcast(spark):
+    limit = int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b"))
+    assert limit > 20_000
+    found = simhash.links(spark.range(1000).selectExpr("id * 4294967296 as p"), "p")
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan and "SortMergeJoin" in plan and "Broadcast" not in plan.partition("== Initial Plan ==")[0]
+
+
 def test_distance_of_embeddings_is_a_lower_bound(spark):
     rng = random.Random(1)
     rows = [(_signed(rng.getrandbits(64)), _signed(rng.getrandbits(64))) for _ in range(200)]
