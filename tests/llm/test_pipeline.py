@@ -25,6 +25,17 @@ def test_queries_name_every_operator():
     assert numbers == list(range(1, 14))
 
 
+def test_near_dedup_broadcasts_no_cells(spark, small, documents, monkeypatch):
+    found = []
+    monkeypatch.setattr(simhash, "links", lambda *args, links=simhash.links: found.append(links(*args)) or found[-1])
+    docs = documents(*[(n, f"words of text {n} that no other text has {n * n}") for n in range(300)])
+    kept = dict(corpus_pipeline.STAGES)["simhash_near_dedup"](spark, docs, small)
+    assert 0 < kept.count() <= 300 and len(found) == 1
+    found[0].collect()
+    plan = found[0]._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan ==")[0]
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_stages_take_effect(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     columns = docs.columns
