@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +28,9 @@ TASK_SUFFIXES = 1 << 19
 HOT_SUFFIXES = 1 << 19
 HOT_PARTS = 64
 
+# Numbers that can hold all words of a suffix are below.
+KEYS = 1 << 62
+
 # What picks the task of suffixes: their leading word, a part of its second words, or all words.
 HEAD, SECOND, ALL = 1, 2, 3
 
@@ -36,26 +40,49 @@ _TABLE = bytes(0xFF if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else _LETTER
 _PIECE_END = re.compile(r"[.,;:!?\n\x0b\x0c\r]")
 
 
-def _word_numbers(texts: list[str | None]) -> tuple[np.ndarray, list[str]]:
+def _word_numbers(texts: list[str | None]) -> tuple[np.ndarray, pa.Array]:
     """All words of the texts as numbers, -1 after each piece, and the words by number."""
-    data = _BREAK.join((t or "").encode().translate(_TABLE) for t in texts).replace(_BREAK, b" \xff ")
-    known = {_BREAK: -1}
-    numbers = np.array([known.setdefault(w, len(known) - 1) for w in data.split()], np.int64)
-    return np.append(numbers, -1), [w.decode() for w in list(known)[1:]]
-
-
-def suffixes(texts: list[str | None], words: int) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """The distinct suffixes of all pieces, cut to `words` words: their words' numbers (-1 beyond the end), how often each
-    occurs, and the words by number."""
+    data = np.frombuffer(_BREAK.join((t or "").encode().translate(_TABLE) for t in texts) + _BREAK, np.uint8)
+    breaks = data == _BREAK[0]
+    inside = ~breaks & (data != 32)
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    begins = edges[::2]
+    ends = np.cumsum(edges[1::2] - begins)
+    words = pa.Array.from_buffers(pa.large_string(), len(begins), [None, pa.py_buffer(np.append(0, ends).astype(np.int64)), pa.py_buffer(data[inside])])
+    codes, names = _coded(words)
+    piece = np.cumsum(breaks)
+    numbers = np.full(len(begins) + piece[-1], -1)
+    numbers[np.arange(len(begins)) + piece[begins]] = codes
+    return numbers, names.cast(pa.string())
+
+
+def suffixes(texts: list[str | None], words: int) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """The distinct suffixes of all pieces, cut to `words` words, in order: their words' numbers (-1 beyond the end), how
+    often each occurs, and the words by number."""
     numbers, names = _word_numbers(texts)
     begins = np.flatnonzero(numbers >= 0)
+    base = len(names) + 1
     # Distinct suffixes to depth d are distinct pairs of one to depth d - 1 and a word.
     classes = numbers[begins]
     ended = np.zeros(len(begins), bool)
+    short = base**words < KEYS
     for depth in range(1, words):
         following = numbers[np.minimum(begins + depth, len(numbers) - 1)]
         ended |= following < 0
-        _, classes = np.unique(classes * (len(names) + 1) + np.where(ended, 0, following + 1), return_inverse=True)
+        classes = classes * base + np.where(ended, 0, following + 1)
+        if not short:
+            _, classes = np.unique(classes, return_inverse=True)
+    if short:
+        # One number holds all words of a suffix, so it needs no pointer.
+        classes.sort()
+        first = np.flatnonzero(np.diff(classes, prepend=-1))
+        often = np.diff(np.append(first, len(classes)))
+        rest = classes[first]
+        columns = []
+        for _ in range(1, words):
+            rest, word = np.divmod(rest, base)
+            columns.append(word - 1)
+        return np.stack([rest, *columns[::-1]]), often, names
     _, first, often = np.unique(classes, return_index=True, return_counts=True)
     columns = []
     ended = np.zeros(len(first), bool)
@@ -69,42 +96,60 @@ def suffixes(texts: list[str | None], words: int) -> tuple[np.ndarray, np.ndarra
 def sorted_runs(keys: np.ndarray, weights: np.ndarray, least: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Multikey three-way quicksort of pointers to suffixes, to the maximum depth: (depth, pointer, size) of equal partitions.
 
-    `keys` has a row for each depth and a column for each suffix, a negative key being the end of a suffix. Each
-    partition is split around a pivot at its depth into smaller, equal and greater suffixes; an equal partition's
-    weight is the count of its prefix, and it goes on at the next depth. Partitions of less weight than `least` of
-    their depth are abandoned. All partitions of the same round are split at once.
+    `keys` has a row for each depth and a column for each suffix, a negative key being the end of a suffix. Suffixes
+    start in a partition for each first key. Each partition is split around a pivot at its depth into smaller, equal and
+    greater suffixes; an equal partition's weight is the count of its prefix, and it goes on at the next depth.
+    Partitions of less weight than `least` of their depth are abandoned. All partitions of the same round are split at
+    once.
     """
-    pointers = np.arange(keys.shape[1])
-    part = np.zeros(len(pointers), np.int64)  # ascending
-    depth = np.zeros(1, np.int64)
+    pointers = np.argsort(keys[0], kind="stable")
+    values = keys[0][pointers]
+    begins = np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, np.int64)
+    size = np.diff(np.append(begins, len(pointers)))
+    total = np.add.reduceat(weights[pointers], begins) if len(begins) else np.zeros(0, np.int64)
+    found = (values[begins] >= 0) & (total >= least[0])
+    if found.any():
+        yield 1, pointers[begins[found]], total[found]
+    pointers = pointers[np.repeat(found, size)] if len(keys) > 1 else pointers[:0]
+    weights = weights.astype(np.float64)
+    size = size[found]
+    depth = np.ones(len(size), np.int64)
     while len(pointers):
-        begins = np.flatnonzero(np.diff(part, prepend=-1))
-        size = np.diff(np.append(begins, len(pointers)))
-        of = np.repeat(np.arange(len(begins)), size)
-        depth = depth[part[begins]]
+        parts = len(size)
+        begins = np.cumsum(size) - size
+        of = np.repeat(np.arange(parts), size)
         values = keys[depth[of], pointers]
         sample = [values[begins], values[begins + size // 2], values[begins + size - 1]]
         pivot = np.maximum(np.minimum(sample[0], sample[1]), np.minimum(np.maximum(sample[0], sample[1]), sample[2]))
-        side = np.sign(values - pivot[of]) + 1
+        beside = pivot[of]
+        side = (values >= beside).astype(np.int64) + (values > beside)
         new = 3 * of + side
-        order = np.argsort(new, kind="stable")
-        pointers, new = pointers[order], new[order]
-        total = np.bincount(new, weights[pointers], 3 * len(begins)).astype(np.int64)
+        total = np.bincount(new, weights[pointers], 3 * parts).astype(np.int64)
         equal = slice(1, None, 3)
         kept = total >= np.repeat(least[depth], 3)
         kept[equal] &= pivot >= 0
         found = kept[equal]
-        some = np.zeros(3 * len(begins), np.int64)
-        some[new] = pointers
-        for d in range(len(keys)):
+        some = np.zeros(parts, np.int64)
+        same = side == 1
+        some[of[same]] = pointers[same]
+        for d in range(1, len(keys)):
             at = found & (depth == d)
             if at.any():
-                yield d + 1, some[equal][at], total[equal][at]
+                yield d + 1, some[at], total[equal][at]
         depth = np.repeat(depth, 3)
         depth[equal] += 1
         kept &= depth < len(keys)
         stay = kept[new]
-        pointers, part = pointers[stay], new[stay]
+        pointers, of, side, new = pointers[stay], of[stay], side[stay], new[stay]
+        # Pointers stand by partition, so those of one side go to their places in order.
+        count = np.bincount(new, minlength=3 * parts)
+        place = np.cumsum(count) - count
+        moved = np.empty_like(pointers)
+        for s in range(3):
+            own = np.flatnonzero(side == s)
+            before = np.cumsum(count[s::3]) - count[s::3]
+            moved[np.arange(len(own)) + (place[s::3] - before)[of[own]]] = pointers[own]
+        pointers, size, depth = moved, count[count > 0], depth[count > 0]
 
 
 def phrase_counts(docs: DataFrame, lang: str = "lang", text: str = "text", words: int = MAX_WORDS, least: int = MIN_COUNT) -> DataFrame:
@@ -114,36 +159,32 @@ def phrase_counts(docs: DataFrame, lang: str = "lang", text: str = "text", words
     Pieces of text send their suffixes, cut to `words` words, added up and put together by leading word, to the task of
     their leading word. Leading words with more than HOT_SUFFIXES of them are dealt in parts by their second word, and
     parts with more by all words; counts of what is spread over tasks are added up after. The suffixes are written to the shared folder
-    before they are dealt, so lost executors repeat one step only.
+    before they are dealt, so lost executors repeat one step only. Those of one leading word are one string there, the
+    words after it with their count where it isn't 1, for strings cost Spark less than arrays of strings and counts.
     """
     rows = docs.select(F.coalesce(F.col(f"`{lang}`"), F.lit("und")).alias("lang"), F.col(f"`{text}`").alias("text"))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for code, texts in _chunks(batches):
             numbers, often, names = suffixes(texts, words)
-            known = pa.array([*names, None], pa.string())
+            known = pa.concat_arrays([names, pa.nulls(1, pa.string())])
             heads = np.flatnonzero(np.diff(numbers[0], prepend=-1))
             for begin in range(0, len(heads), 1 << 14):
                 head = heads[begin : begin + (1 << 14)]
                 end = heads[begin + (1 << 14)] if begin + (1 << 14) < len(heads) else len(often)
-                places = pa.array(np.append(head, end) - head[0], pa.int32())
+                size = np.diff(np.append(head, end))
                 after = [known.take(pa.array(n[head[0] : end] % len(known))) for n in numbers[1:]]
                 more = [pc.fill_null(pc.binary_join_element_wise("", w, " "), "") for w in after[1:]]
-                tails = pc.binary_join_element_wise(after[0], *more, "")
+                tails = pc.binary_join_element_wise(pc.fill_null(after[0], ""), *more, _counts(often[head[0] : end]), "")
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([code] * len(head), pa.string()),
-                        known.take(pa.array(numbers[0][head])),
-                        pa.ListArray.from_arrays(places, tails),
-                        pa.ListArray.from_arrays(places, pa.array(often[head[0] : end], pa.int64())),
-                    ],
-                    ["lang", "head", "tails", "n"],
+                    [pa.array([code] * len(head), pa.string()), known.take(pa.array(numbers[0][head])), _joined(tails, size), pa.array(size)],
+                    ["lang", "head", "tails", "many"],
                 )
 
-    sent = stored(rows.mapInArrow(send, "lang string, head string, tails array<string>, n array<long>"), "suffixes", compression="zstd")
-    every = sent.agg(F.sum(F.size("n"))).first()[0] or 0
+    sent = stored(rows.mapInArrow(send, "lang string, head string, tails string, many long"), "suffixes", compression="zstd")
+    every = sent.agg(F.sum("many")).first()[0] or 0
     tasks = max(sent.sparkSession.sparkContext.defaultParallelism, -(-every // TASK_SUFFIXES))
-    routed = _dealt(sent, words, tasks).repartition(tasks, "lang", "head", "lead")
+    routed = _dealt(sent, tasks).repartition(tasks, "lang", "head", "lead")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = list(batches)
@@ -152,66 +193,136 @@ def phrase_counts(docs: DataFrame, lang: str = "lang", text: str = "text", words
             part = table.filter(pc.equal(table["deal"], deal)).combine_chunks()
             if not part.num_rows:
                 continue
-            owner = np.repeat(np.arange(part.num_rows), pc.list_value_length(part["n"]).to_numpy())
-            weights = pc.list_flatten(part["n"]).to_numpy()
             languages, lang_names = _coded(part["lang"])
             heads, head_names = _coded(part["head"])
-            tails = _whole(pc.split_pattern(pc.list_flatten(part["tails"]), " "))
-            begin, size = tails.offsets.to_numpy()[:-1], pc.list_value_length(tails).fill_null(0).to_numpy()
-            following, tail_names = _coded(tails.values)
-            following = np.append(following, -1)
-            later = [np.where(size > d, following[np.minimum(begin + d, len(following) - 1)], -1) for d in range(words - 1)]
-            names = [lang_names, head_names, *[tail_names] * (words - 1)]
-            keys = np.stack([languages[owner], heads[owner], *later])
+            owner, tails = _split(part["tails"])
+            tails, weights = _weighed(tails)
+            total = np.bincount(languages[owner], weights, len(lang_names)).astype(np.int64)
+            yield _found(lang_names, 0, pa.array([""] * len(lang_names), pa.string()), total)
             # Of shorter phrases this task has a part only, so none of them is abandoned here.
             together = {HEAD: 1, SECOND: 2, ALL: words}[deal]
-            lowest = np.array([1, *[least if depth >= together else 1 for depth in range(1, words + 1)]])
+            lowest = np.array([least if depth >= together else 1 for depth in range(1, words + 1)])
+            leading = languages * len(head_names) + heads
+            # Words after abandoned leading words need not be told apart.
+            enough = np.bincount(leading[owner], weights, len(lang_names) * len(head_names)) >= lowest[0]
+            used = enough[leading[owner]]
+            owner, tails, weights = owner[used], tails.filter(pa.array(used)), weights[used]
+            apart = _whole(pc.split_pattern(tails, " "))
+            begin, size = apart.offsets.to_numpy()[:-1], pc.list_value_length(apart).to_numpy()
+            following, tail_names = _coded(apart.values)
+            following[tail_names.index("").as_py() == following] = -1
+            following = np.append(following, -1)
+            later = [np.where(size > d, following[np.minimum(begin + d, len(following) - 1)], -1) for d in range(words - 1)]
+            keys = np.stack([leading[owner], *later])
+            runs: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
             for depth, at, size in sorted_runs(keys, weights, lowest):
-                code, *spoken = [names[d].take(pa.array(keys[d][at])) for d in range(depth)]
-                phrase = pc.binary_join_element_wise(*spoken, " ") if spoken else pa.array([""] * len(at), pa.string())
-                yield pa.RecordBatch.from_arrays(
-                    [code, pa.array(np.full(len(at), depth - 1)), phrase, pa.array(size)], ["lang", "words", "phrase", "f"]
-                )
+                runs.setdefault(depth, []).append((at, size))
+            for depth, found in runs.items():
+                at, size = (np.concatenate(x) for x in zip(*found, strict=True))
+                code, head = np.divmod(keys[0][at], len(head_names))
+                spoken = [head_names.take(pa.array(head)), *[tail_names.take(pa.array(keys[d][at])) for d in range(1, depth)]]
+                yield _found(lang_names.take(pa.array(code)), depth, pc.binary_join_element_wise(*spoken, " "), size)
 
     counted = routed.mapInArrow(count, "lang string, words long, phrase string, f long")
     return counted.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f")).where((F.col("words") == 0) | (F.col("f") >= least))
 
 
-def _dealt(sent: DataFrame, words: int, tasks: int) -> DataFrame:
-    """The suffixes with `deal`, what picks their task, and `lead`, what picks it beside the leading word.
+def _dealt(sent: DataFrame, tasks: int) -> DataFrame:
+    """The suffixes (lang, head, tails) with `deal`, what picks their task, and `lead`, what picks it beside the leading word.
 
     At most one in HOT_SUFFIXES suffixes' leading words are hot, so their lists are short; they are stored, for all
     tasks must deal alike. Chunks with few suffixes of a leading word don't count for its size: they can't add more to
-    a task than a fraction of what it sorts anyway.
+    a task than a fraction of what it sorts anyway. Strings of hot leading words are cut in Python, each suffix looked
+    at once however many parts there are.
     """
+    as_is = lambda frame, deal, lead: frame.select("lang", "head", "tails", F.lit(deal).alias("deal"), lead.alias("lead"))
     none = F.lit(None).cast("long")
-    some = F.size("n") * 4 * tasks > HOT_SUFFIXES
-    sizes = sent.where(some).groupBy("lang", "head").agg(F.sum(F.size("n")).alias("size")).where(F.col("size") > HOT_SUFFIXES)
-    parts = F.least(F.lit(HOT_PARTS), F.ceil(2 * F.col("size") / HOT_SUFFIXES)).cast("long")
-    hot = stored(sizes.select("lang", "head", parts.alias("parts")), "hot")
+    some = F.col("many") * 4 * tasks > HOT_SUFFIXES
+    sizes = sent.where(some).groupBy("lang", "head").agg(F.sum("many").alias("size")).where(F.col("size") > HOT_SUFFIXES)
+    parts = F.ceil(2 * F.col("size") / HOT_SUFFIXES).cast("long")
+    hot = stored(sizes.select("lang", "head", F.least(F.lit(HOT_PARTS), parts).cast("long").alias("parts")), "hot")
     if hot.isEmpty():
-        return sent.withColumns({"deal": F.lit(HEAD), "lead": none})
+        return as_is(sent, HEAD, none)
     marked = sent.join(hot, ["lang", "head"], "left")
-    whole = marked.where("parts is null").select("lang", "head", "tails", "n", F.lit(HEAD).alias("deal"), none.alias("lead"))
-    part_of = lambda tail, n: F.struct(tail.alias("tail"), n.alias("n"), F.pmod(F.xxhash64(F.substring_index(tail, " ", 1)), F.col("parts")).alias("part"))
-    spread = (
-        marked.where("parts is not null")
-        .select("lang", "head", F.zip_with("tails", "n", part_of).alias("every"), F.explode(F.expr("sequence(0L, parts - 1)")).alias("lead"))
-        .withColumn("every", F.filter("every", lambda x: x["part"] == F.col("lead")))
-        .where(F.size("every") > 0)
-        .select("lang", "head", F.col("every.tail").alias("tails"), F.col("every.n").alias("n"), F.lit(SECOND).alias("deal"), "lead")
-    )
-    sizes = spread.groupBy("lang", "head", "lead").agg(F.sum(F.size("n")).alias("size")).where(F.col("size") > HOT_SUFFIXES)
-    hotter = stored(sizes.select("lang", "head", "lead", F.lit(True).alias("hotter")), "hotter")
+    whole = as_is(marked.where("parts is null"), HEAD, none)
+    spread = stored(_cut(marked.where("parts is not null").withColumn("lead", F.lit(0).cast("long")), SECOND), "spread", compression="zstd")
+    sizes = spread.groupBy("lang", "head", "lead").agg(F.sum("many").alias("size")).where(F.col("size") > HOT_SUFFIXES)
+    hotter = stored(sizes.select("lang", "head", "lead", parts.alias("parts")), "hotter")
     if hotter.isEmpty():
-        return whole.unionByName(spread)
+        return whole.unionByName(as_is(spread, SECOND, F.col("lead")))
     marked = spread.join(hotter, ["lang", "head", "lead"], "left")
-    single = (
-        marked.where("hotter")
-        .select("lang", "head", F.explode(F.arrays_zip("tails", "n")).alias("one"))
-        .select("lang", "head", F.array("one.tails").alias("tails"), F.array("one.n").alias("n"), F.lit(ALL).alias("deal"), F.xxhash64("one.tails").alias("lead"))
-    )
-    return whole.unionByName(marked.where("hotter is null").drop("hotter")).unionByName(single)
+    single = _cut(marked.where("parts is not null"), ALL)
+    return whole.unionByName(as_is(marked.where("parts is null"), SECOND, F.col("lead"))).unionByName(as_is(single, ALL, F.col("lead")))
+
+
+def _cut(rows: DataFrame, deal: int) -> DataFrame:
+    """(lang, head, lead, tails, many) of rows with `parts`: each row's suffixes in so many parts at most, by the hash of
+    their second word or of all words. `lead` is the part, the earlier lead before it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            owner, tails = _split(batch["tails"])
+            by = _firsts(tails, "\t")
+            codes, names = _coded(_firsts(by, " ") if deal == SECOND else by)
+            hashes = np.array([xxhash.xxh64_intdigest(x) >> 1 for x in names.cast(pa.binary()).to_pylist()], np.int64)
+            parts = batch["parts"].to_numpy()
+            part = hashes[codes] % parts[owner]
+            order = np.lexsort((part, owner))
+            owner, part = owner[order], part[order]
+            first = np.flatnonzero((np.diff(owner, prepend=-1) != 0) | (np.diff(part, prepend=-1) != 0))
+            size = np.diff(np.append(first, len(owner)))
+            row = pa.array(owner[first])
+            lead = batch["lead"].to_numpy()[owner[first]] * (1 if deal == SECOND else parts[owner[first]]) + part[first]
+            yield pa.RecordBatch.from_arrays(
+                [batch["lang"].take(row), batch["head"].take(row), pa.array(lead), _joined(tails.take(pa.array(order)), size), pa.array(size)],
+                ["lang", "head", "lead", "tails", "many"],
+            )
+
+    given = rows.select("lang", "head", "lead", "tails", "parts")
+    return given.mapInArrow(run, "lang string, head string, lead long, tails string, many long")
+
+
+def _counts(often: np.ndarray) -> pa.Array:
+    """What is written behind suffixes that occur so often: a tab, which no word has, and the count if it isn't 1."""
+    several = often != 1
+    different, at = np.unique(often[several], return_inverse=True)
+    place = np.zeros(len(often), np.int64)
+    place[several] = at + 1
+    return pa.array(["", *[f"\t{n}" for n in different.tolist()]], pa.string()).take(pa.array(place))
+
+
+def _weighed(tails: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Suffixes without their counts, and the counts."""
+    weights = np.ones(len(tails), np.int64)
+    several = pc.match_substring(tails, "\t")
+    places = np.flatnonzero(several.to_numpy(zero_copy_only=False))
+    if len(places):
+        both = pc.split_pattern(tails.filter(several), "\t").values
+        weights[places] = both.take(pa.array(np.arange(1, 2 * len(places), 2))).cast(pa.int64()).to_numpy()
+        tails = pc.replace_with_mask(tails, several, both.take(pa.array(np.arange(0, 2 * len(places), 2))))
+    return tails, weights
+
+
+def _joined(tails: pa.Array, size: np.ndarray) -> pa.Array:
+    """One string for each run of so many strings, with line breaks, which no word has, between them."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)), pa.int32()), tails), "\n")
+
+
+def _split(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """The strings that were put together, each with the number of its row."""
+    lists = _whole(pc.split_pattern(_whole(column), "\n"))
+    return np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy()), lists.flatten()
+
+
+def _firsts(strings: pa.Array, mark: str) -> pa.Array:
+    """What stands before the first mark."""
+    return pc.list_element(pc.split_pattern(strings, mark, max_splits=1), 0)
+
+
+def _found(codes: pa.Array, words: int, phrases: pa.Array, f: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([codes, pa.array(np.full(len(f), words)), phrases, pa.array(f)], ["lang", "words", "phrase", "f"])
 
 
 def _whole(column: pa.ChunkedArray | pa.Array) -> pa.Array:

@@ -75,6 +75,37 @@ def test_quicksort_of_suffixes():
         assert got == {p: c for p, c in want.items() if enough(p)}
 
 
+@pytest.mark.parametrize("short", [True, False])
+@pytest.mark.parametrize("words", [2, 3, 4])
+def test_distinct_suffixes(monkeypatch, words, short):
+    monkeypatch.setattr(op, "KEYS", 1 << 62 if short else 1)
+    rows = _random_rows(words)
+    keys, often, names = op.suffixes([text for _, text in rows], words)
+    spoken = names.to_pylist()
+    assert len(set(spoken)) == len(spoken)
+    got = [tuple(spoken[i] for i in column if i >= 0) for column in keys.T.tolist()]
+    want = Counter(tuple(w[i : i + words]) for _, w in _pieces(rows) for i in range(len(w)))
+    assert dict(zip(got, often.tolist(), strict=True)) == want and len(got) == len(want)
+    assert keys.T.tolist() == sorted(keys.T.tolist())
+
+
+def test_hot_suffixes_are_cut_once(spark):
+    """However many parts there are, each suffix goes to one of them, with all others of its second word."""
+    tails = ["", "a", "a b\t12", "a c", "b\t3", *[f"w{i % 40} x{i}" for i in range(200)]]
+    rows = [("en", "the", 5, "\n".join(tails), 7), ("en", "the", 5, "a z\nb", 7), ("fr", "le", 0, "seul", 1)]
+    given = spark.createDataFrame(rows, "lang string, head string, lead long, tails string, parts long").repartition(1)
+    for deal in (op.SECOND, op.ALL):
+        got = op._cut(given, deal).collect()
+        assert len(got) <= 7 + 2 + 1 and all(len(r.tails.split("\n")) == r.many for r in got)
+        assert Counter((r.lang, r.head, t) for r in got for t in r.tails.split("\n")) == Counter((*r[:2], t) for r in rows for t in r[3].split("\n"))
+        leads = defaultdict(set)
+        for r in got:
+            for t in r.tails.split("\n"):
+                words = t.partition("\t")[0]
+                leads[r.lang, words.split(" ")[0] if deal == op.SECOND else words].add(r.lead)
+        assert all(len(x) == 1 for x in leads.values()) and len(set.union(*leads.values())) > 5
+
+
 @pytest.mark.parametrize(("words", "least", "hot"), [(3, 10, 1 << 17), (3, 2, 20), (4, 3, 3), (2, 4, 5), (4, 2, 1)])
 def test_against_brute_force(spark, monkeypatch, words, least, hot):
     monkeypatch.setattr(op, "HOT_SUFFIXES", hot)
