@@ -20,6 +20,8 @@ MIN_COUNT = 10
 INSIDE_PERCENT = 50
 SCALE = 1_000_000
 TOP = 2000
+# Parts in which a language's phrases are put in order before the best of each meet.
+BEST_PARTS = 256
 # Text whose suffixes a task combines before it sends them.
 CHUNK_CHARS = 8 << 20
 # Suffixes that one task sorts, on average. Leading words with more than HOT_SUFFIXES are dealt in up to HOT_PARTS parts
@@ -112,26 +114,27 @@ def sorted_runs(keys: np.ndarray, weights: np.ndarray, least: np.ndarray) -> Ite
         yield 1, pointers[begins[found]], total[found]
     pointers = pointers[np.repeat(found, size)] if len(keys) > 1 else pointers[:0]
     weights = weights.astype(np.float64)
+    flat = keys.ravel()
     size = size[found]
     depth = np.ones(len(size), np.int64)
     while len(pointers):
         parts = len(size)
         begins = np.cumsum(size) - size
         of = np.repeat(np.arange(parts), size)
-        values = keys[depth[of], pointers]
+        values = flat.take(pointers + np.repeat(depth * keys.shape[1], size))
         sample = [values[begins], values[begins + size // 2], values[begins + size - 1]]
         pivot = np.maximum(np.minimum(sample[0], sample[1]), np.minimum(np.maximum(sample[0], sample[1]), sample[2]))
-        beside = pivot[of]
-        side = (values >= beside).astype(np.int64) + (values > beside)
+        beside = np.repeat(pivot, size)
+        side = (values >= beside).view(np.int8) + (values > beside).view(np.int8)
         new = 3 * of + side
-        total = np.bincount(new, weights[pointers], 3 * parts).astype(np.int64)
+        total = np.bincount(new, weights.take(pointers), 3 * parts).astype(np.int64)
         equal = slice(1, None, 3)
         kept = total >= np.repeat(least[depth], 3)
         kept[equal] &= pivot >= 0
         found = kept[equal]
         some = np.zeros(parts, np.int64)
-        same = side == 1
-        some[of[same]] = pointers[same]
+        same = np.flatnonzero(side == 1)
+        some[of.take(same)] = pointers.take(same)
         for d in range(1, len(keys)):
             at = found & (depth == d)
             if at.any():
@@ -139,8 +142,8 @@ def sorted_runs(keys: np.ndarray, weights: np.ndarray, least: np.ndarray) -> Ite
         depth = np.repeat(depth, 3)
         depth[equal] += 1
         kept &= depth < len(keys)
-        stay = kept[new]
-        pointers, of, side, new = pointers[stay], of[stay], side[stay], new[stay]
+        stay = np.flatnonzero(kept.take(new))
+        pointers, of, side, new = pointers.take(stay), of.take(stay), side.take(stay), new.take(stay)
         # Pointers stand by partition, so those of one side go to their places in order.
         count = np.bincount(new, minlength=3 * parts)
         place = np.cumsum(count) - count
@@ -148,7 +151,7 @@ def sorted_runs(keys: np.ndarray, weights: np.ndarray, least: np.ndarray) -> Ite
         for s in range(3):
             own = np.flatnonzero(side == s)
             before = np.cumsum(count[s::3]) - count[s::3]
-            moved[np.arange(len(own)) + (place[s::3] - before)[of[own]]] = pointers[own]
+            moved[np.arange(len(own)) + (place[s::3] - before).take(of.take(own))] = pointers.take(own)
         pointers, size, depth = moved, count[count > 0], depth[count > 0]
 
 
@@ -404,6 +407,9 @@ def collocations(
         .agg(F.max("longer").alias("longer"))
     )
     alone = scored.join(within, ["lang", "phrase"], "left").where(F.coalesce(100 * F.col("longer") < inside_percent * F.col("a"), F.lit(True)))
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = alone.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
+    # What isn't among the best of its part isn't among the best of its language, whose task gets the best of all parts only.
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    parted = alone.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(BEST_PARTS)))
+    near = parted.withColumn("near", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).where(F.col("near") <= top)
+    ranked = near.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

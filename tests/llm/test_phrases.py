@@ -121,6 +121,14 @@ def test_against_brute_force(spark, monkeypatch, words, least, hot):
     assert sorted(map(tuple, got)) == _brute(rows, words, least, 50, 40)
 
 
+def test_best_phrases_meet_after_their_parts(spark, documents):
+    docs = documents((1, "one two three. " * 20), (2, "four five. " * 12))
+    found = op.collocations(docs)
+    assert len(found.collect()) == 2
+    windows = re.findall(r"Window \[row_number\(\).*?\], \[(.*?)\], \[score", found._jdf.queryExecution().optimizedPlan().toString())
+    assert [re.sub(r"#\d+L?", "", x) for x in windows] == ["lang", "lang, part"]
+
+
 def test_long_texts_are_cut_at_pieces(monkeypatch):
     import pyarrow as pa
 
